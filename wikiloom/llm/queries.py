@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .debruijn import op2_debruijn_dedup
 from .simhash import op7_simhash_anchor
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_debruijn_dedup": op2_debruijn_dedup,
     "op7_simhash_anchor": op7_simhash_anchor,
 }
 
