@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .debruijn import op2_debruijn_dedup
+from .langid import op4_naive_bayes_langid
 from .simhash import op7_simhash_anchor
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_debruijn_dedup": op2_debruijn_dedup,
+    "op4_naive_bayes_langid": op4_naive_bayes_langid,
     "op7_simhash_anchor": op7_simhash_anchor,
 }
 
