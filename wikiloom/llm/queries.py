@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .debruijn import op2_debruijn_dedup
 from .langid import op4_naive_bayes_langid
+from .linecrf import op1_line_crf
 from .simhash import op7_simhash_anchor
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_crf": op1_line_crf,
     "op2_debruijn_dedup": op2_debruijn_dedup,
     "op4_naive_bayes_langid": op4_naive_bayes_langid,
     "op7_simhash_anchor": op7_simhash_anchor,
