@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .debruijn import op2_debruijn_dedup
+from .feistel import op5_feistel_pseudonyms
 from .langid import op4_naive_bayes_langid
 from .linecrf import op1_line_crf
 from .simhash import op7_simhash_anchor
@@ -15,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_crf": op1_line_crf,
     "op2_debruijn_dedup": op2_debruijn_dedup,
     "op4_naive_bayes_langid": op4_naive_bayes_langid,
+    "op5_feistel_pseudonyms": op5_feistel_pseudonyms,
     "op7_simhash_anchor": op7_simhash_anchor,
 }
 
