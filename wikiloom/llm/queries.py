@@ -10,6 +10,7 @@ from .debruijn import op2_debruijn_dedup
 from .feistel import op5_feistel_pseudonyms
 from .langid import op4_naive_bayes_langid
 from .linecrf import op1_line_crf
+from .mixing import op9_temperature_mix
 from .simhash import op7_simhash_anchor
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_naive_bayes_langid": op4_naive_bayes_langid,
     "op5_feistel_pseudonyms": op5_feistel_pseudonyms,
     "op7_simhash_anchor": op7_simhash_anchor,
+    "op9_temperature_mix": op9_temperature_mix,
 }
 
 ORACLES: dict[str, str] = {}
