@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binary_column, documents, slices, words_of, written
+from .common import binary_column, documents, slices, spread, words_of, written
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -75,7 +75,7 @@ def _flips() -> list[int]:
 def ball_edges(fps: DataFrame) -> DataFrame:
     """(a, b) edges that connect all distinct fingerprints within distance 2 of each other."""
     masks = F.array(*[F.lit(m).cast("long") for m in _flips()])
-    near = fps.select("fp", F.explode(F.transform(masks, lambda m: F.col("fp").bitwiseXOR(m))).alias("point"))
+    near = spread(fps, "fp").select("fp", F.explode(F.transform(masks, lambda m: F.col("fp").bitwiseXOR(m))).alias("point"))
     groups = near.groupBy("point").agg(F.collect_list("fp").alias("members")).filter(F.size("members") > 1)
     return (
         groups.select(F.array_min("members").alias("a"), F.explode("members").alias("b")).filter("a <> b").distinct()
@@ -107,7 +107,7 @@ def anchor_rows(classes: DataFrame) -> DataFrame:
     for j in range(5):
         mask = sum(1 << (p - 1) for p in range(1, 32) if p >> j & 1)
         syndrome = f"{syndrome} + (bit_count(word & {mask}L) & 1) * {1 << j}"
-    halves = classes.select("fp", "root", F.explode(F.expr("array(struct(0 AS side, fp & 4294967295L AS half), struct(1 AS side, shiftrightunsigned(fp, 32) AS half))")).alias("x"))
+    halves = spread(classes, "fp").select("fp", "root", F.explode(F.expr("array(struct(0 AS side, fp & 4294967295L AS half), struct(1 AS side, shiftrightunsigned(fp, 32) AS half))")).alias("x"))
     halves = halves.select("fp", "root", "x.side", "x.half", F.expr("x.half & 2147483647L").alias("word"), F.expr("x.half & 2147483648L").alias("top"))
     table = ", ".join("array(" + ", ".join(f"{m}L" for m in masks) + ")" for masks in near)
     nearest = ", ".join(f"{m}L" for m in home)
