@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .debruijn import op2_debruijn_dedup
 from .feistel import op5_feistel_pseudonyms
 from .langid import op4_naive_bayes_langid
+from .licences import op10_licence_digest, op10_sql
 from .linecrf import op1_line_crf
 from .mixing import op9_temperature_mix
 from .simhash import op7_simhash_anchor
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_feistel_pseudonyms": op5_feistel_pseudonyms,
     "op7_simhash_anchor": op7_simhash_anchor,
     "op9_temperature_mix": op9_temperature_mix,
+    "op10_licence_digest": op10_licence_digest,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_licence_digest": op10_sql()}
