@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import op8_bpe_transducer
 from .debruijn import op2_debruijn_dedup
 from .feistel import op5_feistel_pseudonyms
 from .langid import op4_naive_bayes_langid
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_naive_bayes_langid": op4_naive_bayes_langid,
     "op5_feistel_pseudonyms": op5_feistel_pseudonyms,
     "op7_simhash_anchor": op7_simhash_anchor,
+    "op8_bpe_transducer": op8_bpe_transducer,
     "op9_temperature_mix": op9_temperature_mix,
     "op10_licence_digest": op10_licence_digest,
 }
