@@ -13,6 +13,7 @@ from .langid import op4_naive_bayes_langid
 from .licences import op10_licence_digest, op10_sql
 from .linecrf import op1_line_crf
 from .mixing import op9_temperature_mix
+from .rans import op6_rans_tokens
 from .simhash import op7_simhash_anchor
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_debruijn_dedup": op2_debruijn_dedup,
     "op4_naive_bayes_langid": op4_naive_bayes_langid,
     "op5_feistel_pseudonyms": op5_feistel_pseudonyms,
+    "op6_rans_tokens": op6_rans_tokens,
     "op7_simhash_anchor": op7_simhash_anchor,
     "op8_bpe_transducer": op8_bpe_transducer,
     "op9_temperature_mix": op9_temperature_mix,
