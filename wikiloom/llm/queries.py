@@ -15,10 +15,12 @@ from .linecrf import op1_line_crf
 from .mixing import op9_temperature_mix
 from .rans import op6_rans_tokens
 from .simhash import op7_simhash_anchor
+from .sniff import op3_signature_sniff
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_crf": op1_line_crf,
     "op2_debruijn_dedup": op2_debruijn_dedup,
+    "op3_signature_sniff": op3_signature_sniff,
     "op4_naive_bayes_langid": op4_naive_bayes_langid,
     "op5_feistel_pseudonyms": op5_feistel_pseudonyms,
     "op6_rans_tokens": op6_rans_tokens,
