@@ -1,4 +1,13 @@
-"""The training-corpus pipeline: a list of stages over the documents table, each one operator."""
+"""The training-corpus pipeline: a list of stages over the documents table, each one operator.
+
+Stages take (spark, docs, sf_dir) and return a DataFrame. All but the last return the columns of ``documents``:
+
+1. language ID: documents without a determined language, or with a posterior under 0.5, go;
+2. SimHash near-duplicates: the document with the smallest id of each group stays;
+3. PII: personal data in the text becomes format-preserving pseudonyms; no document goes;
+4. mixing: every document is taken once, those of small sources twice at most, as temperature weights ask for;
+5. BPE: token ids and decoded text of every row, as digests.
+"""
 
 from __future__ import annotations
 
@@ -6,17 +15,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wikiloom.llm import simhash
+from wikiloom.llm import bpe, feistel, langid, mixing, simhash
 from wikiloom.llm.common import documents, written
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return langid.reject(docs, langid.fit(docs.filter(~langid.held_out())))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: that of the smallest id."""
     return simhash.keep_first(docs)
 
 
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return feistel.pseudonymise(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs).select(*docs.columns)
+
+
+def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(docs, bpe.tokenizer_path(), digest=True).withColumnsRenamed({"ids": "ids_sha256", "decoded": "decoded_sha256"})
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_id),
     ("simhash_near_dedup", near_dedup),
+    ("pii", pii),
+    ("mix_sources", mix_sources),
+    ("bpe_tokens", bpe_tokens),
 ]
 
 #: No SQL: fingerprints, classifier and tokenizer are beyond it; the tests hold run() against brute force.
