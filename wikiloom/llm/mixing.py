@@ -44,7 +44,9 @@ def token_count(text: F.Column) -> F.Column:
 def source_table(tokens: DataFrame) -> DataFrame:
     """(source, docs, tokens, p): in (source, tokens). A null source is a source of its own; p is null if it has no tokens."""
     sums = tokens.groupBy("source").agg(F.count("*").alias("docs"), F.sum("tokens").alias("tokens"))
-    return written(sums.join(sums.agg(F.sum("tokens").alias("all_tokens"))).select("source", "docs", "tokens", F.when(F.col("tokens") > 0, F.col("tokens") / F.col("all_tokens")).alias("p")), "sources")
+    sums = written(sums, "sources")
+    total = sums.agg(F.sum("tokens")).first()[0] or 0
+    return sums.withColumn("p", F.when(F.col("tokens") > 0, F.col("tokens") / F.lit(float(total))))
 
 
 def _measures(sources: DataFrame, exponents: list[float], budget: float | None) -> list[tuple[float, float]]:
@@ -87,9 +89,9 @@ def bisect_exponent(sources: DataFrame, budget: float | None = None, entropy: fl
 def plan(sources: DataFrame, exponent: float, budget: float | None = None) -> DataFrame:
     """(source, docs, tokens, weight, budget, passes): ``budget`` None is the least that takes every source once."""
     w = sources.withColumn("w", F.when(F.col("p").isNotNull(), F.exp(F.log("p") * exponent)))
-    sums = w.agg(F.sum("w").alias("z"), F.min(F.col("w") / F.col("tokens")).alias("least"))
-    total = F.lit(float(budget)) if budget is not None else F.col("z") / F.col("least")
-    full = w.join(sums).withColumn("weight", F.coalesce(F.col("w") / F.col("z"), F.lit(0.0))).withColumn("budget", F.col("weight") * total)
+    z, least = w.agg(F.sum("w"), F.min(F.col("w") / F.col("tokens"))).first()
+    total = budget if budget is not None else z / least if z else 0.0
+    full = w.withColumn("weight", F.coalesce(F.col("w") / F.lit(z), F.lit(0.0))).withColumn("budget", F.col("weight") * F.lit(float(total)))
     # rounding must not turn a pass into one document less or more
     passes = F.when(F.col("tokens") > 0, F.round(F.col("budget") / F.col("tokens"), 9)).otherwise(0.0)
     return full.withColumn("passes", passes).select("source", "docs", "tokens", "weight", "budget", "passes")
