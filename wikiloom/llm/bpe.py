@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 
 from .common import binary_column, documents, slices
 
-#: Entries of each generation of a worker's caches: two generations of chunks and two of pre-tokens, about 100 MB in all.
-CACHE = 150_000
+#: Entries of each generation of a worker's caches: two generations of chunks, of up to some 300 bytes each, two of half as
+#: many pre-tokens, and seams; about 400 MB in all when full.
+CACHE = 400_000
 #: Symbols between two looks for tokens that can't change any more.
 SETTLE = 256
 NEVER = 1 << 62
@@ -49,7 +50,8 @@ class Transducer:
         self.final = {t[:-cut]: i for t, i in vocab.items() if t.endswith(suffix)} if cut else self.inner
         #: symbols that may still change a boundary: the longest token
         self.lookahead = max(map(len, [*self.inner, *self.final]))
-        self.tails = {t[i:] for table in {id(self.inner): self.inner, id(self.final): self.final}.values() for t in table for i in range(len(t))}
+        #: ids of tokens by their string, and -1 for what only ends a token: anything else ends none
+        self.inner_ends, self.final_ends = ({t[i:]: -1 for t in table for i in range(1, len(t))} | table for table in (self.inner, self.final))
         self.names = {i: t for t, i in vocab.items()}
         self.spines: tuple[dict[int, list], dict[int, list]] = ({}, {})
         self.seams: dict[int, bool] = {}
@@ -71,7 +73,7 @@ class Transducer:
         key = left << 32 | right
         found = self.seams.get(key)
         if found is None:
-            if len(self.seams) >= 4 * CACHE:
+            if len(self.seams) >= 2 * CACHE:
                 self.seams.clear()
             xs, ys, i, j, found = self._spine(left, 1), self._spine(right, 0), 0, 0, True
             while True:
@@ -113,22 +115,21 @@ class Transducer:
 
     def _advance(self, text: str, at: int, last: list[int], size: list[int], end: bool) -> int:
         """Fills last token and its length for the prefixes up to the whole text; ``end``: the last symbol ends the pre-token."""
-        n, tails, compatible, seams = len(text), self.tails, self.compatible, self.seams
+        n, compatible, seams = len(text), self.compatible, self.seams
         for i in range(at + 1, n + 1):
-            table = self.final if end and i == n else self.inner
-            for j in range(i - 1, -1, -1):
-                part = text[j:i]
-                if part not in tails:
-                    raise ValueError(f"no token for {part!r}")
-                token = table.get(part)
-                if token is not None:
+            ends = self.final_ends if end and i == n else self.inner_ends
+            j = i
+            while j:
+                j -= 1
+                token = ends.get(text[j:i])
+                if token is None:
+                    raise ValueError(f"no token for {text[j:i]!r}")
+                if token >= 0:
                     before = last[j]
                     if before < 0:
                         break
                     ok = seams.get(before << 32 | token)
-                    if ok is None:
-                        ok = compatible(before, token)
-                    if ok:
+                    if ok or (ok is None and compatible(before, token)):
                         break
             else:
                 raise ValueError(f"no token for {text[:i]!r}")
@@ -253,7 +254,7 @@ class ChunkEncoder:
         self.split_specials = re.compile("|".join(map(re.escape, sorted(self.specials, key=len, reverse=True)))) if self.specials else None
         self.marks = [s.encode() for s in self.specials]
         self.made, self.whole = made, whole
-        self.chunks, self.pretokens = Cache(), Cache()
+        self.chunks, self.pretokens = Cache(), Cache(CACHE // 2)
         # Fixed value: the word pattern of the tokenizer file, for printable ASCII in lower case.
         self.ascii_words = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
         self.ascii_only = re.compile(rb"[\x21-\x7e]+").fullmatch
@@ -336,9 +337,11 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         for batch in slices(batches, 128):
             counts, ids, texts = [], [], []
             for text in binary_column(batch, "body").to_pylist():
-                found = [x for x in encoder.encode(text) if x[0]]
-                counts.append(sum(x[0] for x in found))
-                spelled, decoded = b" ".join([x[1] for x in found]), b" ".join([x[2] for x in found])
+                numbers, spelled, decoded = zip(*(encoder.encode(text) or [(0, b"", b"")]), strict=True)
+                if 0 in numbers:  # chunks without ids leave no blank
+                    spelled, decoded = filter(None, spelled), filter(None, decoded)
+                counts.append(sum(numbers))
+                spelled, decoded = b" ".join(spelled), b" ".join(decoded)
                 ids.append(hashlib.sha256(spelled).hexdigest() if digest else spelled.decode())
                 texts.append(hashlib.sha256(decoded).hexdigest() if digest else decoded.decode())
             yield pa.RecordBatch.from_arrays(
