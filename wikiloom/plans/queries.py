@@ -192,7 +192,8 @@ def _visible_sql() -> str:
     text = f"replace(replace({text}, chr(39) || chr(39) || chr(39), ''), chr(39) || chr(39), '')"
     text = f"regexp_replace({text}, '(?i)</?(?:{'|'.join(cleanup.BLOCKS)})(?:\\s[^>]*)?/?>|<br(?:\\s[^>]*)?/?>', chr(10), 'g')"
     text = f"regexp_replace(regexp_replace({text}, '<![^>]*>', '', 'g'), '</?[A-Za-z][^>]*>', '', 'g')"
-    text = f"replace(replace(replace(replace(replace({text}, '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')"
+    for name, char in cleanup.ENTITIES.items():
+        text = f"replace({text}, '&{name};', chr({ord(char)}))"
     text = f"regexp_replace({text}, '[ \\t\\x{{A0}}]+', ' ', 'g')"
     text = f"regexp_replace({text}, '[ \\t]*\\n[ \\t]*', chr(10), 'g')"
     text = f"regexp_replace({text}, '\\n{{3,}}', chr(10) || chr(10), 'g')"
