@@ -57,6 +57,11 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _let(value: str, name: str, body: str) -> str:
+    """SQL of ``body`` with ``name`` standing for ``value``, which is written and computed once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
 def _kind(m: str) -> str:
     """SQL for the kind of a match: the first pattern that is the whole of it and whose values are valid, else ''."""
     digits = f"regexp_replace({m}, '[^0-9]', '')"
@@ -88,21 +93,21 @@ def _mod97(iban: str) -> str:
 
 def _date_parts(m: str) -> str:
     """SQL for struct(y, mo, d, form): form 1 Y-M-D or Y/M/D, 2 D.M.Y or D/M/Y, 3 M/D/Y."""
-    p = f"split({m}, '[-/.]')"
-    a, b, c = (f"cast({p}[{i}] as int)" for i in range(3))
-    return (
+    a, b, c = (f"cast(p[{i}] as int)" for i in range(3))
+    return _let(
+        f"split({m}, '[-/.]')",
+        "p",
         f"(CASE WHEN {m} RLIKE '^[0-9]{{4}}' THEN struct({a} AS y, {b} AS mo, {c} AS d, 1 AS form) "
         f"WHEN instr({m}, '/') > 0 AND {b} > 12 THEN struct({c} AS y, {a} AS mo, {b} AS d, 3 AS form) "
         f"WHEN instr({m}, '/') > 0 AND {a} <= 12 THEN struct({c} AS y, {a} AS mo, {b} AS d, 3 AS form) "
-        f"ELSE struct({c} AS y, {b} AS mo, {a} AS d, 2 AS form) END)"
+        f"ELSE struct({c} AS y, {b} AS mo, {a} AS d, 2 AS form) END)",
     )
 
 
 def _day(m: str) -> str:
     """SQL for the day of a date match; null if there is no such day or the year is out of range."""
-    at = _date_parts(m)
-    made = f"try_to_date(concat(lpad({at}.y, 4, '0'), '-', lpad({at}.mo, 2, '0'), '-', lpad({at}.d, 2, '0')), 'yyyy-MM-dd')"
-    return f"IF({at}.y BETWEEN 1600 AND 2399, {made}, NULL)"
+    made = "try_to_date(concat(lpad(q.y, 4, '0'), '-', lpad(q.mo, 2, '0'), '-', lpad(q.d, 2, '0')), 'yyyy-MM-dd')"
+    return _let(_date_parts(m), "q", f"IF(q.y BETWEEN 1600 AND 2399, {made}, NULL)")
 
 
 #: Days of a century as a product of two radices: 36525 = 75 * 487 if its first year is a leap year, else 36524 = 92 * 397.
@@ -124,8 +129,8 @@ def _digit_symbols(text: str) -> str:
 def _symbols(m: str, kind: str) -> str:
     """SQL for the array of struct(v, r) that is permuted."""
     digits = f"regexp_replace({m}, '[^0-9]', '')"
-    day = _day(m)
-    offset = f"datediff({day}, {_century(day)})"
+    offset = f"datediff(e, {_century('e')})"
+    date = _let(_day(m), "e", f"array(struct(cast(floor({offset} / {_radix('e', 1)}) as int) AS v, {_radix('e', 0)} AS r), struct({offset} % {_radix('e', 1)} AS v, {_radix('e', 1)} AS r))")
     local = f"filter(split(substring_index({m}, '@', 1), ''), c -> c RLIKE '[A-Za-z0-9]')"
     return (
         f"(CASE {kind} "
@@ -135,7 +140,7 @@ def _symbols(m: str, kind: str) -> str:
         f"WHEN 'intl' THEN {_digit_symbols(_intl_rest(m))} "
         f"WHEN 'ssn' THEN array(struct(cast(substr({digits}, 1, 3) as int) - IF(substr({digits}, 1, 3) > '666', 2, 1) AS v, 898 AS r), struct(cast(substr({digits}, 4, 2) as int) - 1 AS v, 99 AS r), struct(cast(substr({digits}, 6) as int) - 1 AS v, 9999 AS r)) "
         f"WHEN 'ip' THEN transform(split({m}, '[.]'), o -> struct(cast(o as int) AS v, 256 AS r)) "
-        f"WHEN 'date' THEN array(struct(cast(floor({offset} / {_radix(day, 1)}) as int) AS v, {_radix(day, 0)} AS r), struct({offset} % {_radix(day, 1)} AS v, {_radix(day, 1)} AS r)) "
+        f"WHEN 'date' THEN {date} "
         f"WHEN 'card' THEN {_digit_symbols(f'substr({digits}, 2, length({digits}) - 2)')} "
         f"END)"
     )
@@ -178,8 +183,9 @@ def _spelled(m: str, kind: str, v: str) -> str:
     """SQL for the pseudonym: the format of ``m`` with the permuted values ``v``."""
     digits = f"regexp_replace({m}, '[^0-9]', '')"
     body = f"concat(substr({digits}, 1, 1), array_join(transform({v}, x -> cast(x as string)), ''))"
-    check = f"pmod(10 - {_luhn(f'concat({body}, {chr(39)}0{chr(39)})')} % 10, 10)"
-    card = _refilled(_chars(m), f"transform({_chars(f'concat({body}, cast({check} as string))')}, c -> cast(c as int))")
+    check = f"pmod(10 - {_luhn(f'concat(b, {chr(39)}0{chr(39)})')} % 10, 10)"
+    numbers = f"transform({_chars(f'concat(b, cast({check} as string))')}, c -> cast(c as int))"
+    card = _let(body, "b", _let(numbers, "w", _refilled(_chars(m), "w")))
     local = (
         f"aggregate({_chars(f'substring_index({m}, {chr(39)}@{chr(39)}, 1)')}, named_struct('out', '', 'i', 0), (st, c) -> CASE "
         f"WHEN c RLIKE '[a-z]' THEN named_struct('out', concat(st.out, char(97 + {v}[st.i])), 'i', st.i + 1) "
@@ -187,19 +193,17 @@ def _spelled(m: str, kind: str, v: str) -> str:
         f"WHEN c RLIKE '[0-9]' THEN named_struct('out', concat(st.out, cast({v}[st.i] as string)), 'i', st.i + 1) "
         f"ELSE named_struct('out', concat(st.out, c), 'i', st.i) END, st -> st.out)"
     )
-    bban = _refilled(_chars(f"substr({m}, 5)"), v)
-    plain = f"concat(substr({m}, 1, 2), '00', {bban})"
-    iban = f"concat(substr({m}, 1, 2), lpad(cast(98 - {_mod97(plain)} as string), 2, '0'), {bban})"
+    plain = f"concat(substr({m}, 1, 2), '00', b)"
+    iban = _let(_refilled(_chars(f"substr({m}, 5)"), v), "b", f"concat(substr({m}, 1, 2), lpad(cast(98 - {_mod97(plain)} as string), 2, '0'), b)")
     ten = f"concat(cast(200 + {v}[0] as string), cast(200 + {v}[1] as string), array_join(transform(slice({v}, 3, 4), x -> cast(x as string)), ''))"
     phone = f"concat('+1', {_refilled(_chars(f'substr({m}, 3)'), f'transform({_chars(ten)}, c -> cast(c as int))')})"
     lead = f"regexp_extract({m}, '^[+][0-9]+', 0)"
     intl = f"concat({lead}, {_refilled(_chars(f'substr({m}, length({lead}) + 1)'), v)})"
     ssn = f"concat(lpad(cast({v}[0] + IF({v}[0] > 664, 2, 1) as string), 3, '0'), '-', lpad(cast({v}[1] + 1 as string), 2, '0'), '-', lpad(cast({v}[2] + 1 as string), 4, '0'))"
-    day = _day(m)
-    moved = f"date_add({_century(day)}, cast({v}[0] * {_radix(day, 1)} + {v}[1] as int))"
+    moved = _let(_day(m), "e", f"date_add({_century('e')}, cast({v}[0] * {_radix('e', 1)} + {v}[1] as int))")
     form, sep = f"{_date_parts(m)}.form", f"regexp_extract({m}, '[-/.]', 0)"
-    two = lambda part: f"lpad(cast({part}({moved}) as string), 2, '0')"
-    date = f"(CASE {form} WHEN 1 THEN concat_ws({sep}, year({moved}), {two('month')}, {two('day')}) WHEN 2 THEN concat_ws({sep}, {two('day')}, {two('month')}, year({moved})) ELSE concat_ws({sep}, {two('month')}, {two('day')}, year({moved})) END)"
+    two = lambda part: f"lpad(cast({part}(g) as string), 2, '0')"
+    date = _let(moved, "g", f"(CASE {form} WHEN 1 THEN concat_ws({sep}, year(g), {two('month')}, {two('day')}) WHEN 2 THEN concat_ws({sep}, {two('day')}, {two('month')}, year(g)) ELSE concat_ws({sep}, {two('month')}, {two('day')}, year(g)) END)")
     return (
         f"(CASE {kind} WHEN 'email' THEN concat({local}, substr({m}, instr({m}, '@'))) WHEN 'iban' THEN {iban} WHEN 'phone' THEN {phone} "
         f"WHEN 'intl' THEN {intl} WHEN 'ssn' THEN {ssn} WHEN 'ip' THEN array_join(transform({v}, x -> cast(x as string)), '.') "
