@@ -14,11 +14,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.parserfns import FUNCTIONS, UNIMPLEMENTED, dispatch, expr
+from ..functions.parserfns import FUNCTIONS, NAMESPACES, UNIMPLEMENTED, dispatch, expr
 from ..functions.texts import quoted, strip
 
 CALL = r"(?<!\{)\{\{(?!\{)[^{}]*(?:\{\{\{[^{}]*\}\}\}[^{}]*)*\}\}"
 PARAMETER = r"\{\{\{([^{}|]*)(\|[^{}]*)?\}\}\}"
+#: Functions whose value comes from the store; those of the first group from the page that the first argument names.
+OF_PAGE = ("#ifexist", "PAGESIZE", "#lst", "#section", "#Abschnitt", "#trecho", "#קטע", "int")
+OF_STORE = ("NUMBEROFPAGES", "NUMBEROFARTICLES")
 MAX_ROUNDS = 40
 _BAR, _NAMED = "\x06", r"(?s)^\s*([^=<>\[\]]+?)\s*=(.*)$"
 
@@ -35,7 +38,7 @@ def parsed_call(call: str) -> str:
     inside = f"substr({call}, 3, length({call}) - 4)"
     head = "p[0]"
     function = f"{strip(f'substring_index({head}, {quoted(chr(58))}, 1)')}"
-    names = ", ".join(quoted(n) for n in [*FUNCTIONS, "#expr", "#ifexpr", *UNIMPLEMENTED])
+    names = ", ".join(quoted(n) for n in [*FUNCTIONS, "#expr", "#ifexpr", *UNIMPLEMENTED, *OF_PAGE])
     split = f"IF({function} IN ({names}) AND instr({head}, ':') > 0, struct({function} AS name, concat(array(substr({head}, instr({head}, ':') + 1)), slice(p, 2, size(p))) AS args), struct({strip(head)} AS name, slice(p, 2, size(p)) AS args))"
     return f"transform(array({_arguments(inside)}), p -> {split})[0]"
 
@@ -61,12 +64,33 @@ def on_new_line(text: str) -> str:
     return f"IF({text} RLIKE {quoted(r'^(?:[*#;:]|\{\|)')}, concat('\\n', {text}), {text})"
 
 
+def _of_page() -> str:
+    """SQL for the functions of OF_PAGE over name, args and the joined __title and __body (null if there is no such page)."""
+    arg = lambda i: strip(f"coalesce(get(args, {i}), '')")
+    size = "cast(octet_length(coalesce(__body, '')) as string)"
+    commas = f"regexp_replace({size}, '(?<=[0-9])(?=(?:[0-9]{{3}})+$)', ',')"
+    missing = quoted('<strong class="error">Error: no such page.</strong>')
+    quote = "[\"\\x27]?"
+    begin, middle, end = quoted(rf"(?is)<section\s+begin\s*=\s*{quote}\Q"), quoted(rf"\E{quote}\s*/>(.*?)<section\s+end\s*=\s*{quote}\Q"), quoted(rf"\E{quote}\s*/>")
+    mark = f"concat({begin}, {arg(1)}, {middle}, {arg(1)}, {end})"
+    message = "coalesce(__body, concat('⧼', regexp_replace(__want, '^MediaWiki:', ''), '⧽'))"
+    filled = f"aggregate(sequence(1, greatest(1, size(args) - 1)), {message}, (m, i) -> replace(m, concat('$', i), coalesce(get(args, i), concat('$', i))))"
+    return (
+        f"CASE name WHEN '#ifexist' THEN IF(__title IS NOT NULL, {arg(1)}, {arg(2)}) "
+        f"WHEN 'PAGESIZE' THEN IF(__title IS NULL, {missing}, IF({arg(1)} = 'R', {commas}, {size})) WHEN 'int' THEN {filled} "
+        f"ELSE array_join(regexp_extract_all(coalesce(__body, ''), {mark}, 1), '') END"
+    )
+
+
 def expand(texts: DataFrame, store: DataFrame, key: str, text_col: str, title_col: str, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """(key, expanded): ``texts`` (key unique, text_col, title_col) with all calls expanded from ``store`` (title, body; redirects resolved)."""
     spark = texts.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         raise ValueError("expansion writes its rounds to spark.checkpoint.dir")
     bodies = store.selectExpr("title AS __title", "coalesce(body, '') AS __body")
+    spaces = [n for _, n, _ in NAMESPACES if n]
+    article = ~F.substring_index("title", ":", 1).isin(*spaces) | ~F.contains("title", F.lit(":"))
+    pages, articles = store.agg(F.count("*"), F.count(F.when(article, 1))).first()
     state = texts.select(key, F.col(text_col).alias("expanded"), F.col(title_col).alias("__page"))
     # nowiki text and comments take no part
     state = state.withColumn("expanded", F.regexp_replace("expanded", r"(?s)<!--.*?-->", ""))
@@ -84,12 +108,19 @@ def expand(texts: DataFrame, store: DataFrame, key: str, text_col: str, title_co
         plain = plain.withColumn("value", F.coalesce("value", F.translate("call", "{}", "\x0e\x0f")))
         sums = parts.filter(F.col("name").isin("#expr", "#ifexpr")).withColumn("v", expr(F.coalesce(F.get("args", F.lit(0)), F.lit(""))))
         sums = sums.withColumn("value", F.expr(f"IF(name = '#expr', v, IF(v RLIKE '^-?[0-9]+$' AND v NOT RLIKE '^-?0+$', {strip('coalesce(get(args, 1), ' + quoted('') + ')')}, {strip('coalesce(get(args, 2), ' + quoted('') + ')')}))")).drop("v")
-        other = parts.filter(~F.col("name").isin(*FUNCTIONS, *UNIMPLEMENTED, "#expr", "#ifexpr"))
+        paged = parts.filter(F.col("name").isin(*OF_PAGE))
+        first = strip("coalesce(get(args, 0), '')")
+        paged = paged.withColumn("__want", F.expr(f"IF(name = 'int', concat('MediaWiki:', upper(substr({first}, 1, 1)), substr({first}, 2)), regexp_replace(replace({first}, '_', ' '), '^(?:Main)?:', ''))"))
+        paged = paged.join(bodies, F.col("__want") == F.col("__title"), "left").withColumn("value", F.expr(_of_page()))
+        wide = parts.filter(F.col("name").isin(*OF_STORE)).withColumn("value", F.when(F.col("name") == "NUMBEROFPAGES", F.lit(str(pages))).otherwise(F.lit(str(articles))))
+        other = parts.filter(~F.col("name").isin(*FUNCTIONS, *UNIMPLEMENTED, *OF_PAGE, *OF_STORE, "#expr", "#ifexpr"))
         local = "regexp_replace(regexp_replace(replace(name, '_', ' '), '^(?i)(?:safe)?subst:\\\\s*', ''), '^(?i)template:', '')"
         other = other.withColumn("__want", F.expr(f"IF(startswith({local}, ':'), substr({local}, 2), concat('Template:', upper(substr({local}, 1, 1)), substr({local}, 2)))"))
         found = other.join(bodies, F.col("__want") == F.col("__title"), "left")
         found = found.withColumn("value", F.expr(f"IF(__title IS NULL, concat('[[:', IF(startswith(__want, 'Template:'), concat('Template:', name), __want), ']]'), {bound('__body', 'args')})"))
-        values = plain.select(key, "call", "value").unionByName(sums.select(key, "call", "value")).unionByName(found.select(key, "call", "value"))
+        values = plain.select(key, "call", "value")
+        for more in (sums, paged, wide, found):
+            values = values.unionByName(more.select(key, "call", "value"))
         values = values.withColumn("value", F.expr(on_new_line("value")))
         maps = values.groupBy(key).agg(F.collect_list(F.struct("call", "value")).alias("__v")).withColumnRenamed(key, "__key")
         joined = state.join(maps, state[key] == maps["__key"], "left")

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import parserfns
+from ..functions import library, parserfns
 from ..functions.texts import quoted
-from ..operators import cleanup, components, expand, hierarchy, links, sentences, sinks, store, viewer, wikidata
+from ..operators import cleanup, components, expand, hierarchy, links, nodes, sentences, sinks, store, viewer, wikidata
 from ..sources.synthetic import wiki_pages, wiki_pages_sql
 from ..streaming.incremental import last_states
 
@@ -147,6 +147,47 @@ def _restore(spark, sf):
     return done.select("page_id", F.inline_outer("s"))
 
 
+_MARKS = """marks AS (SELECT doc_id, i FROM documents, unnest(range(1, len(string_split(text, chr(10))) + 1)) u(i))"""
+
+
+@query(
+    "node_table",
+    f"""WITH {_MARKS} SELECT kind, cast(depth AS integer) AS depth, count(*) AS n FROM (
+      SELECT 'TEMPLATE' AS kind, 1 AS depth FROM documents UNION ALL SELECT 'TEMPLATE', 1 FROM marks WHERE i > 1 AND i % 5 = 0
+      UNION ALL SELECT 'LINK', 1 FROM documents UNION ALL SELECT 'LINK', 1 FROM documents UNION ALL SELECT 'LINK', 2 FROM documents
+      UNION ALL SELECT 'LINK', 1 FROM marks WHERE i > 1 AND i % 7 = 0 AND i % 5 <> 0 UNION ALL SELECT 'BOLD', 1 FROM marks WHERE i > 1 AND i % 7 = 0 AND i % 5 <> 0
+      UNION ALL SELECT 'URL', 1 FROM marks WHERE i > 1 AND i % 5 = 0 UNION ALL SELECT 'HTML', 1 FROM documents
+      UNION ALL SELECT 'LEVEL2', 1 FROM documents UNION ALL SELECT 'LEVEL2', 1 FROM documents UNION ALL SELECT 'LEVEL2', 1 FROM marks WHERE i > 1 AND i % 3 = 0
+      UNION ALL SELECT 'LEVEL3', 1 FROM marks WHERE i > 1 AND i % 3 = 1 UNION ALL SELECT 'LEVEL4', 1 FROM marks WHERE i > 1 AND i % 6 = 5
+      UNION ALL SELECT 'LIST_ITEM', 1 FROM documents, unnest(range(4)) u(k)) GROUP BY kind, depth""",
+)
+def _nodes(spark, sf):
+    return nodes.node_rows(wiki_pages(spark, sf)).groupBy("kind", "depth").agg(F.count("*").alias("n"))
+
+
+@query("find_nodes", "SELECT doc_id AS page_id, 'LIST_ITEM' AS kind, '*' AS name, '* one [[' || lang || ']]' AS text FROM documents")
+def _find(spark, sf):
+    return nodes.containing(nodes.node_rows(wiki_pages(spark, sf)).filter("kind IN ('LIST_ITEM', 'LINK')"), ["LINK"]).select("page_id", "kind", "name", "text")
+
+
+@query("template_parameters", "SELECT doc_id AS page_id, 'Infobox doc' AS name, ' id = ' || doc_id || chr(10) AS first FROM documents")
+def _parameters(spark, sf):
+    calls = nodes.template_calls(nodes.node_rows(wiki_pages(spark, sf))).filter("name LIKE 'Infobox%'")
+    return calls.select("page_id", "name", F.get("args", F.lit(0)).alias("first"))
+
+
+@query(
+    "text_library",
+    """SELECT p_partkey, CASE WHEN length(p_name) <= 6 THEN p_name ELSE substr(p_name, 1, 6) || '...' END AS a, replace(replace(p_brand, '#', '%23'), ' ', '_') AS b,
+    string_split(p_type, ' ') AS c, array_to_string(string_split(p_type, ' ')[1:len(string_split(p_type, ' ')) - 1], ', ') || CASE WHEN len(string_split(p_type, ' ')) > 1 THEN ' and ' ELSE '' END || string_split(p_type, ' ')[-1] AS d FROM part""",
+)
+def _library(spark, sf):
+    parts = library.split("p_type", " ")
+    return table(spark, sf, "part").select(
+        "p_partkey", F.expr(library.truncate("p_name", 6)).alias("a"), F.expr(library.partial_url("p_brand")).alias("b"), F.expr(parts).alias("c"), F.expr(library.list_to_text(parts)).alias("d")
+    )
+
+
 @query("sentences")
 def _sentences(spark, sf):
     return sentences.sentence_rows(_decomposed(spark, sf))
