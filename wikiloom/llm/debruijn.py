@@ -82,8 +82,8 @@ def minimizers(spelling: Spelling, n: int, window: int, k: int) -> tuple[np.ndar
     return chosen, hashes[chosen], of
 
 
-def _graph_rows(words: list[bytes], window: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
-    """(start, k-mer, left edge, right edge) for each selected k-mer of a document; None if it has no window."""
+def _graph_rows(words: list[bytes], window: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """(starts, hashes, edges) of a document's selected k-mers, an edge at either side of each; None if it has no window."""
     n = len(words)
     if n < window:
         return None
@@ -92,47 +92,52 @@ def _graph_rows(words: list[bytes], window: int, k: int) -> tuple[np.ndarray, np
     inner = spelling.spans(at[:-1], at[1:] + k)
     first = _mix(spelling.spans(np.zeros(1, np.int64), at[:1] + k) + np.uint64(1))
     last = _mix(spelling.spans(at[-1:], np.array([n])) + np.uint64(2))
-    return at, kmer, np.concatenate([first, inner]), np.concatenate([inner, last])
+    return at, kmer, np.concatenate([first, inner, last])
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, part, seal, body): part and seal tell rows apart; rows equal in both are equal in id and text."""
+    """(id, part, seal, body): part and seal tell rows apart; rows equal in both are equal in id and text.
+
+    Where all ids differ and none is null the id alone does so, and the seal is 0, which takes no room in a shuffle.
+    """
     key, text = F.col(id_col), F.col(text_col)
+    ids = docs.select(key.alias("id"))
+    apart = ids.filter("id IS NULL").isEmpty() and ids.groupBy("id").count().filter("count > 1").isEmpty()
     return docs.select(
-        key.alias("id"), F.coalesce(key.cast("long"), F.lit(0)).alias("part"), F.xxhash64(key, text).alias("seal"), text.alias("body")
+        key.alias("id"), F.coalesce(key.cast("long"), F.lit(0)).alias("part"), (F.lit(0).cast("long") if apart else F.xxhash64(key, text)).alias("seal"), text.alias("body")
     )
 
 
 def occurrences(keyed: DataFrame, window: int, k: int) -> DataFrame:
-    """(part, seal, at, kmer, left, right): the selected k-mers of all documents with their edges."""
+    """(part, seal, at, kmer, edge): a row per document with windows: its selected k-mers, and the edges round them, one more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            parts, seals, found, counts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False), [], []
-            for text in binary_column(batch, "body").to_pylist():
-                rows = _graph_rows(words_of(text), window, k)
-                counts.append(0 if rows is None else len(rows[0]))
-                if rows is not None:
-                    found.append(rows)
-            if found:
-                at, kmer, left, right = (np.concatenate([x[i] for x in found]) for i in range(4))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(parts, counts)), pa.array(np.repeat(seals, counts)), pa.array(at.astype(np.int32)), *(pa.array(x.view(np.int64)) for x in (kmer, left, right))],
-                    names=["part", "seal", "at", "kmer", "left", "right"],
-                )
-
-    return keyed.select("part", "seal", "body").mapInArrow(run, "part long, seal long, at int, kmer long, left long, right long")
+            rows = [_graph_rows(words_of(text), window, k) for text in binary_column(batch, "body").to_pylist()]
+            full = pa.array([r is not None for r in rows])
+            rows = [r for r in rows if r is not None]
+            lists = [
+                pa.array([r[0].astype(np.int32) for r in rows], pa.list_(pa.int32())),
+                *(pa.array([r[i].view(np.int64) for r in rows], pa.list_(pa.int64())) for i in (1, 2)),
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(full), batch.column(1).filter(full), *lists], names=["part", "seal", "at", "kmer", "edge"])
+
+    return keyed.select("part", "seal", "body").mapInArrow(run, "part long, seal long, at array<int>, kmer array<long>, edge array<long>")
 
 
 def path_marks(found: DataFrame) -> DataFrame:
     """(part, seal, marks): for a document, its repeated nodes as start * 4 + unbranching left + 2 * unbranching right."""
+    sides = F.transform("kmer", lambda m, i: F.struct(m.alias("kmer"), F.get("edge", i).alias("left"), F.get("edge", i + 1).alias("right")))
     nodes = (
-        found.groupBy("kmer")
+        found.select(F.inline(sides))
+        .groupBy("kmer")
         .agg(F.count("*").alias("n"), F.min("left").alias("l0"), F.max("left").alias("l1"), F.min("right").alias("r0"), F.max("right").alias("r1"))
         .filter("n > 1")
         .select("kmer", F.expr("cast(l0 = l1 as int) + 2 * cast(r0 = r1 as int)").alias("sides"))
     )
-    marks = found.select("part", "seal", "at", "kmer").join(nodes, "kmer")
+    # written, so that the join gets both sides from shuffles of their own and can split a k-mer with very many rows
+    nodes = written(nodes, "nodes")
+    marks = found.select("part", "seal", F.inline(F.arrays_zip("at", "kmer"))).join(nodes, "kmer")
     return marks.groupBy("part", "seal").agg(F.collect_list(F.expr("cast(at as long) * 4 + sides")).alias("marks"))
 
 
@@ -223,7 +228,7 @@ def remove_repeated(
     judged = written(marked.mapInArrow(first, schema), "judged")
     waiting = judged.filter("body IS NOT NULL")
     windows = waiting.select("part", "seal", F.explode(F.arrays_zip("open", "hi", "lo")).alias("w")).select("part", "seal", "w.open", "w.hi", "w.lo")
-    twice = windows.groupBy("hi", "lo").count().filter("count > 1").select("hi", "lo")
+    twice = written(windows.groupBy("hi", "lo").count().filter("count > 1").select("hi", "lo"), "twice")
     more = windows.join(twice, ["hi", "lo"], "left_semi").groupBy("part", "seal").agg(F.collect_list("open").alias("more"))
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
