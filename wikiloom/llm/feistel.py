@@ -13,7 +13,8 @@ card       13 to 19 digits with a valid Luhn sum, also in      same length, grou
            groups of four                                      digit is made anew
 iban       country, check digits, 11 to 30 of A-Z0-9 with      country and letters stay, digits are permuted, the
            remainder 1 modulo 97                               check digits are made anew
-phone      +1 and ten digits, area and exchange from 200       area and exchange 200 to 999, line 0000 to 9999
+phone      +1 and ten digits                                   area and exchange each below 200 or from 200 on, as
+                                                               they are; line 0000 to 9999
 intl       + and a group of 1 to 3 digits (not 1), then 7      country group and punctuation stay
            to 12 digits
 ssn        AAA-GG-SSSS, area 001 to 899 but 666, group and     the same ranges
@@ -42,7 +43,7 @@ DEFAULT_KEY = "wikiloom-example-key"
 PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "iban": r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}",
-    "phone": r"\+1[ .-]?(?:\([2-9][0-9]{2}\)|[2-9][0-9]{2})[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}",
+    "phone": r"\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}",
     "intl": r"\+(?!1[ (.-])[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{2,5}\)?){2,5}",
     "date": r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}",
     "ip": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
@@ -136,7 +137,7 @@ def _symbols(m: str, kind: str) -> str:
         f"(CASE {kind} "
         f"WHEN 'email' THEN transform({local}, c -> CASE WHEN c >= 'a' THEN struct(ascii(c) - 97 AS v, 26 AS r) WHEN c >= 'A' THEN struct(ascii(c) - 65 AS v, 26 AS r) ELSE struct(ascii(c) - 48 AS v, 10 AS r) END) "
         f"WHEN 'iban' THEN {_digit_symbols(f'regexp_replace(substr({m}, 5), {chr(39)}[^0-9]{chr(39)}, {chr(39)}{chr(39)})')} "
-        f"WHEN 'phone' THEN concat(array(struct(cast(substr({digits}, 2, 3) as int) - 200 AS v, 800 AS r), struct(cast(substr({digits}, 5, 3) as int) - 200 AS v, 800 AS r)), {_digit_symbols(f'substr({digits}, 8)')}) "
+        f"WHEN 'phone' THEN concat(array({_office(f'cast(substr({digits}, 2, 3) as int)')}, {_office(f'cast(substr({digits}, 5, 3) as int)')}), {_digit_symbols(f'substr({digits}, 8)')}) "
         f"WHEN 'intl' THEN {_digit_symbols(_intl_rest(m))} "
         f"WHEN 'ssn' THEN array(struct(cast(substr({digits}, 1, 3) as int) - IF(substr({digits}, 1, 3) > '666', 2, 1) AS v, 898 AS r), struct(cast(substr({digits}, 4, 2) as int) - 1 AS v, 99 AS r), struct(cast(substr({digits}, 6) as int) - 1 AS v, 9999 AS r)) "
         f"WHEN 'ip' THEN transform(split({m}, '[.]'), o -> struct(cast(o as int) AS v, 256 AS r)) "
@@ -146,6 +147,11 @@ def _symbols(m: str, kind: str) -> str:
     )
 
 
+def _office(number: str) -> str:
+    """SQL for the symbol of an area code or exchange: among those below 200, or those from 200 on."""
+    return f"IF({number} < 200, struct({number} AS v, 200 AS r), struct({number} - 200 AS v, 800 AS r))"
+
+
 def _intl_rest(m: str) -> str:
     """SQL for the digits behind the country group."""
     return f"regexp_replace(regexp_replace({m}, '^[+][0-9]+', ''), '[^0-9]', '')"
@@ -195,7 +201,8 @@ def _spelled(m: str, kind: str, v: str) -> str:
     )
     plain = f"concat(substr({m}, 1, 2), '00', b)"
     iban = _let(_refilled(_chars(f"substr({m}, 5)"), v), "b", f"concat(substr({m}, 1, 2), lpad(cast(98 - {_mod97(plain)} as string), 2, '0'), b)")
-    ten = f"concat(cast(200 + {v}[0] as string), cast(200 + {v}[1] as string), array_join(transform(slice({v}, 3, 4), x -> cast(x as string)), ''))"
+    office = lambda at, i: f"lpad(cast(IF(substr({digits}, {at}, 1) < '2', 0, 200) + {v}[{i}] as string), 3, '0')"
+    ten = f"concat({office(2, 0)}, {office(5, 1)}, array_join(transform(slice({v}, 3, 4), x -> cast(x as string)), ''))"
     phone = f"concat('+1', {_refilled(_chars(f'substr({m}, 3)'), f'transform({_chars(ten)}, c -> cast(c as int))')})"
     lead = f"regexp_extract({m}, '^[+][0-9]+', 0)"
     intl = f"concat({lead}, {_refilled(_chars(f'substr({m}, length({lead}) + 1)'), v)})"
