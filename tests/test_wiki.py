@@ -17,7 +17,7 @@ def page(spark, text, model="wikitext"):
 
 
 def toc(spark, text):
-    return [(r.section_no, r.paragraph_no, r.toc, r.text, r.wtp_skipped) for r in hierarchy.paragraph_rows(hierarchy.decomposed(page(spark, text))).collect()]
+    return [(r.section_no, r.paragraph_no, r.toc, r.text, r.skipped_part) for r in hierarchy.paragraph_rows(hierarchy.decomposed(page(spark, text))).collect()]
 
 
 @pytest.mark.parametrize(

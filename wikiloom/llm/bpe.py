@@ -22,14 +22,15 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import binary_column, documents, slices
 
 #: Entries of each generation of a worker's caches: two generations of chunks, of up to some 300 bytes each, two of half as
-#: many pre-tokens, and seams; about 400 MB in all when full.
-CACHE = 400_000
+#: many pre-tokens, and seams; about 200 MB in all when full.
+CACHE = 200_000
 #: Symbols between two looks for tokens that can't change any more.
 SETTLE = 256
 NEVER = 1 << 62
@@ -50,11 +51,30 @@ class Transducer:
         self.final = {t[:-cut]: i for t, i in vocab.items() if t.endswith(suffix)} if cut else self.inner
         #: symbols that may still change a boundary: the longest token
         self.lookahead = max(map(len, [*self.inner, *self.final]))
-        #: ids of tokens by their string, and -1 for what only ends a token: anything else ends none
-        self.inner_ends, self.final_ends = ({t[i:]: -1 for t in table for i in range(1, len(t))} | table for table in (self.inner, self.final))
+        self.inner_ends = self._ends(self.inner)
+        self.final_ends = self._ends(self.final) if cut else self.inner_ends
         self.names = {i: t for t, i in vocab.items()}
         self.spines: tuple[dict[int, list], dict[int, list]] = ({}, {})
-        self.seams: dict[int, bool] = {}
+        #: for a left token what is known of right ones; tokens nothing is known of share one empty table
+        self.nothing: dict[int, bool] = {}
+        self.seams, self.seams_known = [self.nothing] * (max(vocab.values(), default=0) + 1), 0
+
+    @staticmethod
+    def _ends(table: dict[str, int]) -> tuple:
+        """The tokens from their last symbol on, as a tree of [token or -1, {symbol before: node}]."""
+        root: list = [-1, {}]
+        for text, token in table.items():
+            node = root
+            for symbol in reversed(text):
+                node = node[1].setdefault(symbol, [-1, {}])
+            node[0] = token
+        leaf: dict = {}
+        stack = [root]
+        while stack:
+            node = stack.pop()
+            stack += node[1].values()
+            node[1] = node[1] or leaf
+        return tuple(root)
 
     def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
         """The token's parts at its left (0) or right (1) end, innermost first, each with the order of the merge that takes it up."""
@@ -70,11 +90,10 @@ class Transducer:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether left and right stay apart when their symbols are merged together."""
-        key = left << 32 | right
-        found = self.seams.get(key)
+        found = self.seams[left].get(right)
         if found is None:
-            if len(self.seams) >= 2 * CACHE:
-                self.seams.clear()
+            if self.seams_known >= 2 * CACHE:
+                self.seams, self.seams_known = [self.nothing] * len(self.seams), 0
             xs, ys, i, j, found = self._spine(left, 1), self._spine(right, 0), 0, 0, True
             while True:
                 (x, taken_x), (y, taken_y) = xs[i], ys[j]
@@ -89,7 +108,10 @@ class Transducer:
                     i += 1
                 else:
                     j += 1
-            self.seams[key] = found
+            if self.seams[left] is self.nothing:
+                self.seams[left] = {}
+            self.seams[left][right] = found
+            self.seams_known += 1
         return found
 
     def stream(self, symbols: Iterable[str]) -> Iterator[int]:
@@ -115,20 +137,21 @@ class Transducer:
 
     def _advance(self, text: str, at: int, last: list[int], size: list[int], end: bool) -> int:
         """Fills last token and its length for the prefixes up to the whole text; ``end``: the last symbol ends the pre-token."""
-        n, compatible, seams = len(text), self.compatible, self.seams
+        n, compatible = len(text), self.compatible
         for i in range(at + 1, n + 1):
-            ends = self.final_ends if end and i == n else self.inner_ends
-            j = i
+            node = self.final_ends if end and i == n else self.inner_ends
+            j, seams = i, self.seams
             while j:
                 j -= 1
-                token = ends.get(text[j:i])
-                if token is None:
+                node = node[1].get(text[j])
+                if node is None:
                     raise ValueError(f"no token for {text[j:i]!r}")
+                token = node[0]
                 if token >= 0:
                     before = last[j]
                     if before < 0:
                         break
-                    ok = seams.get(before << 32 | token)
+                    ok = seams[before].get(token)
                     if ok or (ok is None and compatible(before, token)):
                         break
             else:
@@ -229,67 +252,86 @@ class Cache:
         self.new[key] = value
 
 
-class ChunkEncoder:
-    """Encodes texts chunk by chunk (runs without ASCII white space), remembering what a chunk gives.
+#: Bytes of text in the first 256 characters, without separators \x1c to \x1f.
+_LATIN = bytes(x for x in range(0xC4) if not 0x1C <= x <= 0x1F)
+
 
-    ``made(ids)`` turns a chunk's ids into what is remembered. White space only separates here: the tokenizer's
-    pre-tokens never hold any, so a text's ids are its chunks' ids in order. Special tokens are found in the raw text
-    first, and parts beside them are encoded on their own, as the library does.
+class Pretokens:
+    """Chunks (runs without ASCII white space) to the tokenizer's pre-tokens, in the spelling its vocabulary uses.
+
+    White space only separates here: pre-tokens never hold any, so a text's pre-tokens are its chunks' in order. Special
+    tokens are found in the raw text first and come as their id; parts beside them stand alone, as in the library.
     """
 
-    def __init__(self, path: str, made: Callable[[list[int]], object], whole: Callable[[list[str]], list[list[int]]] | None = None):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+            self.spec = json.load(f)
+        self.specials = {t["content"]: t["id"] for t in self.spec["added_tokens"]}
+        self.find_specials = re.compile("|".join(map(re.escape, sorted(self.specials, key=len, reverse=True)))) if self.specials else None
+        # Fixed value: the word pattern of the tokenizer file. Where it is the file's, chunks of characters that
+        # normalisation only lower-cases, one by one (up to U+012F, without blanks), are cut right here.
+        words = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+        parts = (self.spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        self.simple = "Lowercase" in str(self.spec.get("normalizer")) and len(parts) == 2 and parts[0].get("pattern", {}).get("Regex") == words
+        self.plain = re.compile("[\x21-\x7e\xa1-\u012f]+").fullmatch
+        self.words = regex.compile(words).findall
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [x for x in range(256) if x not in plain]
+        self.spelling = {x: chr(x) for x in plain} | {x: chr(256 + i) for i, x in enumerate(rest)}
+
+    def latin(self, text: bytes) -> bool:
+        """Whether all of the text is of the first 256 characters, without odd separators or special tokens: there
+        normalisation only lower-cases, letter by letter."""
+        return self.simple and not text.translate(None, _LATIN) and b"<|" not in text and b"\xc2\x85" not in text and b"\xc2\xa0" not in text
+
+    def split(self, chunk: bytes) -> list[str | int]:
+        text = chunk.decode()
+        if self.find_specials is not None and "<" in text and self.find_specials.search(text):
+            found, at = [], 0
+            for m in self.find_specials.finditer(text):
+                found += [*self._parts(text[at : m.start()]), self.specials[m[0]]]
+                at = m.end()
+            return found + self._parts(text[at:])
+        return self._parts(text)
+
+    def _parts(self, text: str) -> list[str | int]:
+        if self.simple and self.plain(text):
+            words = self.words(text.lower())
+            return words if text.isascii() else [w if w.isascii() else "".join(map(self.spelling.__getitem__, w.encode())) for w in words]
+        return [w for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(text))]
+
+
+class ChunkEncoder:
+    """Encodes texts chunk by chunk, remembering what a chunk gives: ``made(ids)`` of each pre-token's ids, and ``joined`` of several."""
+
+    def __init__(self, path: str, made: Callable[[list[int]], object], joined: Callable[[list], object]):
+        self.pretokens = Pretokens(path)
+        self.tokenizer, spec = self.pretokens.tokenizer, self.pretokens.spec
         model = spec["model"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.transducer = Transducer(model["vocab"], merges, model.get("end_of_word_suffix") or "")
-        self.names = self.transducer.names | {i: s for s, i in self.specials.items()}
+        self.names = self.transducer.names | {i: s for s, i in self.pretokens.specials.items()}
         self.byte_decoder = bool(spec.get("decoder")) and spec["decoder"].get("type") == "ByteLevel"
-        self.split_specials = re.compile("|".join(map(re.escape, sorted(self.specials, key=len, reverse=True)))) if self.specials else None
-        self.marks = [s.encode() for s in self.specials]
-        self.made, self.whole = made, whole
-        self.chunks, self.pretokens = Cache(), Cache(CACHE // 2)
-        # Fixed value: the word pattern of the tokenizer file, for printable ASCII in lower case.
-        self.ascii_words = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-        self.ascii_only = re.compile(rb"[\x21-\x7e]+").fullmatch
-        split = [p for p in (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])]
-        lower = "Lowercase" in str(spec.get("normalizer"))
-        expected = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-        self.fast_ascii = lower and len(split) == 2 and split[0].get("pattern", {}).get("Regex") == expected
-
-    def _pretoken(self, word: str) -> list[int]:
-        found = self.pretokens.get(word)
+        self.pretokens.spec = None  # the tables above hold what is needed
+        self.made, self.joined = made, joined
+        self.chunks, self.words = Cache(), Cache(CACHE // 2)
+
+    def _word(self, word: str | int):
+        found = self.words.get(word)
         if found is None:
-            found = self.transducer.encode(word)
-            self.pretokens.put(word, found)
+            found = self.made([word] if isinstance(word, int) else self.transducer.encode(word))
+            self.words.put(word, found)
         return found
 
-    def _plain(self, text: str) -> list[int]:
-        tokenizer = self.tokenizer
-        words = tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(text))
-        return [i for w, _ in words for i in self._pretoken(w)]
-
-    def chunk_ids(self, chunk: bytes) -> list[int]:
-        if self.fast_ascii and self.ascii_only(chunk) and not any(m in chunk for m in self.marks):
-            return [i for w in self.ascii_words.findall(chunk.decode().lower()) for i in self._pretoken(w)]
-        text = chunk.decode()
-        if self.split_specials is None:
-            return self._plain(text)
-        ids, at = [], 0
-        for m in self.split_specials.finditer(text):
-            ids += self._plain(text[at : m.start()])
-            ids.append(self.specials[m[0]])
-            at = m.end()
-        return ids + self._plain(text[at:])
-
     def encode(self, text: bytes | None) -> list:
         """What was made of each chunk, in order; null and blank text have none."""
+        if text and self.pretokens.latin(text):
+            text = text.decode().lower().encode()  # as normalisation does; so more chunks are equal
         chunks = text.split() if text else []
         found = list(map(self.chunks.new.get, chunks))
         if None in found:
@@ -301,7 +343,8 @@ class ChunkEncoder:
     def _missing(self, chunk: bytes):
         value = self.chunks.get(chunk)
         if value is None:
-            value = self.made(self.chunk_ids(chunk))
+            words = self.pretokens.split(chunk)
+            value = self._word(words[0]) if len(words) == 1 else self.joined([self._word(w) for w in words])
             self.chunks.put(chunk, value)
         return value
 
@@ -315,10 +358,18 @@ def _worker_encoder(path: str) -> ChunkEncoder:
     if found is None:
 
         def made(ids: list[int]) -> tuple[int, bytes, bytes]:
-            decoder = Decoder(found.names, found.byte_decoder)
-            return len(ids), " ".join(map(str, ids)).encode(), decoder.feed(ids).encode()
-
-        found = _encoders[path, "text"] = ChunkEncoder(path, made)
+            decoder.finish()
+            return len(ids), b" ".join([spelled[i] for i in ids]), decoder.feed(ids).encode()
+
+        def joined(parts: list[tuple[int, bytes, bytes]]) -> tuple[int, bytes, bytes]:
+            if not parts:
+                return 0, b"", b""
+            counts, ids, texts = zip(*parts, strict=True)
+            return sum(counts), b" ".join(ids), b" ".join(texts)
+
+        found = _encoders[path, "text"] = ChunkEncoder(path, made, joined)
+        decoder = Decoder(found.names, found.byte_decoder)
+        spelled = {i: str(i).encode() for i in found.names}
     return found
 
 

@@ -1,7 +1,7 @@
 """Token ids in blocks of a static range asymmetric numeral system (rANS), with shared frequency tables.
 
-A stored set is two tables in one folder: ``table`` (the scaled frequency of every id that occurs, one for all blocks)
-and ``blocks`` (part, block, first, tokens, payload): documents in ascending order, part by part, block by block.
+A stored set is two tables in one folder (beside ``raw``, the ids before coding, which may go when they are written):
+``table`` (the scaled frequency of every id that occurs, one for all blocks) and ``blocks`` (part, block, first, tokens, payload): documents in ascending order, part by part, block by block.
 
 A payload is a header, the documents' ids and lengths, checkpoints, and the coded words, all little-endian:
 
@@ -16,9 +16,11 @@ and decoding may begin at any of its checkpoints; each run between two is checke
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,15 +29,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import Cache, tokenizer_path
+from .bpe import Cache, Pretokens, tokenizer_path
 from .common import binary_column, checkpoint_folder, documents, slices
 
 SCALE = 18
-LANES = 512
+LANES = 2048
 RUN = 256
 #: A block is closed at the end of the document that brings it to this many tokens; a document is never split.
-BLOCK_TOKENS = 1 << 18
+BLOCK_TOKENS = 1 << 20
 END_ID = 2
+#: Pre-tokens in each of two generations of a worker's cache, and a quarter as many chunks: about 250 MB when full.
+WORDS = 500_000
 LOW = 1 << 32
 _HEAD = struct.Struct("<4sIIIqqqqq")
 
@@ -156,36 +160,59 @@ def unpack(payload: bytes, table: Table) -> tuple[list[int | None], np.ndarray,
 
 
 class _Tokens:
-    """Texts to id bytes (uint16) by the tokenizers library, chunk by chunk (runs without ASCII white space) with a bounded cache."""
+    """Texts to id bytes (uint16) by the tokenizers library.
+
+    Pre-tokens are remembered in caches of bounded size, so the library's model only sees those that are new to the worker,
+    a batch at a time. Text of the first 256 characters is cut into pre-tokens at once; other text into chunks (runs
+    without ASCII white space), which the library normalises and cuts.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        if self.tokenizer.get_vocab_size() > 1 << 16:
+        self.pretokens = Pretokens(path)
+        if self.pretokens.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids need more than 16 bits")
-        self.chunks = Cache(250_000)
+        self.model = Tokenizer(self.pretokens.tokenizer.model)
+        self.pretokens.spec = None
+        # Fixed value: the tokenizer's word pattern, for lower-case text of the first 256 characters.
+        self.latin_words = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\sa-zªµºß-öø-ÿ0-9²³¹¼½¾]+").findall
+        self.words, self.chunks = Cache(WORDS), Cache(WORDS // 4)
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        found, missing = [], {}
+        found, new_chunks, new_words = [], {}, {}
         for text in texts:
-            chunks = text.split() if text else []
-            parts = list(map(self.chunks.new.get, chunks))
+            if text and self.pretokens.latin(text):
+                names, cache, new = self.latin_words(text.decode().lower()), self.words, new_words
+            else:
+                names, cache, new = text.split() if text else [], self.chunks, new_chunks
+            parts = list(map(cache.new.get, names))
             if None in parts:
                 for at, value in enumerate(parts):
-                    if value is None and (value := self.chunks.get(chunks[at])) is None:
-                        missing[chunks[at]] = b""
+                    if value is None and (value := cache.get(names[at])) is None:
+                        new[names[at]] = b""
                     parts[at] = value
-            found.append((chunks, parts))
-        if missing:
-            names = list(missing)
-            coded = self.tokenizer.encode_batch_fast([x.decode() for x in names], add_special_tokens=False)
-            for name, c in zip(names, coded, strict=True):
-                missing[name] = np.array(c.ids, "<u2").tobytes()
-                self.chunks.put(name, missing[name])
-        return [b"".join(p if p is not None else missing[c] for p, c in zip(parts, chunks, strict=True)) if None in parts else b"".join(parts) for chunks, parts in found]
+            found.append((names, parts, new))
+        if new_words:
+            self._learn_words(new_words)
+        if new_chunks:
+            self._learn_chunks(new_chunks)
+        return [b"".join([new[n] if p is None else p for n, p in zip(names, parts, strict=True)]) if None in parts else b"".join(parts) for names, parts, new in found]
+
+    def _learn_words(self, new: dict[str, bytes]) -> None:
+        """Fills in the ids of pre-tokens and remembers them. They are in plain spelling; the model's is that of bytes."""
+        spelling = self.pretokens.spelling
+        names = list(new)
+        spelled = [w if w.isascii() and w.isprintable() else "".join([spelling[b] for b in w.encode()]) for w in names]
+        for name, coded in zip(names, self.model.encode_batch_fast(spelled, add_special_tokens=False), strict=True):
+            new[name] = array("H", coded.ids).tobytes()
+            self.words.put(name, new[name])
+
+    def _learn_chunks(self, new: dict[bytes, bytes]) -> None:
+        for chunk in new:
+            ids = (np.array([w], "<u2").tobytes() if isinstance(w, int) else array("H", self.model.encode(w, add_special_tokens=False).ids).tobytes() for w in self.pretokens.split(chunk))
+            new[chunk] = b"".join(ids)
+            self.chunks.put(chunk, new[chunk])
 
 
 _workers: dict[str, _Tokens] = {}
@@ -200,19 +227,44 @@ def _tokens(path: str) -> _Tokens:
     return _workers[path]
 
 
-def token_counts(docs: DataFrame, path: str, text_col: str = "text", end_id: int = END_ID) -> DataFrame:
-    """(token, n): how often each id occurs over all documents, ends included."""
+RAW = "part int, block int, first long, tokens long, keys array<long>, lengths array<long>, ids binary, token array<int>, n array<long>"
+
+
+def raw_blocks(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
+    """Blocks of ids as they are (uint16), documents in ascending order; and, in rows without ids, how often the part has each token."""
+    ordered = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body"))
+    ordered = ordered.repartitionByRange("id").sortWithinPartitions("id", "body")
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+    names = [x.split()[0] for x in RAW.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, counts = _tokens(path), np.zeros(1 << 16, np.int64)
-        for batch in slices(batches, 256):
-            texts = binary_column(batch, text_col).to_pylist()
-            counts += np.bincount(np.frombuffer(b"".join(tokens.encode(texts)), "<u2"), minlength=1 << 16)
-            counts[end_id] += len(texts)
+        tokens, part, end = _tokens(path), TaskContext.get().partitionId(), np.array([end_id], "<u2").tobytes()
+        keys, lengths, held, size, first, block = [], [], [], 0, 0, 0
+        counts = np.zeros(1 << 16, np.int64)
+        row = lambda *values: pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=names)
+
+        def closed() -> pa.RecordBatch:
+            nonlocal counts
+            ids = b"".join(held)
+            counts += np.bincount(np.frombuffer(ids, "<u2"), minlength=1 << 16)
+            return row(part, block, first, size, keys, lengths, ids, None, None)
+
+        for batch in slices(batches, 128):
+            for key, coded in zip(batch.column(0).to_pylist(), tokens.encode(binary_column(batch, "body").to_pylist()), strict=True):
+                keys.append(key)
+                held += [coded, end]
+                lengths.append(len(coded) // 2 + 1)
+                size += lengths[-1]
+                if size >= BLOCK_TOKENS:
+                    yield closed()
+                    first, block = first + size, block + 1
+                    keys, lengths, held, size = [], [], [], 0
+        if keys:
+            yield closed()
         seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(counts[seen])], names=["token", "n"])
+        yield row(part, -1, 0, 0, None, None, None, seen.tolist(), counts[seen].tolist())
 
-    return docs.select(text_col).mapInArrow(run, "token int, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    return ordered.mapInArrow(run, RAW)
 
 
 def _shared(spark: SparkSession, folder: str):
@@ -242,44 +294,26 @@ def write_tokens(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id"
     by ranges of the id, so parts, blocks and documents follow each other in order.
     """
     spark = docs.sparkSession
-    counts = {r["token"]: r["n"] for r in token_counts(docs, path, text_col, end_id).collect()}  # at most 2^16 rows
+    raw_blocks(docs, path, id_col, text_col, end_id).write.option("compression", "zstd").parquet(f"{folder}/raw")
+    raw = spark.read.schema(RAW).parquet(f"{folder}/raw")
+    counts = raw.filter("block < 0").select(F.inline(F.arrays_zip("token", "n"))).groupBy("token").agg(F.sum("n").alias("n"))
     dense = np.zeros(1 << 16, np.int64)
-    for token, n in counts.items():
-        dense[token] = n
+    for r in counts.collect():  # at most 2^16 rows
+        dense[r["token"]] = r["n"]
     freqs = scaled(dense)
     rows = [(int(t), int(freqs[t])) for t in np.flatnonzero(freqs)]
     spark.createDataFrame(rows, "token int, freq int").coalesce(1).write.parquet(f"{folder}/table")
     shared = _shared(spark, folder)
-    ordered = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body"))
-    ordered = ordered.repartitionByRange("id").sortWithinPartitions("id", "body")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, table, part = _tokens(path), _table(shared.value), TaskContext.get().partitionId()
-        end = np.array([end_id], "<u2").tobytes()
-        keys, lengths, held, size, first, block = [], [], [], 0, 0, 0
-
-        def closed() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), "<u2")
-            payload = pack(keys, lengths, ids, table)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([first], pa.int64()), pa.array([size], pa.int64()), pa.array([payload], pa.binary())],
-                names=["part", "block", "first", "tokens", "payload"],
-            )
-
-        for batch in slices(batches, 128):
-            for key, coded in zip(batch.column(0).to_pylist(), tokens.encode(binary_column(batch, "body").to_pylist()), strict=True):
-                keys.append(key)
-                held += [coded, end]
-                lengths.append(len(coded) // 2 + 1)
-                size += lengths[-1]
-                if size >= BLOCK_TOKENS:
-                    yield closed()
-                    first, block = first + size, block + 1
-                    keys, lengths, held, size = [], [], [], 0
-        if keys:
-            yield closed()
+        table = _table(shared.value)
+        for batch in slices(batches, 1):
+            keys, lengths, ids = (batch.column(i)[0].as_py() for i in (4, 5, 6))
+            payload = pack(keys, lengths, np.frombuffer(ids, "<u2"), table)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array([payload], pa.binary())], names=["part", "block", "first", "tokens", "payload"])
 
-    ordered.mapInArrow(run, "part int, block int, first long, tokens long, payload binary").write.parquet(f"{folder}/blocks")
+    blocks = raw.filter("block >= 0").select("part", "block", "first", "tokens", "keys", "lengths", "ids")
+    blocks.mapInArrow(run, "part int, block int, first long, tokens long, payload binary").write.parquet(f"{folder}/blocks")
     return folder
 
 

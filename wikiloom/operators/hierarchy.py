@@ -43,11 +43,11 @@ def with_sections(pages: DataFrame, content: str = "content") -> DataFrame:
 
 
 def with_paragraphs(pages: DataFrame) -> DataFrame:
-    """``pages`` (with sections) and ``paragraphs``: array of struct(section_no, paragraph_no, toc, text, wtp_skipped).
+    """``pages`` (with sections) and ``paragraphs``: array of struct(section_no, paragraph_no, toc, text, skipped_part).
 
     Blocks between blank lines are cut at deeper headings. A heading of level n keeps n - 2 parts of the path that was,
     however deep that is; the path goes on over the blocks of a section. Empty text falls back to the raw text.
-    wtp_skipped: a path whose root is among SKIPPED_ROOTS skips this and all later paragraphs of the page.
+    skipped_part: a path whose root is among SKIPPED_ROOTS skips this and all later paragraphs of the page.
     """
     body = "coalesce(nullif(s.text, ''), s.raw_text, '')"
     marked = replace_all("b", SUB_HEADING, "\x01$1\x03$2\x02")
@@ -66,7 +66,7 @@ def with_paragraphs(pages: DataFrame) -> DataFrame:
     hit = f"lower({strip('split(coalesce(x.toc, ' + chr(39) * 2 + '), ' + chr(39) + ':' + chr(39) + ', 2)[0]')}) IN ({', '.join(map(quoted, SKIPPED_ROOTS))})"
     all_rows = pages.withColumn("__all", F.expr(f"flatten(transform(sections, s -> {one}))"))
     all_rows = all_rows.withColumn("__first", F.expr(f"array_position(transform(__all, x -> {hit}), true)"))
-    made = "transform(__all, (x, i) -> struct(x.section_no AS section_no, x.paragraph_no AS paragraph_no, x.toc AS toc, x.text AS text, (__first > 0 AND i + 1 >= __first) AS wtp_skipped))"
+    made = "transform(__all, (x, i) -> struct(x.section_no AS section_no, x.paragraph_no AS paragraph_no, x.toc AS toc, x.text AS text, (__first > 0 AND i + 1 >= __first) AS skipped_part))"
     return all_rows.withColumn("paragraphs", F.expr(made)).drop("__all", "__first")
 
 
@@ -86,7 +86,7 @@ def section_rows(pages: DataFrame) -> DataFrame:
 def paragraph_rows(pages: DataFrame) -> DataFrame:
     """The relation of paragraphs."""
     return pages.select("revision_id", "page_id", "page_title", F.explode_outer("paragraphs").alias("p")).filter("p IS NOT NULL").select(
-        "revision_id", "page_id", "page_title", "p.section_no", "p.paragraph_no", "p.toc", "p.text", "p.wtp_skipped"
+        "revision_id", "page_id", "page_title", "p.section_no", "p.paragraph_no", "p.toc", "p.text", "p.skipped_part"
     )
 
 

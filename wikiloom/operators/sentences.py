@@ -96,7 +96,7 @@ def sentence_rows(pages: DataFrame) -> DataFrame:
 
     Skipped paragraphs give none, blank ones neither.
     """
-    ready = f"transform(filter(paragraphs, p -> NOT p.wtp_skipped), p -> struct(p.section_no AS section_no, p.paragraph_no AS paragraph_no, p.toc AS toc, {drop_ref_placeholders('p.text')} AS text))"
+    ready = f"transform(filter(paragraphs, p -> NOT p.skipped_part), p -> struct(p.section_no AS section_no, p.paragraph_no AS paragraph_no, p.toc AS toc, {drop_ref_placeholders('p.text')} AS text))"
     rows = pages.withColumn("__p", F.expr(_merged(ready))).select("revision_id", "page_id", "page_title", F.posexplode_outer("__p").alias("pos", "p")).filter("p IS NOT NULL")
     rows = rows.withColumn("body", F.col("p.text"))
     # only texts with list lines need the list helper

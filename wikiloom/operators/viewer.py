@@ -25,7 +25,7 @@ def intermediate_with_paragraphs(intermediate: DataFrame, paragraphs: DataFrame)
     i, p = intermediate.alias("i"), paragraphs.alias("p")
     joined = i.join(p, keys, "inner")
     return joined.select(
-        *keys, F.coalesce("p.toc", "i.toc").alias("toc"), "i.wtp_input", "i.expanded_wikitext", F.coalesce("p.text", F.lit("")).alias("text"), F.coalesce("p.parse_error", "i.parse_error").alias("parse_error")
+        *keys, F.coalesce("p.toc", "i.toc").alias("toc"), "i.expansion_input", "i.expanded_wikitext", F.coalesce("p.text", F.lit("")).alias("text"), F.coalesce("p.parse_error", "i.parse_error").alias("parse_error")
     )
 
 
@@ -56,7 +56,7 @@ def random_page(rows: DataFrame, seed: int) -> DataFrame:
 
 def run_stats(paragraphs: DataFrame) -> DataFrame:
     """Counts of expanded paragraphs: all, without and with errors, per run."""
-    done = paragraphs.filter("NOT wtp_skipped")
+    done = paragraphs.filter("NOT skipped_part")
     bad = F.col("parse_error").isNotNull()
     return done.agg(F.count("*").alias("total"), F.count(F.when(~bad, 1)).alias("succeeded"), F.count(F.when(bad, 1)).alias("failed"))
 

@@ -64,7 +64,7 @@ _PARAGRAPHS = f"""{_SECTIONS}, piece AS (
 ), paragraph AS (
   SELECT revision_id, page_id, page_title, section_no, cast(row_number() OVER (PARTITION BY revision_id, section_no ORDER BY i) AS integer) AS paragraph_no, toc, text,
     coalesce(max(CASE WHEN lower(trim(string_split(toc, ':')[1])) IN ({", ".join(quoted(r) for r in hierarchy.SKIPPED_ROOTS)}) THEN 1 ELSE 0 END)
-      OVER (PARTITION BY revision_id ORDER BY section_no, i ROWS UNBOUNDED PRECEDING), 0) = 1 AS wtp_skipped
+      OVER (PARTITION BY revision_id ORDER BY section_no, i ROWS UNBOUNDED PRECEDING), 0) = 1 AS skipped_part
   FROM chunk WHERE text <> ''
 )"""
 
@@ -89,9 +89,9 @@ def toc_path(spark, sf):
     return hierarchy.paragraph_rows(_decomposed(spark, sf)).groupBy("toc").agg(F.count("*").alias("n"))
 
 
-@query("skip_latch", f"WITH {_PARAGRAPHS} SELECT page_id, count(*) AS n, count(CASE WHEN wtp_skipped THEN 1 END) AS skipped FROM paragraph GROUP BY page_id")
+@query("skip_latch", f"WITH {_PARAGRAPHS} SELECT page_id, count(*) AS n, count(CASE WHEN skipped_part THEN 1 END) AS skipped FROM paragraph GROUP BY page_id")
 def _skip_latch(spark, sf):
-    return hierarchy.paragraph_rows(_decomposed(spark, sf)).groupBy("page_id").agg(F.count("*").alias("n"), F.count(F.when(F.col("wtp_skipped"), 1)).alias("skipped"))
+    return hierarchy.paragraph_rows(_decomposed(spark, sf)).groupBy("page_id").agg(F.count("*").alias("n"), F.count(F.when(F.col("skipped_part"), 1)).alias("skipped"))
 
 
 @query(
@@ -385,15 +385,15 @@ def _retry(spark, sf):
     return sinks.resume(table(spark, sf, "documents").select(F.col("doc_id").alias("revision_id")), _checkpoint(spark, sf), "s", retry_errors=True)
 
 
-_RUN = f"{_PARAGRAPHS}, done AS (SELECT *, CASE WHEN page_id % 7 = 3 AND NOT wtp_skipped THEN 'WTP x' END AS parse_error FROM paragraph)"
+_RUN = f"{_PARAGRAPHS}, done AS (SELECT *, CASE WHEN page_id % 7 = 3 AND NOT skipped_part THEN 'expansion x' END AS parse_error FROM paragraph)"
 
 
 def _run(spark: SparkSession, sf: str) -> DataFrame:
     rows = hierarchy.paragraph_rows(_decomposed(spark, sf))
-    return rows.withColumn("parse_error", F.when((F.col("page_id") % 7 == 3) & ~F.col("wtp_skipped"), "WTP x"))
+    return rows.withColumn("parse_error", F.when((F.col("page_id") % 7 == 3) & ~F.col("skipped_part"), "expansion x"))
 
 
-@query("run_stats", f"WITH {_RUN} SELECT count(*) AS total, count(CASE WHEN parse_error IS NULL THEN 1 END) AS succeeded, count(parse_error) AS failed FROM done WHERE NOT wtp_skipped")
+@query("run_stats", f"WITH {_RUN} SELECT count(*) AS total, count(CASE WHEN parse_error IS NULL THEN 1 END) AS succeeded, count(parse_error) AS failed FROM done WHERE NOT skipped_part")
 def _stats(spark, sf):
     return viewer.run_stats(_run(spark, sf))
 
@@ -405,12 +405,12 @@ def _report(spark, sf):
 
 
 @query(
-    "wtp_join",
-    f"WITH {_RUN} SELECT revision_id, page_id, section_no, paragraph_no, toc, text AS wtp_input, concat('x ', text) AS expanded_wikitext, text, parse_error FROM done WHERE NOT wtp_skipped",
+    "expansion_join",
+    f"WITH {_RUN} SELECT revision_id, page_id, section_no, paragraph_no, toc, text AS expansion_input, concat('x ', text) AS expanded_wikitext, text, parse_error FROM done WHERE NOT skipped_part",
 )
-def _wtp_join(spark, sf):
+def _expansion_join(spark, sf):
     rows = _run(spark, sf)
-    middle = rows.filter("NOT wtp_skipped").selectExpr("revision_id", "page_id", "section_no", "paragraph_no", "toc", "text AS wtp_input", "concat('x ', text) AS expanded_wikitext", "parse_error")
+    middle = rows.filter("NOT skipped_part").selectExpr("revision_id", "page_id", "section_no", "paragraph_no", "toc", "text AS expansion_input", "concat('x ', text) AS expanded_wikitext", "parse_error")
     return viewer.intermediate_with_paragraphs(middle, rows)
 
 

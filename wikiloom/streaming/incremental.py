@@ -20,7 +20,7 @@ def tables(spark: SparkSession, folder: str) -> dict[str, KeyedTable]:
     row = "revision_id long, page_id long, page_title string, section_no int"
     return {
         "sections": KeyedTable(spark, f"{folder}/sections", f"{row}, toc string, raw_text string, text string", ["revision_id", "section_no"]),
-        "paragraphs": KeyedTable(spark, f"{folder}/paragraphs", f"{row}, paragraph_no int, toc string, text string, wtp_skipped boolean", ["revision_id", "section_no", "paragraph_no"]),
+        "paragraphs": KeyedTable(spark, f"{folder}/paragraphs", f"{row}, paragraph_no int, toc string, text string, skipped_part boolean", ["revision_id", "section_no", "paragraph_no"]),
         "checkpoint": KeyedTable(spark, f"{folder}/checkpoint", "source_id string, revision_id long, page_id long, status string", ["source_id", "revision_id"]),
     }
 
