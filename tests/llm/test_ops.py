@@ -258,6 +258,49 @@ def test_op5_formats_links_and_odd_rows(spark, odd, empty):
     assert feistel.pseudonymise(empty).count() == 0
 
 
+def test_op5_leaves_no_value_behind(spark):
+    iban = "DE89370400440532013000"
+    cases = [  # text, kinds, what must be gone, what must stay
+        ("+442079460958", "intl", ["2079460958"], ["+44"]),
+        ("+4915123456789", "intl", ["15123456789"], ["+49"]),
+        ("+4420 79460958", "intl", ["20 7", "79460958"], ["+44"]),
+        ("+44 (0)20 7946 0958", "intl", ["7946 0958"], ["+44 (0)"]),
+        ("+33 1 23 45 67 89", "intl", ["23 45 67 89"], ["+33 "]),
+        ("+358401234567", "intl", ["401234567"], ["+358"]),
+        ("+49 30 1234567 4111 1111 1111 1111", "intl,card", ["1234567", "1111 1111"], ["+49 "]),
+        ("4111 1111 1111 1111 123", "card", ["1111 1111"], [" 123"]),
+        ("4111 1111 1111 1111 12 items", "card", ["1111 1111"], [" 12 items"]),
+        ("2024 4111 1111 1111 1111 5500 0000 0000 0004", "card,card", ["1111 1111", "0000 0000"], ["2024 "]),
+        ("4111-1111-1111-1111 12/26", "card", ["1111-1111"], [" 12/26"]),
+        ("3782 822463 10005", "card", ["822463"], []),
+        ("2024-02-29T10:00:00Z", "date", ["2024-02-29"], ["T10:00:00Z"]),
+        ("10.0.0.1/24", "ip", ["10.0.0.1"], ["/24"]),
+        ("http://10.0.0.1/2024/x", "ip", ["10.0.0.1"], ["/2024/x"]),
+        ("123-45-6789,2024-02-29,10.0.0.1", "ssn,date,ip", ["123-45-6789", "2024-02-29", "10.0.0.1"], []),
+        ("DE89 3704 0044 0532 0130 00 EUR", "iban", ["3704 0044"], ["DE", " EUR"]),
+        ("BE68 5390 0754 7034 2024", "iban", ["5390 0754"], ["BE", " 2024"]),
+        ("(988) 555-2485", "phone", ["555-2485"], ["("]),
+        ("1-988-555-2485", "phone", ["555-2485"], ["1-"]),
+        ("030 1234567", "national", ["1234567"], ["0"]),
+        ("(020) 7946 0958 2024-02-29", "national,date", ["7946 0958", "2024-02-29"], ["(0"]),
+        ("2000 2001 2002 2003 2004 2005 2006 2007 2008", "", [], ["2000 2001 2002 2003 2004 2005 2006 2007 2008"]),
+    ]
+    extra = [(90, "+1 988 555 2485"), (91, iban), (92, "+44 20 7946 0958"), (93, "1111 " * 4000 + "4111 1111 1111 1111")]
+    done = {r.doc_id: r for r in feistel.pseudonymise(texts(spark, [(i, c[0]) for i, c in enumerate(cases)] + extra), found_to="found").collect()}
+    for i, (text, kinds, gone, stays) in enumerate(cases):
+        new = done[i].text
+        assert ",".join(f.kind for f in done[i].found) == kinds, (text, new)
+        assert not any(g in new for g in gone) and all(x in new for x in stays) and len(new) >= len(text) - 12, (text, new)
+        for f in done[i].found:
+            assert f.kind != "card" or luhn(re.sub(r"\D", "", f.value)), (text, new)
+    digits = lambda i: re.sub(r"\W", "", done[i].found[0].value)
+    at = {c[0]: i for i, c in enumerate(cases)}
+    assert digits(at["(988) 555-2485"]) == digits(90)[1:] == digits(at["1-988-555-2485"])[1:]
+    assert digits(at["DE89 3704 0044 0532 0130 00 EUR"]) == digits(91)
+    assert digits(at["+442079460958"]) == digits(at["+4420 79460958"]) == digits(92)
+    assert done[93].found[-1].value == done[at["4111 1111 1111 1111 123"]].found[0].value
+
+
 def test_op5_is_a_permutation(spark):
     from pyspark.sql import functions as F
 

@@ -10,13 +10,15 @@ get equal pseudonyms in every document, different ones different, and the result
 kind       found and validated                                 permuted within
 =========  ==================================================  =================================================
 card       13 to 19 digits with a valid Luhn sum, also in      same length, grouping and first digit; the check
-           groups of four                                      digit is made anew
+           groups of four or as 4-6-4 and 4-6-5; the longest   digit is made anew
+           valid one in a run of groups
 iban       country, check digits, 11 to 30 of A-Z0-9 with      country and letters stay, digits are permuted, the
-           remainder 1 modulo 97                               check digits are made anew
-phone      +1 and ten digits                                   area and exchange each below 200 or from 200 on, as
-                                                               they are; line 0000 to 9999
-intl       + and a group of 1 to 3 digits (not 1), then 7      country group and punctuation stay
-           to 12 digits
+           remainder 1 modulo 97; in groups of four if it      check digits are made anew
+           has the length of its country
+phone      +1, 1 or nothing, and ten digits, without +1 in     area and exchange each below 200 or from 200 on, as
+           separated groups of 3, 3, 4                         they are; line 0000 to 9999
+intl       + and 8 to 15 digits                                calling code, (0) and punctuation stay
+national   0 and 8 to 11 digits, with a separator              the zero and punctuation stay
 ssn        AAA-GG-SSSS, area 001 to 899 but 666, group and     the same ranges
            serial not zero
 ip         four octets 0 to 255                                four octets
@@ -39,19 +41,39 @@ ROUNDS = 10
 #: For tests and examples; production passes its own secret.
 DEFAULT_KEY = "wikiloom-example-key"
 
+# The ITU calling codes of one and two digits (all others have three), and the length of an IBAN by country.
+CALLING = "[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
+    22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST", 26: "IS|TR",
+    27: "BI|DJ|FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HN|HU|LB|NI|PL|SV", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE", 31: "MT|SC", 32: "LC", 33: "RU",
+}
+_GROUPED_IBAN = "|".join(f"(?:{c})[0-9]{{2}}(?: [A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f" [A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, c in IBAN_LENGTHS.items())
+#: Behind a separator, what is no more of a telephone number unless it would be too short: a card in groups, a date.
+_NO_PHONE = r"(?!(?:[0-9]{4}[ -]){3}[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4}|[0-9]{4}-[0-9]{1,2}-[0-9])"
+_INTL, _NATIONAL = (rf"(?:(?:{sep}{_NO_PHONE})?{digit}){{{n}}}|(?:{sep}?{digit}){{{n}}}" for sep, digit, n in ((r"[ .-]", r"\(?[0-9]\)?", "7,14"), (r"[ /.-]", r"[0-9]\)?", "7,10")))
+
 #: kind -> pattern. Earlier kinds win where several begin at the same place.
 PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "iban": r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}",
-    "phone": r"\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}",
-    "intl": r"\+(?!1[ (.-])[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{2,5}\)?){2,5}",
+    "iban": r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}|" + _GROUPED_IBAN,
+    "phone": r"\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|(?:1[ .-])?(?:\([0-9]{3}\)[ .-]?|[2-9][0-9]{2}[ .-])[0-9]{3}[ .-][0-9]{4}",
+    "intl": rf"\+(?!1[ (.-])[1-9](?:{_INTL})",
     "date": r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}",
     "ip": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
-    "card": r"[0-9]{4}(?:[ -][0-9]{4}){2,3}(?:[ -][0-9]{1,3})?|[0-9]{13,19}",
+    "national": rf"(?=\(|[0-9]{{2,5}}[ /.-])\(?0[1-9](?:{_NATIONAL})",
+    "card": r"[0-9]{4}(?:[ -][0-9]{4}){2,3}(?:[ -][0-9]{1,3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}|[0-9]{13,19}",
 }
-#: A value stands free: no word character, and no point or dash with a digit, goes on at either side.
-ANY = r"(?<![A-Za-z0-9_+@%])(?<![0-9][.,/-])(?:" + "|".join(PATTERNS.values()) + r")(?![A-Za-z0-9_@])(?![.,/-][0-9])"
+#: A run of groups of digits that may hold cards; _pieces finds them.
+_RUN = r"(?:[0-9]{4}[ -])*[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}(?:[ -][0-9]{1,3})?|[0-9]{4}(?:[ -][0-9]{4}){2,}(?:[ -][0-9]{1,3})?|[0-9]{13,19}"
+_FIND = PATTERNS | {"card": _RUN}
+#: A value stands free: no word character, and no point, slash or dash with a digit, goes on at either side. A time may go on
+#: behind a date, and a slash (prefix length, path, end of validity) behind an address or a card.
+ANY = (
+    r"(?<![A-Za-z0-9_+@%])(?<![0-9][./-])(?:(?:" + "|".join(_FIND.values()) + r")(?![A-Za-z0-9_@])(?![./-][0-9])"
+    rf"|(?:{PATTERNS['date']})(?=[Tt][0-9]{{2}})|(?:{PATTERNS['ip']}|{_RUN})(?=/[0-9]))"
+)
 
 
 def _quoted(text: str) -> str:
@@ -68,18 +90,47 @@ def _kind(m: str) -> str:
     digits = f"regexp_replace({m}, '[^0-9]', '')"
     valid = {
         "email": "true",
-        "iban": f"{_mod97(m)} = 1",
+        "iban": f"{_mod97(_packed(m))} = 1",
         "phone": "true",
         "intl": f"length({digits}) BETWEEN 8 AND 15",
         "date": f"{_day(m)} IS NOT NULL",
         "ip": f"forall(split({m}, '[.]'), o -> cast(o as int) <= 255)",
         "ssn": f"cast(substr({m}, 1, 3) as int) BETWEEN 1 AND 899 AND substr({m}, 1, 3) <> '666' AND substr({m}, 5, 2) <> '00' AND substr({m}, 8) <> '0000'",
-        "card": f"length({digits}) BETWEEN 13 AND 19 AND {_luhn(digits)} % 10 = 0",
+        "national": "true",
+        "card": _is_card(m),
     }
     cases = " ".join(f"WHEN regexp_like({m}, {_quoted('^(?:' + p + ')$')}) AND ({valid[k]}) THEN '{k}'" for k, p in PATTERNS.items())
     return f"(CASE {cases} ELSE '' END)"
 
 
+def _packed(m: str) -> str:
+    return f"replace({m}, ' ', '')"
+
+
+def _is_card(m: str) -> str:
+    digits = f"regexp_replace({m}, '[^0-9]', '')"
+    return f"length({digits}) BETWEEN 13 AND 19 AND {_luhn(digits)} % 10 = 0"
+
+
+def _pieces(m: str) -> str:
+    """SQL for the array of strings that ``m`` is made of: from left to right, each longest valid card of a run of groups, and the rest.
+
+    A card behind the first group doesn't begin like a year or with 0 or 1, so that tables of years stay.
+    """
+    shape = _quoted("^(?:" + PATTERNS["card"] + ")$")
+    window = "regexp_replace(array_join(slice(t, i, k), ''), '[ -]$', '')"
+    card = f"get(filter(transform(array(5, 4, 3), k -> {window}), w -> regexp_like(w, {shape}) AND (i = 1 OR NOT w RLIKE '^(?:[01]|20)') AND {_is_card('w')}), 0)"
+    taken = "i + size(split(h, '[ -]'))"
+    step = _let(
+        card,
+        "h",
+        f"IF(h IS NULL, named_struct('out', concat(st.out, array(t[i - 1])), 'next', i + 1), "
+        f"named_struct('out', concat(st.out, array(h, regexp_extract(t[{taken} - 2], '[ -]$', 0))), 'next', {taken}))",
+    )
+    run = f"aggregate(sequence(1, size(t)), named_struct('out', cast(array() as array<string>), 'next', 1), (st, i) -> IF(i < st.next, st, {step}), st -> st.out)"
+    return f"IF({m} RLIKE '^[0-9]{{4}}[ -][0-9]{{4}}', {_let(f'regexp_extract_all({m}, {chr(39)}[0-9]+[ -]?{chr(39)}, 0)', 't', run)}, array({m}))"
+
+
 def _luhn(digits: str) -> str:
     """SQL for the Luhn sum: every second digit from the right counts double, less 9 above 9."""
     double = "(cast(c as int) * 2 - IF(c > '4', 9, 0))"
@@ -137,13 +188,12 @@ def _symbols(m: str, kind: str) -> str:
         f"(CASE {kind} "
         f"WHEN 'email' THEN transform({local}, c -> CASE WHEN c >= 'a' THEN struct(ascii(c) - 97 AS v, 26 AS r) WHEN c >= 'A' THEN struct(ascii(c) - 65 AS v, 26 AS r) ELSE struct(ascii(c) - 48 AS v, 10 AS r) END) "
         f"WHEN 'iban' THEN {_digit_symbols(f'regexp_replace(substr({m}, 5), {chr(39)}[^0-9]{chr(39)}, {chr(39)}{chr(39)})')} "
-        f"WHEN 'phone' THEN concat(array({_office(f'cast(substr({digits}, 2, 3) as int)')}, {_office(f'cast(substr({digits}, 5, 3) as int)')}), {_digit_symbols(f'substr({digits}, 8)')}) "
-        f"WHEN 'intl' THEN {_digit_symbols(_intl_rest(m))} "
+        f"WHEN 'phone' THEN concat(array({_office(f'cast(substr({digits}, -10, 3) as int)')}, {_office(f'cast(substr({digits}, -7, 3) as int)')}), {_digit_symbols(f'substr({digits}, -4)')}) "
         f"WHEN 'ssn' THEN array(struct(cast(substr({digits}, 1, 3) as int) - IF(substr({digits}, 1, 3) > '666', 2, 1) AS v, 898 AS r), struct(cast(substr({digits}, 4, 2) as int) - 1 AS v, 99 AS r), struct(cast(substr({digits}, 6) as int) - 1 AS v, 9999 AS r)) "
         f"WHEN 'ip' THEN transform(split({m}, '[.]'), o -> struct(cast(o as int) AS v, 256 AS r)) "
         f"WHEN 'date' THEN {date} "
         f"WHEN 'card' THEN {_digit_symbols(f'substr({digits}, 2, length({digits}) - 2)')} "
-        f"END)"
+        f"ELSE {_digit_symbols(_rest(m))} END)"
     )
 
 
@@ -152,9 +202,13 @@ def _office(number: str) -> str:
     return f"IF({number} < 200, struct({number} AS v, 200 AS r), struct({number} - 200 AS v, 800 AS r))"
 
 
-def _intl_rest(m: str) -> str:
-    """SQL for the digits behind the country group."""
-    return f"regexp_replace(regexp_replace({m}, '^[+][0-9]+', ''), '[^0-9]', '')"
+#: What stays of a telephone number: the calling code and a (0) behind it, or the zero.
+_LEAD = rf"^(?:[+](?:{CALLING})(?:[ .-]?[(]0[)])?|[(]?0)"
+
+
+def _rest(m: str) -> str:
+    """SQL for the digits behind the calling code or the zero."""
+    return f"regexp_replace(regexp_replace({m}, '{_LEAD}', ''), '[^0-9]', '')"
 
 
 def _permuted(key: str, tag: str, symbols: str) -> str:
@@ -200,11 +254,12 @@ def _spelled(m: str, kind: str, v: str) -> str:
         f"ELSE named_struct('out', concat(st.out, c), 'i', st.i) END, st -> st.out)"
     )
     plain = f"concat(substr({m}, 1, 2), '00', b)"
-    iban = _let(_refilled(_chars(f"substr({m}, 5)"), v), "b", f"concat(substr({m}, 1, 2), lpad(cast(98 - {_mod97(plain)} as string), 2, '0'), b)")
+    iban = _let(_refilled(_chars(f"substr({m}, 5)"), v), "b", f"concat(substr({m}, 1, 2), lpad(cast(98 - {_mod97(_packed(plain))} as string), 2, '0'), b)")
     office = lambda at, i: f"lpad(cast(IF(substr({digits}, {at}, 1) < '2', 0, 200) + {v}[{i}] as string), 3, '0')"
-    ten = f"concat({office(2, 0)}, {office(5, 1)}, array_join(transform(slice({v}, 3, 4), x -> cast(x as string)), ''))"
-    phone = f"concat('+1', {_refilled(_chars(f'substr({m}, 3)'), f'transform({_chars(ten)}, c -> cast(c as int))')})"
-    lead = f"regexp_extract({m}, '^[+][0-9]+', 0)"
+    ten = f"concat({office(-10, 0)}, {office(-7, 1)}, array_join(transform(slice({v}, 3, 4), x -> cast(x as string)), ''))"
+    one = f"regexp_extract({m}, '^(?:[+]1|1[ .-])?', 0)"
+    phone = f"concat({one}, {_refilled(_chars(f'substr({m}, length({one}) + 1)'), f'transform({_chars(ten)}, c -> cast(c as int))')})"
+    lead = f"regexp_extract({m}, '{_LEAD}', 0)"
     intl = f"concat({lead}, {_refilled(_chars(f'substr({m}, length({lead}) + 1)'), v)})"
     ssn = f"concat(lpad(cast({v}[0] + IF({v}[0] > 664, 2, 1) as string), 3, '0'), '-', lpad(cast({v}[1] + 1 as string), 2, '0'), '-', lpad(cast({v}[2] + 1 as string), 4, '0'))"
     moved = _let(_day(m), "e", f"date_add({_century('e')}, cast({v}[0] * {_radix('e', 1)} + {v}[1] as int))")
@@ -213,8 +268,8 @@ def _spelled(m: str, kind: str, v: str) -> str:
     date = _let(moved, "g", f"(CASE {form} WHEN 1 THEN concat_ws({sep}, year(g), {two('month')}, {two('day')}) WHEN 2 THEN concat_ws({sep}, {two('day')}, {two('month')}, year(g)) ELSE concat_ws({sep}, {two('month')}, {two('day')}, year(g)) END)")
     return (
         f"(CASE {kind} WHEN 'email' THEN concat({local}, substr({m}, instr({m}, '@'))) WHEN 'iban' THEN {iban} WHEN 'phone' THEN {phone} "
-        f"WHEN 'intl' THEN {intl} WHEN 'ssn' THEN {ssn} WHEN 'ip' THEN array_join(transform({v}, x -> cast(x as string)), '.') "
-        f"WHEN 'date' THEN {date} WHEN 'card' THEN {card} END)"
+        f"WHEN 'ssn' THEN {ssn} WHEN 'ip' THEN array_join(transform({v}, x -> cast(x as string)), '.') "
+        f"WHEN 'date' THEN {date} WHEN 'card' THEN {card} ELSE {intl} END)"
     )
 
 
@@ -235,11 +290,11 @@ def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = DEFAULT_KEY
         raise ValueError("a key is made of letters, digits, '-', '_' and '.'")
     pattern, text = _quoted(ANY), f"`{text_col}`"
     at = docs.withColumn("__m", F.expr(f"IF({text} RLIKE '[0-9@]', regexp_extract_all({text}, {pattern}, 0), array())"))
-    at = at.withColumn("__f", F.expr(f"transform(coalesce(__m, array()), m -> {pseudonym('m', key)})"))
-    glued = f"array_join(zip_with(split({text}, {pattern}, -1), __f.value, (a, b) -> concat(a, coalesce(b, ''))), '')"
-    result = at.withColumn(text_col, F.expr(f"IF(size(filter(__f, f -> f.kind <> '')) > 0, {glued}, {text})"))
+    at = at.withColumn("__f", F.expr(f"transform(coalesce(__m, array()), m -> transform({_pieces('m')}, z -> {pseudonym('z', key)}))"))
+    glued = f"array_join(zip_with(split({text}, {pattern}, -1), transform(__f, f -> array_join(f.value, '')), (a, b) -> concat(a, coalesce(b, ''))), '')"
+    result = at.withColumn(text_col, F.expr(f"IF(exists(__f, f -> exists(f, p -> p.kind <> '')), {glued}, {text})"))
     if found_to:
-        result = result.withColumn(found_to, F.expr("filter(__f, f -> f.kind <> '')"))
+        result = result.withColumn(found_to, F.expr("filter(flatten(__f), f -> f.kind <> '')"))
     return result.select(*docs.columns, *([found_to] if found_to and found_to not in docs.columns else []))
 
 
