@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import json
 import math
 import random
 import re
@@ -544,6 +545,34 @@ def test_op10_canonical_forms(spark, odd, empty):
 
 
 # pipeline ----------------------------------------------------------------------------------------------------------
+def test_op10_full_texts_and_file_notices(spark):
+    known = licences.known_licences(spark)
+    full = {r["licence"]: r["text"] for r in map(json.loads, licences.DATA.read_text("utf-8").splitlines()) if r["form"] == "text"}
+    assert {"GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "GFDL-1.3", "Apache-2.0", "CC0-1.0"} <= full.keys()
+    whole = [(n, t) for n, t in sorted(full.items())]
+    whole += [("GPL-2.0", full["GPL-2.0"].split("How to Apply")[0]), ("GPL-2.0", full["GPL-2.0"].replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "59 Temple Place, Suite 330, Boston, MA  02111-1307  USA"))]
+    whole += [("Apache-2.0", full["Apache-2.0"].split("APPENDIX")[0]), ("GPL-3.0", full["GPL-3.0"].split("END OF TERMS")[0])]
+    grant = "is free software{} you can redistribute it and/or modify it under the terms of the GNU {} Public License as published by the Free Software Foundation{} {}"
+    later = " of the License, or (at your option) any later version"
+    held = [
+        ("GPL-3.0-or-later", "# This program " + grant.format(":", "General", ",", "either version 3" + later + ".").replace("modify it", "modify it\n# ") + "\n#\n# This program is distributed in the hope\nx = 1"),
+        ("GPL-2.0-only", "/* Foo " + grant.format(";", "General", ";", "version 2 of the License.") + "\n */"),
+        ("GPL-2.0-or-later", "Foo " + grant.format(";", "General", ";", "version 2" + later)),
+        ("LGPL-2.1-or-later,LGPL-2.1-only", "a " + grant.format(";", "Lesser General", ";", "either version 2.1" + later) + "\nb " + grant.format(";", "Lesser General", ";", "version 2.1.")),
+        ("Apache-2.0", "// " + licences.KNOWN[11][1].replace("\n", "\n// ") + "\nint x;"),
+        ("MIT", "// SPDX-License-Identifier: MIT\nint x;"),
+        ("", "this permission and that license is free software"),
+    ]
+    assert licences.KNOWN[11][0] == "Apache-2.0"
+    assert all(any(f" {a} " in r.words for a in licences.ANCHORS) for r in known.filter("words IS NOT NULL").collect())
+    rows = list(enumerate([t for _, t in whole] + [t for _, t in held]))
+    got = {r.doc_id: r for r in licences.scan(texts(spark, rows), known).collect()}
+    for i, (name, _) in enumerate(whole):
+        assert (got[i].licence, got[i].notices) == (name, []), (i, name, got[i])
+    for i, (names, _) in enumerate(held, len(whole)):
+        assert (got[i].licence, ",".join(got[i].notices)) == (None, names), (i, names, got[i])
+
+
 def test_pipeline(spark, odd, empty, tokenizer):
     import corpus_pipeline
 

@@ -2,12 +2,17 @@
 
 Canonical form: lower case; copyright lines go; anything but letters and digits parts words; equivalent spellings become
 one; "all rights reserved" goes; words are joined by one blank. Entire texts are hash-joined to the known licences;
-entire lines are looked up among the known notices in the same way, by digest.
+entire lines are looked up among the known notices in the same way, by digest. Notices of several lines are looked for
+by their canonical words, however they are wrapped or marked as a comment.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import re
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
@@ -81,6 +86,34 @@ KNOWN: list[tuple[str, str]] = [
     ("MIT", "Released under the MIT License."),
 ]
 
+#: Full licence texts and standard notices, a JSON object (licence, form: text or notice, text) a line.
+DATA = Path(__file__).with_name("licences.jsonl")
+#: A text with a notice of several lines has one of these words; others are not searched.
+ANCHORS = ("license", "permission", "redistribution")
+_FRANKLIN = r"51 Franklin St(?:reet)?, Fifth Floor, Boston,? MA\s+02110-1301\s+USA"
+# What the Free Software Foundation has printed in place of that address.
+_ADDRESSES = ("51 Franklin St, Fifth Floor, Boston, MA 02110-1301 USA", "51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "59 Temple Place, Suite 330, Boston, MA 02111-1307 USA", "675 Mass Ave, Cambridge, MA 02139, USA")
+
+
+def _variants(text: str) -> set[str]:
+    """``text`` with and without its appendix and the line that ends the terms, and with each address of its publisher."""
+    cut = re.split(r"\n[ \t]*(?:APPENDIX|Appendix|ADDENDUM)?:?[ \t]*How to (?:Apply|apply|use)[^\n]*\n", text)[0]
+    made = {text, cut, re.sub(r"\n[ \t]*END OF TERMS AND CONDITIONS\s*$", "\n", cut)}
+    for old in list(made):
+        made |= {re.sub(_FRANKLIN, new, old) for new in _ADDRESSES}
+        site = re.sub(r"write\s+to\s+the\s+Free\s+Software\s+Foundation,\s+Inc\.,\s+" + _FRANKLIN, "see <https://www.gnu.org/licenses/>", old)
+        site = re.sub(_FRANKLIN, "<https://fsf.org/>", site)
+        made |= {site, site.replace("Ty Coon", "Moe Ghoul")}
+    return made
+
+
+def known_texts() -> list[tuple[str, str, bool]]:
+    """(licence, text, whether it is looked for inside of texts): KNOWN, DATA and the SPDX tags of their licences."""
+    rows = [json.loads(line) for line in DATA.read_text("utf-8").splitlines()]
+    found = [(name, text, False) for name, text in KNOWN]
+    found += [(r["licence"], text, r["form"] == "notice") for r in rows for text in sorted(_variants(r["text"]))]
+    return found + [(name, f"SPDX-License-Identifier: {name}", False) for name in sorted({n for n, _, _ in found})]
+
 
 def canonical_lines(text: str) -> str:
     """SQL (Spark) for the canonical words with line breaks left, each word between blanks of its own."""
@@ -92,30 +125,42 @@ def canonical_lines(text: str) -> str:
     return f"replace({apart}, ' all  rights  reserved ', ' ')"
 
 
-def digest(words: str) -> str:
+def words(lines: str) -> str:
+    """SQL for canonical words joined by one blank."""
+    return f"trim(regexp_replace({lines}, '[ \\n]+', ' '))"
+
+
+def digest(lines: str) -> str:
     """SQL for the SHA-256 of canonical words joined by one blank."""
-    return f"sha2(trim(regexp_replace({words}, '[ \\n]+', ' ')), 256)"
+    return f"sha2({words(lines)}, 256)"
 
 
 def with_digests(df: DataFrame, text_col: str) -> DataFrame:
-    """``df``, __digest of the entire text, and __lines: digests of its lines that have words."""
+    """``df``, __words between blanks, __digest of the entire text, and __lines: digests of its lines that have words."""
     marked = df.withColumn("__c", F.expr(canonical_lines(f"`{text_col}`")))
     lines = f"transform(filter(split(__c, '\\n'), l -> trim(l) <> ''), l -> {digest('l')})"
-    return marked.withColumn("__digest", F.expr(digest("__c"))).withColumn("__lines", F.expr(lines)).drop("__c")
+    marked = marked.withColumn("__words", F.expr(f"concat(' ', {words('__c')}, ' ')"))
+    return marked.withColumn("__digest", F.expr("sha2(trim(__words), 256)")).withColumn("__lines", F.expr(lines)).drop("__c")
 
 
 def known_licences(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
-    """(licence, digest, notice): notice is true where the text is one line; a digest has one name, the least."""
-    rows = spark.createDataFrame(known if known is not None else KNOWN, "licence string, body string")
-    made = with_digests(rows, "body").select("licence", F.col("__digest").alias("digest"), (F.size("__lines") == 1).alias("notice"))
-    return made.groupBy("digest").agg(F.min("licence").alias("licence"), F.max("notice").alias("notice"))
+    """(licence, digest, notice, words): notice is true where the text is one line; a digest has one name, the least.
+
+    words are the canonical words of a notice that is looked for inside of texts, null for the others.
+    """
+    given = [(n, t, False) for n, t in known] if known is not None else known_texts()
+    rows = spark.createDataFrame(given, "licence string, body string, inside boolean")
+    rows = rows.withColumn("words", F.expr(f"IF(inside, concat(' ', {words(canonical_lines('body'))}, ' '), NULL)"))
+    made = with_digests(rows, "body").select("licence", F.col("__digest").alias("digest"), (F.size("__lines") == 1).alias("notice"), "words")
+    return made.groupBy("digest").agg(F.min("licence").alias("licence"), F.max("notice").alias("notice"), F.max("words").alias("words"))
 
 
 def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, digest, licence, notices): a row per row of ``docs``.
 
     licence is the known licence that the entire text is, null if none; notices the array of known one-line notices, a name
-    for each line that is one, in order. Null text and text without words have the digest of the empty text, which is
+    for each line that is one, in order, then the names not yet there of notices of several lines inside a text that is
+    no known licence as a whole, longest first; words of a longer one are not read as a shorter one. Null text and text without words have the digest of the empty text, which is
     no licence unless a known text is empty. Repeated rows get equal results. Other columns are not read.
     """
     counted = known.count()
@@ -123,11 +168,31 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
     if len(notices) > MAX_BROADCAST:
         raise ValueError(f"more than {MAX_BROADCAST} one-line notices")
     table = F.create_map(*[F.lit(x) for pair in notices for x in pair]) if notices else F.expr("cast(map() as map<string,string>)")
+    inside = [(r["words"], r["licence"]) for r in known.filter("words IS NOT NULL").limit(MAX_BROADCAST + 1).collect()]
+    if len(inside) > MAX_BROADCAST:
+        raise ValueError(f"more than {MAX_BROADCAST} notices of several lines")
+    inside.sort(key=lambda x: (-len(x[0]), x[0]))
     rows = with_digests(docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")), "__text")
     rows = rows.withColumn("__found", F.filter(F.transform("__lines", lambda d: F.element_at(table, d)), lambda n: n.isNotNull()))
+    rows = rows.withColumn("__inside", _inside(inside)).drop("__words", "__lines")
     right = known.select(F.col("digest").alias("__digest"), "licence")
     right = F.broadcast(right) if counted <= MAX_BROADCAST else right
-    return rows.join(right, "__digest", "left").select(F.col("__id").alias(id_col), F.col("__digest").alias("digest"), "licence", F.col("__found").alias("notices"))
+    both = F.expr("IF(licence IS NULL AND size(__inside) > 0, concat(__found, array_except(__inside, __found)), __found)")
+    return rows.join(right, "__digest", "left").select(F.col("__id").alias(id_col), F.col("__digest").alias("digest"), "licence", both.alias("notices"))
+
+
+def _inside(notices: list[tuple[str, str]]) -> Column:
+    """Names of the notices (words, name) that lie inside __words; each is taken out before the next is looked for."""
+    none = F.expr("cast(array() as array<string>)")
+    if not notices:
+        return none
+    table = F.array(*[F.struct(F.lit(w).alias("words"), F.lit(n).alias("name")) for w, n in notices])
+    start = F.struct(F.col("__words").alias("left"), none.alias("names"))
+    step = lambda st, n: F.when(
+        F.contains(st["left"], n["words"]), F.struct(F.replace(st["left"], n["words"], F.lit(" \n ")).alias("left"), F.concat(st["names"], F.array(n["name"])).alias("names"))
+    ).otherwise(st)
+    asked = F.expr(" OR ".join(f"contains(__words, ' {a} ')" for a in ANCHORS))
+    return F.when(asked, F.aggregate(table, start, step, lambda st: st["names"])).otherwise(none)
 
 
 def op10_licence_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
