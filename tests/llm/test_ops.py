@@ -161,6 +161,45 @@ def test_op3_carving():
     assert sniff.carve(struct.pack("<4sI4s", b"RIFF", 1000, b"WAVE"))[0] == []
 
 
+def pdf(objects, update=b""):
+    body = b"%PDF-1.4\n" + objects
+    body += b"xref\n0 1\n0000000000 65535 f \ntrailer <<>>\nstartxref\n%d\n%%%%EOF" % len(body)
+    if update:
+        place = len(body) + 1 + len(update)
+        body += b"\n" + update + b"xref\n0 1\n0000000000 65535 f \ntrailer <</Prev 9>>\nstartxref\n%d\n%%%%EOF" % place
+    return body
+
+
+def test_op3_carves_inside_media(spark):
+    import io
+    import zipfile
+
+    gif = b"GIF89a" + struct.pack("<HHBBB", 1, 1, 0x80, 0, 0) + bytes(6) + b"," + struct.pack("<HHHHB", 0, 0, 1, 1, 0) + b"\x02\x02D\x01\x00;"
+    picture = sniff.to_png(bytes(range(64)))
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_STORED) as z:
+        z.writestr("a.png", picture)
+    packed = held.getvalue()
+    at = packed.find(picture)
+    assert sniff.carve_all(packed)[0] == [("application/zip", 0, len(packed), None), ("image/png", at, len(picture), 0)]
+    plain, saved = pdf(b"1 0 obj\n" + gif + b"\nendobj\n"), pdf(b"1 0 obj\nendobj\n", b"2 0 obj\nendobj\n")
+    outer = pdf(b"1 0 obj\n" + saved + b"\nendobj\n")
+    for data in (plain, saved, outer):
+        assert sniff.carve(data)[0] == [("application/pdf", 0, len(data))]
+        assert sniff.carve(data + b"\n" + data)[0] == [("application/pdf", 0, len(data)), ("application/pdf", len(data) + 1, len(data))]
+    first = b"%PDF-1.4\n1 0 obj\nendobj\nxref\n0 1\ntrailer <<>>\nstartxref\n0\n%%EOF\n"
+    linear = first + b"2 0 obj\nendobj\nxref\n0 1\ntrailer <<>>\nstartxref\n%d\n%%%%EOF" % first.find(b"xref")
+    assert sniff.carve(linear)[0] == [("application/pdf", 0, len(linear))]
+    wav = sniff.to_wav(plain)
+    assert sniff.carve_all(wav)[0] == [("audio/wav", 0, len(wav), None), ("application/pdf", 44, len(plain), 0), ("image/gif", 44 + plain.find(gif), len(gif), 44)]
+    ascii_pdf = pdf(b"1 0 obj\nendobj\n", b"2 0 obj\nendobj\n")
+    rows = [(i, f"note {i} {ascii_pdf.decode()} end") for i in range(12)]
+    got = sniff.payloads(sniff.sniff(sniff.store(texts(spark, rows)))).collect()
+    assert {r.feature.split()[0] for r in got} == {"audio/wav", "audio/basic", "image/png"}
+    for r in got:
+        assert r.feature.endswith(f" holds application/pdf@{len(f'note {r.doc_id} ')}+{len(ascii_pdf)}"), r.feature
+
+
 def test_op3_corrects_declared_types(spark):
     rows = spark.createDataFrame([(1, bytearray(sniff.to_wav(bytes(64))), "image/png"), (2, bytearray(b"plain"), None), (3, None, "image/png")], "k int, media binary, declared string")
     assert [(r["__type"], r["__corrected"]) for r in sniff.sniff(rows).orderBy("k").collect()] == [("audio/wav", True), (sniff.UNKNOWN, True), (sniff.UNKNOWN, True)]

@@ -2,14 +2,15 @@
 
 One Aho-Corasick automaton locates the magic bytes of all formats in one pass. A hit counts only if the format's
 validator can walk the structure from there (chunk lengths, checksums, markers, end) inside the bytes at hand; it gives
-the exact length. A file's type is that of the valid hit at its start, whatever was declared; valid hits further on,
-outside media already carved, are embedded media.
+the exact length. A file's type is that of the valid hit at its start, whatever was declared; valid hits further on are embedded
+media; those inside of another medium are nested and name its offset as their parent.
 """
 
 from __future__ import annotations
 
 import binascii
 import hashlib
+import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -144,11 +145,29 @@ def _gzip(data: bytes, at: int) -> int:
     return pos - len(inflate.unused_data) - at if inflate.eof else 0
 
 
+_XREF_START = re.compile(rb"startxref\s+([0-9]{1,18})\s+%%EOF")
+_XREF = re.compile(rb"\s{0,4}(?:xref\s|[0-9]{1,10}\s+[0-9]{1,5}\s+obj)")
+
+
 def _pdf(data: bytes, at: int) -> int:
-    """A version, and the first end mark behind a cross-reference start."""
+    """A version, and the last end mark of the update chain.
+
+    An update's cross-references lie behind the end before it; only the first section of a linearised file has 0 as their
+    place, and the end of the file then has one further up. What other files inside or behind count from their own start
+    doesn't fit. If no place fits, the first end mark behind a cross-reference start counts.
+    """
+    if not (data[at + 5 : at + 6].isdigit() and data[at + 6 : at + 7] == b"."):
+        return 0
+    end = 0
+    for mark in _XREF_START.finditer(data, at):
+        place = at + int(mark[1])
+        if place >= max(end, at + 1) and place < mark.start() and _XREF.match(data, place):
+            end = mark.end()
+    if end:
+        return end - at
     start = data.find(b"startxref", at)
     end = data.find(b"%%EOF", start) if start >= 0 else -1
-    return end + 5 - at if end >= 0 and data[at + 5 : at + 6].isdigit() and data[at + 6 : at + 7] == b"." else 0
+    return end + 5 - at if end >= 0 else 0
 
 
 def _zip(data: bytes, at: int) -> int:
@@ -188,41 +207,52 @@ def _automaton():
     return automaton
 
 
-def carve(data: bytes | None) -> tuple[list[tuple[str, int, int]], int]:
-    """([(type, offset, length)] of valid media that don't lie in an earlier one, magic bytes seen)."""
-    found, seen, free = [], 0, 0
+def carve_all(data: bytes | None) -> tuple[list[tuple[str, int, int, int | None]], int]:
+    """([(type, offset, length, parent)] of valid media, magic bytes seen).
+
+    parent is the offset of the innermost medium that a nested one lies in as a whole, null outside of any.
+    """
+    found, seen = [], 0
+    around: list[tuple[int, int, bytes]] = []  # media that are open: offset, end, and the bytes up to there
     if data:
         for last, magic in _automaton().iter(data.decode("latin-1")):
             seen += 1
             at = last + 1 - len(magic)
-            if at < free:
-                continue
+            while around and at >= around[-1][1]:
+                around.pop()
+            held = around[-1][2] if around else data
             for kind, start, valid in FORMATS:
-                if start == magic and (size := valid(data, at)):
-                    found.append((kind, at, size))
-                    free = at + size
+                if start == magic and (size := valid(held, at)):
+                    found.append((kind, at, size, around[-1][0] if around else None))
+                    around.append((at, at + size, held if at + size == len(held) else held[: at + size]))
                     break
     return found, seen
 
 
+def carve(data: bytes | None) -> tuple[list[tuple[str, int, int]], int]:
+    """([(type, offset, length)] of valid media that don't lie in an earlier one, magic bytes seen)."""
+    found, seen = carve_all(data)
+    return [m[:3] for m in found if m[3] is None], seen
+
+
 def sniff(media: DataFrame, media_col: str = "media", declared_col: str = "declared") -> DataFrame:
-    """``media`` and: __type, __corrected, __carved (array of struct(type, offset, length)), __hits.
+    """``media`` and: __type, __corrected, __carved (array of struct(type, offset, length, parent)), __hits.
 
     __type is that of the valid medium at offset 0, else UNKNOWN; __corrected whether a declared type (null counts as none)
-    differs. __carved holds the embedded media after it. Null and empty bytes are UNKNOWN without media.
+    differs. __carved holds the embedded media, nested ones with the offset of their parent. Null and empty bytes are UNKNOWN without media.
     """
     base = media.drop("__type", "__corrected", "__carved", "__hits")
     at, declared = base.columns.index(media_col), base.columns.index(declared_col)
-    item = pa.struct([("type", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
+    item = pa.struct([("type", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("parent", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
             kinds, carved, hits = [], [], []
             for data in batch.column(at).to_pylist():
-                found, seen = carve(data)
+                found, seen = carve_all(data)
                 whole = bool(found) and found[0][1] == 0
                 kinds.append(found[0][0] if whole else UNKNOWN)
-                carved.append([{"type": k, "offset": o, "length": n} for k, o, n in found[whole:]])
+                carved.append([{"type": k, "offset": o, "length": n, "parent": p} for k, o, n, p in found[whole:]])
                 hits.append(seen)
             wrong = [k != d for k, d in zip(kinds, batch.column(declared).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -231,7 +261,7 @@ def sniff(media: DataFrame, media_col: str = "media", declared_col: str = "decla
             )
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
-    return base.mapInArrow(run, f"{fields}, __type string, __corrected boolean, __carved array<struct<type:string,offset:bigint,length:bigint>>, __hits long")
+    return base.mapInArrow(run, f"{fields}, __type string, __corrected boolean, __carved array<struct<type:string,offset:bigint,length:bigint,parent:bigint>>, __hits long")
 
 
 def to_wav(payload: bytes) -> bytes:
@@ -311,7 +341,11 @@ def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def payloads(sniffed: DataFrame, media_col: str = "media") -> DataFrame:
-    """``sniffed`` (from ``sniff``) without the media: payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, read back by the type found."""
+    """``sniffed`` (from ``sniff``) without the media: payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, read back by the type found.
+
+    feature names the media carved outside of the file's own medium, and behind "holds" those carved from its payload, at
+    their offset there, with "in" and the parent's offset if they are nested.
+    """
     base = sniffed.drop("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
     kept = [c for c in base.columns if c not in (media_col, "__type", "__corrected", "__carved", "__hits", "declared")]
     names = base.columns
@@ -323,8 +357,9 @@ def payloads(sniffed: DataFrame, media_col: str = "media") -> DataFrame:
             rows = []
             for data, kind, wrong, carved in zip(get(media_col), get("__type"), get("__corrected"), get("__carved"), strict=True):
                 body, shape = samples(data, kind)
-                embedded = ",".join(f"{c['type']}@{c['offset']}+{c['length']}" for c in carved)
-                feature = f"{kind} {shape}{' corrected' if wrong else ''}{' carved ' + embedded if embedded else ''}"
+                embedded = ",".join(f"{c['type']}@{c['offset']}+{c['length']}" for c in carved if c["parent"] is None)
+                held = ",".join(f"{k}@{o}+{n}{'' if p is None else f' in {p}'}" for k, o, n, p in carve_all(body)[0])
+                feature = f"{kind} {shape}{' corrected' if wrong else ''}{' carved ' + embedded if embedded else ''}{' holds ' + held if held else ''}"
                 rows.append((len(body), hashlib.sha256(body).hexdigest(), zlib.crc32(body[-ALIGN:]), len(data), hashlib.sha256(data).hexdigest(), feature))
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays(
