@@ -376,6 +376,44 @@ def test_op6_round_trip(spark, tokenizer, odd, empty, tmp_path):
     assert rans.read_tokens(spark, f"{tmp_path}/none").count() == 0
     rans.write_tokens(odd, bpe.tokenizer_path(), f"{tmp_path}/odd")
     assert rans.read_tokens(spark, f"{tmp_path}/odd").count() == len(ODD)
+    named = [("b", "x"), ("a", "y z"), (None, "w"), ("ä", None), ("a", "y z")]
+    rans.write_tokens(texts(spark, named, "doc_id string, text string"), bpe.tokenizer_path(), f"{tmp_path}/named")
+    got = sorted(((r.start, r.doc_id, list(r.ids)) for r in rans.read_tokens(spark, f"{tmp_path}/named").collect()))
+    assert [(k, i) for _, k, i in got] == [(k, ids(t)) for k, t in ((None, "w"), ("a", "y z"), ("a", "y z"), ("b", "x"), ("ä", None))]
+
+
+def test_op6_hot_id_and_long_text(spark, tokenizer, tmp_path, monkeypatch):
+    from wikiloom.llm import chunks
+
+    monkeypatch.setattr(chunks, "PIECE", 100)
+    rng = random.Random(6)
+    long = " ".join(rng.choice(["it's", "Née", "x.", "日本", "a", "<|endoftext|>", "b-c"]) for _ in range(3_000))
+    machine = rans._Tokens(bpe.tokenizer_path())
+    parts = [long, None, "plain words.", "日本 x", long[:700]]
+    found, counts = machine.encode([p and p.encode() for p in parts])
+    ends = np.cumsum(counts)
+    for text, end, n in zip(parts, ends, counts, strict=True):
+        assert found[end - n : end].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
+    assert b" ".join(p.strip() for p in chunks.pieces(long.encode(), 50)).split() == long.encode().split()
+    hot = texts(spark, [(7, f"{i} text") for i in range(400)] + [(1, "first"), (9, "last")])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rans.write_tokens(hot, bpe.tokenizer_path(), f"{tmp_path}/hot")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spark.read.parquet(f"{tmp_path}/hot/blocks").select("part").distinct().count() > 2  # one id over several parts
+    rows = sorted(rans.read_tokens(spark, f"{tmp_path}/hot").collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == [1] + [7] * 400 + [9] and all(a.start + a.n_tokens == b.start for a, b in zip(rows, rows[1:], strict=False))
+
+
+def test_op6_many_ids():
+    ids = np.random.default_rng(4).integers(0, 300_000, 400_000).astype("<u4")
+    counts = np.bincount(ids)
+    scale = rans.scale_of(np.count_nonzero(counts))
+    assert scale == 19 and rans.id_kind(len(counts)) == "<u4"
+    table = rans.Table(rans.scaled(counts, scale), scale)
+    docs, _, back = rans.unpack(rans.pack(["x", None], [100, len(ids) - 100], ids, table), table)
+    assert docs == ["x", None] and (back == ids).all()
 
 
 def test_op6_blocks_check_themselves():

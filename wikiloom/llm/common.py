@@ -54,6 +54,18 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that an operator wrote and nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a table that ``written`` made, once nothing reads it any more."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        removed(df.sparkSession, folder)
+
+
 def spread(df: DataFrame, *columns: str) -> DataFrame:
     """A narrow table dealt to all shuffle partitions: for rows that are about to be multiplied."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)

@@ -1,12 +1,13 @@
 """Token ids in blocks of a static range asymmetric numeral system (rANS), with shared frequency tables.
 
-A stored set is two tables in one folder (beside ``raw``, the ids before coding, which may go when they are written):
-``table`` (the scaled frequency of every id that occurs, one for all blocks) and ``blocks`` (part, block, first, tokens, payload): documents in ascending order, part by part, block by block.
+A stored set is three tables in one folder: ``meta`` (type of the documents' ids, scale bits, number of ids), ``table`` (the
+scaled frequency of every id that occurs, one for all blocks) and ``blocks`` (part, block, first, tokens, payload):
+documents in ascending order, part by part, block by block. The ids before coding lie in ``raw`` until the blocks are written.
 
 A payload is a header, the documents' ids and lengths, checkpoints, and the coded words, all little-endian:
 
-    magic "RNS1", scale bits, lanes, rows between checkpoints, tokens, documents, rows, checkpoints, words
-    documents: id (int64), has an id (uint8), tokens (int64)
+    magic "RNS2", scale bits, lanes, rows between checkpoints, 1 if document ids are text, tokens, documents, rows, checkpoints, words, bytes of the ids
+    documents: id (int64; or its length in bytes, and all ids in UTF-8 behind that), has an id (uint8), tokens (int64)
     checkpoints: for every RUN-th row the lanes' states (uint64), where reading goes on (uint32), CRC-32 of the ids that follow up to the next
     coded words (uint32)
 
@@ -16,11 +17,13 @@ and decoding may begin at any of its checkpoints; each run between two is checke
 
 from __future__ import annotations
 
+import gc
+import json
+import os
 import re
 import struct
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,20 +31,35 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .bpe import Cache, Pretokens, tokenizer_path
-from .common import binary_column, checkpoint_folder, documents, slices
+from .chunks import distinct_runs, pieces, sized
+from .common import binary_column, checkpoint_folder, documents, removed, slices
 
+#: Bits of the frequencies' sum; more where very many ids occur.
 SCALE = 18
 LANES = 2048
 RUN = 256
 #: A block is closed at the end of the document that brings it to this many tokens; a document is never split.
 BLOCK_TOKENS = 1 << 20
 END_ID = 2
-#: Pre-tokens in each of two generations of a worker's cache, and a quarter as many chunks: about 250 MB when full.
-WORDS = 500_000
+#: Pre-tokens in each of two generations of a worker's cache: about 230 MB when full.
+WORDS = 600_000
 LOW = 1 << 32
-_HEAD = struct.Struct("<4sIIIqqqqq")
+_HEAD = struct.Struct("<4sIIIIqqqqqq")
+#: Characters of a text that tell rows of one id apart when documents are dealt out.
+TIE_CHARS = 64
+
+
+def id_kind(size: int) -> str:
+    """The unsigned type of ids below ``size``."""
+    return "<u2" if size <= 1 << 16 else "<u4"
+
+
+def scale_of(distinct: int) -> int:
+    """Scale bits with room for ``distinct`` ids: at least twice as many slots."""
+    return max(SCALE, int(distinct).bit_length() + 1)
 
 
 def scaled(counts: np.ndarray, scale: int = SCALE) -> np.ndarray:
@@ -50,7 +68,7 @@ def scaled(counts: np.ndarray, scale: int = SCALE) -> np.ndarray:
     if not total:
         return np.zeros(len(counts), np.int64)
     if np.count_nonzero(counts) > size // 2:
-        raise ValueError(f"{np.count_nonzero(counts)} ids need a scale above {scale}")
+        raise ValueError(f"{np.count_nonzero(counts)} ids need a scale above {scale}: see scale_of")
     freqs = np.where(counts > 0, np.maximum(1, counts * (size / total)), 0).astype(np.int64)
     while (over := int(freqs.sum()) - size) != 0:
         if over < 0:
@@ -119,12 +137,16 @@ def decode_run(table: Table, states: np.ndarray, words: np.ndarray, at: int, tok
     return out
 
 
-def pack(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray, table: Table, lanes: int = LANES, run: int = RUN) -> bytes:
+def pack(doc_ids: list, lengths: list[int], ids: np.ndarray, table: Table, lanes: int = LANES, run: int = RUN) -> bytes:
+    """A block of documents whose ids are all integers or all text, or None."""
     checkpoints, words = encode(ids, table, lanes, run) if len(ids) else ([], np.zeros(0, "<u4"))
-    head = _HEAD.pack(b"RNS1", table.scale, lanes, run, len(ids), len(doc_ids), -(-len(ids) // lanes), len(checkpoints), len(words))
+    text = any(isinstance(x, str) for x in doc_ids)
+    names = [(x or "").encode() for x in doc_ids] if text else []
+    head = _HEAD.pack(b"RNS2", table.scale, lanes, run, text, len(ids), len(doc_ids), -(-len(ids) // lanes), len(checkpoints), len(words), sum(map(len, names)))
     parts = [
         head,
-        np.array([x or 0 for x in doc_ids], "<i8").tobytes(),
+        np.array([len(x) for x in names] if text else [x or 0 for x in doc_ids], "<i8").tobytes(),
+        *names,
         np.array([x is not None for x in doc_ids], "<u1").tobytes(),
         np.array(lengths, "<i8").tobytes(),
         *(s.astype("<u8").tobytes() + struct.pack("<II", at, crc) for s, at, crc in checkpoints),
@@ -133,14 +155,18 @@ def pack(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray, table:
     return b"".join(parts)
 
 
-def unpack(payload: bytes, table: Table) -> tuple[list[int | None], np.ndarray, np.ndarray]:
+def unpack(payload: bytes, table: Table) -> tuple[list, np.ndarray, np.ndarray]:
     """(document ids, lengths, all token ids); raises ValueError where a checksum or length is wrong."""
-    magic, scale, lanes, run, tokens, docs, _, count, size = _HEAD.unpack_from(payload)
-    if magic != b"RNS1" or scale != table.scale:
+    magic, scale, lanes, run, text, tokens, docs, _, count, size, named = _HEAD.unpack_from(payload)
+    if magic != b"RNS2" or scale != table.scale:
         raise ValueError("not a block of this table")
     at = _HEAD.size
-    keys = np.frombuffer(payload, "<i8", docs, at)
-    has = np.frombuffer(payload, "<u1", docs, at := at + 8 * docs)
+    keys = np.frombuffer(payload, "<i8", docs, at).tolist()
+    at += 8 * docs
+    if text:
+        ends = np.cumsum(keys).tolist() if docs else []
+        keys = [payload[at + e - n : at + e].decode() for e, n in zip(ends, keys, strict=True)]
+    has = np.frombuffer(payload, "<u1", docs, at := at + named)
     lengths = np.frombuffer(payload, "<i8", docs, at := at + docs)
     at += 8 * docs
     step = 8 * lanes + 8
@@ -156,105 +182,178 @@ def unpack(payload: bytes, table: Table) -> tuple[list[int | None], np.ndarray,
     ids = np.concatenate(runs) if runs else np.zeros(0, np.uint32)
     if int(lengths.sum()) != len(ids):
         raise ValueError("lengths don't match the block")
-    return [int(k) if h else None for k, h in zip(keys.tolist(), has.tolist(), strict=True)], lengths, ids
+    return [k if h else None for k, h in zip(keys, has.tolist(), strict=True)], lengths, ids
 
 
 class _Tokens:
-    """Texts to id bytes (uint16) by the tokenizers library.
+    """Texts to ids by the tokenizers library's model.
 
-    Pre-tokens are remembered in caches of bounded size, so the library's model only sees those that are new to the worker,
-    a batch at a time. Text of the first 256 characters is cut into pre-tokens at once; other text into chunks (runs
-    without ASCII white space), which the library normalises and cuts.
+    A batch is cut into runs without ASCII white space, of which each distinct one is looked at once. Pre-tokens are
+    remembered in a cache of bounded size, so the model only sees those that are new to the worker, many at a time.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.pretokens = Pretokens(path)
-        if self.pretokens.tokenizer.get_vocab_size() > 1 << 16:
-            raise ValueError("ids need more than 16 bits")
-        self.model = Tokenizer(self.pretokens.tokenizer.model)
+        model = self.pretokens.spec["model"]
+        size = max([*model["vocab"].values(), *self.pretokens.specials.values()], default=0) + 1
+        self.kind = np.dtype(id_kind(size))
+        self.single = Tokenizer(self.pretokens.tokenizer.model)
+        self.joined = Tokenizer(self.pretokens.tokenizer.model)
+        self.joined.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        suffix = model.get("end_of_word_suffix")
+        #: ids that end a word; without a suffix words can't be told apart in a joined text
+        self.ends = None
+        if suffix:
+            self.ends = np.zeros(size, bool)
+            self.ends[[i for t, i in model["vocab"].items() if t.endswith(suffix)]] = True
         self.pretokens.spec = None
         # Fixed value: the tokenizer's word pattern, for lower-case text of the first 256 characters.
         self.latin_words = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\sa-zªµºß-öø-ÿ0-9²³¹¼½¾]+").findall
-        self.words, self.chunks = Cache(WORDS), Cache(WORDS // 4)
-
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        found, new_chunks, new_words = [], {}, {}
-        for text in texts:
-            if text and self.pretokens.latin(text):
-                names, cache, new = self.latin_words(text.decode().lower()), self.words, new_words
-            else:
-                names, cache, new = text.split() if text else [], self.chunks, new_chunks
-            parts = list(map(cache.new.get, names))
-            if None in parts:
-                for at, value in enumerate(parts):
-                    if value is None and (value := cache.get(names[at])) is None:
-                        new[names[at]] = b""
-                    parts[at] = value
-            found.append((names, parts, new))
-        if new_words:
-            self._learn_words(new_words)
-        if new_chunks:
-            self._learn_chunks(new_chunks)
-        return [b"".join([new[n] if p is None else p for n, p in zip(names, parts, strict=True)]) if None in parts else b"".join(parts) for names, parts, new in found]
-
-    def _learn_words(self, new: dict[str, bytes]) -> None:
-        """Fills in the ids of pre-tokens and remembers them. They are in plain spelling; the model's is that of bytes."""
-        spelling = self.pretokens.spelling
-        names = list(new)
-        spelled = [w if w.isascii() and w.isprintable() else "".join([spelling[b] for b in w.encode()]) for w in names]
-        for name, coded in zip(names, self.model.encode_batch_fast(spelled, add_special_tokens=False), strict=True):
-            new[name] = array("H", coded.ids).tobytes()
-            self.words.put(name, new[name])
-
-    def _learn_chunks(self, new: dict[bytes, bytes]) -> None:
-        for chunk in new:
-            ids = (np.array([w], "<u2").tobytes() if isinstance(w, int) else array("H", self.model.encode(w, add_special_tokens=False).ids).tobytes() for w in self.pretokens.split(chunk))
-            new[chunk] = b"".join(ids)
-            self.chunks.put(chunk, new[chunk])
+        self.spell = {b: s for b, s in self.pretokens.spelling.items() if b != 32}
+        self.bytes = {ord(s): b for b, s in self.pretokens.spelling.items()}
+        self.words = Cache(WORDS)
+
+    def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all texts, how many each text has)."""
+        parts: tuple[list, list] = ([], [])
+        owners: tuple[list, list] = ([], [])
+        for at, text in enumerate(texts):
+            for piece in pieces(text or b""):
+                latin = self.pretokens.latin(piece)
+                # lower case as normalisation makes it; so more runs are equal
+                parts[latin].append(piece.decode().lower().encode() if latin else piece)
+                owners[latin].append(at)
+        done = [self._group(group, bool(latin)) for latin, group in enumerate(parts)]
+        counts = np.zeros(len(texts), np.int64)
+        for (_, each), own in zip(done, owners, strict=True):
+            np.add.at(counts, own, each)
+        if not parts[0] or not parts[1]:
+            return done[bool(parts[1])][0], counts
+        # two groups: each piece goes where its text lies
+        order = np.argsort(np.concatenate([np.array(o, np.int64) for o in owners]), kind="stable")
+        each = np.concatenate([e for _, e in done])
+        ends = np.cumsum(each)
+        pool = np.concatenate([i for i, _ in done])
+        return np.concatenate([pool[ends[i] - each[i] : ends[i]] for i in order.tolist()]), counts
+
+    def _group(self, parts: list[bytes], latin: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many of each part) of parts that are all lower-case text of the first 256 characters, or all as they came."""
+        names, runs, sizes = distinct_runs(parts)
+        # no cycles are made here, and looking for them among all that is cached takes a fifth of the time
+        gc.disable()
+        try:
+            values = self._values(names, latin)
+        finally:
+            gc.enable()
+        lengths = np.fromiter(map(len, values), np.int64, len(values)) // self.kind.itemsize
+        starts, pool = np.cumsum(lengths) - lengths, np.frombuffer(b"".join(values), self.kind)
+        each = lengths[runs]
+        ends = np.cumsum(each)
+        ids = pool[np.arange(int(each.sum())) + np.repeat(starts[runs] - ends + each, each)]
+        return ids, np.diff(np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])])
+
+    def _values(self, names: list[bytes], latin: bool) -> list[bytes]:
+        """The ids of each run, as bytes."""
+        # most runs are a pre-token by themselves
+        values = list(map(self.words.new.get, names))
+        known: dict[bytes | int, bytes | None] = {}
+        cut: list[tuple[int, list]] = []
+        for at, value in enumerate(values):
+            if value is None:
+                name = names[at]
+                if latin and (name.isalpha() or name.decode().isalpha()):
+                    parts = [name]
+                elif latin:
+                    parts = [w.encode() for w in self.latin_words(name.decode())]
+                else:
+                    parts = [w if isinstance(w, int) else w.translate(self.bytes).encode("latin-1") for w in self.pretokens.split(name)]
+                cut.append((at, parts))
+                for part in parts:
+                    if part not in known:
+                        known[part] = self.words.get(part) if isinstance(part, bytes) else np.array([part], self.kind).tobytes()
+        new = [w for w, v in known.items() if v is None]
+        if new:
+            self._learn(new, known)
+        for at, parts in cut:
+            values[at] = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
+        return values
+
+    def _learn(self, new: list[bytes], known: dict[bytes | int, bytes | None]) -> None:
+        texts = [b" ".join(new[at : at + 1024]).decode("latin-1").translate(self.spell) for at in range(0, len(new), 1024)]
+        ids = ends = None
+        if self.ends is not None:
+            ids = np.concatenate([np.array(e.ids, self.kind) for e in self.joined.encode_batch_fast(texts, add_special_tokens=False)])
+            ends = np.flatnonzero(self.ends[ids]) + 1
+        if ends is None or len(ends) != len(new):
+            each = [np.array(e.ids, self.kind) for t in texts for e in self.single.encode_batch_fast(t.split(" "), add_special_tokens=False)]
+            ids, ends = np.concatenate(each), np.cumsum([len(x) for x in each])
+        data, at, put = ids.tobytes(), 0, self.words.put
+        for word, end in zip(new, (ends * self.kind.itemsize).tolist(), strict=True):
+            known[word] = data[at:end]
+            put(word, known[word])
+            at = end
 
 
 _workers: dict[str, _Tokens] = {}
 
 
-def _tokens(path: str) -> _Tokens:
-    import os
+def _size(path: str, end_id: int) -> int:
+    """One more than the greatest id of a tokenizer file, or ``end_id``."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    return max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"]), end_id]) + 1
 
+
+def _tokens(path: str) -> _Tokens:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if path not in _workers:
         _workers[path] = _Tokens(path)
     return _workers[path]
 
 
-RAW = "part int, block int, first long, tokens long, keys array<long>, lengths array<long>, ids binary, token array<int>, n array<long>"
+RAW = "part int, block int, first long, tokens long, keys array<{id}>, lengths array<long>, ids binary, token array<int>, n array<long>"
 
 
 def raw_blocks(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
-    """Blocks of ids as they are (uint16), documents in ascending order; and, in rows without ids, how often the part has each token."""
-    ordered = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body"))
-    ordered = ordered.repartitionByRange("id").sortWithinPartitions("id", "body")
-    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())]
-    names = [x.split()[0] for x in RAW.split(", ")]
+    """Blocks of ids as they are, documents in ascending order; and, in rows without ids, how often the part has each token."""
+    whole = isinstance(docs.schema[id_col].dataType, T.IntegralType)
+    ordered = docs.select(F.col(id_col).cast("long" if whole else "string").alias("id"), F.col(text_col).alias("body"))
+    # rows of one id are dealt by their text's beginning, so that an id with very many rows is spread too
+    ordered = ordered.repartitionByRange("id", F.substring("body", 1, TIE_CHARS)).sortWithinPartitions("id", "body")
+    name = ordered.schema["id"].dataType.simpleString()
+    key = pa.int64() if whole else pa.string()
+    schema = RAW.format(id="long" if whole else name)
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(key), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, part, end = _tokens(path), TaskContext.get().partitionId(), np.array([end_id], "<u2").tobytes()
+        tokens, part = _tokens(path), TaskContext.get().partitionId()
         keys, lengths, held, size, first, block = [], [], [], 0, 0, 0
-        counts = np.zeros(1 << 16, np.int64)
+        counts = np.zeros(end_id + 1, np.int64)
         row = lambda *values: pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=names)
 
         def closed() -> pa.RecordBatch:
             nonlocal counts
-            ids = b"".join(held)
-            counts += np.bincount(np.frombuffer(ids, "<u2"), minlength=1 << 16)
-            return row(part, block, first, size, keys, lengths, ids, None, None)
-
-        for batch in slices(batches, 128):
-            for key, coded in zip(batch.column(0).to_pylist(), tokens.encode(binary_column(batch, "body").to_pylist()), strict=True):
-                keys.append(key)
-                held += [coded, end]
-                lengths.append(len(coded) // 2 + 1)
-                size += lengths[-1]
+            ids = np.concatenate(held)
+            more = np.bincount(ids, minlength=len(counts))
+            more[: len(counts)] += counts
+            counts = more
+            return row(part, block, first, size, keys, lengths, ids.tobytes(), None, None)
+
+        for batch in sized(batches, 1):
+            ids, each = tokens.encode(binary_column(batch, "body").to_pylist())
+            ids, each = np.insert(ids, np.cumsum(each), end_id), each + 1
+            names_now, ends, doc, at = batch.column(0).to_pylist(), np.cumsum(each), 0, 0
+            while doc < len(names_now):
+                # up to the document that fills the block, or the last one
+                stop = min(len(names_now), int(np.searchsorted(ends, at + BLOCK_TOKENS - size)) + 1)
+                end = int(ends[stop - 1])
+                keys += names_now[doc:stop]
+                lengths += each[doc:stop].tolist()
+                held.append(ids[at:end])
+                size, doc, at = size + end - at, stop, end
                 if size >= BLOCK_TOKENS:
                     yield closed()
                     first, block = first + size, block + 1
@@ -264,26 +363,27 @@ def raw_blocks(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         seen = np.flatnonzero(counts)
         yield row(part, -1, 0, 0, None, None, None, seen.tolist(), counts[seen].tolist())
 
-    return ordered.mapInArrow(run, RAW)
+    return ordered.mapInArrow(run, schema)
 
 
 def _shared(spark: SparkSession, folder: str):
-    """The table of a stored set as a broadcast: at most 2^16 frequencies of 4 bytes, whatever the corpus."""
-    rows = spark.read.parquet(f"{folder}/table").collect()
-    freqs = np.zeros(1 << 16, np.uint32)
-    for r in rows:
+    """(scale, frequencies) of a stored set as a broadcast: 4 bytes for each id of the vocabulary, whatever the corpus."""
+    meta = spark.read.parquet(f"{folder}/meta").first()
+    freqs = np.zeros(meta["size"], np.uint32)
+    for r in spark.read.parquet(f"{folder}/table").collect():
         freqs[r["token"]] = r["freq"]
-    return spark.sparkContext.broadcast(freqs)
+    return spark.sparkContext.broadcast((meta["scale"], freqs)), meta["keys"]
 
 
-_tables: dict[bytes, Table] = {}
+_tables: dict[tuple, Table] = {}
 
 
-def _table(freqs: np.ndarray) -> Table:
-    key = freqs.tobytes()
+def _table(shared: tuple[int, np.ndarray]) -> Table:
+    scale, freqs = shared
+    key = (scale, freqs.tobytes())
     if key not in _tables:
         _tables.clear()
-        _tables[key] = Table(freqs)
+        _tables[key] = Table(freqs, scale)
     return _tables[key]
 
 
@@ -291,36 +391,44 @@ def write_tokens(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id"
     """Writes the stored set of all documents, in ascending order of id (nulls first, ties by text), into a new ``folder``.
 
     Each document's ids are followed by ``end_id``; null and blank text have it alone. Documents are dealt to the parts
-    by ranges of the id, so parts, blocks and documents follow each other in order.
+    by ranges of the id, so parts, blocks and documents follow each other in order. Ids may be of any type; those that
+    aren't integers are kept, and ordered, as text. Repeated rows are documents of their own. An empty table gives a set
+    without blocks. Other columns are not read.
     """
     spark = docs.sparkSession
-    raw_blocks(docs, path, id_col, text_col, end_id).write.option("compression", "zstd").parquet(f"{folder}/raw")
-    raw = spark.read.schema(RAW).parquet(f"{folder}/raw")
+    ids = raw_blocks(docs, path, id_col, text_col, end_id)
+    ids.write.option("compression", "zstd").parquet(f"{folder}/raw")
+    raw = spark.read.schema(ids.schema).parquet(f"{folder}/raw")
     counts = raw.filter("block < 0").select(F.inline(F.arrays_zip("token", "n"))).groupBy("token").agg(F.sum("n").alias("n"))
-    dense = np.zeros(1 << 16, np.int64)
-    for r in counts.collect():  # at most 2^16 rows
-        dense[r["token"]] = r["n"]
-    freqs = scaled(dense)
+    seen = {r["token"]: r["n"] for r in counts.collect()}  # at most the ids there are
+    dense = np.zeros(max(seen, default=0) + 1, np.int64)
+    dense[list(seen)] = list(seen.values())
+    scale = scale_of(len(seen))
+    freqs = scaled(dense, scale)
     rows = [(int(t), int(freqs[t])) for t in np.flatnonzero(freqs)]
+    keys = ids.schema["keys"].dataType.elementType.simpleString()
+    spark.createDataFrame([(keys, scale, len(dense))], "keys string, scale int, size int").coalesce(1).write.parquet(f"{folder}/meta")
     spark.createDataFrame(rows, "token int, freq int").coalesce(1).write.parquet(f"{folder}/table")
-    shared = _shared(spark, folder)
+    shared, _ = _shared(spark, folder)
+    kind = id_kind(_size(path, end_id))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(shared.value)
         for batch in slices(batches, 1):
             keys, lengths, ids = (batch.column(i)[0].as_py() for i in (4, 5, 6))
-            payload = pack(keys, lengths, np.frombuffer(ids, "<u2"), table)
+            payload = pack(keys, lengths, np.frombuffer(ids, kind), table)
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array([payload], pa.binary())], names=["part", "block", "first", "tokens", "payload"])
 
     blocks = raw.filter("block >= 0").select("part", "block", "first", "tokens", "keys", "lengths", "ids")
     blocks.mapInArrow(run, "part int, block int, first long, tokens long, payload binary").write.parquet(f"{folder}/blocks")
+    removed(spark, f"{folder}/raw")
     return folder
 
 
 def read_tokens(spark: SparkSession, folder: str, digest: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids): from the files alone; start counts the ids of all documents before. digest: ids_crc32 instead of ids."""
-    shared = _shared(spark, folder)
-    blocks = spark.read.parquet(f"{folder}/blocks")
+    shared, keys = _shared(spark, folder)
+    blocks = spark.read.schema("part int, block int, first long, tokens long, payload binary").parquet(f"{folder}/blocks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(shared.value)
@@ -329,14 +437,20 @@ def read_tokens(spark: SparkSession, folder: str, digest: bool = False) -> DataF
             ends = np.cumsum(lengths)
             begins = ends - lengths
             raw = [ids[b:e].astype("<u4") for b, e in zip(begins.tolist(), ends.tolist(), strict=True)]
-            last = pa.array([zlib.crc32(x.tobytes()) for x in raw], pa.int64()) if digest else pa.array([x.tolist() for x in raw], pa.list_(pa.int32()))
+            last = pa.array([zlib.crc32(x) for x in raw], pa.int64()) if digest else pa.array([x.tolist() for x in raw], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(docs), batch.column(0)[0].as_py(), np.int32)), pa.array(docs, pa.int64()), pa.array(begins + batch.column(1)[0].as_py()), pa.array(lengths.astype(np.int64)), last],
+                [
+                    pa.array(np.full(len(docs), batch.column(0)[0].as_py(), np.int32)),
+                    pa.array(docs, pa.int64() if keys == "bigint" else pa.string()),
+                    pa.array(begins + batch.column(1)[0].as_py()),
+                    pa.array(lengths.astype(np.int64)),
+                    last,
+                ],
                 names=["part", "doc_id", "inside", "n_tokens", "last"],
             )
 
     kind = "long" if digest else "array<int>"
-    found = blocks.select("part", "first", "payload").mapInArrow(run, f"part int, doc_id long, inside long, n_tokens long, last {kind}")
+    found = blocks.select("part", "first", "payload").mapInArrow(run, f"part int, doc_id {keys}, inside long, n_tokens long, last {kind}")
     # one row a part: their running sum is over as many rows as the set has files
     parts = blocks.groupBy("part").agg(F.sum("tokens").alias("tokens"))
     before = F.coalesce(F.sum("tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
