@@ -76,6 +76,47 @@ def test_visible_text(spark):
     assert row[0].v == "A b z\np & <b> A\n\nH\n\nend" and row[1].v is None
 
 
+def test_visible_text_entities_and_nesting():
+    cases = {
+        "&#8217;&#x2019;&eacute;&euro;&rarr;&amp;lt;&nosuch;": "’’é€→<&nosuch;",
+        "a [[File:x|" + "[[n|" * 6 + "y" + "]]" * 6 + "]] b": "a b",
+        "a [[Image:x|[[b]] c": "a [[Image:x|[[b]] c",
+        "[[category:x]][[ : Category:y]][[a|Category:z]]": "[[a|Category:z]]",
+        "a\n\n== H ==\n\nb": "a\nH\nb",
+        "[//x.y l m] [HTTPS://q r] [//x] [http://x y [z] w]": "l m r [//x] y [z w]",
+        "a<ref name=q/>b<ref>c</ref>d<REF x>e</ref >f": "adf",
+        "x<ref name='q' />y": "xy",
+        '<div class="big error x">n<br>o</div>p<span class=error>q</span>r<style>s</style>': "p\nr".replace("\n", ""),
+        "1 < 2 <b a='>'>x</b> <!DOCTYPE q>": "1 < 2 x",
+        "__TOC__ __A_B__ __no__ __A": "__no__ __A",
+        "q\n{| class=x\n|-\n| gone\n| left\n|- a\n|}\nr": "q\n\n| left\n\nr",
+        "a\xa0\t b \n \n\n\n c": "a b\n\nc",
+    }
+    for text, want in cases.items():
+        assert cleanup.shown(text) == want, text
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+
+    from wikiloom.operators import nodes
+
+    def took(f, make):
+        best = []
+        for n in (2_000, 8_000):
+            text = make(n)
+            start = time.perf_counter()
+            f(text)
+            best.append(time.perf_counter() - start)
+        return best
+
+    makers = [lambda n: "{{a " * n, lambda n: "[[File:a " * n, lambda n: "<a <ref <div class=error>" * n, lambda n: "<ref>" * n, lambda n: "[http://a " * n, lambda n: ("'" * 5 + "[[x") * n, lambda n: "{|\n" * n, lambda n: "<table>" * n, lambda n: "<nowiki>" * n, lambda n: "{{a start}}" * n, lambda n: "[[a]] {{b}}\n* c\n" * n]
+    for f in (cleanup.shown, components.scan, nodes.spans, lambda t: nodes.numbered(nodes.spans(t)), sentences.fold_lists):
+        for make in makers:
+            small, large = took(f, make)
+            assert large < 0.3 or large < 10 * small, (f, make(1), small, large)
+
+
 def test_template_bodies(spark):
     cases = {"a<noinclude>x</noinclude>b": "ab", "a<noinclude>x": "a", "<includeonly>c</includeonly>d": "cd", "a<onlyinclude>q</onlyinclude>b<onlyinclude>r</onlyinclude>": "qr", "a<!-- x -->b<!-- y": "ab"}
     for text, want in cases.items():
@@ -116,14 +157,41 @@ def test_expansion(spark):
         2: ("a{{li}}b {{nope|1}}", "a\n* ab [[:Template:nope]]"),
         3: ("{{Rec|x|yy}} {{#if:{{{q|}}}|a|b}} {{#expr:1+2}} {{PAGENAME}}", "Hi x (YY) b 3 P"),
         4: ("{{SITENAME}} {{note|[[a|b]]}}", "{{SITENAME}} [[[a|b]]]"),
-        5: ("{{loop}}", '<strong class="error">too deep recursion during template expansion</strong>'),
+        5: ("{{loop}}", '<strong class="error">Template loop detected: [[:Template:loop]]</strong>'),
         6: ("plain", "plain"),
+        7: ("a\n<!-- {{hello}} -->b <nowiki>{{hello}} [x]</nowiki> <nowiki></nowiki>{<nowiki/>{hello}} {{raw|z}}", "ab &#123;&#123;hello&#125;&#125; &#91;x&#93; <nowiki/>{<nowiki />{hello}} &#123;&#123;&#123;1&#125;&#125;&#125; z"),
+        8: ("{{ping}}", '<strong class="error">Template loop detected: [[:Template:pong]]</strong>'),
+        9: ("{{deep1}}", "end"),
+        10: ("{{PAGESIZE:Nope}} {{#lst:Self|s}}", '<strong class="error">Page not found for PAGESIZE</strong> q <strong class="error">Template loop detected: [[:Template:#lst]]</strong>'),
+        11: (None, None),
     }
+    bodies += [("Template:Raw", "<nowiki>{{{1}}}</nowiki> {{{1}}}"), ("Template:Ping", "{{pong}}"), ("Template:Pong", "{{ping}}"), ("Self", "<section begin=s/>q {{#lst:Self|s}}<section end=s/>")]
+    bodies += [(f"Template:Deep{i}", f"{{{{deep{i + 1}}}}}" if i < 45 else "end") for i in range(1, 46)]
     texts = spark.createDataFrame([(k, t, "P") for k, (t, _) in cases.items()], "k int, t string, p string")
-    got = expand.expand(texts, spark.createDataFrame(bodies, "title string, body string"), "k", "t", "p", max_rounds=6)
+    got = expand.expand(texts, spark.createDataFrame(bodies, "title string, body string"), "k", "t", "p")
     assert {r.k: r.expanded for r in got.collect()} == {k: want for k, (_, want) in cases.items()}
 
 
+def test_expansion_options(spark):
+    ensure_checkpoints(spark)
+    bodies = spark.createDataFrame([("Template:A", "a{{b}}"), ("Template:B", "b-{x}-"), ("Template:C", "{{c2}}"), ("Template:C2", "{{c3}}"), ("Template:C3", "z")], "title string, body string")
+    run = lambda text, **k: expand.expand(spark.createDataFrame([(1, text, "P")], "k int, t string, p string"), bodies, "k", "t", "p", **k).first()
+    assert run("{{a}} {{b}}", only=["a"]).expanded == "a{{b}} {{b}}"
+    assert run("{{a|1}} {{b}}", never=["b"]).expanded == "a{{b}} {{b}}"
+    assert run("{{a}} {{b|q}}", given="IF(name = 'b', concat('<', get(args, 0), '{{a}}>'), NULL)").expanded.split()[-1] == "<q{{a}}>"
+    assert run("{{b}}", after="IF(name = 'b', upper(value), NULL)", variants=True).expanded == "BX"
+    assert run("{{maj:x}}", aliases={"maj": "uc"}).expanded == "X"
+    row = run("{{c}}", max_depth=2, notes=True)
+    assert row.expanded == '<strong class="error">too deep recursion while expanding template {{c3}}</strong>' and [tuple(n) for n in row.notes] == [("depth", "c3")]
+    statements = spark.createDataFrame([("Q1", "P1", "v"), ("", "P1", "own")], "item string, property string, value string")
+    languages = spark.createDataFrame([("de", "German")], "code string, name string")
+    assert run("{{#property:P1|from=Q1}} {{#statements:P1}} {{#property:P9}}. {{#language:de}} {{#language:qq}}.", statements=statements, languages=languages).expanded == "v own . German ."
+    assert len(run("{{CURRENTWEEK}}{{LOCALWEEK}}").expanded) == 4
+    both = spark.createDataFrame([(1, "{{c}}<b>x</b> &eacute; {{nope}}", "P"), (2, "''y''", "P")], "k int, t string, p string")
+    got = {r.k: (r.text, r.parse_error) for r in expand.expanded_text(both, bodies, "k", "t", "p", max_depth=1).collect()}
+    assert got[2] == ("y", None) and got[1][0].endswith("x é [[:Template:nope]]") and got[1][1] == "WTP depth: c2"
+
+
 def test_components(spark):
     text = "{{Infobox x\n|a={{b}}\n}}\nText [[Link|l]] and [http://a.b c] <ref>r [[x]]</ref>, http://z.org/q. {{inline}} [[File:a.png|t [[b]]]]\n* list [[no]] <ref>z</ref>\n{{alone}}\n{{col start}}in [[k]]{{col end}}\n{| t\n|}\n== S2 ==\n<!-- c [[x]] -->[[Q]] {{two}}{{three}}\n\n{{two}} {{three}}\n\nend {{open"
     done = components.with_components(hierarchy.with_sections(page(spark, text)))

@@ -1,8 +1,8 @@
 """Typed components of section texts, replaced by placeholders.
 
 A small scanner in Arrow batches finds the outermost markup of a text (templates, tables, references, links, bare
-addresses). Which of it is a component, numbering over a page's sections, placeholders, restoring and the component
-relations are expressions and one explode.
+addresses) in one pass, numbers what of it is a component over a page's sections, and puts the placeholders in. Restoring
+and the component relations are expressions and one explode.
 
 Rules: paired start/end templates are one block with what lies between; a template is independent if its line or
 paragraph holds templates only; infoboxes and tables always count; within lists nothing else counts; links to pages are
@@ -12,6 +12,8 @@ recorded but stay in the text.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -23,48 +25,54 @@ TYPES = ("infobox", "table", "independent_template", "wikilinks", "external_link
 MARK = "♣  ♣  ♣"
 
 _OPEN = re.compile(r"\{\{|\[\[|\{\||<ref\b[^>]*>|<table\b[^>]*>|\[(?=(?:https?:)?//)|(?<![\w\[])https?://[^\s\[\]<>\"|{}]+|<nowiki>", re.I)
+#: opening brackets: kind, and the pattern of both brackets
+_PAIRS = {"{{": ("template", r"\{\{|\}\}"), "[[": ("link", r"\[\[|\]\]"), "{|": ("table", r"\{\||\|\}")}
 _LIST = re.compile(r"[ \t]*[*#;:]")
 _STARTS, _ENDS = ("start", "top", "begin"), ("end", "bottom")
 
 
-def _close(text: str, at: int, opener: str, closer: str) -> int:
-    """Where the bracket pair that opens at ``at`` is closed (behind it); -1 if it isn't."""
-    depth, pos = 0, at
-    while pos < len(text):
-        if text.startswith(opener, pos):
-            depth, pos = depth + 1, pos + len(opener)
-        elif text.startswith(closer, pos):
-            depth, pos = depth - 1, pos + len(closer)
-            if not depth:
-                return pos
-        else:
-            pos += 1
-    return -1
+def _closed(text: str, brackets: str) -> dict[int, int]:
+    """Where each pair of these brackets that is closed begins and ends (behind it), from one pass."""
+    found, open_at = {}, []
+    for m in re.finditer(brackets, text):
+        if m[0] in _PAIRS:
+            open_at.append(m.start())
+        elif open_at:
+            found[open_at.pop()] = m.end()
+    return found
+
+
+def _ends(text: str, pattern: str) -> Callable[[int], int]:
+    """A function from a place to the end of the first match behind it, -1 if there is none."""
+    found = [(m.start(), m.end()) for m in re.finditer(pattern, text, re.I)]
+    starts = [s for s, _ in found]
+
+    def first(at: int) -> int:
+        i = bisect_left(starts, at)
+        return found[i][1] if i < len(found) else -1
+
+    return first
 
 
 def outermost(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of the outermost markup, in order: template, table, ref, link, url."""
     found, at = [], 0
+    closed = {what: _closed(text, pattern) for what, (_, pattern) in _PAIRS.items()}
+    table, ref, nowiki, square, line = (_ends(text, p) for p in ("</table>", r"</ref\s*>", "</nowiki>", r"\]", r"\n"))
     while m := _OPEN.search(text, at):
         what, start = m[0].lower(), m.start()
         kind, end = "", -1
-        if what == "{{":
-            kind, end = "template", _close(text, start, "{{", "}}")
-        elif what == "[[":
-            kind, end = "link", _close(text, start, "[[", "]]")
-        elif what == "{|":
-            kind, end = "table", _close(text, start, "{|", "|}")
+        if what in _PAIRS:
+            kind, end = _PAIRS[what][0], closed[what].get(start, -1)
         elif what.startswith("<table"):
-            kind, end = "table", text.lower().find("</table>", m.end())
-            end += 8 if end >= 0 else 0
+            kind, end = "table", table(m.end())
         elif what.startswith("<ref"):
-            close = re.compile(r"</ref\s*>", re.I).search(text, m.end())
-            kind, end = "ref", m.end() if what.endswith("/>") else close.end() if close else -1
+            kind, end = "ref", m.end() if what.endswith("/>") else ref(m.end())
         elif what == "<nowiki>":
-            end = text.lower().find("</nowiki>", m.end())
+            end = nowiki(m.end())
         elif what == "[":
-            kind, end = "url", text.find("]", m.end()) + 1 or -1
-            if "\n" in text[start : max(end, start)]:
+            kind, end = "url", square(m.end())
+            if -1 < line(start) < end:
                 end = -1
         else:
             kind, end = "url", m.end() - (len(m[0]) - len(m[0].rstrip(".,;:!?")))
@@ -100,9 +108,23 @@ def _blocks(text: str, nodes: list[tuple[str, int, int]]) -> list[tuple[str, int
             stack.append((start, family))
         elif side == "close" and stack and (not family or family == stack[-1][1]):
             pairs.append((stack.pop()[0], end))
-    outer = [p for p in pairs if not any(q[0] < p[0] and p[1] < q[1] for q in pairs)]
-    rest = [n for n in nodes if not any(a <= n[1] and n[2] <= b for a, b in outer)]
-    return sorted([*rest, *(("block", a, b) for a, b in outer)], key=lambda n: n[1])
+    outer: list[tuple[int, int]] = []
+    for a, b in sorted(pairs):  # pairs are nested or apart
+        if not outer or a >= outer[-1][1]:
+            outer.append((a, b))
+    inside = _within(outer)
+    return sorted([*(n for n in nodes if not inside(n[1])), *(("block", a, b) for a, b in outer)], key=lambda n: n[1])
+
+
+def _within(spans: list[tuple[int, int]]) -> Callable[[int], bool]:
+    """Whether a place lies in one of ``spans``, which are in order and apart."""
+    starts = [a for a, _ in spans]
+
+    def test(at: int) -> bool:
+        i = bisect_right(starts, at) - 1
+        return i >= 0 and at < spans[i][1]
+
+    return test
 
 
 def _alone(text: str, nodes: list[tuple[str, int, int]]) -> set[int]:
@@ -114,10 +136,12 @@ def _alone(text: str, nodes: list[tuple[str, int, int]]) -> set[int]:
         else:
             bare[start:end] = "x" * (end - start)
     shadow, found = "".join(bare), set()
+    stops = {s: e for k, s, e in nodes if k == "template"}
+    starts = list(stops)
     for pattern in (r"[^\n]+", r"(?s).+?(?=\r?\n[ \t]*\r?\n|\Z)"):
         for m in re.finditer(pattern, shadow):
             if "\0" in m[0] and not m[0].replace("\0", "").replace("\1", "").strip():
-                found |= {s for k, s, e in nodes if k == "template" and m.start() <= s and e <= m.end()}
+                found.update(s for s in starts[bisect_left(starts, m.start()) : bisect_left(starts, m.end())] if stops[s] <= m.end())
     return found
 
 
@@ -137,10 +161,10 @@ def scan(text: str | None) -> list[tuple[int, str, int, int, str, str]]:
             taken.append((1, "independent_template", start, end, source, source))
         elif kind == "table":
             taken.append((1, "table", start, end, source, source))
-    spans = [(t[2], t[3]) for t in taken]
-    lists = [(m.start(), m.end()) for m in re.finditer(r"[^\n]*\n?", text) if m[0] and _LIST.match(m[0])]
+    in_taken = _within([(t[2], t[3]) for t in taken])
+    in_list = _within([(m.start(), m.end()) for m in re.finditer(r"[^\n]*\n?", text) if m[0] and _LIST.match(m[0])])
     for kind, start, end in nodes:
-        if kind not in ("ref", "link", "url") or any(a <= start < b for a, b in (*spans, *lists)):
+        if kind not in ("ref", "link", "url") or in_taken(start) or in_list(start):
             continue
         source = text[start:end]
         if kind == "ref":
@@ -158,7 +182,27 @@ def scan(text: str | None) -> list[tuple[int, str, int, int, str, str]]:
     return taken
 
 
-_ITEM = "struct<phase:int,type:string,start:int,stop:int,text:string,source:string>"
+_MADE = "struct<texts:array<string>,components:array<struct<type:string,component_id:string,text:string,source:string>>>"
+
+
+def page_components(texts: list[str], page_id: int) -> dict:
+    """Section texts without comments and with placeholders, and the page's components in order of section, phase and place."""
+    numbers: dict[str, int] = {}
+    out, components = [], []
+    for text in texts:
+        placed = []
+        for phase, kind, start, end, shown, source in sorted(scan(text), key=lambda x: (x[0], x[2])):
+            numbers[kind] = numbers.get(kind, 0) + 1
+            name = f"{kind}-{page_id}-{numbers[kind]:04d}"
+            components.append({"type": kind, "component_id": name, "text": shown, "source": source})
+            if kind != "wikilinks":
+                placed.append((start, end, name))
+        pieces, at = [], 0
+        for start, end, name in sorted(placed):
+            pieces += [text[at:start], f"{MARK}  {name}{MARK}"]
+            at = end
+        out.append("".join([*pieces, text[at:]]) if text is not None else None)
+    return {"texts": out, "components": components}
 
 
 def with_components(pages: DataFrame) -> DataFrame:
@@ -167,35 +211,30 @@ def with_components(pages: DataFrame) -> DataFrame:
     Ids are type-page-NNNN, numbered by type over the page: section by section, templates and tables before the rest.
     """
 
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda many: [[tuple(x) for x in scan(t)] for t in many] if many is not None else None)
-
-    found = F.pandas_udf(run, f"array<array<{_ITEM}>>")
-    bare = pages.withColumn("__bare", F.expr(f"transform(sections, s -> regexp_replace(s.text, {quoted('(?s)<!--.*?-->')}, ''))"))
-    seen = bare.withColumn("__found", found("__bare"))
-    # numbers: position among the page's components of the type, in order of section, phase and place
-    flat = "flatten(transform(__found, (f, n) -> transform(array_sort(f, (a, b) -> CASE WHEN a.phase <> b.phase THEN a.phase - b.phase ELSE a.start - b.start END), x -> struct(n AS section, x.type AS type, x.start AS start, x.stop AS stop, x.text AS text, x.source AS source))))"
-    seen = seen.withColumn("__flat", F.expr(flat))
-    number = "size(filter(slice(__flat, 1, i + 1), y -> y.type = x.type))"
-    numbered = f"transform(__flat, (x, i) -> struct(x.section AS section, x.start AS start, x.stop AS stop, x.type AS type, format_string('%s-%d-%04d', x.type, page_id, {number}) AS component_id, x.text AS text, x.source AS source))"
-    seen = seen.withColumn("__numbered", F.expr(numbered))
-    mine = "array_sort(filter(__numbered, x -> x.section = n AND x.type <> 'wikilinks'), (a, b) -> a.start - b.start)"
-    # the text is put together from what lies between the components, and placeholders
-    state = "struct('' AS out, 0 AS at)"
-    step = f"struct(concat(st.out, substr(b, st.at + 1, x.start - st.at), '{MARK}  ', x.component_id, '{MARK}') AS out, x.stop AS at)"
-    text = f"aggregate({mine}, {state}, (st, x) -> {step}, st -> concat(st.out, substr(b, st.at + 1)))"
-    sections = f"transform(sections, (s, n) -> struct(s.section_no AS section_no, s.toc AS toc, s.heading AS heading, s.raw_text AS raw_text, transform(array(__bare[n]), b -> {text})[0] AS text))"
-    seen = seen.withColumn("sections", F.expr(sections))
-    seen = seen.withColumn("components", F.expr("transform(__numbered, x -> struct(x.type AS type, x.component_id AS component_id, x.text AS text, x.source AS source))"))
-    return seen.drop("__bare", "__found", "__flat", "__numbered")
+    def run(texts: pd.Series, ids: pd.Series) -> pd.DataFrame:
+        made = [page_components(t, i) if t is not None else {"texts": None, "components": None} for t, i in zip(texts, ids, strict=True)]
+        return pd.DataFrame(made, columns=["texts", "components"], dtype=object)
+
+    bare = f"transform(sections, s -> {without_comments('s.text')})"
+    seen = pages.withColumn("__made", F.pandas_udf(run, _MADE)(F.expr(bare), F.col("page_id")))
+    sections = "transform(sections, (s, n) -> struct(s.section_no AS section_no, s.toc AS toc, s.heading AS heading, s.raw_text AS raw_text, __made.texts[n] AS text))"
+    return seen.withColumn("sections", F.expr(sections)).withColumn("components", F.col("__made.components")).drop("__made")
+
+
+def without_comments(text: str) -> str:
+    """SQL: ``text`` without closed comments: each part behind an opener from its closer on."""
+    rest = "IF(instr(p, '-->') > 0, substr(p, instr(p, '-->') + 3), concat('<!--', p))"
+    return f"IF(instr({text}, '<!--') > 0, array_join(transform(split({text}, '<!--', -1), (p, i) -> IF(i = 0, p, {rest})), ''), {text})"
 
 
 def restored(text: str, components: str = "components") -> str:
     """SQL: ``text`` with its placeholders replaced by the sources of ``components``, once; unknown ones stay."""
     pattern = quoted(rf"{MARK}  ([^♣]+){MARK}")
     ids = f"regexp_extract_all({text}, {pattern}, 1)"
-    source = f"coalesce(get(transform(filter({components}, c -> c.component_id = i), c -> c.source), 0), concat('{MARK}  ', i, '{MARK}'))"
-    return f"array_join(zip_with(split({text}, {pattern}, -1), {ids}, (a, i) -> concat(a, IF(i IS NULL, '', {source}))), '')"
+    sources = f"map_from_entries(transform(coalesce({components}, array()), c -> struct(c.component_id, c.source)))"
+    source = f"coalesce(known[i], concat('{MARK}  ', i, '{MARK}'))"
+    whole = f"array_join(zip_with(split({text}, {pattern}, -1), {ids}, (a, i) -> concat(a, IF(i IS NULL, '', {source}))), '')"
+    return f"IF(instr({text}, '{MARK}') > 0, transform(array({sources}), known -> {whole})[0], {text})"
 
 
 def component_rows(pages: DataFrame, kind: str | None = None) -> DataFrame:

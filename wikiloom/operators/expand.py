@@ -1,28 +1,43 @@
 """Template expansion as rounds of Spark joins.
 
-Each round takes the innermost calls ``{{name|args}}`` out of all texts, evaluates parser functions as expressions, joins the
-other names to the store, puts the arguments into the bodies, and the results back into the texts. A round resolves one
-level of nesting everywhere at once; the rounds end when no text has a call, or at ``max_rounds``.
+Each round takes the innermost calls ``{{name|args}}`` out of all texts that still have calls, evaluates parser functions as
+expressions, joins the other names to the store, puts the arguments into the bodies, and the results back into the
+texts. A round resolves one level of nesting everywhere at once; the rounds end when no text has a call.
 
-Arguments are evaluated before the function (innermost first); the functions have no side effects, so this only differs
-where an unused branch holds an error. A name that is not found gives [[:Template:name]]; calls that are left at the
-end become the error element of a recursion that is too deep.
+A call that a body brings in carries the names of the templates it came through. A name that repeats as a pattern at the
+end of these gives the notice of a loop, and one behind MAX_DEPTH names the error of a recursion that is too deep, so
+the rounds always end. Arguments are evaluated before the function (innermost first); the functions have no side
+effects, so this only differs where an unused branch holds an error. A name that is not found gives [[:Template:name]].
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.library import nowiki
 from ..functions.parserfns import FUNCTIONS, NAMESPACES, UNIMPLEMENTED, dispatch, expr
-from ..functions.texts import quoted, strip
+from ..functions.texts import quoted, replace_all, strip
+from .cleanup import visible_text
 
 CALL = r"(?<!\{)\{\{(?!\{)[^{}]*(?:\{\{\{[^{}]*\}\}\}[^{}]*)*\}\}"
 PARAMETER = r"\{\{\{([^{}|]*)(\|[^{}]*)?\}\}\}"
 #: Functions whose value comes from the store; those of the first group from the page that the first argument names.
 OF_PAGE = ("#ifexist", "PAGESIZE", "#lst", "#section", "#Abschnitt", "#trecho", "#קטע", "int")
 OF_STORE = ("NUMBEROFPAGES", "NUMBEROFARTICLES")
-MAX_ROUNDS = 40
+#: These look into tables of statements and of language names.
+OF_TABLES = ("#property", "#statements", "#language")
+SUMS = ("#expr", "#ifexpr")
+# Nesting from which on a template isn't expanded, and the texts of faults, which pages test for.
+MAX_DEPTH = 100
+TOO_DEEP = '<strong class="error">too deep recursion while expanding template '
+LOOP = '<strong class="error">Template loop detected: [[:Template:'
+NO_PAGE = '<strong class="error">Page not found for PAGESIZE</strong>'
+NO_ARGUMENT = '<strong class="error">No arguments given to #pagesize</strong>'
+#: Control characters that text can't hold: a call's history, its end, its parts, what stands for the braces of calls that stay, and for nowiki elements that hold nothing.
+_FROM, _TO, _STEP, _SHUT, _NOTHING, _EMPTY = "\x11", "\x12", "\x13", "\x0e\x0f", "\x10", "\x14"
 _BAR, _NAMED = "\x06", r"(?s)^\s*([^=<>\[\]]+?)\s*=(.*)$"
 
 
@@ -33,14 +48,18 @@ def _arguments(inside: str) -> str:
     return f"transform(split({kept}, '[|]', -1), x -> replace(x, '\\u0006', '|'))"
 
 
-def parsed_call(call: str) -> str:
-    """SQL for struct(name, args): name stripped; a parser function's first argument follows a colon."""
+def parsed_call(call: str, aliases: dict[str, str] | None = None) -> str:
+    """SQL for struct(name, args, past): name stripped; a parser function's first argument follows a colon; past: names of templates it came through."""
     inside = f"substr({call}, 3, length({call}) - 4)"
+    past = f"IF(startswith({inside}, {quoted(_FROM)}), filter(split(substr(substring_index({inside}, {quoted(_TO)}, 1), 2), {quoted(_STEP)}), n -> n <> ''), cast(array() as array<string>))"
+    bare = f"IF(startswith({inside}, {quoted(_FROM)}), substr({inside}, instr({inside}, {quoted(_TO)}) + 1), {inside})"
     head = "p[0]"
-    function = f"{strip(f'substring_index({head}, {quoted(chr(58))}, 1)')}"
-    names = ", ".join(quoted(n) for n in [*FUNCTIONS, "#expr", "#ifexpr", *UNIMPLEMENTED, *OF_PAGE])
-    split = f"IF({function} IN ({names}) AND instr({head}, ':') > 0, struct({function} AS name, concat(array(substr({head}, instr({head}, ':') + 1)), slice(p, 2, size(p))) AS args), struct({strip(head)} AS name, slice(p, 2, size(p)) AS args))"
-    return f"transform(array({_arguments(inside)}), p -> {split})[0]"
+    given = strip(f"substring_index({head}, {quoted(chr(58))}, 1)")
+    renamed = " ".join(f"WHEN {quoted(a)} THEN {quoted(b)}" for a, b in (aliases or {}).items())
+    function = f"(CASE {given} {renamed} ELSE {given} END)" if renamed else given
+    names = ", ".join(quoted(n) for n in [*FUNCTIONS, *SUMS, *UNIMPLEMENTED, *OF_PAGE, *OF_TABLES])
+    split = f"IF({function} IN ({names}) AND instr({head}, ':') > 0, struct({function} AS name, concat(array(substr({head}, instr({head}, ':') + 1)), slice(p, 2, size(p))) AS args, {past} AS past), struct({strip(head)} AS name, slice(p, 2, size(p)) AS args, {past} AS past))"
+    return f"transform(array({_arguments(bare)}), p -> {split})[0]"
 
 
 def bound(body: str, args: str) -> str:
@@ -69,7 +88,7 @@ def _of_page() -> str:
     arg = lambda i: strip(f"coalesce(get(args, {i}), '')")
     size = "cast(octet_length(coalesce(__body, '')) as string)"
     commas = f"regexp_replace({size}, '(?<=[0-9])(?=(?:[0-9]{{3}})+$)', ',')"
-    missing = quoted('<strong class="error">Error: no such page.</strong>')
+    missing = f"IF(size(args) = 0, {quoted(NO_ARGUMENT)}, {quoted(NO_PAGE)})"
     quote = "[\"\\x27]?"
     begin, middle, end = quoted(rf"(?is)<section\s+begin\s*=\s*{quote}\Q"), quoted(rf"\E{quote}\s*/>(.*?)<section\s+end\s*=\s*{quote}\Q"), quoted(rf"\E{quote}\s*/>")
     mark = f"concat({begin}, {arg(1)}, {middle}, {arg(1)}, {end})"
@@ -82,51 +101,170 @@ def _of_page() -> str:
     )
 
 
-def expand(texts: DataFrame, store: DataFrame, key: str, text_col: str, title_col: str, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """(key, expanded): ``texts`` (key unique, text_col, title_col) with all calls expanded from ``store`` (title, body; redirects resolved)."""
+def prepared(text: str) -> str:
+    """SQL: what nowiki elements hold as entities, so that it takes no part; comments go, each with one line end before it."""
+    pattern = quoted(r"(?is)<nowiki\s*>(.*?)</nowiki\s*>")
+    held = f"regexp_extract_all({text}, {pattern}, 1)"
+    made = f"IF(c = '', {quoted(_EMPTY)}, {nowiki('c')})"
+    plain = f"array_join(zip_with(split({text}, {pattern}, -1), {held}, (a, c) -> concat(a, IF(c IS NULL, '', {made}))), '')"
+    marked = replace_all(f"IF(instr(lower({text}), '<nowiki') > 0, {plain}, {text})", r"(?i)<nowiki\s*/>", _NOTHING)
+    return replace_all(marked, r"(?s)\n?<!--.*?-->", "")
+
+
+def _repeats(names: str) -> str:
+    """SQL: whether ``names`` ends in a pattern that stands there twice or more."""
+    return f"exists(sequence(1, greatest(1, cast(size({names}) / 2 as int))), k -> size({names}) >= 2 * k AND slice({names}, -k, k) = slice({names}, -2 * k, k))"
+
+
+def _shut(text: str) -> str:
+    """SQL: ``text`` closed to further rounds."""
+    return f"translate({text}, '{{}}', {quoted(_SHUT)})"
+
+
+def _tagged(text: str, chain: str) -> str:
+    """SQL: the calls of ``text`` get the names they came through."""
+    return f"array_join(split({text}, {quoted(r'(?<!\{)\{\{(?!\{)')}, -1), concat('{{{{', {quoted(_FROM)}, array_join({chain}, {quoted(_STEP)}), {quoted(_TO)}))"
+
+
+def expand(
+    texts: DataFrame,
+    store: DataFrame,
+    key: str,
+    text_col: str,
+    title_col: str,
+    max_depth: int = MAX_DEPTH,
+    statements: DataFrame | None = None,
+    languages: DataFrame | None = None,
+    only: Iterable[str] | None = None,
+    never: Iterable[str] = (),
+    given: str | None = None,
+    after: str | None = None,
+    aliases: dict[str, str] | None = None,
+    variants: bool = False,
+    notes: bool = False,
+) -> DataFrame:
+    """(key, expanded): ``texts`` (key unique, text_col, title_col) with all calls expanded from ``store`` (title, body; redirects resolved).
+
+    statements: (item, property, value) for #property and #statements; an item '' stands for that of the page itself and
+    misses give ''. languages: (code, name). only, never: names of templates that alone are, or never are, expanded;
+    others stay as they are written. given: SQL over name and args whose value, if not null, takes a template's place;
+    after: SQL over name, args and value that changes a result where it isn't null. aliases: other names of parser
+    functions. variants: marks of language variants go. notes: also an array of struct(kind, name) of what went wrong: loop,
+    depth, missing. A null text stays null. Results begin on a new line where they begin a list or table.
+    """
     spark = texts.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         raise ValueError("expansion writes its rounds to spark.checkpoint.dir")
-    bodies = store.selectExpr("title AS __title", "coalesce(body, '') AS __body")
+    bodies = store.selectExpr("title AS __title", f"{prepared(on_list_line('coalesce(body, ' + quoted('') + ')'))} AS __body").checkpoint()
     spaces = [n for _, n, _ in NAMESPACES if n]
     article = ~F.substring_index("title", ":", 1).isin(*spaces) | ~F.contains("title", F.lit(":"))
     pages, articles = store.agg(F.count("*"), F.count(F.when(article, 1))).first()
-    state = texts.select(key, F.col(text_col).alias("expanded"), F.col(title_col).alias("__page"))
-    # nowiki text and comments take no part
-    state = state.withColumn("expanded", F.regexp_replace("expanded", r"(?s)<!--.*?-->", ""))
+    none = "cast(array() as array<struct<kind:string,name:string>>)"
+    state = texts.select(key, F.col(text_col).alias("__text"), F.col(title_col).alias("__page"))
+    state = state.withColumn("expanded", F.expr(prepared("__text"))).withColumn("__notes", F.expr(none)).drop("__text")
     # a page has no arguments: parameters in its own text get their defaults
     state = state.withColumn("expanded", F.when(F.contains("expanded", F.lit("{{{")), F.expr(bound("expanded", "cast(array() as array<string>)"))).otherwise(F.col("expanded")))
-    for _ in range(max_rounds):
-        calls = state.select(key, "__page", F.explode_outer(F.expr(f"array_distinct(regexp_extract_all(expanded, {quoted(CALL)}, 0))")).alias("call")).filter("call IS NOT NULL")
-        calls = calls.checkpoint()
-        if calls.isEmpty():
+    known = [*FUNCTIONS, *UNIMPLEMENTED]
+    own = [*known, *OF_PAGE, *OF_STORE, *OF_TABLES, *SUMS]
+    shut = _shut("call")
+    done = []
+    while True:
+        has = F.col("expanded").rlike(CALL)
+        # only texts with calls go on
+        state = state.withColumn("__open", F.coalesce(has, F.lit(False))).checkpoint()
+        done.append(state.filter("NOT __open").drop("__open"))
+        state = state.filter("__open").drop("__open")
+        calls = state.select(key, "__page", F.explode(F.expr(f"array_distinct(regexp_extract_all(expanded, {quoted(CALL)}, 0))")).alias("call"))
+        parts = calls.withColumn("p", F.expr(parsed_call("call", aliases))).select(key, "__page", "call", "p.name", "p.args", "p.past").checkpoint()
+        names = {r["name"] for r in parts.filter(F.col("name").isin(*own)).select("name").distinct().collect()}  # at most the functions there are
+        if not names and parts.isEmpty():
             break
-        parts = calls.withColumn("p", F.expr(parsed_call("call"))).select(key, "__page", "call", "p.name", "p.args")
-        used = {r["name"] for r in parts.filter(F.col("name").isin(*FUNCTIONS)).select("name").distinct().collect()}  # at most the functions there are
-        plain = parts.filter(F.col("name").isin(*FUNCTIONS, *UNIMPLEMENTED)).withColumn("value", F.expr(dispatch("name", "args", "__page", used)))
+        values = []
+
+        def add(rows: DataFrame, note: str = none) -> None:
+            values.append(rows.selectExpr(key, "call", "value", f"{note} AS note"))  # noqa: B023
+
         # unimplemented functions give the call itself, closed to further rounds
-        plain = plain.withColumn("value", F.coalesce("value", F.translate("call", "{}", "\x0e\x0f")))
-        sums = parts.filter(F.col("name").isin("#expr", "#ifexpr")).withColumn("v", expr(F.coalesce(F.get("args", F.lit(0)), F.lit(""))))
-        sums = sums.withColumn("value", F.expr(f"IF(name = '#expr', v, IF(v RLIKE '^-?[0-9]+$' AND v NOT RLIKE '^-?0+$', {strip('coalesce(get(args, 1), ' + quoted('') + ')')}, {strip('coalesce(get(args, 2), ' + quoted('') + ')')}))")).drop("v")
-        paged = parts.filter(F.col("name").isin(*OF_PAGE))
+        add(parts.filter(F.col("name").isin(*known)).withColumn("value", F.expr(f"coalesce({dispatch('name', 'args', '__page', names)}, {shut})")))
+        if names & set(SUMS):
+            sums = parts.filter(F.col("name").isin(*SUMS)).withColumn("v", expr(F.coalesce(F.get("args", F.lit(0)), F.lit(""))))
+            branch = lambda i: strip(f"coalesce(get(args, {i}), '')")
+            add(sums.withColumn("value", F.expr(f"IF(name = '#expr', v, IF(v RLIKE '^-?[0-9]+$' AND v NOT RLIKE '^-?0+$', {branch(1)}, {branch(2)}))")))
+        if names & set(OF_STORE):
+            add(parts.filter(F.col("name").isin(*OF_STORE)).withColumn("value", F.when(F.col("name") == "NUMBEROFPAGES", F.lit(str(pages))).otherwise(F.lit(str(articles)))))
         first = strip("coalesce(get(args, 0), '')")
-        paged = paged.withColumn("__want", F.expr(f"IF(name = 'int', concat('MediaWiki:', upper(substr({first}, 1, 1)), substr({first}, 2)), regexp_replace(replace({first}, '_', ' '), '^(?:Main)?:', ''))"))
-        paged = paged.join(bodies, F.col("__want") == F.col("__title"), "left").withColumn("value", F.expr(_of_page()))
-        wide = parts.filter(F.col("name").isin(*OF_STORE)).withColumn("value", F.when(F.col("name") == "NUMBEROFPAGES", F.lit(str(pages))).otherwise(F.lit(str(articles))))
-        other = parts.filter(~F.col("name").isin(*FUNCTIONS, *UNIMPLEMENTED, *OF_PAGE, *OF_STORE, "#expr", "#ifexpr"))
+        if names & {"#property", "#statements"}:
+            asked = parts.filter(F.col("name").isin("#property", "#statements")).withColumn("__p", F.expr(first))
+            asked = asked.withColumn("__i", F.expr(f"IF(startswith(coalesce(get(args, 1), ''), 'from='), {strip('substr(args[1], 6)')}, '')"))
+            if statements is None:
+                add(asked.withColumn("value", F.lit("")))
+            else:
+                right = statements.groupBy(F.col("item").alias("__item"), F.col("property").alias("__prop")).agg(F.array_join(F.array_sort(F.collect_set("value")), ", ").alias("__v"))
+                add(asked.join(right, (F.col("__i") == F.col("__item")) & (F.col("__p") == F.col("__prop")), "left").withColumn("value", F.coalesce("__v", F.lit(""))))
+        if "#language" in names:
+            asked = parts.filter("name = '#language'").withColumn("__c", F.expr(first))
+            if languages is None:
+                add(asked.withColumn("value", F.col("__c")))
+            else:
+                right = languages.select(F.col("code").alias("__code"), F.col("name").alias("__language"))
+                add(asked.join(right, F.col("__c") == F.col("__code"), "left").withColumn("value", F.coalesce("__language", F.lit(""))))
+        if names & set(OF_PAGE):
+            paged = parts.filter(F.col("name").isin(*OF_PAGE))
+            want = f"IF(name = 'int', concat('MediaWiki:', upper(substr({first}, 1, 1)), substr({first}, 2)), regexp_replace(replace({first}, '_', ' '), '^(?:Main)?:', ''))"
+            paged = paged.withColumn("__want", F.expr(want)).withColumn("__chain", F.expr("concat(past, array(__want))")).join(bodies, F.col("__want") == F.col("__title"), "left")
+            looped = f"concat({quoted(LOOP)}, name, ']]</strong>')"
+            add(paged.withColumn("value", F.expr(f"IF({_repeats('__chain')}, {looped}, {_tagged(_of_page(), '__chain')})")))
+        other = parts.filter(~F.col("name").isin(*own))
         local = "regexp_replace(regexp_replace(replace(name, '_', ' '), '^(?i)(?:safe)?subst:\\\\s*', ''), '^(?i)template:', '')"
-        other = other.withColumn("__want", F.expr(f"IF(startswith({local}, ':'), substr({local}, 2), concat('Template:', upper(substr({local}, 1, 1)), substr({local}, 2)))"))
+        other = other.withColumn("__local", F.expr(local))
+        other = other.withColumn("__want", F.expr("IF(startswith(__local, ':'), substr(__local, 2), concat('Template:', upper(substr(__local, 1, 1)), substr(__local, 2)))"))
+        other = other.withColumn("__chain", F.expr("concat(past, array(__want))"))
+        other = other.withColumn("__loops", F.expr(_repeats("__chain"))).withColumn("__deep", F.size("past") >= max_depth)
+        kept = F.lit(False) if only is None else ~F.col("__local").isin(*only)
+        other = other.withColumn("__kept", kept | F.col("__local").isin(*never) if list(never) else kept)
+        other = other.withColumn("__given", F.expr(given or "cast(NULL as string)").cast("string"))
         found = other.join(bodies, F.col("__want") == F.col("__title"), "left")
-        found = found.withColumn("value", F.expr(f"IF(__title IS NULL, concat('[[:', IF(startswith(__want, 'Template:'), concat('Template:', name), __want), ']]'), {bound('__body', 'args')})"))
-        values = plain.select(key, "call", "value")
-        for more in (sums, paged, wide, found):
-            values = values.unionByName(more.select(key, "call", "value"))
-        values = values.withColumn("value", F.expr(on_new_line("value")))
-        maps = values.groupBy(key).agg(F.collect_list(F.struct("call", "value")).alias("__v")).withColumnRenamed(key, "__key")
-        joined = state.join(maps, state[key] == maps["__key"], "left")
-        pieces = f"zip_with(split(expanded, {quoted(CALL)}, -1), regexp_extract_all(expanded, {quoted(CALL)}, 0), (a, c) -> concat(a, IF(c IS NULL, '', try_element_at(transform(filter(__v, e -> e.call = c), e -> e.value), 1))))"
-        state = joined.withColumn("expanded", F.expr(f"IF(__v IS NULL, expanded, array_join({pieces}, ''))")).select(key, "expanded", "__page").checkpoint()
-    else:
-        deep = '<strong class="error">too deep recursion during template expansion</strong>'
-        state = state.withColumn("expanded", F.regexp_replace("expanded", CALL, deep))
-    return state.select(key, F.translate("expanded", "\x0e\x0f", "{}").alias("expanded"))
+        inner = _tagged(bound("__body", "args"), "__chain")
+        value = (
+            f"CASE WHEN __kept THEN {shut} WHEN __deep THEN concat({quoted(TOO_DEEP)}, {shut}, '</strong>') WHEN __loops THEN concat({quoted(LOOP)}, name, ']]</strong>') "
+            f"WHEN __given IS NOT NULL THEN {_shut('__given')} WHEN __title IS NULL THEN concat('[[:', IF(startswith(__want, 'Template:'), concat('Template:', name), __want), ']]') ELSE {inner} END"
+        )
+        found = found.withColumn("value", F.expr(value))
+        if after is not None:
+            changed = F.expr(after).cast("string")
+            found = found.withColumn("value", F.when(F.col("__kept"), F.col("value")).otherwise(F.coalesce(F.translate(changed, "{}", _SHUT), "value")))
+        note = "CASE WHEN __kept THEN NULL WHEN __deep THEN 'depth' WHEN __loops THEN 'loop' WHEN __given IS NULL AND __title IS NULL THEN 'missing' END"
+        add(found, f"transform(filter(array({note}), k -> k IS NOT NULL), k -> struct(k AS kind, name AS name))")
+        every = values[0]
+        for more in values[1:]:
+            every = every.unionByName(more)
+        every = every.withColumn("value", F.expr(on_new_line("value")))
+        maps = every.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("call", "value"))).alias("__v"), F.flatten(F.collect_list("note")).alias("__n")).withColumnRenamed(key, "__key")
+        joined = state.join(maps, state[key] == maps["__key"])
+        pieces = f"zip_with(split(expanded, {quoted(CALL)}, -1), regexp_extract_all(expanded, {quoted(CALL)}, 0), (a, c) -> concat(a, IF(c IS NULL, '', __v[c])))"
+        state = joined.select(key, F.expr(f"array_join({pieces}, '')").alias("expanded"), "__page", F.concat("__notes", "__n").alias("__notes"))
+    result = done[0]
+    for more in done[1:]:
+        result = result.unionByName(more)
+    # what a call that stays was closed with, and its history, turn back
+    past = replace_all("expanded", f"{_FROM}[^{_TO}]*{_TO}", "")
+    text = f"replace(translate({past}, {quoted(_SHUT)}, '{{}}'), {quoted(_NOTHING)}, '<nowiki />')"
+    text = f"replace({text}, {quoted(_EMPTY)}, '<nowiki/>')"
+    if variants:
+        text = f"replace(replace({text}, '-{{', ''), '}}-', '')"
+    return result.select(key, F.expr(text).alias("expanded"), *([F.col("__notes").alias("notes")] if notes else []))
+
+
+def on_list_line(text: str) -> str:
+    """SQL: a body that begins a list begins on a line of its own."""
+    return f"IF(left({text}, 1) IN ('#', '*', ';', ':'), concat('\\n', {text}), {text})"
+
+
+def expanded_text(texts: DataFrame, store: DataFrame, key: str, text_col: str, title_col: str, **options) -> DataFrame:
+    """(key, expanded, text, parse_error): expansion, its visible text, and what went wrong in the order of rounds; a null expansion falls back to the text."""
+    made = expand(texts, store, key, text_col, title_col, notes=True, **options).withColumnRenamed(key, "__key")
+    both = texts.select(key, F.col(text_col).alias("__given")).join(made, F.col(key) == F.col("__key"))
+    both = both.select(key, F.coalesce("expanded", "__given").alias("expanded"), "notes")
+    # a page that is missing is a notice, not an error
+    bad = "array_distinct(transform(filter(notes, n -> n.kind <> 'missing'), n -> concat(n.kind, ': ', n.name)))"
+    return visible_text(both, "expanded", "text").select(key, "expanded", "text", F.expr(f"IF(size({bad}) > 0, concat('WTP ', array_join({bad}, '; ')), NULL)").alias("parse_error"))

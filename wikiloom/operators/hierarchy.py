@@ -10,13 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.texts import quoted, replace_all, strip
+from ..functions.texts import quoted, strip
 
-#: A level-2 heading: exactly two signs on either side; its inside may begin with a line break.
-SECTION_HEADING = r"(?dm)^==([^=](?:.*[^=])?)==\s*$"
-#: Deeper headings with as many signs on either side.
-SUB_HEADING = r"(?dm)^(={3,})[ \t]*([^=\r\n].*?)[ \t]*\1[ \t]*$"
-BLANK_LINES = r"(?:\r\n|(?<!\r)\n|(?<!\n)\r)[ \t]*(?:(?:\r\n|(?<!\r)\n|(?<!\n)\r)[ \t]*)+"
+_END = r"(?:\r\n?+|\n)"
+#: Two line ends or more, with nothing but blanks between and behind them.
+BLANK_LINES = rf"{_END}(?:[ \t]*+{_END})+[ \t]*+"
 
 # Roots of heading paths from which on paragraphs are neither expanded nor cut into sentences.
 SKIPPED_ROOTS = ("references", "other websites", "related pages", "more reading", "category", "external links", "footnotes", "notes")
@@ -24,13 +22,37 @@ SKIPPED_ROOTS = ("references", "other websites", "related pages", "more reading"
 SECTION_TYPE = "struct<section_no:int,toc:string,heading:string,raw_text:string,text:string>"
 
 
+def _section_marks(text: str) -> str:
+    """SQL: ``text`` with control characters round the insides of its level-2 headings: lines with exactly two signs at either end.
+
+    A line of two signs alone opens a heading whose inside is the next line, if that ends in exactly two.
+    """
+    joined = f"regexp_replace({text}, {quoted(r'(?<![^\n])==\n(?=[^\n]*[^=\n]==[ \t\x0B\f\r]*(?:\n|\z))')}, {quoted('==' + chr(4))})"
+    bare = rf"regexp_replace(l, {quoted(r'\s+$')}, '')"
+    test = "h LIKE '==_%==' AND substr(h, 3, 1) <> '=' AND substr(h, -3, 1) <> '='"
+    line = f"transform(array({bare}), h -> IF({test}, concat('\\u0001', substr(h, 3, length(h) - 4), '\\u0002'), l))[0]"
+    return f"replace(array_join(transform(split({joined}, '\n', -1), l -> IF(startswith(l, '=='), {line}, l)), '\n'), '\\u0004', '\n')"
+
+
+def _sub_marks(text: str) -> str:
+    """SQL: ``text`` with its deeper headings as control character, signs, control character, title, control character.
+
+    A deeper heading is a line that begins with three signs or more and ends with as many, blanks behind it aside.
+    """
+    signs = f"length(regexp_extract(h, {quoted('^=+')}, 0))"
+    inside = "substr(h, n + 1, length(h) - 2 * n)"
+    made = f"transform(array({signs}), n -> IF(length(h) > 2 * n AND endswith(h, repeat('=', n)), concat('\\u0001', repeat('=', n), '\\u0003', {inside}, '\\u0002'), l))[0]"
+    line = f"transform(array(rtrim(' \\t', l)), h -> {made})[0]"
+    return f"array_join(transform(split({text}, '\n', -1), l -> IF(startswith(l, '==='), {line}, l)), '\n')"
+
+
 def with_sections(pages: DataFrame, content: str = "content") -> DataFrame:
     """``pages`` and ``sections``: array of struct(section_no, toc, heading, raw_text, text).
 
     Text before the first heading is the section Summary, left out if blank; a text without headings is one Summary.
     Null and empty text have no section. Numbers run from 1 in order of appearance.
     """
-    marked = replace_all(f"`{content}`", SECTION_HEADING, "\x01$1\x02")
+    marked = _section_marks(f"`{content}`")
     empty = "cast(NULL as string)"
     head = f"struct('Summary' AS toc, {empty} AS heading, {strip('parts[0]')} AS text)"
     title, body = "split(p, '\\u0002', 2)[0]", "split(p, '\\u0002', 2)[1]"
@@ -50,18 +72,18 @@ def with_paragraphs(pages: DataFrame) -> DataFrame:
     skipped_part: a path whose root is among SKIPPED_ROOTS skips this and all later paragraphs of the page.
     """
     body = "coalesce(nullif(s.text, ''), s.raw_text, '')"
-    marked = replace_all("b", SUB_HEADING, "\x01$1\x03$2\x02")
-    blocks = f"filter(transform(split({body}, {quoted(BLANK_LINES)}, -1), b -> {strip('b')}), b -> b <> '')"
-    cut = (
-        f"flatten(transform({blocks}, b -> transform(split({marked}, '\\u0001', -1), (p, i) -> IF(i = 0, "
-        f"struct(0 AS level, cast(NULL as string) AS title, {strip('p')} AS text), "
-        f"struct(length(split(p, '\\u0003', 2)[0]) AS level, {strip('split(split(p, chr(3), 2)[1], chr(2), 2)[0]')} AS title, {strip('split(p, chr(2), 2)[1]')} AS text)))))"
-    )
+    # blocks once more as one text, a blank line between two, cut at the headings
+    blocks = f"array_join(filter(transform(split({body}, {quoted(BLANK_LINES)}, -1), b -> {strip('b')}), b -> b <> ''), '\\n\\n')"
+    cut = f"split({_sub_marks('u')}, '\\u0001', -1)"
     base = "IF(coalesce(s.toc, '') = '', 0, 2)"
-    path = f"IF(p.level = 0, st.path, concat(slice(st.path, 1, greatest(0, p.level - {base})), array(p.title)))"
-    start = "struct(IF(coalesce(s.toc, '') = '', cast(array() as array<string>), array(s.toc)) AS path, cast(array() as array<struct<toc:string,text:string>>) AS out)"
-    step = f"transform(array({path}), q -> struct(q AS path, IF(p.text = '', st.out, concat(st.out, array(struct(nullif(array_join(q, ':'), '') AS toc, p.text AS text)))) AS out))[0]"
-    rows = f"aggregate({cut}, {start}, (st, p) -> {step}, st -> st.out)"
+    level, title = "length(split(p, '\\u0003', 2)[0])", strip("split(split(p, chr(3), 2)[1], chr(2), 2)[0]")
+    # the paths of all headings as one growing string: arrays would be copied for each
+    step = f"transform(array(concat(slice(st.path, 1, greatest(0, {level} - {base})), array({title}))), q -> struct(q AS path, concat(st.out, '\\u0005', array_join(q, ':')) AS out))[0]"
+    start = "struct(IF(coalesce(s.toc, '') = '', cast(array() as array<string>), array(s.toc)) AS path, coalesce(s.toc, '') AS out)"
+    paths = f"split(aggregate(slice(w, 2, size(w)), {start}, (st, p) -> {step}, st -> st.out), '\\u0005', -1)"
+    texts = f"filter(transform(split(IF(k = 0, p, split(p, chr(2), 2)[1]), '\n\n', -1), b -> {strip('b')}), b -> b <> '')"
+    rows = f"transform(array({paths}), t -> flatten(transform(w, (p, k) -> transform({texts}, b -> struct(nullif(t[k], '') AS toc, b AS text)))))[0]"
+    rows = f"transform(transform(array({blocks}), u -> {cut}), w -> {rows})[0]"
     one = f"transform({rows}, (x, i) -> struct(s.section_no AS section_no, i + 1 AS paragraph_no, x.toc AS toc, x.text AS text))"
     hit = f"lower({strip('split(coalesce(x.toc, ' + chr(39) * 2 + '), ' + chr(39) + ':' + chr(39) + ', 2)[0]')}) IN ({', '.join(map(quoted, SKIPPED_ROOTS))})"
     all_rows = pages.withColumn("__all", F.expr(f"flatten(transform(sections, s -> {one}))"))

@@ -10,7 +10,6 @@ from ..functions.texts import quoted, replace_all
 ARROW = "↓"
 MARK = "♣  ♣  ♣"
 REF_PLACEHOLDER = rf"(?i){MARK}  ref-[^♣\r\n]+?{MARK}"
-LIST_LINE = r"^[ \t]*[*#;:]+[ \t]*.*?[ \t]*$"
 
 
 def format_wikilinks(text: str) -> str:
@@ -26,10 +25,15 @@ def drop_ref_placeholders(text: str) -> str:
     return replace_all(text, REF_PLACEHOLDER, "")
 
 
+def is_list_line(line: str) -> str:
+    """SQL: the first character that isn't blank is a list sign."""
+    return f"left(ltrim(' \\t', {line}), 1) IN ('*', '#', ';', ':')"
+
+
 def is_list_only(text: str) -> str:
     """SQL: has lines that are not blank, and all of them are list items."""
     lines = f"filter(split({text}, '\\\\R'), l -> trim(BOTH FROM l) <> '')"
-    return f"(size({lines}) > 0 AND forall({lines}, l -> l RLIKE {quoted(LIST_LINE)}))"
+    return f"(size({lines}) > 0 AND forall({lines}, l -> {is_list_line('l')}))"
 
 
 def page_url(title: Column, base: str = "https://en.wikipedia.org/wiki/") -> Column:

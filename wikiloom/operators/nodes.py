@@ -17,58 +17,106 @@ from pyspark.sql import functions as F
 from .expand import parsed_call
 
 _TOKEN = re.compile(
-    r"(?P<hide><!--.*?-->|<nowiki>.*?</nowiki>)|(?P<open>\{\{\{|\{\{|\[\[|\{\|)|(?P<close>\}\}\}|\}\}|\]\]|\|\})"
-    r"|(?P<heading>^(={1,6})[^=\n](?:[^\n]*[^=\n])?\5[ \t]*$)|(?P<item>^[*#:;]+[^\n]*)|(?P<rule>^----+)|(?P<magic>__[A-Z]+__)"
-    r"|(?P<tag></?[A-Za-z][A-Za-z0-9]*\b[^<>]*>)|(?P<url>\[(?:https?:)?//[^\]\n]*\]|https?://[^\s\[\]<>\"|{}]+)|(?P<quote>'{2,5})",
+    r"(?P<hide><!--|<nowiki>)|(?P<open>\{\{\{|\{\{|\[\[|\{\|)|(?P<close>\}\}\}|\}\}|\]\]|\|\})"
+    r"|(?P<heading>^(={1,6})[^=\n](?:[^\n]*[^=\n])?\5[ \t]*$)|(?P<item>^[*#:;]+)|(?P<rule>^----+)|(?P<magic>__[A-Z]+__)"
+    r"|(?P<tag></?[A-Za-z][A-Za-z0-9]*\b[^<>]*>)|(?P<link>\[(?=(?:https?:)?//))|(?P<url>https?://[^\s\[\]<>\"|{}]+)|(?P<quote>'{2,5})",
     re.M | re.S,
 )
 _PAIRS = {"{{{": ("TEMPLATE_ARG", "}}}"), "{{": ("TEMPLATE", "}}"), "[[": ("LINK", "]]"), "{|": ("TABLE", "|}")}
+_OPENERS = {closer: opener for opener, (_, closer) in _PAIRS.items()}
+_NAME = re.compile(r"[^|\n]*")
+_QUOTES = {2: "ITALIC", 3: "BOLD"}
 _EMPTY = {"br", "hr", "img", "ref/"}
 
 
+class _Open:
+    """What is open, innermost last. Closing takes what was opened inside along, so all of it costs one step for each opener."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int]] = []
+        self.count: dict[str, int] = {}
+        self.brackets: list[str] = []
+
+    def add(self, what: str, at: int) -> None:
+        self.stack.append((what, at))
+        self.count[what] = self.count.get(what, 0) + 1
+        if what in _PAIRS:
+            self.brackets.append(what)
+
+    def close(self, what: str) -> int:
+        """Where the innermost ``what`` was opened; -1 if none is open."""
+        if not self.count.get(what):
+            return -1
+        while True:
+            top, at = self.stack.pop()
+            self.count[top] -= 1
+            if top in _PAIRS:
+                self.brackets.pop()
+            if top == what:
+                return at
+
+
 def spans(text: str | None) -> list[tuple[str, str, int, int]]:
     """(kind, name, start, stop) of all closed markup; brackets and tags without a partner are text."""
-    found, stack, at = [], [], 0
-    while m := _TOKEN.search(text or "", at):
+    text = text or ""
+    found, held, at = [], _Open(), 0
+    none_behind: set[str] = set()  # ends that don't come any more
+    square = line = -1  # the next closing bracket and line end
+    while m := _TOKEN.search(text, at):
         kind, start, stop, what = m.lastgroup, m.start(), m.end(), m[0]
-        if what == "}}}" and next((s for s, _ in reversed(stack) if s in _PAIRS), "") != "{{{":
+        if what == "}}}" and held.brackets[-1:] != ["{{{"]:
             what, stop = "}}", stop - 1  # the third bracket belongs to what comes next
-        # the inside of a list line is looked at too
-        at = start + len(re.match(r"[*#:;]*", what)[0]) if kind == "item" else stop
-        if m["heading"]:
+        at = stop
+        if kind == "hide":
+            closer = "-->" if what == "<!--" else "</nowiki>"
+            end = -1 if closer in none_behind else text.find(closer, stop)
+            if end >= 0:
+                at = end + len(closer)
+            else:
+                none_behind.add(closer)
+                if what == "<nowiki>":
+                    held.add("<nowiki", start)
+        elif m["heading"]:
             found.append((f"LEVEL{len(m[5])}", what.strip("= \t"), start, stop))
         elif kind == "open":
-            stack.append((what, start))
+            held.add(what, start)
         elif kind == "close":
-            own = next((i for i in range(len(stack) - 1, -1, -1) if _PAIRS.get(stack[i][0], ("", ""))[1] == what), -1)
-            if own >= 0:
-                opener, begin = stack[own]
-                del stack[own:]
-                name = re.split(r"[|\n]", text[begin + len(opener) : start], maxsplit=1)[0].strip()
-                found.append((_PAIRS[opener][0], name, begin, stop))
+            opener = _OPENERS[what]
+            begin = held.close(opener)
+            if begin >= 0:
+                found.append((_PAIRS[opener][0], _NAME.match(text, begin + len(opener), start)[0].strip(), begin, stop))
         elif kind == "tag":
             name = re.match(r"</?(\w+)", what)[1].lower()
             if what.endswith("/>") or name in _EMPTY:
                 found.append(("HTML", name, start, stop))
             elif what.startswith("</"):
-                own = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == f"<{name}"), -1)
-                if own >= 0:
-                    found.append(("HTML", name, stack[own][1], stop))
-                    del stack[own:]
+                begin = held.close(f"<{name}")
+                if begin >= 0:
+                    found.append(("HTML", name, begin, stop))
             else:
-                stack.append((f"<{name}", start))
+                held.add(f"<{name}", start)
         elif kind == "quote":
-            run = {2: "ITALIC", 3: "BOLD"}.get(len(what))
-            if run:
-                own = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == what), -1)
-                if own >= 0:
-                    found.append((run, "", stack[own][1], stop))
-                    del stack[own:]
+            if len(what) in _QUOTES:
+                begin = held.close(what)
+                if begin >= 0:
+                    found.append((_QUOTES[len(what)], "", begin, stop))
                 else:
-                    stack.append((what, start))
-        elif kind in ("item", "rule", "magic", "url"):
-            name = re.match(r"[*#:;]*", what)[0] if kind == "item" else what.strip("_[]").split()[0] if kind != "rule" else ""
-            found.append(({"item": "LIST_ITEM", "rule": "HLINE", "magic": "MAGIC_WORD", "url": "URL"}[kind], name, start, stop))
+                    held.add(what, start)
+        elif kind == "link":
+            if -1 < square < stop or square == -1:
+                square = text.find("]", stop)
+                square = len(text) if square < 0 else square
+            if -1 < line < stop or line == -1:
+                line = text.find("\n", stop)
+                line = len(text) if line < 0 else line
+            if square < line:
+                found.append(("URL", text[start:square].strip("_[]").split(None, 1)[0], start, square + 1))
+                at = square + 1
+        elif kind == "item":
+            end = text.find("\n", stop)
+            found.append(("LIST_ITEM", what, start, len(text) if end < 0 else end))
+        else:
+            found.append(({"rule": "HLINE", "magic": "MAGIC_WORD", "url": "URL"}[kind], "" if kind == "rule" else what.strip("_"), start, stop))
     return sorted(found, key=lambda n: (n[2], -n[3]))
 
 

@@ -11,14 +11,14 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.texts import quoted, replace_all, strip
-from .links import drop_ref_placeholders, format_wikilinks, is_list_only
+from .links import drop_ref_placeholders, format_wikilinks, is_list_line, is_list_only
 
 ABBREVIATIONS = ("Mr", "Mrs", "Ms", "Dr", "Prof", "St", "Jr", "Sr", "vs", "etc", "e.g", "i.e", "cf", "No", "Vol", "Fig", "ca", "approx", "Inc", "Ltd", "Co", "Gen", "Col", "Lt", "Sgt", "Rev")
-_ITEM = re.compile(r"[ \t]*([*#;:]+)[ \t]*(.*?)[ \t]*")
+_SIGNS = "*#;:"
 _COLONS = (":", "：")
 TOKEN = "\x02"
 
@@ -37,7 +37,7 @@ def _nodes(items: list[tuple[int, str]]) -> Iterator[tuple[str, bool]]:
         while end < len(items) and items[end][0] > depth:
             end += 1
         below = [(t, deep) for t, deep in _nodes(items[at + 1 : end]) if t]
-        own = re.sub(r"[ \t]*[.;；。]+[ \t]*$", "", content.strip()).strip()
+        own = content.strip().rstrip(".;；。").strip()
         if below:
             joined = below[0][0]
             for (_, left), (text, right) in zip(below, below[1:], strict=False):
@@ -63,9 +63,10 @@ def fold_lists(text: str) -> str:
                 out.append(kept)
 
     for line in text.splitlines():
-        item = _ITEM.fullmatch(line)
-        if item:
-            run.append((len(item[1]), item[2]))
+        item = line.strip(" \t")
+        content = item.lstrip(_SIGNS)
+        if content != item:
+            run.append((len(item) - len(content), content.lstrip(" \t")))
             continue
         if run:
             close()
@@ -75,7 +76,7 @@ def fold_lists(text: str) -> str:
     return "\n".join(out)
 
 
-def _folded(column: str) -> Column:
+def _folded(column: Column | str) -> Column:
     def run(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: fold_lists(t) if t is not None else None)
 
@@ -100,18 +101,15 @@ def sentence_rows(pages: DataFrame) -> DataFrame:
     rows = pages.withColumn("__p", F.expr(_merged(ready))).select("revision_id", "page_id", "page_title", F.posexplode_outer("__p").alias("pos", "p")).filter("p IS NOT NULL")
     rows = rows.withColumn("body", F.col("p.text"))
     # only texts with list lines need the list helper
-    lists = F.col("body").rlike(r"(?m)^[ \t]*[*#;:]")
-    plain = rows.filter(~lists)
-    folded = rows.filter(lists).withColumn("body", _folded("body"))
-    rows = plain.unionByName(folded)
+    lists = F.expr(f"exists(split(body, {quoted(r'[\n\r\x0B\f\x1C-\x1E\x85\u2028\u2029]')}), l -> {is_list_line('l')})")
+    rows = rows.withColumn("body", F.coalesce(_folded(F.when(lists, F.col("body"))), "body"))
     abbreviations = "|".join(a.replace(".", "\\.") for a in ABBREVIATIONS)
     marked = replace_all("body", rf"(?<![A-Za-z])((?:{abbreviations}|[A-Z])\.)(?=\s)", "$1\x03")
     marked = replace_all(marked, r"([.!?。！？]+[\"'”’)\]]*)\s+(?=[\p{Lu}\p{N}\[({\"'“‘♣])", "$1\x01")
     pieces = f"filter(transform(split({marked}, '\\u0001', -1), x -> {strip('translate(x, ' + quoted(TOKEN + chr(3)) + ', ' + chr(39) * 2 + ')')}), x -> x <> '')"
     cut = rows.filter(f"{strip('body')} <> ''").withColumn("__s", F.expr(pieces))
-    # numbers go on over a section's paragraphs: a running count of sizes over the page's few paragraph rows
-    page = cut.groupBy("revision_id", "page_id", "page_title").agg(F.array_sort(F.collect_list(F.struct("pos", "p.section_no", "p.paragraph_no", "p.toc", "__s"))).alias("rows"))
-    before = "aggregate(filter(rows, o -> o.section_no = r.section_no AND o.pos < r.pos), 0, (n, o) -> n + size(o.__s))"
-    numbered = f"flatten(transform(rows, r -> transform(array({before}), b -> transform(r.__s, (x, i) -> struct(r.section_no, r.paragraph_no, b + i + 1 AS sentence_no, r.toc, x AS raw_text)))[0]))"
-    result = page.select("revision_id", "page_id", "page_title", F.inline_outer(F.expr(numbered))).filter("raw_text IS NOT NULL")
+    each = cut.select("revision_id", "page_id", "page_title", "pos", "p.section_no", "p.paragraph_no", "p.toc", F.posexplode_outer("__s").alias("k", "raw_text")).filter("raw_text IS NOT NULL")
+    # numbers go on over a section's paragraphs: the window is one section of one page
+    number = F.row_number().over(Window.partitionBy("revision_id", "page_id", "section_no").orderBy("pos", "k"))
+    result = each.select("revision_id", "page_id", "page_title", "section_no", "paragraph_no", number.alias("sentence_no"), "toc", "raw_text")
     return result.withColumn("text", F.expr(format_wikilinks("raw_text")))

@@ -226,6 +226,9 @@ _HTML = [
 ]
 
 
+_ENTITIES = {"nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "ndash": "–", "mdash": "—", "hellip": "…", "middot": "·", "copy": "©", "amp": "&"}
+
+
 def _visible_sql() -> str:
     text = "html"
     for pattern in _HTML:
@@ -233,7 +236,7 @@ def _visible_sql() -> str:
     text = f"replace(replace({text}, chr(39) || chr(39) || chr(39), ''), chr(39) || chr(39), '')"
     text = f"regexp_replace({text}, '(?i)</?(?:{'|'.join(cleanup.BLOCKS)})(?:\\s[^>]*)?/?>|<br(?:\\s[^>]*)?/?>', chr(10), 'g')"
     text = f"regexp_replace(regexp_replace({text}, '<![^>]*>', '', 'g'), '</?[A-Za-z][^>]*>', '', 'g')"
-    for name, char in cleanup.ENTITIES.items():
+    for name, char in _ENTITIES.items():
         text = f"replace({text}, '&{name};', chr({ord(char)}))"
     text = f"regexp_replace({text}, '[ \\t\\x{{A0}}]+', ' ', 'g')"
     text = f"regexp_replace({text}, '[ \\t]*\\n[ \\t]*', chr(10), 'g')"
