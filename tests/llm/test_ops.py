@@ -349,6 +349,26 @@ def test_op5_is_a_permutation(spark):
     assert done.distinct().count() == 36525 and done.exceptAll(days).isEmpty()
 
 
+def test_op5_dates_of_all_forms_stay_apart_and_linked(spark):
+    import datetime
+
+    start, given = datetime.date(1896, 1, 1), []
+    for i in range(0, 80_000, 3):
+        d = start + datetime.timedelta(i)
+        given += [f"{d:%Y-%m-%d}", f"{d:%m/%d/%Y}"] + [f"{d:%d/%m/%Y}"] * (d.day > 12)
+    rows = texts(spark, list(enumerate(given)))
+    done = {r.doc_id: r.text for r in feistel.pseudonymise(rows).collect()}
+    assert len(set(given)) == len(set(done.values())) == len(given)
+    by = {g: done[i] for i, g in enumerate(given)}
+    for i, g in enumerate(given):
+        if g[4] == "-":
+            y, m, d = by[g].split("-")
+            assert y[:2] == g[:2] and (d > "12") == (g[8:] > "12") and datetime.date(int(y), int(m), int(d))
+            assert by[f"{g[5:7]}/{g[8:]}/{g[:4]}"] == f"{m}/{d}/{y}"
+            if g[8:] > "12":
+                assert by[f"{g[8:]}/{g[5:7]}/{g[:4]}"] == f"{d}/{m}/{y}"
+
+
 # 6 and 8 -----------------------------------------------------------------------------------------------------------
 @pytest.fixture(scope="session")
 def tokenizer():
@@ -524,6 +544,16 @@ def test_op7_fingerprints_and_odd_rows(spark, odd, empty):
     assert simhash.near_duplicates(empty).count() == 0
     kept = simhash.keep_first(odd)
     assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.collect()) == [1, 4, 5, 6, 7]
+    a, b, c = "the cat sat on the mat", "quick brown foxes jump over dogs", "lorem ipsum dolor sit amet now"
+    for given, want in (
+        ([(0, b), (1, a), (1, b)], [(0, b), (1, a)]),
+        ([(1, a), (1, b)], [(1, a), (1, b)]),
+        ([(1, a), (2, a), (2, c)], [(1, a), (2, c)]),
+        ([(None, a), (1, a), (None, b), (None, b)], [(1, a), (None, b)]),
+    ):
+        assert sorted(map(tuple, simhash.keep_first(texts(spark, given)).collect()), key=str) == sorted(want, key=str)
+    with pytest.raises(ValueError):
+        simhash.anchor_edges(None, 4)
     assert simhash.keep_first(texts(spark, [(None, "a b c"), (None, "a b c"), (None, "q r s t u v w")])).count() == 2
 
 
@@ -544,6 +574,16 @@ def test_op7_links_every_pair_within_three_bits(spark):
     assert len({(got[p], want[p]) for p in points}) == len(set(got.values())) == len(set(want.values()))
 
 
+def test_op7_long_text():
+    rng = random.Random(70)
+    words = [rng.choice("abcdefghij") * rng.randrange(1, 5) for _ in range(simhash.CHUNK * 2 + 7)]
+    shingles = collections.Counter(" ".join(words[i : i + 3]) for i in range(len(words) - 2))
+    hashes = {s: xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles}
+    n = sum(shingles.values())
+    want = sum(1 << b for b in range(64) if 2 * sum(k for s, k in shingles.items() if hashes[s] >> b & 1) > n)
+    assert simhash.fingerprint(" ".join(words).encode()) == want
+
+
 def test_op7_dense_group(spark):
     centre = random.Random(1).getrandbits(62)
     points = {centre ^ (1 << a) ^ (1 << b) for a in range(20) for b in range(30, 50)} | {centre ^ 7 << 55}

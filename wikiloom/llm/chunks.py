@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text split at a time; a longer text comes in pieces that end at white space.
-PIECE = 16 << 20
+PIECE = 6 << 20
 _SPACE = re.compile(rb"[ \t\n\v\f\r]")
 
 

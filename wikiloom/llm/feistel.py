@@ -22,8 +22,9 @@ national   0 and 8 to 11 digits, with a separator              the zero and punc
 ssn        AAA-GG-SSSS, area 001 to 899 but 666, group and     the same ranges
            serial not zero
 ip         four octets 0 to 255                                four octets
-date       Y-M-D, Y/M/D, D.M.Y, M/D/Y (D/M/Y if M > 12) of a   the days of the same century; width and order stay
-           real day in 1600 to 2399
+date       Y-M-D, Y/M/D, D.M.Y, M/D/Y (D/M/Y if D > 12) of a   the days of the same century; width and order stay;
+           real day in 1600 to 2399                            those with a day of the month above 12 and the rest
+                                                               apart, so that D/M/Y stays what it is
 email      local@domain                                        letters (by case) and digits of the local part
 =========  ==================================================  =================================================
 
@@ -38,8 +39,10 @@ from pyspark.sql import functions as F
 from .common import documents
 
 ROUNDS = 10
-#: For tests and examples; production passes its own secret.
+#: For tests and examples; production names its own secret in this setting. It becomes part of the plan, so clusters that
+#: keep plans or event logs should cover it with spark.sql.redaction.string.regex.
 DEFAULT_KEY = "wikiloom-example-key"
+KEY_SETTING = "spark.wikiloom.pseudonym.key"
 
 # The ITU calling codes of one and two digits (all others have three), and the length of an IBAN by country.
 CALLING = "[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
@@ -162,8 +165,9 @@ def _day(m: str) -> str:
     return _let(_date_parts(m), "q", f"IF(q.y BETWEEN 1600 AND 2399, {made}, NULL)")
 
 
-#: Days of a century as a product of two radices: 36525 = 75 * 487 if its first year is a leap year, else 36524 = 92 * 397.
-_LEAP, _COMMON = (75, 487), (92, 397)
+#: Days of a century above the 12th of their month as a product of two radices: 22125 = 75 * 295 if its first year is a leap
+#: year, else 22124 = 4 * 5531; the others: 1200 months of 12 days.
+_LEAP, _COMMON, _FIRST = (75, 295), (4, 5531), (120, 120)
 
 
 def _century(day: str) -> str:
@@ -171,7 +175,28 @@ def _century(day: str) -> str:
 
 
 def _radix(day: str, at: int) -> str:
-    return f"IF(floor(year({day}) / 100) % 4 = 0, {_LEAP[at]}, {_COMMON[at]})"
+    return f"CASE WHEN day({day}) <= 12 THEN {_FIRST[at]} WHEN floor(year({day}) / 100) % 4 = 0 THEN {_LEAP[at]} ELSE {_COMMON[at]} END"
+
+
+def _month(day: str) -> str:
+    """SQL for the number of the month in its century, from 0."""
+    return f"(year({day}) % 100 * 12 + month({day}) - 1)"
+
+
+def _place(day: str) -> str:
+    """SQL for the number of a day among those of its kind in its century."""
+    return f"IF(day({day}) <= 12, {_month(day)} * 12 + day({day}) - 1, datediff({day}, {_century(day)}) - 12 * ({_month(day)} + 1))"
+
+
+def _placed(day: str, place: str) -> str:
+    """SQL for the day of the number ``place`` among those of the kind of ``day``."""
+    low = f"make_date(year({_century(day)}) + cast(floor(n / 144) as int), cast(floor(n / 12) % 12 as int) + 1, n % 12 + 1)"
+    # a year has 221 or 222 such days: one of two years, and there the last month that begins at or before the place
+    begins = "datediff(make_date(z, m, 13), c) - 12 * (z % 100 * 12 + m)"
+    year = f"transform(array(year(c) + least(99, cast(floor(n / 221) as int))), z -> IF({begins.replace('m, 13', '1, 13').replace('+ m)', '+ 1)')} <= n, z, z - 1))[0]"
+    month = f"aggregate(sequence(1, 12), 1, (b, m) -> IF({begins} <= n, m, b))"
+    high = _let(_century(day), "c", _let(year, "z", _let(month, "m", f"make_date(z, m, 13 + n - ({begins}))")))
+    return _let(place, "n", f"IF(day({day}) <= 12, {low}, {high})")
 
 
 def _digit_symbols(text: str) -> str:
@@ -181,8 +206,7 @@ def _digit_symbols(text: str) -> str:
 def _symbols(m: str, kind: str) -> str:
     """SQL for the array of struct(v, r) that is permuted."""
     digits = f"regexp_replace({m}, '[^0-9]', '')"
-    offset = f"datediff(e, {_century('e')})"
-    date = _let(_day(m), "e", f"array(struct(cast(floor({offset} / {_radix('e', 1)}) as int) AS v, {_radix('e', 0)} AS r), struct({offset} % {_radix('e', 1)} AS v, {_radix('e', 1)} AS r))")
+    date = _let(_day(m), "e", _let(_place("e"), "n", _let(_radix("e", 1), "q", f"array(struct(cast(floor(n / q) as int) AS v, {_radix('e', 0)} AS r), struct(n % q AS v, q AS r))")))
     local = f"filter(split(substring_index({m}, '@', 1), ''), c -> c RLIKE '[A-Za-z0-9]')"
     return (
         f"(CASE {kind} "
@@ -262,7 +286,7 @@ def _spelled(m: str, kind: str, v: str) -> str:
     lead = f"regexp_extract({m}, '{_LEAD}', 0)"
     intl = f"concat({lead}, {_refilled(_chars(f'substr({m}, length({lead}) + 1)'), v)})"
     ssn = f"concat(lpad(cast({v}[0] + IF({v}[0] > 664, 2, 1) as string), 3, '0'), '-', lpad(cast({v}[1] + 1 as string), 2, '0'), '-', lpad(cast({v}[2] + 1 as string), 4, '0'))"
-    moved = _let(_day(m), "e", f"date_add({_century('e')}, cast({v}[0] * {_radix('e', 1)} + {v}[1] as int))")
+    moved = _let(_day(m), "e", _placed("e", f"cast({v}[0] * ({_radix('e', 1)}) + {v}[1] as int)"))
     form, sep = f"{_date_parts(m)}.form", f"regexp_extract({m}, '[-/.]', 0)"
     two = lambda part: f"lpad(cast({part}(g) as string), 2, '0')"
     date = _let(moved, "g", f"(CASE {form} WHEN 1 THEN concat_ws({sep}, year(g), {two('month')}, {two('day')}) WHEN 2 THEN concat_ws({sep}, {two('day')}, {two('month')}, year(g)) ELSE concat_ws({sep}, {two('month')}, {two('day')}, year(g)) END)")
@@ -285,6 +309,7 @@ def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = DEFAULT_KEY
 
     found_to: also an array of struct(kind, value) of what was put in, in order of the text. Null text stays null and has
     no values (an empty array); so does text without such data. Repeated rows stay equal.
+    An empty table gives none; whole texts are read, however long.
     """
     if not all(c.isalnum() or c in "-_." for c in key):
         raise ValueError("a key is made of letters, digits, '-', '_' and '.'")
@@ -298,7 +323,11 @@ def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = DEFAULT_KEY
     return result.select(*docs.columns, *([found_to] if found_to and found_to not in docs.columns else []))
 
 
+def configured_key(spark: SparkSession) -> str:
+    return spark.conf.get(KEY_SETTING, DEFAULT_KEY)
+
+
 def op5_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, text, n_values, kinds): each text with pseudonyms, how many, and of what kinds in order."""
-    done = pseudonymise(documents(spark, sf_dir).select("doc_id", "text"), found_to="found")
+    done = pseudonymise(documents(spark, sf_dir).select("doc_id", "text"), key=configured_key(spark), found_to="found")
     return done.select("doc_id", "text", F.size("found").alias("n_values"), F.array_join("found.kind", ",").alias("kinds"))

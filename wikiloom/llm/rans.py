@@ -44,8 +44,8 @@ RUN = 256
 #: A block is closed at the end of the document that brings it to this many tokens; a document is never split.
 BLOCK_TOKENS = 1 << 20
 END_ID = 2
-#: Pre-tokens in each of two generations of a worker's cache: about 230 MB when full.
-WORDS = 600_000
+#: Pre-tokens in each of two generations of a worker's cache: about 150 MB when full.
+WORDS = 400_000
 LOW = 1 << 32
 _HEAD = struct.Struct("<4sIIIIqqqqqq")
 #: Characters of a text that tell rows of one id apart when documents are dealt out.

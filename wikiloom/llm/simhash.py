@@ -2,16 +2,19 @@
 
 A link between two fingerprints is found in two exact steps, neither of which pairs up a dense group:
 
-* *Balls*: a fingerprint joins the 65 points within distance 1 of it. Two fingerprints share such a point exactly if
-  they differ in at most 2 bits, and a point can have at most 65 members, so a star per point links them all.
+* *Balls*: the anchors are all words (covering radius 0), and a fingerprint is replicated to the 65 within distance 1 of
+  it. Two fingerprints share one exactly if they differ in at most 2 bits, and all that share one do, so a star for each
+  anchor, of at most 65 members, links them without comparing.
 * *Anchors*: the anchors of a half (32 bits) are the words of the [31,26] Hamming code with the last bit left free; they
   cover the half with radius 1. Two fingerprints at distance 3 differ in at most 1 bit in one half. A fingerprint is
   at home at its nearest anchor and is replicated to every anchor within the covering radius plus that threshold (2),
   so one of the pair meets the other at the other's home. Pairs are compared per anchor, but only across the
   classes that the balls have made already: an anchor where all are of one class has nothing to compare, and elsewhere
-  only members outside the anchor's largest class meet the rest.
+  only members outside the anchor's largest class meet the rest. As the other half differs in at most 3 bits, one of its
+  four bytes is equal: an anchor's members are dealt by each of these bytes before they meet, which keeps what meets
+  small when the corpus grows.
 
-Both together are exact for thresholds up to 3. Classes come from connected components.
+Both together are exact for thresholds up to 3, and other thresholds are refused. Classes come from connected components.
 """
 
 from __future__ import annotations
@@ -56,14 +59,19 @@ def fingerprint(text: bytes | None) -> int:
 
 def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp long): each row's fingerprint with its bits as a signed long."""
-    light = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
+    return _fingerprinted(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body")))
+
+
+def _fingerprinted(light: DataFrame) -> DataFrame:
+    """(all columns but the last, fp) of rows whose last column is the text."""
+    names = light.columns[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             found = np.array([fingerprint(x) for x in binary_column(part, "body").to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found.view(np.int64))], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found.view(np.int64))], names=[*names, "fp"])
 
-    schema = T.StructType([T.StructField("id", light.schema["id"].dataType), T.StructField("fp", T.LongType())])
+    schema = T.StructType([*light.schema.fields[:-1], T.StructField("fp", T.LongType())])
     return light.mapInArrow(run, schema)
 
 
@@ -126,17 +134,28 @@ def anchor_rows(classes: DataFrame) -> DataFrame:
     )
 
 
+def _mixed(rows: DataFrame, *keys: str) -> DataFrame:
+    """Keys under which there are members of two classes or more."""
+    return rows.groupBy(*keys).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select(*keys)
+
+
 def anchor_edges(classes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(a, b) of classes (roots) that have fingerprints within ``threshold`` of each other. In: (fp, root)."""
+    if not 0 <= threshold <= THRESHOLD:
+        raise ValueError(f"the anchors reach thresholds of 0 to {THRESHOLD} bits, not {threshold}")
     rows = anchor_rows(classes)
-    mixed = rows.groupBy("side", "anchor").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-    rows = written(rows.join(mixed.select("side", "anchor"), ["side", "anchor"], "left_semi"), "anchors")
-    sizes = rows.groupBy("side", "anchor", "root").count()
-    largest = sizes.groupBy("side", "anchor").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
-    outside = rows.join(largest, ["side", "anchor"]).filter("root <> main").drop("main")
-    x = outside.select("side", "anchor", F.col("fp").alias("x"), F.col("root").alias("xr"), F.col("home").alias("xh"))
-    y = rows.select("side", "anchor", F.col("fp").alias("y"), F.col("root").alias("yr"), F.col("home").alias("yh"))
-    pairs = x.join(y, ["side", "anchor"]).filter(f"xr <> yr AND (xh OR yh) AND bit_count(x ^ y) <= {threshold}")
+    rows = written(rows.join(_mixed(rows, "side", "anchor"), ["side", "anchor"], "left_semi"), "anchors")
+    # the bytes of the half that the anchor isn't of, each with its place
+    other = "IF(side = 0, shiftrightunsigned(fp, 32), fp & 4294967295L)"
+    parts = f"transform(sequence(0, 3), i -> cast(shiftright({other}, 8 * i) & 255 as int) + 256 * i)"
+    rows = rows.withColumn("part", F.explode(F.expr(parts)))
+    keys = ["side", "anchor", "part"]
+    rows = written(rows.join(_mixed(rows, *keys), keys, "left_semi"), "parts")
+    largest = rows.groupBy(*keys, "root").count().groupBy(*keys).agg(F.max_by("root", F.struct("count", "root")).alias("main"))
+    outside = rows.join(largest, keys).filter("root <> main").drop("main")
+    x = outside.select(*keys, F.col("fp").alias("x"), F.col("root").alias("xr"), F.col("home").alias("xh"))
+    y = rows.select(*keys, F.col("fp").alias("y"), F.col("root").alias("yr"), F.col("home").alias("yh"))
+    pairs = x.join(y, keys).filter(f"xr <> yr AND (xh OR yh) AND bit_count(x ^ y) <= {threshold}")
     return pairs.select(F.least("xr", "yr").alias("a"), F.greatest("xr", "yr").alias("b")).distinct()
 
 
@@ -169,31 +188,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: that of the smallest id.
+    """``docs`` with one row of each near-duplicate group: that of the smallest id, where ids are null that of a null id.
 
-    Of rows that share the smallest id one stays. Rows without an id can't be told apart: one stays for a group
-    that has no id at all, and none beside an id. The columns stay as they are.
+    Rows are told apart by id and text, so ids may repeat, with texts of one group or of several: of rows of the smallest
+    id in a group that with the least fingerprint, then the least hash of the text stays, once. The columns stay as
+    they are. Null text and text without words make one group. An empty table gives none.
     """
-    kept = near_duplicates(docs, id_col, text_col).filter(F.col(id_col).eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col(id_col).alias("__id"), F.col("fingerprint").alias("__fp")).distinct()
-    # a group without any id is known by a fingerprint; groups with one by the id
-    named, bare = kept.filter("__id IS NOT NULL").select("__id").distinct(), kept.filter("__id IS NULL")
-    some = docs.filter(F.col(id_col).isNotNull())
-    result = some.join(named, some[id_col] == named["__id"], "left_semi").dropDuplicates([id_col])
-    if bare.isEmpty():
-        return result
-    groups = near_duplicates(docs, id_col, text_col).filter("component_id IS NULL").select("fingerprint")
-    return result.unionByName(_bare_rows(docs, groups, id_col, text_col))
-
-
-def _bare_rows(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row for each group of rows without an id."""
-    rows = docs.filter(F.col(id_col).isNull()).withColumn("__row", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    fps = with_fingerprints(rows, "__row", text_col).distinct()
-    fps = fps.withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0"))).join(groups.distinct(), "fingerprint", "left_semi")
-    classes = fingerprint_classes(fps)
-    chosen = fps.join(classes, "fp").groupBy("class").agg(F.min("id").alias("__row")).select("__row")
-    return rows.join(chosen, "__row", "left_semi").dropDuplicates(["__row"]).drop("__row")
+    text = F.xxhash64(text_col)
+    rows = written(_fingerprinted(docs.select(F.col(id_col).alias("id"), text.alias("h"), F.col(text_col).alias("body"))), "simhash")
+    classes = fingerprint_classes(rows)
+    least = rows.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp", "h")).alias("first")).join(classes, "fp")
+    chosen = least.groupBy("class").agg(F.min("first").alias("first")).select(F.col("first.id").alias("__id"), F.col("first.h").alias("__h"))
+    marked = docs.withColumn("__text", text)
+    kept = marked.join(chosen, marked[id_col].eqNullSafe(chosen["__id"]) & (marked["__text"] == chosen["__h"]), "left_semi")
+    return kept.dropDuplicates([id_col, "__text"]).drop("__text")
 
 
 def op7_simhash_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
