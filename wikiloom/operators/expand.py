@@ -176,8 +176,9 @@ def expand(
         state = state.filter("__open").drop("__open")
         calls = state.select(key, "__page", F.explode(F.expr(f"array_distinct(regexp_extract_all(expanded, {quoted(CALL)}, 0))")).alias("call"))
         parts = calls.withColumn("p", F.expr(parsed_call("call", aliases))).select(key, "__page", "call", "p.name", "p.args", "p.past").checkpoint()
-        names = {r["name"] for r in parts.filter(F.col("name").isin(*own)).select("name").distinct().collect()}  # at most the functions there are
-        if not names and parts.isEmpty():
+        # at most the functions there are, and null for all other names
+        names = {r[0] for r in parts.select(F.when(F.col("name").isin(*own), F.col("name"))).distinct().collect()}
+        if not names:
             break
         values = []
 
@@ -185,7 +186,8 @@ def expand(
             values.append(rows.selectExpr(key, "call", "value", f"{note} AS note"))  # noqa: B023
 
         # unimplemented functions give the call itself, closed to further rounds
-        add(parts.filter(F.col("name").isin(*known)).withColumn("value", F.expr(f"coalesce({dispatch('name', 'args', '__page', names)}, {shut})")))
+        if names & set(known):
+            add(parts.filter(F.col("name").isin(*known)).withColumn("value", F.expr(f"coalesce({dispatch('name', 'args', '__page', names)}, {shut})")))
         if names & set(SUMS):
             sums = parts.filter(F.col("name").isin(*SUMS)).withColumn("v", expr(F.coalesce(F.get("args", F.lit(0)), F.lit(""))))
             branch = lambda i: strip(f"coalesce(get(args, {i}), '')")
@@ -214,27 +216,28 @@ def expand(
             paged = paged.withColumn("__want", F.expr(want)).withColumn("__chain", F.expr("concat(past, array(__want))")).join(bodies, F.col("__want") == F.col("__title"), "left")
             looped = f"concat({quoted(LOOP)}, name, ']]</strong>')"
             add(paged.withColumn("value", F.expr(f"IF({_repeats('__chain')}, {looped}, {_tagged(_of_page(), '__chain')})")))
-        other = parts.filter(~F.col("name").isin(*own))
-        local = "regexp_replace(regexp_replace(replace(name, '_', ' '), '^(?i)(?:safe)?subst:\\\\s*', ''), '^(?i)template:', '')"
-        other = other.withColumn("__local", F.expr(local))
-        other = other.withColumn("__want", F.expr("IF(startswith(__local, ':'), substr(__local, 2), concat('Template:', upper(substr(__local, 1, 1)), substr(__local, 2)))"))
-        other = other.withColumn("__chain", F.expr("concat(past, array(__want))"))
-        other = other.withColumn("__loops", F.expr(_repeats("__chain"))).withColumn("__deep", F.size("past") >= max_depth)
-        kept = F.lit(False) if only is None else ~F.col("__local").isin(*only)
-        other = other.withColumn("__kept", kept | F.col("__local").isin(*never) if list(never) else kept)
-        other = other.withColumn("__given", F.expr(given or "cast(NULL as string)").cast("string"))
-        found = other.join(bodies, F.col("__want") == F.col("__title"), "left")
-        inner = _tagged(bound("__body", "args"), "__chain")
-        value = (
-            f"CASE WHEN __kept THEN {shut} WHEN __deep THEN concat({quoted(TOO_DEEP)}, {shut}, '</strong>') WHEN __loops THEN concat({quoted(LOOP)}, name, ']]</strong>') "
-            f"WHEN __given IS NOT NULL THEN {_shut('__given')} WHEN __title IS NULL THEN concat('[[:', IF(startswith(__want, 'Template:'), concat('Template:', name), __want), ']]') ELSE {inner} END"
-        )
-        found = found.withColumn("value", F.expr(value))
-        if after is not None:
-            changed = F.expr(after).cast("string")
-            found = found.withColumn("value", F.when(F.col("__kept"), F.col("value")).otherwise(F.coalesce(F.translate(changed, "{}", _SHUT), "value")))
-        note = "CASE WHEN __kept THEN NULL WHEN __deep THEN 'depth' WHEN __loops THEN 'loop' WHEN __given IS NULL AND __title IS NULL THEN 'missing' END"
-        add(found, f"transform(filter(array({note}), k -> k IS NOT NULL), k -> struct(k AS kind, name AS name))")
+        if None in names:
+            other = parts.filter(F.col("name").isNull() | ~F.col("name").isin(*own))
+            local = "regexp_replace(regexp_replace(replace(name, '_', ' '), '^(?i)(?:safe)?subst:\\\\s*', ''), '^(?i)template:', '')"
+            other = other.withColumn("__local", F.expr(local))
+            other = other.withColumn("__want", F.expr("IF(startswith(__local, ':'), substr(__local, 2), concat('Template:', upper(substr(__local, 1, 1)), substr(__local, 2)))"))
+            other = other.withColumn("__chain", F.expr("concat(past, array(__want))"))
+            other = other.withColumn("__loops", F.expr(_repeats("__chain"))).withColumn("__deep", F.size("past") >= max_depth)
+            kept = F.lit(False) if only is None else ~F.col("__local").isin(*only)
+            other = other.withColumn("__kept", kept | F.col("__local").isin(*never) if list(never) else kept)
+            other = other.withColumn("__given", F.expr(given or "cast(NULL as string)").cast("string"))
+            found = other.join(bodies, F.col("__want") == F.col("__title"), "left")
+            inner = _tagged(bound("__body", "args"), "__chain")
+            value = (
+                f"CASE WHEN __kept THEN {shut} WHEN __deep THEN concat({quoted(TOO_DEEP)}, {shut}, '</strong>') WHEN __loops THEN concat({quoted(LOOP)}, name, ']]</strong>') "
+                f"WHEN __given IS NOT NULL THEN {_shut('__given')} WHEN __title IS NULL THEN concat('[[:', IF(startswith(__want, 'Template:'), concat('Template:', name), __want), ']]') ELSE {inner} END"
+            )
+            found = found.withColumn("value", F.expr(value))
+            if after is not None:
+                changed = F.expr(after).cast("string")
+                found = found.withColumn("value", F.when(F.col("__kept"), F.col("value")).otherwise(F.coalesce(F.translate(changed, "{}", _SHUT), "value")))
+            note = "CASE WHEN __kept THEN NULL WHEN __deep THEN 'depth' WHEN __loops THEN 'loop' WHEN __given IS NULL AND __title IS NULL THEN 'missing' END"
+            add(found, f"transform(filter(array({note}), k -> k IS NOT NULL), k -> struct(k AS kind, name AS name))")
         every = values[0]
         for more in values[1:]:
             every = every.unionByName(more)
