@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 MAX_ROUNDS = 60
 
@@ -45,7 +45,8 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         if now == before or not now[0]:
             break
         before = now
-        edges = written(_star(_star(edges, True), False), "edges")
+        previous, edges = edges, written(_star(_star(edges, True), False), "edges")
+        discard(previous)
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(

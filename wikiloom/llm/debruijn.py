@@ -14,7 +14,8 @@ aggregate, joined back to the source coordinates. Then, for a window with minimi
 * else the window touches a branching point: its own 128-bit digest goes to an exact count over all such windows.
 
 All occurrences of one window fall in the same case, so the counts are whole. Words themselves are hashed from the
-source text at the coordinates, never from k-mer ids.
+source text at the coordinates, never from k-mer ids. In the second case the k-mer's hash and those of all words on
+either side, 64 bits each, agree at every occurrence: as many bits as in the third, so that chance agreement needs no care.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binary_column, documents, slices, words_of, written
+from .common import binary_column, discard, documents, slices, words_of, written
 
 WINDOW = 35
 K = 11
@@ -98,14 +99,16 @@ def _graph_rows(words: list[bytes], window: int, k: int) -> tuple[np.ndarray, np
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, part, seal, body): part and seal tell rows apart; rows equal in both are equal in id and text.
 
-    Where all ids differ and none is null the id alone does so, and the seal is 0, which takes no room in a shuffle.
+    Where all ids are different integers the id alone does so, and the seal is 0, which takes no room in a shuffle. Ids of
+    other types are known by two hashes of 64 bits.
     """
     key, text = F.col(id_col), F.col(text_col)
     ids = docs.select(key.alias("id"))
-    apart = ids.filter("id IS NULL").isEmpty() and ids.groupBy("id").count().filter("count > 1").isEmpty()
-    return docs.select(
-        key.alias("id"), F.coalesce(key.cast("long"), F.lit(0)).alias("part"), (F.lit(0).cast("long") if apart else F.xxhash64(key, text)).alias("seal"), text.alias("body")
-    )
+    whole = isinstance(ids.schema["id"].dataType, T.IntegralType)
+    apart = whole and ids.filter("id IS NULL").isEmpty() and ids.groupBy("id").count().filter("count > 1").isEmpty()
+    part = F.coalesce(key.cast("long"), F.lit(0)) if whole else F.xxhash64(key)
+    seal = F.lit(0).cast("long") if apart else F.xxhash64(F.lit(1), key, text)
+    return docs.select(key.alias("id"), part.alias("part"), seal.alias("seal"), text.alias("body"))
 
 
 def occurrences(keyed: DataFrame, window: int, k: int) -> DataFrame:
@@ -138,7 +141,8 @@ def path_marks(found: DataFrame) -> DataFrame:
     # written, so that the join gets both sides from shuffles of their own and can split a k-mer with very many rows
     nodes = written(nodes, "nodes")
     marks = found.select("part", "seal", F.inline(F.arrays_zip("at", "kmer"))).join(nodes, "kmer")
-    return marks.groupBy("part", "seal").agg(F.collect_list(F.expr("cast(at as long) * 4 + sides")).alias("marks"))
+    # a set: rows equal in id and text have equal marks, however many they are
+    return marks.groupBy("part", "seal").agg(F.collect_set(F.expr("cast(at as long) * 4 + sides")).alias("marks"))
 
 
 def judge(words: list[bytes], marks: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -195,7 +199,8 @@ def remove_repeated(
 
     spans holds word positions [start, end, ...] that went; kept is the remaining words joined by one space, or with
     ``digest`` the SHA-256 of that in hex. Null text has no words and keeps an empty text. Fewer words than a window:
-    nothing goes. Repeated rows are repeats of each other, null ids included. Other columns are not read.
+    nothing goes. Repeated rows are repeats of each other, null ids included. Ids may be of any type. An empty table gives
+    none. Other columns are not read. Whole texts are looked at, however long.
     """
     keyed = _keyed(docs, id_col, text_col)
     id_type = keyed.schema["id"].dataType.simpleString()
@@ -226,10 +231,11 @@ def remove_repeated(
 
     schema = f"id {id_type}, part long, seal long, n_words long, n_removed long, spans array<int>, kept string, body string, sure array<int>, open array<int>, hi array<long>, lo array<long>"
     judged = written(marked.mapInArrow(first, schema), "judged")
+    discard(found)
     waiting = judged.filter("body IS NOT NULL")
     windows = waiting.select("part", "seal", F.explode(F.arrays_zip("open", "hi", "lo")).alias("w")).select("part", "seal", "w.open", "w.hi", "w.lo")
     twice = written(windows.groupBy("hi", "lo").count().filter("count > 1").select("hi", "lo"), "twice")
-    more = windows.join(twice, ["hi", "lo"], "left_semi").groupBy("part", "seal").agg(F.collect_list("open").alias("more"))
+    more = windows.join(twice, ["hi", "lo"], "left_semi").groupBy("part", "seal").agg(F.collect_set("open").alias("more"))
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

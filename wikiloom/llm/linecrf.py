@@ -12,17 +12,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import binary_column, documents, slices, words_of
 
 CONTENT, BOILERPLATE = 0, 1
-#: Most labelled documents in training (those of the least id hash), and most lines taken of one: bounds for any corpus size.
+#: Most labelled documents in training (those of the least id hash), the same for any size of the corpus.
 TRAIN_DOCS = 1_500
-TRAIN_LINES = 256
-#: Lines of a training sequence; longer documents make several.
+#: Lines of a training sequence: all lines of those documents make such labelled sequences, and training takes at most
+#: TRAIN_SPANS of them, those of the least hash, so that long texts count as a whole and the sample stays bounded.
 TRAIN_SPAN = 32
+TRAIN_SPANS = 8_000
 TRAIN_STEPS = 200
 PENALTY = 1e-4
 #: Lines of a training document share one label, so transitions would come out too stiff to mark a line among others.
@@ -175,34 +177,39 @@ def train(features: list[np.ndarray], labels: list[int]) -> Model:
     return Model(theta[: 2 * width].reshape(width, 2), theta[2 * width :].reshape(2, 2))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", quality_col: str = "quality", max_docs: int = TRAIN_DOCS) -> Model:
-    """A CRF from at most ``max_docs`` labelled documents: those of the least id hash. quality 1 is content, 0 boilerplate.
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", quality_col: str = "quality", max_docs: int = TRAIN_DOCS, max_spans: int = TRAIN_SPANS) -> Model:
+    """A CRF from at most ``max_spans`` sequences of at most ``max_docs`` labelled documents. quality 1 is content, 0 boilerplate.
 
-    Labels that are null or other, and null ids, are left out; of several labels of an id the least counts. Features
-    are made in the tasks; only they come to the driver, TRAIN_LINES rows a document at most.
+    Labels that are null or other, and null ids, are left out; of several labels of an id the least counts; all texts of a
+    repeated id take part. Features of whole texts are made in the tasks; only those of the sample come to the driver.
+    No labels: a model for which all lines are content.
     """
     marked = labels.select(F.col(id_col).alias("id"), F.col(quality_col).alias("quality")).filter("id IS NOT NULL AND quality IN (0, 1)")
     picked = marked.groupBy("id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("id"), "id").limit(max_docs).collect()
-    known = {r["id"]: r["quality"] for r in picked}
+    known = {r["id"]: int(r["quality"]) for r in picked}
     if not known:
         return train([], [])
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body")).filter(F.col("id").isin(list(known)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            made = []
-            for text in binary_column(batch, "body").to_pylist():
-                rows = []
+        for batch in slices(batches, 16):
+            order, quality, features = [], [], []
+            for key, text in zip(batch.column(0).to_pylist(), binary_column(batch, "body").to_pylist(), strict=True):
+                seed, held = xxhash.xxh64_intdigest(text or b""), []
                 for line in lines_of(text):
-                    rows.append(line_features(*line))
-                    if len(rows) == TRAIN_LINES:
-                        break
-                made.append(np.array(rows, "<f4").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["id", "features"])
+                    held.append(line_features(*line))
+                    if len(held) == TRAIN_SPAN:
+                        features.append(np.array(held, "<f4").tobytes())
+                        held = []
+                if held:
+                    features.append(np.array(held, "<f4").tobytes())
+                for at in range(len(features) - len(order)):
+                    order.append(xxhash.xxh64_intdigest(f"{key} {seed} {at}") - (1 << 63))
+                    quality.append(known[key])
+            yield pa.RecordBatch.from_arrays([pa.array(order, pa.int64()), pa.array(quality, pa.int32()), pa.array(features, pa.binary())], names=["order", "quality", "features"])
 
-    rows = sample.dropDuplicates(["id"]).mapInArrow(run, f"id {sample.schema['id'].dataType.simpleString()}, features binary").collect()
-    rows = sorted((r for r in rows if r["features"]), key=lambda r: r["id"])
-    return train([np.frombuffer(r["features"], "<f4").reshape(-1, len(FEATURES)).astype(float) for r in rows], [1 - known[r["id"]] for r in rows])
+    rows = sample.mapInArrow(run, "order long, quality int, features binary").orderBy("order", "features").limit(max_spans).collect()
+    return train([np.frombuffer(r["features"], "<f4").reshape(-1, len(FEATURES)).astype(float) for r in rows], [1 - r["quality"] for r in rows])
 
 
 RESULT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, content_share double, line_labels string"
@@ -225,7 +232,8 @@ def judge(text: bytes | None, model: Model, least_share: float = CONTENT_SHARE)
 def quality(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", least_share: float = CONTENT_SHARE) -> DataFrame:
     """(id_col and the columns of RESULT), a row per row of ``docs``; line_labels has a C or B for each line.
 
-    Null and empty text: no words, no lines, base_failed, not kept. Repeated rows are judged alike. Other columns are not read.
+    Null and empty text: no words, no lines, base_failed, not kept. Repeated rows are judged alike. An empty table
+    gives none. Other columns are not read. Whole texts are judged, however long.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     light = docs.select(F.col(id_col), F.col(text_col).alias("__body"))

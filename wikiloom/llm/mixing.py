@@ -25,6 +25,8 @@ from pyspark.sql import Window
 from .common import documents, written
 
 BLOCK_DOCS = 1_024
+#: Blocks of a group, whose sums are added up first.
+GROUP_BLOCKS = 1024
 #: Each pass narrows the exponent by 16; ten passes by 2^40.
 FANOUT, PASSES = 16, 10
 MAX_EXPONENT = 8.0
@@ -121,9 +123,15 @@ def cut_points(light: DataFrame, plan_: DataFrame, n_sources: int, seed: int) ->
     work = work.filter("need > 0.5").withColumn("order", order_key(F.col("key"), F.col("full"), seed))
     work = work.withColumn("block", _block("order"))
     sums = work.groupBy("source", "block").agg(F.sum("tokens").alias("here"), F.first("need").alias("need"))
-    before = F.coalesce(F.sum("here").over(Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    edge = sums.withColumn("before", before).filter("before < need AND before + here >= need").select("source", "block", "before")
-    edge = edge.groupBy("source").agg(F.min(F.struct("block", "before")).alias("e")).select("source", "e.block", "e.before")
+    sums = written(sums.withColumn("group", F.floor(F.col("block") / F.lit(GROUP_BLOCKS)).cast("long")), "blocks")
+    # running sums over groups of blocks, and over the blocks of the group that meets the budget: no task has a source's blocks
+    upto = lambda what, *by: F.coalesce(F.sum("here").over(Window.partitionBy(*by).orderBy(what).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    groups = sums.groupBy("source", "group").agg(F.sum("here").alias("here"), F.first("need").alias("need")).withColumn("before", upto("group", "source"))
+    groups = groups.filter("before < need AND before + here >= need").groupBy("source").agg(F.min(F.struct("group", "before")).alias("g"))
+    groups = groups.select(F.col("source").alias("__s"), F.col("g.group").alias("__g"), F.col("g.before").alias("start"))
+    inner = sums.join(groups, sums["source"].eqNullSafe(groups["__s"]) & (sums["group"] == groups["__g"])).drop("__s", "__g")
+    inner = inner.withColumn("before", F.col("start") + upto("block", "source", "group"))
+    edge = inner.filter("before < need AND before + here >= need").groupBy("source").agg(F.min(F.struct("block", "before")).alias("e")).select("source", "e.block", "e.before")
     inside = _joined(work, edge.withColumnRenamed("block", "edge_block"), n_sources).filter("block = edge_block")
     # rows of one order key (repeated rows) stay or go together
     steps = inside.groupBy("source", "order").agg(F.sum("tokens").alias("here"), F.first("before").alias("before"), F.first("need").alias("need"))
