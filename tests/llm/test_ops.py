@@ -118,6 +118,12 @@ def test_op2_small_alphabets(spark, alphabet, window, k):
     assert sorted([(r.doc_id, r.n_words, r.n_removed, r.kept) for r in got], key=key) == sorted([(i, *x) for (i, _), x in zip(rows, repeats(rows, window), strict=True)], key=key)
 
 
+def test_op2_text_ids_and_equal_rows(spark):
+    rows = [("b", "w " * 50 + "x"), ("a", "w " * 36), (None, "v " * 36), (None, "v " * 36)] + [("c", " ".join(f"u{i}" for i in range(60)))] * 40
+    got = debruijn.remove_repeated(texts(spark, rows, "doc_id string, text string")).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed) for r in got) == sorted((str(i), n, gone) for (i, _), (n, gone, _) in zip(rows, repeats(rows, 35), strict=True))
+
+
 def test_op2_odd_rows(spark, odd, empty):
     got = sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in debruijn.remove_repeated(odd).collect())
     assert got == sorted((i or 0, n, gone) for (i, _), (n, gone, _) in zip(ODD, repeats(ODD, 35), strict=True))
@@ -137,6 +143,43 @@ def test_op3_round_trip_and_odd_rows(spark, odd, empty):
         want[len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:])] += 1
     assert want == collections.Counter((r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) for r in rows)
     assert sniff.payloads(sniff.sniff(sniff.store(empty))).count() == 0
+    key = lambda r: (r.doc_id or 0, r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32, r.media_bytes, r.media_sha256, r.feature)
+    assert sorted(map(key, sniff.media_features(odd).collect())) == sorted(map(key, rows))
+    assert sniff.media_features(empty).count() == 0
+
+
+def test_op3_carving_against_every_place():
+    """All valid media, looked for at every byte with every format instead of by signature."""
+    rng = random.Random(33)
+    parts = [sniff.to_png(bytes(64)), sniff.to_wav(b"q" * 64), sniff.to_au(b"z" * 64), pdf(b"1 0 obj\nendobj\n"), pdf(b"", b"2 0 obj\nendobj\n"), b"BM", b"RIFF", b"%PDF-1.1", b"PK\x03\x04", b" x ", b"\xff\xd8\xff"]
+    for _ in range(30):
+        data = b"".join(rng.choice(parts) for _ in range(rng.randrange(1, 9)))
+        valid = {}
+        for at in range(len(data)):
+            for kind, magic, check in sniff.FORMATS:
+                if data.startswith(magic, at) and (size := check(data, at)):
+                    valid.setdefault(at, (kind, at, size))
+        got = {m[1]: m[:3] for m in sniff.carve_all(data)[0]}
+        top = {m[1] for m in sniff.carve(data)[0]}
+        want, free = set(), 0
+        for at in sorted(valid):
+            if at >= free:
+                want.add(at)
+                free = at + valid[at][2]
+        assert top == want and all(got[at] == valid[at] for at in want)
+
+
+def test_op3_hostile_texts_take_linear_time():
+    import time
+
+    for make in (lambda n: b"PK\x03\x04" * n + b"PK\x05\x06" + b"PK\x05\x06 2345678901234567890" * n, lambda n: b"%PDF-1." * n + b"startxref 5 %%EOF" * n):
+        took = []
+        for n in (1_000, 4_000):
+            data = make(n)
+            start = time.perf_counter()
+            sniff.carve_all(data)
+            took.append(time.perf_counter() - start)
+        assert took[1] < 1 or took[1] < 12 * took[0], took
 
 
 def test_op3_carving():
@@ -221,6 +264,40 @@ def test_op4_accuracy_and_odd_rows(spark, odd, empty):
     assert all(r.out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in docs.select("doc_id", "out").collect())
 
 
+def test_op4_against_plain_naive_bayes(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("lang IS NOT NULL")
+    rows = docs.select("lang", "text").collect()
+    model = langid.fit(docs, docs_of_each=10**9)
+    grams = lambda text: [int(h) for points in langid.pieces(text) for hashed in langid.buckets(points, 0) for h in hashed]
+    counts, sizes = collections.defaultdict(collections.Counter), collections.Counter()
+    for lang, text in {(r.lang, r.text) for r in rows if r.text is not None} if docs.groupBy("doc_id").count().filter("count > 1").count() else [(r.lang, r.text) for r in rows if r.text is not None]:
+        counts[lang].update(grams(text))
+        sizes[lang] += 1
+    assert model.languages == sorted(counts)
+    total = {x: sum(c.values()) + langid.SMOOTHING * langid.BUCKETS for x, c in counts.items()}
+    some = [r.text for r in rows if r.text and langid.has_letter(r.text)][:25]
+    names, posteriors = langid.predict(some, model)
+    for text, name, posterior in zip(some, names, posteriors, strict=True):
+        joint = {x: math.log(sizes[x] / sum(sizes.values())) + sum(math.log((counts[x][g] + langid.SMOOTHING) / total[x]) for g in grams(text)) for x in counts}
+        best = max(joint, key=joint.get)
+        assert name == best
+        assert math.isclose(posterior, 1 / sum(math.exp(max(-700, v - joint[best])) for v in joint.values()), rel_tol=1e-2)
+
+
+def test_op4_more_languages_than_one_pass(spark, odd, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit(docs)
+    want = sorted((r.doc_id, r.lang_pred, round(r.score, 9)) for r in langid.with_language(docs, model).collect())
+    long = ["ab cd " * 700, "xyz"]
+    whole = langid.scores(long, model)
+    monkeypatch.setattr(langid, "PIECE", 1000)
+    assert np.allclose(langid.scores(long, model), whole)
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 1)
+    got = sorted((r.doc_id, r.lang_pred, round(r.score, 9)) for r in langid.with_language(docs, model).collect())
+    assert got == want and len(model.languages) > 2
+    assert langid.with_language(odd, model).columns == [*odd.columns, "lang_pred", "score"]
+
+
 def test_op4_pieces_make_no_difference():
     text = "the quick brown fox " * 50
     whole = langid.gram_counts(text)
@@ -463,6 +540,18 @@ def test_op8_equals_the_library(spark, tokenizer, odd, empty):
     assert bpe.encode_decode(empty, bpe.tokenizer_path()).count() == 0
 
 
+def test_op8_byte_level_file(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    rows = [(i, t) for i, t in enumerate([*STRANGE, "  two  blanks\n\n end ", "x" * 3_000])]
+    for r in bpe.encode_decode(texts(spark, rows), path).collect():
+        want = library.encode(dict(rows)[r.doc_id] or "", add_special_tokens=False).ids
+        assert r.ids == " ".join(map(str, want)) and r.decoded == library.decode(want, skip_special_tokens=False)
+
+
 def test_op8_stream_is_settled_early_and_bounded(tokenizer):
     encoder = bpe.ChunkEncoder(bpe.tokenizer_path(), lambda ids: ids, lambda many: [i for x in many for i in x])
     rng = random.Random(8)
@@ -661,6 +750,16 @@ def test_op10_canonical_forms(spark, odd, empty):
     assert licences.scan(odd, licences.known_licences(spark, [])).count() == len(ODD)
 
 
+def test_op10_many_notices(spark, monkeypatch):
+    known = licences.known_licences(spark)
+    rows = [(1, "x\nlicenced under the MIT licence!\nReleased under the MIT License.\nLicensed under CC BY-NC 4.0."), (1, None), (2, "plain"), (3, "SPDX-License-Identifier: ISC\n" * 2), (None, "x\nlicenced under the MIT licence!\nReleased under the MIT License.\nLicensed under CC BY-NC 4.0.")]
+    read = lambda: sorted(map(str, licences.scan(texts(spark, rows), known).collect()))
+    want = read()
+    monkeypatch.setattr(licences, "MAX_LITERAL", 2)
+    monkeypatch.setattr(licences, "INSIDE_AT_ONCE", 7)
+    assert read() == want and "notices=['MIT', 'MIT', 'CC-BY-NC-4.0']" in want[0]
+
+
 # pipeline ----------------------------------------------------------------------------------------------------------
 def test_op10_full_texts_and_file_notices(spark):
     known = licences.known_licences(spark)

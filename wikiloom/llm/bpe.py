@@ -183,7 +183,10 @@ class Transducer:
         return out, cut
 
     def encode(self, pretoken: str) -> list[int]:
-        return list(self.stream((pretoken,))) if len(pretoken) > SETTLE else self._short(pretoken)
+        """A pre-token's ids; a long one is fed in pieces, so that no more than the open window of its symbols is held."""
+        if len(pretoken) <= SETTLE:
+            return self._short(pretoken)
+        return list(self.stream(pretoken[at : at + SETTLE] for at in range(0, len(pretoken), SETTLE)))
 
     def _short(self, pretoken: str) -> list[int]:
         if not pretoken:
@@ -280,6 +283,8 @@ class Pretokens:
         self.simple = "Lowercase" in str(self.spec.get("normalizer")) and len(parts) == 2 and parts[0].get("pattern", {}).get("Regex") == words
         self.plain = re.compile("[\x21-\x7e\xa1-\u012f]+").fullmatch
         self.words = regex.compile(words).findall
+        #: whether white space only separates, so that a text's pre-tokens are those of its chunks
+        self.apart = self.simple
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [x for x in range(256) if x not in plain]
         self.spelling = {x: chr(x) for x in plain} | {x: chr(256 + i) for i, x in enumerate(rest)}
@@ -299,11 +304,24 @@ class Pretokens:
             return found + self._parts(text[at:])
         return self._parts(text)
 
+    def whole(self, text: str) -> Iterator[str | int]:
+        """The pre-tokens of a text in which white space counts, and the ids of special tokens."""
+        at = 0
+        for m in self.find_specials.finditer(text) if self.find_specials is not None else ():
+            yield from self._library(text[at : m.start()])
+            yield self.specials[m[0]]
+            at = m.end()
+        yield from self._library(text[at:])
+
+    def _library(self, text: str) -> list[str]:
+        made = self.tokenizer.normalizer.normalize_str(text) if self.tokenizer.normalizer else text
+        return [w for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(made)] if made else []
+
     def _parts(self, text: str) -> list[str | int]:
         if self.simple and self.plain(text):
             words = self.words(text.lower())
             return words if text.isascii() else [w if w.isascii() else "".join(map(self.spelling.__getitem__, w.encode())) for w in words]
-        return [w for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(text))]
+        return self._library(text)
 
 
 class ChunkEncoder:
@@ -349,7 +367,29 @@ class ChunkEncoder:
         return value
 
 
+class WholeEncoder:
+    """Encodes texts in which white space counts: pre-token by pre-token, and decodes the ids as they come."""
+
+    def __init__(self, encoder: ChunkEncoder):
+        self.encoder, self.words = encoder, Cache()
+        self.decoder = Decoder(encoder.names, encoder.byte_decoder)
+
+    def run(self, text: bytes | None) -> tuple[int, bytes, bytes]:
+        """(number of ids, ids as decimals joined by blanks, decoded text)."""
+        ids, shown = [], []
+        for word in self.encoder.pretokens.whole(text.decode() if text else ""):
+            found = [word] if isinstance(word, int) else self.words.get(word)
+            if found is None:
+                found = self.encoder.transducer.encode(word)
+                self.words.put(word, found)
+            ids += found
+            shown.append(self.decoder.feed(found))
+        shown.append(self.decoder.finish())
+        return len(ids), b" ".join([b"%d" % i for i in ids]), "".join(shown).encode()
+
+
 _encoders: dict[tuple, ChunkEncoder] = {}
+_wholes: dict[str, WholeEncoder] = {}
 
 
 def _worker_encoder(path: str) -> ChunkEncoder:
@@ -376,19 +416,21 @@ def _worker_encoder(path: str) -> ChunkEncoder:
 def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
     """(id_col, n_tokens, ids, decoded), a row per row of ``docs``: ids as decimals joined by blanks, and the text they decode to.
 
-    ``path`` is a tokenizer file without a decoder (token strings joined by blanks). digest: SHA-256 in hex of both
-    instead. Null and blank text: no ids, empty text. Repeated rows get equal results. Other columns are not read.
+    ``path`` is a BPE tokenizer file whose decoder is that of bytes, or none (token strings joined by blanks). digest:
+    SHA-256 in hex of both instead. Null and empty text: no ids, empty text. Repeated rows get equal results. An empty
+    table gives none. Other columns are not read. Whole texts are encoded, however long.
     """
     light = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _worker_encoder(path)
-        if encoder.byte_decoder:
-            raise ValueError("chunks of a byte-level decoder don't decode apart; use Decoder on a document's ids")
+        whole = None
+        if encoder.byte_decoder or not encoder.pretokens.apart:
+            whole = _wholes.setdefault(path, WholeEncoder(encoder)) if path not in _wholes else _wholes[path]
         for batch in slices(batches, 128):
             counts, ids, texts = [], [], []
             for text in binary_column(batch, "body").to_pylist():
-                numbers, spelled, decoded = zip(*(encoder.encode(text) or [(0, b"", b"")]), strict=True)
+                numbers, spelled, decoded = zip(*((encoder.encode(text) if whole is None else [whole.run(text)]) or [(0, b"", b"")]), strict=True)
                 if 0 in numbers:  # chunks without ids leave no blank
                     spelled, decoded = filter(None, spelled), filter(None, decoded)
                 counts.append(sum(numbers))

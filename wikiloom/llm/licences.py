@@ -12,13 +12,17 @@ import json
 import re
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
 
-#: Known licences up to this number are broadcast (a row of under 200 bytes each) and notices kept as a literal; more licences are joined by shuffle.
+#: Known licences up to this number are broadcast (a row of under 200 bytes each); more are joined by shuffle.
 MAX_BROADCAST = 10_000
+#: One-line notices up to this number are a literal map that lines of a notice's length look up; more are joined to the lines.
+MAX_LITERAL = 1_000
+#: Notices of several lines that one expression takes out of a text; more take several, one behind the other.
+INSIDE_AT_ONCE = 1_000
 
 # Spellings that licence matching treats as equal (from -> to), after the SPDX matching guidelines.
 SPELLINGS = {
@@ -135,24 +139,27 @@ def digest(lines: str) -> str:
     return f"sha2({words(lines)}, 256)"
 
 
-def with_digests(df: DataFrame, text_col: str) -> DataFrame:
-    """``df``, __words between blanks, __digest of the entire text, and __lines: digests of its lines that have words."""
+def with_digests(df: DataFrame, text_col: str, lengths: list[int] | None = None) -> DataFrame:
+    """``df``, __words between blanks, __digest of the entire text, and __lines: digests of its lines that have words, of these lengths in words' characters if given."""
     marked = df.withColumn("__c", F.expr(canonical_lines(f"`{text_col}`")))
-    lines = f"transform(filter(split(__c, '\\n'), l -> trim(l) <> ''), l -> {digest('l')})"
+    lines = f"transform(filter(split(__c, '\\n'), l -> trim(l) <> ''), l -> {words('l')})"
+    wanted = "" if lengths is None else f" AND length(w) IN ({', '.join(map(str, lengths or [-1]))})"
+    lines = f"transform(filter({lines}, w -> w <> ''{wanted}), w -> sha2(w, 256))"
     marked = marked.withColumn("__words", F.expr(f"concat(' ', {words('__c')}, ' ')"))
     return marked.withColumn("__digest", F.expr("sha2(trim(__words), 256)")).withColumn("__lines", F.expr(lines)).drop("__c")
 
 
 def known_licences(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
-    """(licence, digest, notice, words): notice is true where the text is one line; a digest has one name, the least.
+    """(licence, digest, notice, words, size): size in characters of its canonical words; notice is true where the text is one line; a digest has one name, the least.
 
     words are the canonical words of a notice that is looked for inside of texts, null for the others.
     """
     given = [(n, t, False) for n, t in known] if known is not None else known_texts()
     rows = spark.createDataFrame(given, "licence string, body string, inside boolean")
     rows = rows.withColumn("words", F.expr(f"IF(inside, concat(' ', {words(canonical_lines('body'))}, ' '), NULL)"))
-    made = with_digests(rows, "body").select("licence", F.col("__digest").alias("digest"), (F.size("__lines") == 1).alias("notice"), "words")
-    return made.groupBy("digest").agg(F.min("licence").alias("licence"), F.max("notice").alias("notice"), F.max("words").alias("words"))
+    size = F.length(F.trim("__words")).alias("size")
+    made = with_digests(rows, "body").select("licence", F.col("__digest").alias("digest"), (F.size("__lines") == 1).alias("notice"), "words", size)
+    return made.groupBy("digest").agg(F.min("licence").alias("licence"), F.max("notice").alias("notice"), F.max("words").alias("words"), F.max("size").alias("size"))
 
 
 def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -161,38 +168,50 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
     licence is the known licence that the entire text is, null if none; notices the array of known one-line notices, a name
     for each line that is one, in order, then the names not yet there of notices of several lines inside a text that is
     no known licence as a whole, longest first; words of a longer one are not read as a shorter one. Null text and text without words have the digest of the empty text, which is
-    no licence unless a known text is empty. Repeated rows get equal results. Other columns are not read.
+    no licence unless a known text is empty. Repeated rows get equal results. An empty table gives none. Other columns
+    are not read. Whole texts are looked at, however long.
     """
     counted = known.count()
-    notices = [(r["digest"], r["licence"]) for r in known.filter("notice").limit(MAX_BROADCAST + 1).collect()]
-    if len(notices) > MAX_BROADCAST:
-        raise ValueError(f"more than {MAX_BROADCAST} one-line notices")
-    table = F.create_map(*[F.lit(x) for pair in notices for x in pair]) if notices else F.expr("cast(map() as map<string,string>)")
-    inside = [(r["words"], r["licence"]) for r in known.filter("words IS NOT NULL").limit(MAX_BROADCAST + 1).collect()]
-    if len(inside) > MAX_BROADCAST:
-        raise ValueError(f"more than {MAX_BROADCAST} notices of several lines")
-    inside.sort(key=lambda x: (-len(x[0]), x[0]))
-    rows = with_digests(docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")), "__text")
-    rows = rows.withColumn("__found", F.filter(F.transform("__lines", lambda d: F.element_at(table, d)), lambda n: n.isNotNull()))
-    rows = rows.withColumn("__inside", _inside(inside)).drop("__words", "__lines")
+    lines = known.filter("notice")
+    few = lines.limit(MAX_LITERAL + 1).count() <= MAX_LITERAL
+    notices = [(r["digest"], r["licence"], r["size"]) for r in lines.collect()] if few else []
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    rows = with_digests(texts, "__text", sorted({n for _, _, n in notices}) if few else None)
+    if few:
+        table = F.create_map(*[F.lit(x) for d, n, _ in notices for x in (d, n)]) if notices else F.expr("cast(map() as map<string,string>)")
+        rows = rows.withColumn("__found", F.filter(F.transform("__lines", lambda d: F.element_at(table, d)), lambda n: n.isNotNull()))
+    else:
+        rows = _joined_notices(rows, lines)
+    rows = _inside(rows, known.filter("words IS NOT NULL")).drop("__words", "__lines")
     right = known.select(F.col("digest").alias("__digest"), "licence")
     right = F.broadcast(right) if counted <= MAX_BROADCAST else right
     both = F.expr("IF(licence IS NULL AND size(__inside) > 0, concat(__found, array_except(__inside, __found)), __found)")
     return rows.join(right, "__digest", "left").select(F.col("__id").alias(id_col), F.col("__digest").alias("digest"), "licence", both.alias("notices"))
 
 
-def _inside(notices: list[tuple[str, str]]) -> Column:
-    """Names of the notices (words, name) that lie inside __words; each is taken out before the next is looked for."""
+def _joined_notices(rows: DataFrame, notices: DataFrame) -> DataFrame:
+    """``rows`` and __found, by a join of the lines' digests: once for each different text, whose key the rows then look up."""
+    keyed = rows.withColumn("__key", F.sha2(F.array_join("__lines", ","), 256))
+    right = notices.select(F.col("digest").alias("__d"), F.col("licence").alias("__n"))
+    each = keyed.select("__key", "__lines").distinct().select("__key", F.posexplode("__lines").alias("__at", "__d")).join(right, "__d")
+    # a text's notices are no more than its lines
+    found = each.groupBy("__key").agg(F.array_sort(F.collect_list(F.struct("__at", "__n"))).alias("__f")).select("__key", F.col("__f.__n").alias("__found"))
+    return keyed.join(found, "__key", "left").withColumn("__found", F.coalesce("__found", F.expr("cast(array() as array<string>)"))).drop("__key")
+
+
+def _inside(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """``rows`` and __inside: names of the notices (words, licence) that lie inside __words; each is taken out before the next, shorter one is looked for."""
     none = F.expr("cast(array() as array<string>)")
-    if not notices:
-        return none
-    table = F.array(*[F.struct(F.lit(w).alias("words"), F.lit(n).alias("name")) for w, n in notices])
-    start = F.struct(F.col("__words").alias("left"), none.alias("names"))
+    notices = sorted(((r["words"], r["licence"]) for r in known.select("words", "licence").collect()), key=lambda x: (-len(x[0]), x[0]))
+    rows = rows.withColumn("__st", F.struct(F.col("__words").alias("left"), none.alias("names")))
+    asked = F.expr(" OR ".join(f"contains(__words, ' {a} ')" for a in ANCHORS))
     step = lambda st, n: F.when(
         F.contains(st["left"], n["words"]), F.struct(F.replace(st["left"], n["words"], F.lit(" \n ")).alias("left"), F.concat(st["names"], F.array(n["name"])).alias("names"))
     ).otherwise(st)
-    asked = F.expr(" OR ".join(f"contains(__words, ' {a} ')" for a in ANCHORS))
-    return F.when(asked, F.aggregate(table, start, step, lambda st: st["names"])).otherwise(none)
+    for at in range(0, len(notices), INSIDE_AT_ONCE):
+        table = F.array(*[F.struct(F.lit(w).alias("words"), F.lit(n).alias("name")) for w, n in notices[at : at + INSIDE_AT_ONCE]])
+        rows = rows.withColumn("__st", F.when(asked, F.aggregate(table, F.col("__st"), step)).otherwise(F.col("__st")))
+    return rows.withColumn("__inside", F.col("__st.names")).drop("__st")
 
 
 def op10_licence_digest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -146,7 +146,46 @@ def _gzip(data: bytes, at: int) -> int:
 
 
 _XREF_START = re.compile(rb"startxref\s+([0-9]{1,18})\s+%%EOF")
-_XREF = re.compile(rb"\s{0,4}(?:xref\s|[0-9]{1,10}\s+[0-9]{1,5}\s+obj)")
+_XREF = re.compile(rb"(?<![0-9])(?=\s{0,4}(?:xref\s|[0-9]{1,10}\s+[0-9]{1,5}\s+obj))")
+
+
+class _Marks:
+    """The end marks of a text's PDF and ZIP files, found once for all headers in it."""
+
+    def __init__(self, data: bytes):
+        self.data = data
+        self._pdf = self._zip = None
+
+    def pdf(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each end mark the place it names, its begin and end; and for each byte whether cross-references begin there."""
+        if self._pdf is None:
+            found = [(int(m[1]), m.start(), m.end()) for m in _XREF_START.finditer(self.data)]
+            tables = np.zeros(len(self.data) + 1, bool)
+            if found:
+                tables[[m.start() for m in _XREF.finditer(self.data)]] = True
+            self._pdf = *(np.array([f[i] for f in found], np.int64) for i in range(3)), tables
+        return self._pdf
+
+    def zip(self) -> dict[int, list[int]]:
+        """For a place the ends of the files whose end record says that they begin there, in order."""
+        if self._zip is None:
+            self._zip, at = {}, -1
+            while (at := self.data.find(b"PK\x05\x06", at + 1)) >= 0 and at + 22 <= len(self.data):
+                size, offset, comment = struct.unpack_from("<IIH", self.data, at + 12)
+                begin = at - offset - size
+                if begin >= 0 and self.data[at - size : at - size + 4] == b"PK\x01\x02" and at + 22 + comment <= len(self.data):
+                    self._zip.setdefault(begin, []).append(at + 22 + comment)
+        return self._zip
+
+
+_marks: list[_Marks] = []
+
+
+def _marks_of(data: bytes) -> _Marks:
+    """Those of the text that is looked at now."""
+    if not _marks or _marks[0].data is not data:
+        _marks[:] = [_Marks(data)]
+    return _marks[0]
 
 
 def _pdf(data: bytes, at: int) -> int:
@@ -158,11 +197,14 @@ def _pdf(data: bytes, at: int) -> int:
     """
     if not (data[at + 5 : at + 6].isdigit() and data[at + 6 : at + 7] == b"."):
         return 0
+    places, begins, ends, tables = _marks_of(data).pdf()
     end = 0
-    for mark in _XREF_START.finditer(data, at):
-        place = at + int(mark[1])
-        if place >= max(end, at + 1) and place < mark.start() and _XREF.match(data, place):
-            end = mark.end()
+    if len(places):
+        place = at + places
+        fits = (place > at) & (place < begins)
+        for i in np.flatnonzero(fits & tables[np.where(fits, place, 0)]).tolist():
+            if place[i] >= end:
+                end = int(ends[i])
     if end:
         return end - at
     start = data.find(b"startxref", at)
@@ -171,13 +213,9 @@ def _pdf(data: bytes, at: int) -> int:
 
 
 def _zip(data: bytes, at: int) -> int:
-    """The end record whose directory begins where it says, seen from this local header."""
-    end = at
-    while (end := data.find(b"PK\x05\x06", end + 1)) >= 0 and end + 22 <= len(data):
-        size, offset, comment = struct.unpack_from("<IIH", data, end + 12)
-        if at + offset + size == end and data[at + offset : at + offset + 4] == b"PK\x01\x02" and end + 22 + comment <= len(data):
-            return end + 22 + comment - at
-    return 0
+    """The first end record that says that its file begins at this local header."""
+    ends = _marks_of(data).zip().get(at)
+    return ends[0] - at if ends else 0
 
 
 #: type, magic bytes, validator. The magic bytes of the formats' specifications.
@@ -235,6 +273,14 @@ def carve(data: bytes | None) -> tuple[list[tuple[str, int, int]], int]:
     return [m[:3] for m in found if m[3] is None], seen
 
 
+def judged(data: bytes | None, declared: str | None) -> tuple[str, bool, list[tuple[str, int, int, int | None]], int]:
+    """(type, whether a declared one differs, embedded media, magic bytes seen) of one file."""
+    found, seen = carve_all(data)
+    whole = bool(found) and found[0][1] == 0
+    kind = found[0][0] if whole else UNKNOWN
+    return kind, kind != declared, found[whole:], seen
+
+
 def sniff(media: DataFrame, media_col: str = "media", declared_col: str = "declared") -> DataFrame:
     """``media`` and: __type, __corrected, __carved (array of struct(type, offset, length, parent)), __hits.
 
@@ -247,16 +293,10 @@ def sniff(media: DataFrame, media_col: str = "media", declared_col: str = "decla
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
-            kinds, carved, hits = [], [], []
-            for data in batch.column(at).to_pylist():
-                found, seen = carve_all(data)
-                whole = bool(found) and found[0][1] == 0
-                kinds.append(found[0][0] if whole else UNKNOWN)
-                carved.append([{"type": k, "offset": o, "length": n, "parent": p} for k, o, n, p in found[whole:]])
-                hits.append(seen)
-            wrong = [k != d for k, d in zip(kinds, batch.column(declared).to_pylist(), strict=True)]
+            rows = [judged(d, t) for d, t in zip(batch.column(at).to_pylist(), batch.column(declared).to_pylist(), strict=True)]
+            carved = [[{"type": k, "offset": o, "length": n, "parent": p} for k, o, n, p in r[2]] for r in rows]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(kinds, pa.string()), pa.array(wrong), pa.array(carved, pa.list_(item)), pa.array(hits, pa.int64())],
+                [*batch.columns, pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.bool_()), pa.array(carved, pa.list_(item)), pa.array([r[3] for r in rows], pa.int64())],
                 names=[*batch.schema.names, "__type", "__corrected", "__carved", "__hits"],
             )
 
@@ -316,6 +356,28 @@ def samples(data: bytes, kind: str) -> tuple[bytes, str]:
 _WRITERS = (("audio/wav", to_wav), ("audio/basic", to_au), ("image/png", to_png))
 
 
+def stored(text: bytes | None) -> tuple[int, bytes, str]:
+    """(bytes of the text, its medium, declared type)."""
+    text = text or b""
+    payload = text + bytes(max(ALIGN, -(-len(text) // ALIGN) * ALIGN) - len(text))
+    crc = zlib.crc32(payload)
+    return len(text), _WRITERS[crc % 3][1](payload), _WRITERS[(crc >> 8) % 3][0]
+
+
+def read_back(data: bytes, kind: str, wrong: bool, carved: list[tuple[str, int, int, int | None]]) -> tuple[int, str, int, int, str, str]:
+    """The values of FEATURES of one medium of a type that ``to_*`` writes."""
+    body, shape = samples(data, kind)
+    embedded = ",".join(f"{k}@{o}+{n}" for k, o, n, p in carved if p is None)
+    held = ",".join(f"{k}@{o}+{n}{'' if p is None else f' in {p}'}" for k, o, n, p in carve_all(body)[0])
+    feature = f"{kind} {shape}{' corrected' if wrong else ''}{' carved ' + embedded if embedded else ''}{' holds ' + held if held else ''}"
+    return len(body), hashlib.sha256(body).hexdigest(), zlib.crc32(body[-ALIGN:]), len(data), hashlib.sha256(data).hexdigest(), feature
+
+
+FEATURES = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+_FEATURE_KINDS = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+_FEATURE_NAMES = [x.split()[0] for x in FEATURES.split(", ")]
+
+
 def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_bytes, media, declared): each whole text as a medium of 8-bit samples.
 
@@ -328,12 +390,8 @@ def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         for batch in slices(batches, 64):
             sizes, media, declared = [], [], []
             for text in binary_column(batch, "body").to_pylist():
-                text = text or b""
-                payload = text + bytes(max(ALIGN, -(-len(text) // ALIGN) * ALIGN) - len(text))
-                crc = zlib.crc32(payload)
-                sizes.append(len(text))
-                media.append(_WRITERS[crc % 3][1](payload))
-                declared.append(_WRITERS[(crc >> 8) % 3][0])
+                for column, value in zip((sizes, media, declared), stored(text), strict=True):
+                    column.append(value)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(media, pa.binary()), pa.array(declared)], names=["id", "n_bytes", "media", "declared"])
 
     kind = light.schema["id"].dataType.simpleString()
@@ -356,20 +414,39 @@ def payloads(sniffed: DataFrame, media_col: str = "media") -> DataFrame:
             get = lambda n: batch.column(column[n]).to_pylist()  # noqa: B023, E731
             rows = []
             for data, kind, wrong, carved in zip(get(media_col), get("__type"), get("__corrected"), get("__carved"), strict=True):
-                body, shape = samples(data, kind)
-                embedded = ",".join(f"{c['type']}@{c['offset']}+{c['length']}" for c in carved if c["parent"] is None)
-                held = ",".join(f"{k}@{o}+{n}{'' if p is None else f' in {p}'}" for k, o, n, p in carve_all(body)[0])
-                feature = f"{kind} {shape}{' corrected' if wrong else ''}{' carved ' + embedded if embedded else ''}{' holds ' + held if held else ''}"
-                rows.append((len(body), hashlib.sha256(body).hexdigest(), zlib.crc32(body[-ALIGN:]), len(data), hashlib.sha256(data).hexdigest(), feature))
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+                rows.append(read_back(data, kind, wrong, [(c["type"], c["offset"], c["length"], c["parent"]) for c in carved]))
+            kinds = _FEATURE_KINDS
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(column[c]) for c in kept), *(pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds))],
-                names=[*kept, "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"],
+                names=[*kept, *_FEATURE_NAMES],
             )
 
     fields = ", ".join(f"`{c}` {base.schema[c].dataType.simpleString()}" for c in kept)
-    return base.mapInArrow(run, f"{fields}, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return base.mapInArrow(run, f"{fields}, {FEATURES}")
+
+
+def media_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, n_bytes and FEATURES): ``store``, ``sniff`` and ``payloads`` in one pass, whose media are never rows of a table.
+
+    A row per row of ``docs``, repeated ones alike. Null and empty text is a payload of zeros. An empty table gives none.
+    Other columns are not read. Whole texts are taken, however long.
+    """
+    light = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            sizes, rows = [], []
+            for text in binary_column(batch, "body").to_pylist():
+                size, medium, declared = stored(text)
+                kind, wrong, carved, _ = judged(medium, declared)
+                sizes.append(size)
+                rows.append(read_back(medium, kind, wrong, carved))
+            columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(_FEATURE_KINDS)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), *columns], names=["id", "n_bytes", *_FEATURE_NAMES])
+
+    kind = light.schema["id"].dataType.simpleString()
+    return light.mapInArrow(run, f"id {kind}, n_bytes long, {FEATURES}").withColumnRenamed("id", id_col)
 
 
 def op3_signature_sniff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payloads(sniff(store(documents(spark, sf_dir))))
+    return media_features(documents(spark, sf_dir))
