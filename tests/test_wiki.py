@@ -222,17 +222,29 @@ def test_store(spark):
     assert {r.title for r in marked.filter("need_pre_expand").collect()} == {"A", "B"}
 
 
-def test_keyed_tables(spark, tmp_path):
-    known = sinks.KeyedTable(spark, f"{tmp_path}/t", "k int, v string", ["k"])
-    rows = lambda *x: spark.createDataFrame(list(x), "k int, v string")
-    assert known.read().count() == 0
-    for _ in range(2):  # a repeated write changes nothing
-        known.upsert(rows((1, "a"), (2, "b"), (None, "n")))
-    known.upsert(rows((2, "c"), (None, "m")))
-    assert sorted(map(tuple, known.read().collect()), key=str) == [(1, "a"), (2, "c"), (None, "m")]
-    known.replace_by_key(rows((1, "z")), rows((1, ""), (2, "")), ["k"])
-    assert sorted(map(tuple, known.read().collect()), key=str) == [(1, "z"), (None, "m")]
-    assert sinks.duplicated_keys(rows((1, "a"), (1, "b")), ["k"]).count() == 1
+def test_batch_log(spark, tmp_path):
+    log = sinks.BatchLog(spark, f"{tmp_path}/t", {"rows": "page_id long, v string"})
+    rows = lambda *x: spark.createDataFrame(list(x), "page_id long, v string")
+    pages = lambda *x: spark.createDataFrame(list(x), "page_id long, revision_id long")
+    read = lambda: sorted(map(tuple, log.read("rows").collect()))
+    assert read() == []
+    for _ in range(2):  # a repeated batch changes nothing
+        log.write("0", {"rows": rows((1, "a"), (1, "b"), (2, "c"))}, pages((1, 10), (2, 20)))
+        assert read() == [(1, "a"), (1, "b"), (2, "c")]
+    log.write("1", {"rows": rows((1, "old"), (3, "d"))}, pages((1, 5), (3, 30)))  # an older revision comes later
+    assert read() == [(1, "a"), (1, "b"), (2, "c"), (3, "d")]
+    log.write("2", {"rows": rows((3, "e"))}, pages((2, 21), (3, 31)))  # page 2 has nothing left
+    assert read() == [(1, "a"), (1, "b"), (3, "e")]
+    commit, log.commit = log.commit, lambda batch: 1 / 0
+    with pytest.raises(ZeroDivisionError):
+        log.write("3", {"rows": rows((1, "half"))}, pages((1, 11)))
+    assert read() == [(1, "a"), (1, "b"), (3, "e")] and log.every("rows").count() == 6
+    log.commit = commit
+    log.write("3", {"rows": rows((1, "whole"))}, pages((1, 11)))
+    assert read() == [(1, "whole"), (3, "e")]
+    assert sinks.duplicated_keys(rows((1, "a"), (1, "b")), ["page_id"]).count() == 1
+    assert sinks.conforming(rows((1, "a")), "v string, n int").collect() == [("a", None)]
+    assert [tuple(r) for r in sinks.issues(rows((1, "b"), (1, "a"), (1, "b"), (2, None)), ["page_id"], "v").collect()] == [(1, "a; b")]
     assert sinks.table_suffix("enwiki-20240101-pages.xml.bz2") == "_20240101"
     with pytest.raises(ValueError):
         sinks.table_suffix("enwiki.xml")
@@ -254,17 +266,34 @@ def test_dump(spark, tmp_path):
     assert landed.count() == 1
 
 
-def test_stream_resumes(spark, tmp_path):
-    pages = lambda ids, text: spark.createDataFrame([(i * 10, i, f"P{i}", 0, "wikitext", None, False, text) for i in ids], incremental.PAGES)
-    pages(range(3), "a\n\nb").coalesce(1).write.parquet(f"{tmp_path}/in")
-    for round_ in range(2):
-        query = incremental.start(spark, f"{tmp_path}/in", f"{tmp_path}/out", "s", 1)
-        assert query.awaitTermination(120) or True
-        assert query.exception() is None
-        known = incremental.tables(spark, f"{tmp_path}/out")
-        assert known["paragraphs"].read().count() == 6 + 2 * round_ and known["checkpoint"].read().count() == 3 + 2 * round_
-        pages([1, 3, 4], "c").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-    assert known["paragraphs"].read().filter("page_id = 1 AND text = 'a'").count() == 1  # its revision was done before
+def test_stream_resumes(spark, tmp_path, monkeypatch):
+    pages = lambda ids, text, plus=0: spark.createDataFrame([(i * 10 + plus, i, f"P{i}", 0, "wikitext", None, False, text) for i in ids], incremental.PAGES)
+    store_ = spark.createDataFrame([("Template:Q", "see {{{1}}}. Then")], "title string, body string")
+    pages(range(3), "a {{q|[[X|y]]}} b.\n\nb\n== Notes ==\n{{q}}").coalesce(1).write.parquet(f"{tmp_path}/in")
+    known = incremental.log(spark, f"{tmp_path}/out")
+    done = known.commit
+    monkeypatch.setattr(sinks.BatchLog, "commit", lambda self, batch: 1 / 0)
+    query = incremental.start(spark, f"{tmp_path}/in", f"{tmp_path}/out", "s", 1, store=store_)
+    with pytest.raises(Exception):  # noqa: B017
+        query.awaitTermination(300)
+    assert known.read("paragraphs").count() == 0  # all written, but nothing counts
+    monkeypatch.setattr(sinks.BatchLog, "commit", lambda self, batch: done.__func__(self, batch))
+    for _ in range(2):
+        query = incremental.start(spark, f"{tmp_path}/in", f"{tmp_path}/out", "s", 1, store=store_)
+        assert query.awaitTermination(300) and query.exception() is None
+        assert known.read("paragraphs").count() == 9 and known.read("checkpoint").count() == 3
+    one = known.read("paragraphs").filter("page_id = 1").orderBy("section_no", "paragraph_no").collect()
+    assert [(r.text, r.skipped_part) for r in one] == [("a see [[X|y]]. Then b.", False), ("b", False), ("♣  ♣  ♣  independent_template-1-0001♣  ♣  ♣", True)]
+    assert one[2].raw_wikitext == "{{q}}"
+    assert [r.text for r in known.read("sentences").filter("page_id = 1").orderBy("sentence_no").collect()] == ["a see [[y↓X]].", "Then b.", "b"]
+    assert {r.type for r in known.read("components").collect()} == {"independent_template", "wikilinks"} or known.read("components").count() >= 3
+    assert [(r.expansion_input, r.parse_error) for r in known.read("intermediate").filter("page_id = 1 AND paragraph_no = 2").collect()] == [("b", None)]
+    pages([1], "older", -5).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    pages([3], "new").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    query = incremental.start(spark, f"{tmp_path}/in", f"{tmp_path}/out", "s", 1, store=store_)
+    assert query.awaitTermination(300) and query.exception() is None
+    assert known.read("paragraphs").count() == 10 and known.every("checkpoint").count() == 5
+    assert known.read("processed").filter("page_id = 3").first().text_process == "new"
 
 
 def test_event_windows(spark):

@@ -7,6 +7,8 @@ down through the projections, which repeats their expressions many times over.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -112,9 +114,12 @@ def paragraph_rows(pages: DataFrame) -> DataFrame:
     )
 
 
-def decomposed(pages: DataFrame) -> DataFrame:
-    """Wikitext pages (model null or wikitext) with sections, paragraphs and text_process; other models have none, and their content as text_process."""
+def decomposed(pages: DataFrame, between: Callable[[DataFrame], DataFrame] = lambda pages: pages) -> DataFrame:
+    """Wikitext pages (model null or wikitext) with sections, paragraphs and text_process; other models have none, and their content as text_process.
+
+    between: a step over the pages with sections, before they are cut into paragraphs.
+    """
     plain = F.col("model").isNull() | (F.col("model") == "wikitext")
     some = pages.withColumn("__raw", F.when(plain, F.col("content")))
-    some = with_text_process(with_paragraphs(with_sections(some, "__raw")))
+    some = with_text_process(with_paragraphs(between(with_sections(some, "__raw"))))
     return some.withColumn("text_process", F.when(plain, F.col("text_process")).otherwise(F.coalesce("content", F.lit("")))).drop("__raw")

@@ -1,14 +1,13 @@
 """Keyed, idempotent writes over Parquet, and checkpoints for resuming.
 
-Parquet tables have no MERGE: a keyed write is the anti-join of what is there with the new keys, and the new rows. It is
-written to a fresh folder, and the table's pointer moves when all of it is there, so readers and re-runs see either state.
+Parquet tables have no MERGE: a keyed write is the anti-join of what is there with the new keys, and the new rows. Relations
+of pages that grow by batches are only appended to, and the newest rows of a page are picked on reading.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,37 +79,55 @@ def resume(rows: DataFrame, checkpoint: DataFrame, source: str, retry_errors: bo
     return rows.join(done.select("revision_id").distinct(), "revision_id", "left_anti")
 
 
-class KeyedTable:
-    """A Parquet table under ``path`` of which each write makes a new version; ``_current`` names the valid one."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: str, keys: list[str]):
-        self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, keys
-
-    def _pointers(self) -> list[str]:
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(conf)
-        if not fs.exists(root):
-            return []
-        return sorted(s.getPath().getName() for s in fs.listStatus(root) if s.getPath().getName().startswith("_current-"))
-
-    def read(self) -> DataFrame:
-        pointers = self._pointers()
-        if not pointers:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{pointers[-1].split('-', 2)[2]}")
-
-    def _replace(self, rows: DataFrame) -> None:
-        pointers = self._pointers()
-        name, number = f"v-{uuid.uuid4().hex}", len(pointers) + 1
-        rows.select(*[f.name for f in self.read().schema.fields]).write.parquet(f"{self.path}/{name}")
-        # an empty file of a greater number is the switch: it appears at once or not at all
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        mark = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_current-{number:010d}-{name}")
-        mark.getFileSystem(conf).create(mark, False).close()
-
-    def upsert(self, new: DataFrame) -> None:
-        self._replace(upsert(self.read(), new, self.keys))
-
-    def replace_by_key(self, new: DataFrame, touched: DataFrame, keys: list[str]) -> None:
-        self._replace(replace_by_key(self.read(), new, touched, keys))
+class BatchLog:
+    """Relations of pages in one folder, written batch by batch; nothing that is there is ever written again.
+
+    A batch puts its rows under ``relation/batch=name``, the pages it is about (page_id, revision_id) under ``_pages``, and
+    last a mark of one file under ``_batches``: only then does it count, so readers and re-runs see all of it or none. A
+    page is what the batch of its greatest revision wrote (of equal ones the batch of the greater name), also where
+    that wrote nothing. A batch that is repeated under its name takes its own place.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, schemas: dict[str, str]):
+        self.spark, self.folder, self.schemas = spark, folder.rstrip("/"), schemas
+
+    def _table(self, name: str, schema: str) -> DataFrame:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+            return self.spark.createDataFrame([], f"{schema}, batch string")
+        return self.spark.read.schema(f"{schema}, batch string").parquet(f"{self.folder}/{name}")
+
+    def write(self, batch: str, relations: dict[str, DataFrame], pages: DataFrame) -> None:
+        """One batch: ``relations`` by name and ``pages`` (page_id, revision_id) that they are about."""
+        for name, rows in relations.items():
+            fields = [c.name for c in self.spark.createDataFrame([], self.schemas[name]).schema]
+            rows.select(*fields).write.mode("overwrite").parquet(f"{self.folder}/{name}/batch={batch}")
+        pages.select("page_id", "revision_id").write.mode("overwrite").parquet(f"{self.folder}/_pages/batch={batch}")
+        self.commit(batch)
+
+    def commit(self, batch: str) -> None:
+        self.spark.createDataFrame([(True,)], "done boolean").coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/_batches/batch={batch}")
+
+    def _done(self) -> DataFrame:
+        return self._table("_batches", "done boolean").select("batch").distinct()
+
+    def every(self, name: str) -> DataFrame:
+        """The rows of all batches that count, of older revisions too."""
+        return self._table(name, self.schemas[name]).join(self._done(), "batch", "left_semi").drop("batch")
+
+    def read(self, name: str) -> DataFrame:
+        """The rows of the pages as they are now."""
+        pages = self._table("_pages", "page_id long, revision_id long").join(self._done(), "batch", "left_semi")
+        newest = pages.groupBy("page_id").agg(F.max(F.struct("revision_id", "batch")).alias("n")).select("page_id", "n.batch")
+        return self._table(name, self.schemas[name]).join(newest, ["page_id", "batch"], "left_semi").drop("batch")
+
+
+def conforming(rows: DataFrame, schema: str) -> DataFrame:
+    """``rows`` with the columns of ``schema`` only: older columns go, new ones are null."""
+    fields = rows.sparkSession.createDataFrame([], schema).schema
+    return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
+
+
+def issues(rows: DataFrame, keys: list[str], issue: str = "issue") -> DataFrame:
+    """(keys, issues): the different issues of a key in order, joined by '; '."""
+    return rows.filter(F.col(issue).isNotNull()).groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set(issue)), "; ").alias("issues"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -61,6 +61,12 @@ def run_stats(paragraphs: DataFrame) -> DataFrame:
     return done.agg(F.count("*").alias("total"), F.count(F.when(~bad, 1)).alias("succeeded"), F.count(F.when(bad, 1)).alias("failed"))
 
 
+def article_error(failed: Column, expansions: Column) -> Column:
+    """The error of an article from the numbers of its paragraphs with errors, and of those from expansion; null without any."""
+    text = F.concat(F.lit("paragraph_errors="), failed.cast("string"), F.lit("; wtp_errors="), expansions.cast("string"))
+    return F.when(failed > 0, text)
+
+
 def failed_revisions(processed: DataFrame) -> DataFrame:
     return processed.filter("parse_error IS NOT NULL").select("revision_id", "page_id", "page_title", "parse_error").orderBy("revision_id")
 

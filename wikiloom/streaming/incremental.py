@@ -1,52 +1,59 @@
-"""Pages that arrive in files, decomposed batch by batch into keyed tables; a restart goes on where it stopped.
+"""Pages that arrive in files, taken apart batch by batch into all relations; a restart goes on where it stopped.
 
-A batch is written by foreachBatch: it leaves out revisions that the checkpoint table has, replaces the rows of its pages in every
-relation, and marks its revisions last. A batch that is repeated after a failure changes nothing.
+A batch is written by foreachBatch: it leaves out revisions that the checkpoint relation has, and writes the relations of its
+pages as one batch of the log, which counts when its mark is there. A batch that is repeated after a failure
+changes nothing, and a page keeps its newest revision in whatever order revisions come.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.hierarchy import decomposed, paragraph_rows, section_rows
-from ..operators.sinks import KeyedTable, latest_per_key, resume, terminal_records
+from ..operators.job import RELATIONS, bundle
+from ..operators.sinks import BatchLog, latest_per_key, resume
+from ..plans.folders import ensure_checkpoints
 
 PAGES = "revision_id long, page_id long, page_title string, namespace int, model string, redirect_to string, is_redirect boolean, content string"
 
 
-def tables(spark: SparkSession, folder: str) -> dict[str, KeyedTable]:
-    row = "revision_id long, page_id long, page_title string, section_no int"
-    return {
-        "sections": KeyedTable(spark, f"{folder}/sections", f"{row}, toc string, raw_text string, text string", ["revision_id", "section_no"]),
-        "paragraphs": KeyedTable(spark, f"{folder}/paragraphs", f"{row}, paragraph_no int, toc string, text string, skipped_part boolean", ["revision_id", "section_no", "paragraph_no"]),
-        "checkpoint": KeyedTable(spark, f"{folder}/checkpoint", "source_id string, revision_id long, page_id long, status string", ["source_id", "revision_id"]),
-    }
+def log(spark: SparkSession, folder: str) -> BatchLog:
+    return BatchLog(spark, folder, RELATIONS)
+
 
+def write_batch(batch: DataFrame, folder: str, source: str, name: str, store: DataFrame | None = None, **options) -> None:
+    """One batch of pages into the log of ``folder``; of several revisions of a page the newest counts, of equal rows any one.
 
-def write_batch(batch: DataFrame, folder: str, source: str) -> None:
-    """One batch of pages into the tables of ``folder``; of several rows of a revision any one counts."""
+    store: templates (title, body) to expand with; none leaves calls as links to missing templates.
+    """
     spark = batch.sparkSession
-    known = tables(spark, folder)
-    new = resume(batch, known["checkpoint"].read(), source).dropDuplicates(["revision_id"]).persist()
-    try:
-        pages = decomposed(new)
-        touched = new.select("page_id").distinct()
-        known["sections"].replace_by_key(section_rows(pages), touched, ["page_id"])
-        known["paragraphs"].replace_by_key(paragraph_rows(pages), touched, ["page_id"])
-        done = new.select("revision_id", "page_id", F.lit(None).cast("string").alias("parse_error"))
-        known["checkpoint"].upsert(terminal_records(done, source))
-    finally:
-        new.unpersist()
-
-
-def start(spark: SparkSession, path: str, folder: str, source: str, files_per_batch: int = 16) -> StreamingQuery:
+    ensure_checkpoints(spark)
+    known = log(spark, folder)
+    new = resume(batch, known.every("checkpoint"), source)
+    new = latest_per_key(new, ["page_id"], "revision_id").checkpoint()
+    store = store if store is not None else spark.createDataFrame([], "title string, body string")
+    known.write(name, bundle(new, store, source, **options), new)
+
+
+def _token(spark: SparkSession, folder: str) -> str:
+    """A name of the stream's own, kept beside its checkpoint: batch numbers begin anew when that is lost, and must not meet old ones."""
+    path = f"{folder}/_stream/name"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        spark.createDataFrame([(uuid.uuid4().hex,)], "name string").coalesce(1).write.parquet(path)
+    return spark.read.parquet(path).first()[0]
+
+
+def start(spark: SparkSession, path: str, folder: str, source: str, files_per_batch: int = 16, store: DataFrame | None = None, **options) -> StreamingQuery:
     """Takes in all files of ``path`` there are, and stops: each of at most ``files_per_batch`` files a batch."""
     pages = spark.readStream.schema(PAGES).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    token = _token(spark, folder)
     return (
-        pages.writeStream.foreachBatch(lambda batch, _: write_batch(batch, folder, source))
-        .option("checkpointLocation", f"{folder}/_stream")
+        pages.writeStream.foreachBatch(lambda batch, number: write_batch(batch, folder, source, f"{number:012d}-{token}", store, **options))
+        .option("checkpointLocation", f"{folder}/_stream/state")
         .trigger(availableNow=True)
         .start()
     )
@@ -61,3 +68,19 @@ def event_counts(events: DataFrame, window: str = "1 hour", late: str = "2 hours
 def last_states(events: DataFrame) -> DataFrame:
     """The last event of each user, as a batch or the state a stream ends in."""
     return latest_per_key(events.select("user_id", "ts", "event_id", "event_type"), ["user_id"], "ts")
+
+
+def streamed_states(spark: SparkSession, path: str, folder: str) -> DataFrame:
+    """``last_states`` of the events in files of ``path``, taken by a stream that writes each batch's states and reads them together."""
+    schema = spark.read.parquet(path).schema
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(path)
+    query = (
+        rows.writeStream.foreachBatch(lambda batch, number: last_states(batch).write.mode("overwrite").parquet(f"{folder}/states/{number:012d}"))
+        .option("checkpointLocation", f"{folder}/state")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return latest_per_key(spark.read.parquet(f"{folder}/states/*"), ["user_id"], "ts")
