@@ -137,3 +137,44 @@ def duration_intervals(seconds: str) -> str:
 
 def partial_url(title: str) -> str:
     return url_quote(f"replace({title}, ' ', '_')", "/:")
+
+
+def json_encode(value: str) -> str:
+    """A struct, map or array as JSON text."""
+    return f"to_json({value})"
+
+
+def json_decode(text: str, path: str = "$", kind: str = "string") -> str:
+    """The value at a path of JSON text; null where there is none or the text is no JSON."""
+    return f"try_variant_get(try_parse_json({text}), {quoted(path)}, {quoted(kind)})"
+
+
+def tag(name: str, attributes: str, content: str) -> str:
+    """An element: ``attributes`` is a map, whose entries come in order of name; without content (null) it closes itself."""
+    value = f"replace(replace(replace(replace(e.value, '&', '&amp;'), {quoted(chr(34))}, '&quot;'), '<', '&lt;'), '>', '&gt;')"
+    given = f"array_join(transform(array_sort(map_entries({attributes})), e -> concat(' ', e.key, {quoted('=' + chr(34))}, {value}, {quoted(chr(34))})), '')"
+    return f"concat('<', {name}, {given}, IF({content} IS NULL, ' />', concat('>', {content}, '</', {name}, '>')))"
+
+
+def find_namespace(name: str) -> str:
+    """The number of a namespace by name or alias, in any case, blanks or underscores; null if there is none."""
+    cases = " ".join(f"WHEN {quoted(x.lower())} THEN {i}" for i, n, al in NAMESPACES for x in (n, *al) if x)
+    return f"(CASE lower({strip(f'replace({name}, {quoted(chr(95))}, {quoted(chr(32))})')}) {cases} WHEN '' THEN 0 END)"
+
+
+def compare_titles(a: str, b: str) -> str:
+    """-1, 0 or 1: titles are ordered by namespace, then by text."""
+    key = lambda t: f"struct({t}.ns, {t}.text)"
+    return let(title_parts(a), "p", let(title_parts(b), "q", f"CASE WHEN {key('p')} < {key('q')} THEN -1 WHEN {key('p')} = {key('q')} THEN 0 ELSE 1 END"))
+
+
+def format_duration(seconds: str) -> str:
+    """The units of time that a number of seconds has, as '1 day, 2 hours and 5 seconds'."""
+    unit = lambda n: f"IF(d.{n} = 0, NULL, concat(cast(d.{n} as string), ' ', IF(d.{n} = 1, {quoted(n[:-1])}, {quoted(n)})))"
+    units = f"filter(array({', '.join(unit(n) for n, _ in DURATIONS)}), x -> x IS NOT NULL)"
+    return let(duration_intervals(seconds), "d", let(units, "u", f"IF(size(u) = 0, '0 seconds', {list_to_text('u')})"))
+
+
+def filled(message: str, args: str) -> str:
+    """A message with $1, $2 ... replaced by the array ``args``; the last ones first, so that $1 leaves $10 alone."""
+    return f"aggregate(sequence(size({args}), least(1, size({args})), -1), {message}, (m, i) -> IF(i = 0, m, replace(m, concat('$', cast(i as string)), {args}[i - 1])))"

@@ -42,3 +42,12 @@ def page_url(title: Column, base: str = "https://en.wikipedia.org/wiki/") -> Col
     for code, plain in (("%2F", "/"), ("%3A", ":"), ("\\+", "_")):
         coded = F.regexp_replace(coded, code, plain)
     return F.concat(F.lit(base), coded)
+
+
+def highlighted(text: str) -> str:
+    """SQL: text as HTML in which formatted links and component marks stand out, with line breaks."""
+    safe = f"replace(replace(replace(replace(replace(coalesce({text}, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), chr(39), '&#x27;')"
+    # The classes of the two kinds of marks
+    for name, pattern in (("arrow-link-marker", rf"\[\[[^\[\]\r\n\x01]*{ARROW}[^\[\]\r\n\x01]*\]\]"), ("template-marker", r"♣\s*♣\s*♣[^♣\r\n\x01]+-[0-9]+-[0-9]+\s*♣\s*♣\s*♣")):
+        safe = replace_all(safe, f"({pattern})", f'\x01span class="{name}"\x02$1\x01/span\x02')
+    return f"replace(replace(replace(replace(replace({safe}, '\\r\\n', '\\n'), '\\r', '\\n'), '\\u0001', '<'), '\\u0002', '>'), '\\n', '<br>')"

@@ -11,7 +11,7 @@ import re
 from collections.abc import Iterable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .expand import parsed_call
@@ -173,3 +173,28 @@ def html(nodes: DataFrame, tag: str, attributes: dict[str, str] | None = None) -
 def template_calls(nodes: DataFrame) -> DataFrame:
     """(page_id, node_id, name, args) of the templates among ``nodes``: arguments as written, in order."""
     return nodes.filter("kind = 'TEMPLATE'").withColumn("c", F.expr(parsed_call("text"))).select("page_id", "node_id", "c.name", "c.args")
+
+
+def named_arguments(args: str) -> str:
+    """SQL: an array of arguments as a map: names stripped, others by their number from 1; of equal names the last counts."""
+    named = "x RLIKE '(?s)^[^=<>\\\\[\\\\]{}]+='"
+    key = f"IF({named}, trim(substring_index(x, '=', 1)), cast(size(filter(slice({args}, 1, i + 1), y -> NOT ({named.replace('x RLIKE', 'y RLIKE')}))) as string))"
+    pairs = f"transform({args}, (x, i) -> struct({key} AS k, IF({named}, trim(substr(x, instr(x, '=') + 1)), x) AS v))"
+    return f"transform(array({pairs}), p -> map_from_entries(filter(p, (e, i) -> NOT exists(slice(p, i + 2, size(p)), f -> f.k = e.k))))[0]"
+
+
+def content_of_levels(nodes: DataFrame, pages: DataFrame, text_col: str = "content") -> DataFrame:
+    """(page_id, node_id, name, body): headings and the text behind each up to the next heading of its level or a higher one."""
+    levels = nodes.filter("kind LIKE 'LEVEL%'").select("page_id", "node_id", "name", "stop", "start", F.expr("cast(substr(kind, 6) as int)").alias("level"))
+    later = Window.partitionBy("page_id").orderBy("start").rowsBetween(1, Window.unboundedFollowing)
+    after = F.collect_list(F.struct("level", "start")).over(later)
+    ends = levels.withColumn("__end", F.get(F.filter(after, lambda o: o["level"] <= F.col("level")), F.lit(0))["start"])
+    both = ends.join(pages.select("page_id", F.col(text_col).alias("__t")), "page_id")
+    return both.select("page_id", "node_id", "name", F.expr("trim(BOTH '\n ' FROM substr(__t, stop + 1, coalesce(__end, length(__t)) - stop))").alias("body"))
+
+
+def outline(nodes: DataFrame) -> DataFrame:
+    """(page_id, tree): a page's nodes as indented lines."""
+    line = F.concat(F.repeat(F.lit("  "), F.col("depth") - 1), "kind", F.when(F.col("name") != "", F.concat(F.lit(" "), "name")).otherwise(F.lit("")))
+    held = F.array_sort(F.collect_list(F.struct("node_id", line.alias("line"))))
+    return nodes.groupBy("page_id").agg(held.alias("n")).select("page_id", F.array_join(F.col("n.line"), "\n").alias("tree"))

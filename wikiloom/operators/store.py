@@ -46,8 +46,7 @@ def read_overrides(spark: SparkSession, path: str) -> DataFrame:
     """Overrides from text files: a first line ``TITLE: name``, then the body."""
     files = spark.read.text(path, wholetext=True)
     named = files.selectExpr("regexp_extract(value, '^TITLE:[ \\\\t]*([^\\\\r\\\\n]+)', 1) AS title", "regexp_replace(value, '^TITLE:[^\\\\n]*\\\\n', '') AS body").filter("title <> ''")
-    ids = " ".join(f"WHEN title LIKE {quoted(n + ':%')} THEN {i}" for i, n, _ in NAMESPACES if n)
-    return named.selectExpr("title", f"CASE {ids} ELSE 0 END AS namespace_id", "cast(NULL as string) AS redirect_to", "false AS need_pre_expand", "body", "IF(title LIKE 'Module:%', 'Scribunto', 'wikitext') AS model")
+    return named.selectExpr("title", f"{_title_namespace('title')} AS namespace_id", "cast(NULL as string) AS redirect_to", "false AS need_pre_expand", "body", "IF(title LIKE 'Module:%', 'Scribunto', 'wikitext') AS model")
 
 
 def selected(store: DataFrame, namespaces: list[int] | None = None, redirects: bool = True, model: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -62,15 +61,23 @@ def selected(store: DataFrame, namespaces: list[int] | None = None, redirects: b
 
 
 def lookup(wanted: DataFrame, store: DataFrame, title_col: str = "wanted") -> DataFrame:
-    """``wanted`` with its page: the exact title (underscores as blanks, without Main:), else with an upper first letter."""
-    name = f"replace(regexp_replace({title_col}, '^Main:', ''), '_', ' ')"
+    """``wanted`` with its page: the exact title (underscores as blanks, without Main:, namespaces in any case and by alias), else with an upper first letter.
+
+    Titles are resolved first, each once, and pages joined last: bodies pass through no aggregate.
+    """
+    plain = f"replace(regexp_replace({title_col}, '^(?i)Main:', ''), '_', ' ')"
+    known = " ".join(f"WHEN {quoted(x.lower())} THEN {quoted(n)}" for _, n, al in NAMESPACES for x in (n, *al) if n)
+    prefix = f"(CASE lower(trim(substring_index({plain}, ':', 1))) {known} END)"
+    name = f"IF(instr({plain}, ':') > 0 AND {prefix} IS NOT NULL, concat({prefix}, ':', ltrim(substr({plain}, instr({plain}, ':') + 1))), {plain})"
     local = f"substr({name}, instr({name}, ':') + 1)"
     upper = f"concat(substr({name}, 1, instr({name}, ':')), upper(substr({local}, 1, 1)), substr({local}, 2))"
-    keyed = wanted.withColumn("__row", F.monotonically_increasing_id())
-    tries = keyed.withColumn("__try", F.explode(F.array_distinct(F.array(F.expr(name), F.expr(upper))))).withColumn("__rank", F.when(F.col("__try") == F.expr(name), 0).otherwise(1))
-    found = tries.join(store, tries["__try"] == store["title"], "left")
-    pick = F.min_by(F.struct(*[F.col(c) for c in store.columns]), F.struct(F.col("title").isNull(), F.col("__rank")))
-    return found.groupBy("__row", *wanted.columns).agg(pick.alias("page")).drop("__row")
+    asked = wanted.select(title_col).distinct()
+    tries = asked.select(title_col, F.posexplode(F.array(F.expr(name), F.expr(upper))).alias("__rank", "__try"))
+    titles = store.select(F.col("title").alias("__try"))
+    best = tries.join(titles, "__try", "left_semi").groupBy(title_col).agg(F.min_by("__try", "__rank").alias("__title")).withColumnRenamed(title_col, "__asked")
+    pages = store.select(F.col("title").alias("__t"), F.struct(*store.columns).alias("page"))
+    named = wanted.join(best, wanted[title_col].eqNullSafe(best["__asked"]), "left").drop("__asked")
+    return named.join(pages, named["__title"] == pages["__t"], "left").drop("__t", "__title")
 
 
 def resolve_redirects(store: DataFrame) -> DataFrame:
@@ -124,3 +131,61 @@ def analysed(store: DataFrame, seeds: DataFrame, edges: DataFrame) -> DataFrame:
 def counts(store: DataFrame) -> DataFrame:
     """Pages, and articles: main namespace without redirects."""
     return store.agg(F.count("*").alias("pages"), F.count(F.when((F.col("namespace_id") == 0) & F.col("redirect_to").isNull(), 1)).alias("articles"))
+
+
+def read_json_overrides(spark: SparkSession, path: str) -> DataFrame:
+    """Overrides from JSON files: an object of title -> {namespace_id, redirect_to, need_pre_expand, body, model}; what is left out is told by the title, or null."""
+    row = "struct<namespace_id:int,redirect_to:string,need_pre_expand:boolean,body:string,model:string>"
+    each = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", f"map<string,{row}>")).alias("title", "p"))
+    return each.selectExpr("title", f"coalesce(p.namespace_id, {_title_namespace('title')}) AS namespace_id", "p.redirect_to", "coalesce(p.need_pre_expand, false) AS need_pre_expand", "p.body", "coalesce(p.model, 'wikitext') AS model")
+
+
+def _title_namespace(title: str) -> str:
+    ids = " ".join(f"WHEN {title} LIKE {quoted(n + ':%')} THEN {i}" for i, n, _ in NAMESPACES if n)
+    return f"(CASE {ids} ELSE 0 END)"
+
+
+def has_templates(overrides: DataFrame) -> bool:
+    """What a dry run asks: whether overrides touch templates, so that the analysis must be made anew."""
+    return not overrides.filter(F.col("namespace_id") == TEMPLATE).isEmpty()
+
+
+def build(pages: DataFrame, path: str, overrides: DataFrame | None = None) -> DataFrame:
+    """The store of ``pages`` as Parquet at ``path``, made once: pages, default templates, overrides, and what must be expanded before parsing.
+
+    The table is written under a name of its own and takes its place when it is whole; a store that is there is read, unless
+    there are overrides, which make a new one of the old pages.
+    """
+    spark = pages.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    there = files.exists(where)
+    if there and overrides is None:
+        return spark.read.parquet(path)
+    rows = spark.read.parquet(path) if there else with_defaults(store_rows(pages))
+    if overrides is not None:
+        rows = overwritten(rows, overrides)
+    if not there or has_templates(overrides):
+        rows = rows.checkpoint()
+        seeds = rows.filter((F.col("namespace_id") == TEMPLATE) & F.expr(needs_pre_expansion(rows))).select("title")
+        rows = analysed(rows.withColumn("need_pre_expand", F.lit(False)), seeds, inclusions(rows.filter(F.col("namespace_id") == TEMPLATE)))
+    fresh, old = (spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{x}") for x in ("new", "old"))
+    rows.write.mode("overwrite").parquet(fresh.toString())
+    files.delete(old, True)
+    if there:
+        files.rename(where, old)
+    files.rename(fresh, where)
+    files.delete(old, True)
+    return spark.read.parquet(path)
+
+
+def is_analysed(store: DataFrame) -> bool:
+    return not store.filter("need_pre_expand").isEmpty()
+
+
+def page_files(store: DataFrame, name_max: int = 255) -> DataFrame:
+    """(path, content): a text file for each page: main pages under Words and their first two letters, others under their namespace; long names end in a hash."""
+    safe = f"translate(title, {quoted('/' + chr(92))}, '__')"
+    stem = f"IF(octet_length({safe}) + 4 > {name_max}, concat(left({safe}, 50), '_', sha2({safe}, 256)), {safe})"
+    split = f"IF(namespace_id = 0, concat('Words/', left({safe}, 2), '/', {stem}), regexp_replace({stem}, '^([^:]*):', '$1/'))"
+    return store.selectExpr(f"concat({split}, '.txt') AS path", "concat('TITLE: ', title, '\\n', coalesce(body, redirect_to, '')) AS content")

@@ -18,3 +18,10 @@ def ensure_checkpoints(spark: SparkSession) -> None:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="wikiloom-")
     context.setCheckpointDir(found)
+
+
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder's path, set as ``ensure_checkpoints`` does."""
+    ensure_checkpoints(spark)
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return found.rstrip("/")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,9 @@ from ..functions import library, parserfns
 from ..functions.texts import quoted
 from ..operators import cleanup, components, expand, hierarchy, links, nodes, sentences, sinks, store, viewer, wikidata
 from ..sources.synthetic import wiki_pages, wiki_pages_sql
+from ..streaming import incremental
 from ..streaming.incremental import last_states
+from .folders import checkpoint_folder, ensure_checkpoints
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -311,8 +314,6 @@ def _body(spark, sf):
     "SELECT doc_id, 'See [' || source || '/' || lang || '/x] and ' || upper(lang) || ' ' || CASE WHEN lang = 'en' THEN 'yes' ELSE 'no' END || ' [[:Template:Missing]] <' || text || '>' AS expanded FROM documents",
 )
 def _expand(spark, sf):
-    from ..plans.folders import ensure_checkpoints
-
     ensure_checkpoints(spark)
     bodies = spark.createDataFrame([("Template:Pair", "[{{{1}}}/{{{b}}}/{{{c|x}}}]"), ("Template:Deep", "{{pair|{{{1}}}|b={{{2}}}}} and {{uc:{{{2}}}}}")], "title string, body string")
     call = "concat('See {{Deep|', source, '|', lang, '}} {{#ifeq:', lang, '|en|yes|no}} {{Missing}} <', text, '>')"
@@ -326,8 +327,6 @@ up AS (SELECT doc_id AS t FROM documents WHERE doc_id IN (5, 12) UNION SELECT e.
 
 @query("preexpand_closure", _CLOSURE)
 def _closure(spark, sf):
-    from ..plans.folders import ensure_checkpoints
-
     ensure_checkpoints(spark)
     docs = table(spark, sf, "documents")
     edges = docs.filter("doc_id > 0").selectExpr("concat('T', doc_id) AS includer", "concat('T', doc_id div 2) AS included")
@@ -474,7 +473,7 @@ def _pfn(name: str, source: str, key: str, calls: dict[str, tuple[str, list[str]
     """Registers one query of several function calls: column -> (function, SQL of its arguments, DuckDB SQL of the result)."""
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        made = [F.expr(parserfns.call(f, f"array({', '.join(args)})" if args else "cast(array() as array<string>)", title)).alias(c) for c, (f, args, _) in calls.items()]
+        made = [F.expr(parserfns.call(f, args, title)).alias(c) for c, (f, args, _) in calls.items()]
         return table(spark, sf, source).select(key, *made)
 
     QUERIES[name] = run
@@ -548,3 +547,191 @@ def _expr(spark, sf):
     return table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", parserfns.expr(F.concat(q, F.lit("*3 + "), F.col("l_linenumber").cast("string"))).alias("a"), parserfns.expr(F.concat(q, F.lit(" > 25"))).alias("b"), parserfns.expr(F.concat(q, F.lit(" mod 7"))).alias("c")
     )
+
+
+# Rows for what the queries above leave out, through the operators themselves.
+@query("entities", "SELECT doc_id, lang || ' ’’é€→< q' AS text FROM documents")
+def _entities_text(spark, sf):
+    deep = "[[File:x|" + "[[n|" * 6 + "y" + "]]" * 7
+    rows = table(spark, sf, "documents").select("doc_id", F.concat("lang", F.lit(f" &#8217;&#x2019;&eacute;&euro;&rarr;&amp;lt; {deep}q<ref name='a'>gone</ref>")).alias("t"))
+    return cleanup.visible_text(rows, "t", "text").select("doc_id", "text")
+
+
+_CUT = "['Plain ' || p_name || '.', 'Next ' || p_type || '!', 'Last one']"
+
+
+@query(
+    "sentence_rows",
+    f"""WITH s AS (SELECT p_partkey AS page_id, 1 AS section_no, 'Summary' AS toc, {_CUT} || ['Second ' || p_brand || ' [[a↓b]].'] AS x FROM part
+      UNION ALL SELECT p_partkey, 2, 'More', ['End?', 'List: one; two.'] FROM part)
+    SELECT page_id, cast(section_no AS integer) AS section_no, toc, cast(i AS integer) AS sentence_no, cast(CASE WHEN section_no = 1 AND i = 4 THEN 2 ELSE 1 END AS integer) AS paragraph_no, x[i] AS text
+    FROM s, unnest(range(1, len(x) + 1)) u(i)""",
+)
+def _sentence_rows(spark, sf):
+    body = "concat('Plain ', p_name, '. Next ', p_type, '! Last one\\n\\nSecond ', p_brand, ' [[b|a]].\\n== More ==\\nEnd? List:\\n\\n* one\\n* two\\n== References ==\\nNo. Not this.')"
+    pages = table(spark, sf, "part").selectExpr("p_partkey AS revision_id", "p_partkey AS page_id", "p_name AS page_title", "'wikitext' AS model", f"{body} AS content")
+    return sentences.sentence_rows(hierarchy.decomposed(pages)).select("page_id", "section_no", "toc", "sentence_no", "paragraph_no", "text")
+
+
+@query("dump_job", f"""WITH {_PARAGRAPHS}, p AS (SELECT page_id, count(*) AS paragraphs, count(CASE WHEN NOT skipped_part THEN 1 END) AS expanded FROM paragraph GROUP BY page_id),
+    s AS (SELECT page_id, count(*) AS sections FROM section GROUP BY page_id), w AS (SELECT page_id, revision_id FROM wiki)
+    SELECT w.page_id AS page_id, coalesce(sections, 0) AS sections, coalesce(paragraphs, 0) AS paragraphs, coalesce(expanded, 0) AS expanded, 'completed' AS status
+    FROM w LEFT JOIN s ON w.page_id = s.page_id LEFT JOIN p ON w.page_id = p.page_id""")
+def _dump_job(spark, sf):
+    """Written by two batches, an older revision of some pages coming second, and read from the tables."""
+    folder = f"{checkpoint_folder(spark)}/dump-{uuid.uuid4().hex}"
+    pages = wiki_pages(spark, sf)
+    templates = spark.createDataFrame([("Template:Note", "note {{{1}}}")], "title string, body string")
+    incremental.write_batch(pages, folder, "dump", "0", templates)
+    older = pages.filter("page_id % 3 = 0").withColumn("revision_id", F.col("revision_id") - 1).withColumn("content", F.lit("older"))
+    incremental.write_batch(older, folder, "dump", "1", templates)
+    log = incremental.log(spark, folder)
+    count = lambda name, to: log.read(name).groupBy("page_id").agg(F.count("*").alias(to))
+    found = log.read("checkpoint").select("page_id", "status")
+    for name, to in (("sections", "sections"), ("paragraphs", "paragraphs"), ("intermediate", "expanded")):
+        found = found.join(count(name, to), "page_id", "left").withColumn(to, F.coalesce(to, F.lit(0)))
+    return found
+
+
+@query("expand_nowiki", "SELECT doc_id, '&#123;&#123;uc:x&#125;&#125; ' || upper(lang) || ' &#91;' || source || '&#93; <nowiki />' AS expanded FROM documents")
+def _expand_nowiki(spark, sf):
+    ensure_checkpoints(spark)
+    call = "concat('<nowiki>{{uc:x}}</nowiki> {{uc:', lang, '}}\\n<!-- {{uc:y}} --> <nowiki>[', source, ']</nowiki> <nowiki/>')"
+    texts = table(spark, sf, "documents").selectExpr("doc_id", f"{call} AS body", "'Page' AS title")
+    return expand.expand(texts, spark.createDataFrame([], "title string, body string"), "doc_id", "body", "title")
+
+
+@query(
+    "expand_functions",
+    """SELECT doc_id, CASE WHEN doc_id % 2 = 1 THEN 'odd' ELSE 'even' END || '|<ref name="a">' || lang || '</ref>|Help:Foo/' || source || '|in|Hello ' || lang || '|' || CASE WHEN doc_id % 3 = 0 THEN 'y' ELSE 'n' END
+      || '|' || CASE lang WHEN 'en' THEN 'English' ELSE '' END || '|' || CASE WHEN source = 'src1' THEN 'one' ELSE '' END || '|38|3|1|own' AS expanded FROM documents""",
+)
+def _expand_functions(spark, sf):
+    ensure_checkpoints(spark)
+    store_ = spark.createDataFrame([("P", "x<section begin=s/>in<section end=s/>y"), ("MediaWiki:Hi", "Hello $1"), ("Template:A", "z")], "title string, body string")
+    calls = ["'{{#ifexpr:', doc_id % 2, '= 1|odd|even}}'", "'{{#tag:ref|', lang, '|name=a}}'", "'{{#rel2abs:../', source, '|Help:Foo/bar}}'", "'{{#lst:P|s}}'", "'{{int:Hi|', lang, '}}'", "'{{#ifexist:', IF(doc_id % 3 = 0, 'P', 'Q'), '|y|n}}'",
+             "'{{#language:', lang, '}}'", "'{{#property:P1|from=', source, '}}'", "'{{PAGESIZE:P}}'", "'{{NUMBEROFPAGES}}'", "'{{NUMBEROFARTICLES}}'", "'{{#statements:P2}}'"]
+    texts = table(spark, sf, "documents").selectExpr("doc_id", f"concat({', {0}|{0}, '.format(chr(39)).join(calls)}) AS body", "'Page' AS title")
+    statements = spark.createDataFrame([("src1", "P1", "one"), ("", "P2", "own")], "item string, property string, value string")
+    languages = spark.createDataFrame([("en", "English")], "code string, name string")
+    return expand.expand(texts, store_, "doc_id", "body", "title", statements=statements, languages=languages)
+
+
+@query("expand_notes", "SELECT doc_id, '<strong class=\"error\">Template loop detected: [[:Template:pong]]</strong> [[:Template:' || lang || ']] kept{{raw}}' AS expanded, ['loop pong', 'missing ' || lang] AS notes FROM documents")
+def _expand_notes(spark, sf):
+    ensure_checkpoints(spark)
+    bodies = spark.createDataFrame([("Template:Ping", "{{pong}}"), ("Template:Pong", "{{ping}}")], "title string, body string")
+    texts = table(spark, sf, "documents").selectExpr("doc_id", "concat('{{ping}} {{', lang, '}} {{own|x}}{{raw}}') AS body", "'Page' AS title")
+    done = expand.expand(texts, bodies, "doc_id", "body", "title", never=["raw"], given="IF(name = 'own', 'kept', NULL)", notes=True)
+    return done.select("doc_id", "expanded", F.array_sort(F.transform("notes", lambda n: F.concat_ws(" ", n["kind"], n["name"]))).alias("notes"))
+
+
+@query("store_selected", f"WITH {_PAGES} SELECT page_title AS title FROM wiki WHERE namespace = 0 AND redirect_to IS NULL AND model = 'wikitext' AND content LIKE '%note%'")
+def _selected(spark, sf):
+    return store.selected(store.store_rows(wiki_pages(spark, sf)), [0], redirects=False, model="wikitext", pattern="%note%").select("title")
+
+
+@query("lookup_aliases", "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'Template:Box' WHEN 1 THEN 'Template:Box' WHEN 2 THEN 'Main page' END AS title FROM documents")
+def _aliases(spark, sf):
+    pages = spark.createDataFrame([("Template:Box", 10, "b"), ("Main page", 0, "m")], "title string, namespace_id int, body string")
+    wanted = table(spark, sf, "documents").selectExpr("doc_id", "element_at(array('t:box', 'TEMPLATE: Box', 'main_page', 'Nope'), cast(doc_id % 4 as int) + 1) AS wanted")
+    return store.lookup(wanted, pages).select("doc_id", "page.title")
+
+
+@query("page_files", "SELECT CASE WHEN doc_id % 2 = 0 THEN 'Words/' || substr(lang, 1, 2) || '/' || lang || '_' || doc_id || '.txt' ELSE 'Template/' || lang || '_' || doc_id || '.txt' END AS path, 'TITLE: ' || CASE WHEN doc_id % 2 = 0 THEN '' ELSE 'Template:' END || lang || '/' || doc_id || chr(10) || text AS content FROM documents")
+def _page_files(spark, sf):
+    rows = table(spark, sf, "documents").selectExpr("concat(IF(doc_id % 2 = 0, '', 'Template:'), lang, '/', doc_id) AS title", "IF(doc_id % 2 = 0, 0, 10) AS namespace_id", "cast(NULL as string) AS redirect_to", "text AS body")
+    return store.page_files(rows)
+
+
+@query("entity_ids", "SELECT d.doc_id AS doc_id, n.n_name AS item_id FROM documents d LEFT JOIN nation n ON d.doc_id % 40 = n.n_nationkey")
+def _entity_ids(spark, sf):
+    names = table(spark, sf, "nation").selectExpr("cast(n_nationkey as string) AS name", "'w' AS site_id", "n_name AS item_id")
+    return wikidata.entity_ids(table(spark, sf, "documents").selectExpr("doc_id", "cast(doc_id % 40 as string) AS name", "'w' AS site_id"), names).select("doc_id", "item_id")
+
+
+@query("node_children", "SELECT doc_id AS page_id, 'b' AS name, '<b class=\"k\">' || lang || '</b>' AS text FROM documents")
+def _children(spark, sf):
+    pages = table(spark, sf, "documents").select(F.col("doc_id").alias("page_id"), F.concat(F.lit("{{a|<b class=\"k\">no</b>}} <b class=\"k\">"), "lang", F.lit("</b> <b>x</b>")).alias("content"))
+    return nodes.html(nodes.children(nodes.node_rows(pages), ["HTML"]), "b", {"class": "k"}).select("page_id", "name", "text")
+
+
+@query("level_contents", "SELECT doc_id AS page_id, unnest(['A', 'B', 'C']) AS name, unnest([lang || chr(10) || '=== B ===' || chr(10) || source, source, 'end']) AS body FROM documents")
+def _levels(spark, sf):
+    pages = table(spark, sf, "documents").select(F.col("doc_id").alias("page_id"), F.concat(F.lit("top\n== A ==\n"), "lang", F.lit("\n=== B ===\n"), "source", F.lit("\n== C ==\nend")).alias("content"))
+    return nodes.content_of_levels(nodes.node_rows(pages), pages).select("page_id", "name", "body")
+
+
+@query("node_outline", "SELECT doc_id AS page_id, 'TEMPLATE a' || chr(10) || '  LINK ' || lang || chr(10) || 'BOLD' AS tree FROM documents")
+def _outline(spark, sf):
+    pages = table(spark, sf, "documents").select(F.col("doc_id").alias("page_id"), F.concat(F.lit("{{a|[["), "lang", F.lit("]]}} '''b'''")).alias("content"))
+    return nodes.outline(nodes.node_rows(pages))
+
+
+@query("named_arguments", "SELECT doc_id, lang AS a, source AS b, 'last' AS c FROM documents")
+def _named(spark, sf):
+    rows = table(spark, sf, "documents").select("doc_id", F.expr(nodes.named_arguments("array(lang, 'k = x', 'c=first', source, ' c = last ')")).alias("m"))
+    return rows.select("doc_id", F.expr("m['1']").alias("a"), F.expr("m['2']").alias("b"), F.expr("m['c']").alias("c"))
+
+
+@query("highlighted", "SELECT doc_id, '&lt;' || lang || '&gt; <span class=\"arrow-link-marker\">[[a↓b]]</span><br><span class=\"template-marker\">♣  ♣  ♣  ref-' || doc_id || '-0001♣  ♣  ♣</span>' AS html FROM documents")
+def _highlighted(spark, sf):
+    text = F.concat(F.lit("<"), "lang", F.lit("> [[a↓b]]\n♣  ♣  ♣  ref-"), F.col("doc_id").cast("string"), F.lit("-0001♣  ♣  ♣"))
+    return table(spark, sf, "documents").select("doc_id", text.alias("t")).select("doc_id", F.expr(links.highlighted("t")).alias("html"))
+
+
+@query("article_errors", "SELECT doc_id, CASE WHEN quality = 0 THEN 'paragraph_errors=1; wtp_errors=1' END AS parse_error FROM labels")
+def _article_errors(spark, sf):
+    bad = (F.col("quality") == 0).cast("int")
+    return table(spark, sf, "labels").select("doc_id", viewer.article_error(bad, bad).alias("parse_error"))
+
+
+@query("joined_issues", "SELECT conv_id, string_agg(DISTINCT role, '; ' ORDER BY role) AS issues FROM conversations WHERE role IS NOT NULL GROUP BY conv_id")
+def _issues(spark, sf):
+    return sinks.issues(table(spark, sf, "conversations"), ["conv_id"], "role")
+
+
+@query("stream_states", ORACLES["stream_resume"])
+def _stream_states(spark, sf):
+    """The same as stream_resume, taken by a stream."""
+    return incremental.streamed_states(spark, f"{sf}/events*.parquet", f"{checkpoint_folder(spark)}/states-{uuid.uuid4().hex}")
+
+
+@query(
+    "module_library",
+    """SELECT p_partkey, '{"a":"' || p_brand || '"}' AS a, p_size AS b, '<b class="' || p_brand || '">' || p_type || '</b>' AS c, [NULL, 10, 0, 6, 15][p_partkey % 5 + 1] AS d,
+      CASE WHEN p_partkey % 3 = 0 THEN 0 ELSE -1 END AS e, CASE p_partkey % 3 WHEN 0 THEN '1 day and 1 hour' WHEN 1 THEN '0 seconds' ELSE '2 minutes, 3 seconds' END AS f, 'x ' || p_brand || ' 2' AS g FROM part""".replace("'2 minutes, 3 seconds'", "'2 minutes and 3 seconds'"),
+)
+def _module_library(spark, sf):
+    names = "element_at(array('nope', 'template', 'main', 'image', 'Category_talk'), cast(p_partkey % 5 as int) + 1)"
+    return table(spark, sf, "part").select(
+        "p_partkey",
+        F.expr(library.json_encode("struct(p_brand AS a)")).alias("a"),
+        F.expr(library.json_decode("concat('{\"k\": [', p_size, ']}')", "$.k[0]", "int")).alias("b"),
+        F.expr(library.tag("'b'", "map('class', p_brand)", "p_type")).alias("c"),
+        F.expr(library.find_namespace(names)).alias("d"),
+        F.expr(library.compare_titles("'Help:a'", "IF(p_partkey % 3 = 0, 'help: A', 'Category:x')")).alias("e"),
+        F.expr(library.format_duration("element_at(array(90000L, 0L, 123L), cast(p_partkey % 3 as int) + 1)")).alias("f"),
+        F.expr(library.filled("'x $1 $2'", "array(p_brand, '2')")).alias("g"),
+    )
+
+
+_pfn("pfn_constants", "documents", "doc_id", {
+    "a": ("NAMESPACENUMBER", [], "'0'"), "b": ("SUBJECTSPACE", [], "'Help'"), "c": ("FULLPAGENAMEE", [], "'Help:' || source || '/' || lang"), "d": ("PAGENAMEE", [], "source || '/' || lang"), "e": ("ROOTPAGENAMEE", [], "source"),
+    "f": ("SHORTDESC", ["lang"], "''"), "g": ("SERVER", [], "'//en.wikipedia.org'"), "h": ("SERVERNAME", [], "'en.wikipedia.org'"), "i": ("REVISIONID", [], "'-'"), "j": ("REVISIONUSER", [], "'AnonymousUser'"), "k": ("PROTECTIONLEVEL", ["lang"], "''"),
+    "l": ("DISPLAYTITLE", ["lang"], "''"), "m": ("DEFAULTSORT", ["lang"], "''"), "n": ("PAGELANGUAGE", [], "'en'"), "o": ("#categorytree", ["lang"], "''"), "p": ("#urldecode", ["concat(lang, '%20', source)"], "lang || ' ' || source"),
+    "q": ("plural", ["'1'", "lang", "source"], "source"), "r": ("#coordinates", ["lang"], "''"),
+}, "concat('Help:', source, '/', lang)")
+_NOW = {"YEAR": "%Y", "MONTH": "%m", "MONTHNAME": "%B", "MONTHABBREV": "%b", "DAY": "%-d", "DAY2": "%d", "DOW": "%w", "DAYNAME": "%A", "HOUR": "%H", "WEEK": "%W"}
+_pfn("pfn_now", "region", "r_regionkey", {
+    **{f"{p}_{n}": (f"{p}{n}", [], f"strftime(now() AT TIME ZONE 'UTC', '{code}')") for p in ("CURRENT", "LOCAL") for n, code in _NOW.items()},
+    "m1": ("CURRENTMONTH1", [], "strftime(now() AT TIME ZONE 'UTC', '%-m')"), "dow": ("CUEEWNTDOW", [], "strftime(now() AT TIME ZONE 'UTC', '%w')"),
+})
+_pfn("pfn_time_steps", "orders", "o_orderkey", {
+    "a": ("#time", ["'Y-m-d'", "date_format(o_orderdate, \"yyyy-MM-dd' +1 day'\")"], "strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d')"),
+    "b": ("#time", ["'Y-m-d'", "date_format(o_orderdate, \"d MMMM yyyy' 2 weeks ago'\")"], "strftime(o_orderdate - INTERVAL 14 DAY, '%Y-%m-%d')"),
+    "c": ("#timel", ["'Y-m-d'", "date_format(o_orderdate, \"yyyy-MM-dd' +1 month'\")"], "strftime(o_orderdate + INTERVAL 1 MONTH, '%Y-%m-%d')"),
+    "d": ("#time", ["'F Y'", "date_format(o_orderdate, 'MMMM yyyy')"], "strftime(o_orderdate, '%B %Y')"),
+    "e": ("#time", ["'Y-m-d H:i'", "concat('@', unix_timestamp(date_trunc('DAY', o_orderdate)) + 3600)"], "strftime(date_trunc('day', o_orderdate) + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M')"),
+    "f": ("#time", ["'Y'", "concat('bad ', o_orderkey)"], "'<strong class=\"error\">Bad time syntax: bad ' || o_orderkey || '</strong>'"),
+})
