@@ -222,6 +222,46 @@ def test_store(spark):
     assert {r.title for r in marked.filter("need_pre_expand").collect()} == {"A", "B"}
 
 
+def test_store_is_built_once(spark, tmp_path):
+    ensure_checkpoints(spark)
+    rows = [("Open", 10, None, "{| a", "wikitext"), ("Uses", 10, None, "{{open}}", "wikitext"), ("Same", 10, "Template:Uses", "", "wikitext"), ("Page", 0, None, "{{uses}}", "wikitext")]
+    schema = "page_title string, namespace int, redirect_to string, content string, model string"
+    made = store.build(spark.createDataFrame(rows, schema), f"{tmp_path}/s")
+    needs = lambda df: {r.title for r in df.filter("need_pre_expand").collect()}
+    assert needs(made) == {"Template:Open", "Template:Uses", "Template:Same"} and store.is_analysed(made)
+    assert [r.title for r in store.needing(made.select("title").filter("title LIKE '%U%' OR title = 'Page'"), made).collect()] == ["Template:Uses"]
+    assert store.build(spark.createDataFrame([], schema), f"{tmp_path}/s").count() == made.count() == 8
+    (tmp_path / "o.json").write_text('{"Template:Open": {"body": "closed"}, "New": {"namespace_id": 0, "body": "n", "model": "wikitext"}}')
+    (tmp_path / "t.txt").write_text("TITLE: Module:M\nreturn 1")
+    json_, text = store.read_json_overrides(spark, f"{tmp_path}/o.json"), store.read_overrides(spark, f"{tmp_path}/t.txt")
+    assert store.has_templates(json_) and not store.has_templates(text)
+    assert [(r.title, r.namespace_id, r.model, r.body) for r in text.collect()] == [("Module:M", 828, "Scribunto", "return 1")]
+    again = store.build(spark.createDataFrame([], schema), f"{tmp_path}/s", json_)
+    assert needs(again) == set() and {r.title: r.body for r in again.collect()}["Template:Open"] == "closed" and again.count() == 9
+
+
+def test_long_pages_take_linear_time(spark):
+    import time
+
+    def took(n, make, run):
+        rows = page(spark, make(n))
+        run(rows)  # compiled
+        start = time.perf_counter()
+        run(rows)
+        return time.perf_counter() - start
+
+    def paragraphs(rows):
+        assert hierarchy.paragraph_rows(hierarchy.decomposed(rows)).count() > 1_000
+
+    def restored(rows):
+        done = components.with_components(hierarchy.with_sections(rows))
+        assert done.selectExpr(f"transform(sections, s -> {components.restored('s.text')}) AS t").first().t[0].startswith("x")
+
+    for make, run in ((lambda n: "== A ==\n" + "=== S ===\np q r\n\nt\n\n" * n, paragraphs), (lambda n: "x " + "[http://a.b c] [[d]] " * n, restored)):
+        small, large = (min(took(n, make, run) for _ in range(2)) for n in (2_000, 6_000))
+        assert large < 2 or large < 6 * small, (small, large)
+
+
 def test_batch_log(spark, tmp_path):
     log = sinks.BatchLog(spark, f"{tmp_path}/t", {"rows": "page_id long, v string"})
     rows = lambda *x: spark.createDataFrame(list(x), "page_id long, v string")

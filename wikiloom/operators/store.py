@@ -179,7 +179,14 @@ def build(pages: DataFrame, path: str, overrides: DataFrame | None = None) -> Da
     return spark.read.parquet(path)
 
 
+def needing(wanted: DataFrame, store: DataFrame, title_col: str = "title") -> DataFrame:
+    """``wanted`` titles whose template must be expanded before parsing; those of pages that are not there are none."""
+    need = store.filter("need_pre_expand").select(F.col("title").alias("__t")).distinct()
+    return wanted.join(need, wanted[title_col] == need["__t"], "left_semi")
+
+
 def is_analysed(store: DataFrame) -> bool:
+    """Whether the analysis of inclusions has been made: any page is marked."""
     return not store.filter("need_pre_expand").isEmpty()
 
 
