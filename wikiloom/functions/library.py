@@ -178,3 +178,17 @@ def format_duration(seconds: str) -> str:
 def filled(message: str, args: str) -> str:
     """A message with $1, $2 ... replaced by the array ``args``; the last ones first, so that $1 leaves $10 alone."""
     return f"aggregate(sequence(size({args}), least(1, size({args})), -1), {message}, (m, i) -> IF(i = 0, m, replace(m, concat('$', cast(i as string)), {args}[i - 1])))"
+
+
+def gender(what: str, masculine: str, feminine: str, neutral: str | None = None) -> str:
+    """The form for 'feminine', 'neutral' or anything else; without a neutral form it is null."""
+    return f"CASE {what} WHEN 'feminine' THEN {feminine} WHEN 'neutral' THEN {neutral or 'NULL'} ELSE {masculine} END"
+
+
+# Arrows by direction, for languages written from left to right.
+ARROWS = {"forwards": "→", "backwards": "←", "left": "←", "right": "→", "up": "↑", "down": "↓"}
+
+
+def arrow(direction: str) -> str:
+    """The arrow of a direction; that to the right for any other word."""
+    return f"CASE {direction} {' '.join(f'WHEN {quoted(k)} THEN {quoted(v)}' for k, v in ARROWS.items())} ELSE '→' END"

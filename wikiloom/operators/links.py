@@ -44,10 +44,18 @@ def page_url(title: Column, base: str = "https://en.wikipedia.org/wiki/") -> Col
     return F.concat(F.lit(base), coded)
 
 
+def safe_html(text: str) -> str:
+    """SQL: plain text as HTML: markup characters as entities, line ends as breaks."""
+    safe = f"coalesce({text}, '')"
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        safe = f"replace({safe}, {quoted(char)}, {quoted(entity)})"
+    return f"regexp_replace({safe}, '\\r\\n?|\\n', '<br>')"
+
+
 def highlighted(text: str) -> str:
-    """SQL: text as HTML in which formatted links and component marks stand out, with line breaks."""
-    safe = f"replace(replace(replace(replace(replace(coalesce({text}, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), chr(39), '&#x27;')"
+    """SQL: ``safe_html`` in which formatted links and component marks stand out."""
+    safe = f"replace({safe_html(text)}, '<br>', '\\n')"
     # The classes of the two kinds of marks
-    for name, pattern in (("arrow-link-marker", rf"\[\[[^\[\]\r\n\x01]*{ARROW}[^\[\]\r\n\x01]*\]\]"), ("template-marker", r"♣\s*♣\s*♣[^♣\r\n\x01]+-[0-9]+-[0-9]+\s*♣\s*♣\s*♣")):
+    for name, pattern in (("arrow-link-marker", rf"\[\[[^\[\]\n\x01]*{ARROW}[^\[\]\n\x01]*\]\]"), ("template-marker", r"♣\s*♣\s*♣[^♣\n\x01]+-[0-9]+-[0-9]+\s*♣\s*♣\s*♣")):
         safe = replace_all(safe, f"({pattern})", f'\x01span class="{name}"\x02$1\x01/span\x02')
-    return f"replace(replace(replace(replace(replace({safe}, '\\r\\n', '\\n'), '\\r', '\\n'), '\\u0001', '<'), '\\u0002', '>'), '\\n', '<br>')"
+    return f"replace(replace(replace({safe}, '\\u0001', '<'), '\\u0002', '>'), '\\n', '<br>')"

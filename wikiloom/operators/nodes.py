@@ -198,3 +198,18 @@ def outline(nodes: DataFrame) -> DataFrame:
     line = F.concat(F.repeat(F.lit("  "), F.col("depth") - 1), "kind", F.when(F.col("name") != "", F.concat(F.lit(" "), "name")).otherwise(F.lit("")))
     held = F.array_sort(F.collect_list(F.struct("node_id", line.alias("line"))))
     return nodes.groupBy("page_id").agg(held.alias("n")).select("page_id", F.array_join(F.col("n.line"), "\n").alias("tree"))
+
+
+def texts(pages: DataFrame, nodes: DataFrame, text_col: str = "content") -> DataFrame:
+    """(page_id, start, text): what lies between the nodes directly in a page, without blank pieces."""
+    tops = nodes.filter("parent_id = 0").groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("n"))
+    both = pages.select("page_id", F.col(text_col).alias("__t")).join(tops, "page_id", "left").withColumn("n", F.coalesce("n", F.expr("cast(array() as array<struct<start:int,stop:int>>)")))
+    begins = "concat(array(0), transform(n, x -> x.stop))"
+    ends = "concat(transform(n, x -> x.start), array(length(__t)))"
+    pieces = f"filter(zip_with({begins}, {ends}, (a, b) -> struct(a AS start, substr(__t, a + 1, b - a) AS text)), p -> trim(BOTH ' \\n\\t' FROM p.text) <> '')"
+    return both.filter("__t IS NOT NULL").select("page_id", F.inline(F.expr(pieces)))
+
+
+def template_counts(nodes: DataFrame) -> DataFrame:
+    """(page_id, templates): how many templates a page's markup holds, nested ones too; pages without any node are not among them."""
+    return nodes.groupBy("page_id").agg(F.count(F.when(F.col("kind") == "TEMPLATE", 1)).alias("templates"))

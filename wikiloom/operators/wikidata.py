@@ -37,3 +37,19 @@ def best_statements(claims: DataFrame) -> DataFrame:
     top = claims.withColumn("__r", rank).filter("__r > 0")
     best = top.groupBy("item_id", "property_id").agg(F.max("__r").alias("__best"))
     return top.join(best, ["item_id", "property_id"]).filter("__r = __best").drop("__r", "__best")
+
+
+def interwiki(sites: DataFrame, host: str = "en.wikipedia.org", local: bool | None = None) -> DataFrame:
+    """(prefix, url, is_protocol_relative, is_local, is_current) of the cached map ``sites`` (prefix, url, protorel, local); local: only those that are, or aren't.
+
+    A protocol-relative address comes without its protocol; of equal prefixes the least address counts.
+    """
+    one = sites.groupBy("prefix").agg(F.min(F.struct("url", "protorel", "local")).alias("s")).select("prefix", "s.*")
+    rows = one.select(
+        "prefix",
+        F.when(F.col("protorel"), F.regexp_replace("url", "^https:", "")).otherwise(F.col("url")).alias("url"),
+        F.coalesce("protorel", F.lit(False)).alias("is_protocol_relative"),
+        F.coalesce("local", F.lit(False)).alias("is_local"),
+        F.startswith("url", F.lit(f"https://{host}")).alias("is_current"),
+    )
+    return rows if local is None else rows.filter(F.col("is_local") == local)

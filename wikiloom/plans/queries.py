@@ -735,3 +735,33 @@ _pfn("pfn_time_steps", "orders", "o_orderkey", {
     "e": ("#time", ["'Y-m-d H:i'", "concat('@', unix_timestamp(date_trunc('DAY', o_orderdate)) + 3600)"], "strftime(date_trunc('day', o_orderdate) + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M')"),
     "f": ("#time", ["'Y'", "concat('bad ', o_orderkey)"], "'<strong class=\"error\">Bad time syntax: bad ' || o_orderkey || '</strong>'"),
 })
+
+
+@query("interwiki_map", "SELECT 'p' || n_nationkey AS prefix, CASE WHEN n_nationkey % 2 = 0 THEN '//' ELSE 'https://' END || n_nationkey || '.wikipedia.org/$1' AS url, n_nationkey % 2 = 0 AS is_protocol_relative, TRUE AS is_local, n_nationkey = 3 AS is_current FROM nation WHERE n_nationkey % 3 = 0")
+def _interwiki(spark, sf):
+    sites = table(spark, sf, "nation").selectExpr("concat('p', n_nationkey) AS prefix", "concat('https://', n_nationkey, '.wikipedia.org/$1') AS url", "n_nationkey % 2 = 0 AS protorel", "n_nationkey % 3 = 0 AS local")
+    return wikidata.interwiki(sites, "3.wikipedia.org", local=True)
+
+
+@query("safe_html", "SELECT doc_id, '&lt;' || lang || '&gt;<br># ' || source || '<br>&quot;&#x27;&amp;' AS html FROM documents")
+def _safe_html(spark, sf):
+    text = F.concat(F.lit("<"), "lang", F.lit(">\r\n# "), "source", F.lit("\n\"'&"))
+    return table(spark, sf, "documents").select("doc_id", text.alias("t")).select("doc_id", F.expr(links.safe_html("t")).alias("html"))
+
+
+@query("text_children", "SELECT doc_id AS page_id, 'a ' || lang || ' ' AS text FROM documents UNION ALL SELECT doc_id, ' b' FROM documents")
+def _text_children(spark, sf):
+    pages = table(spark, sf, "documents").select(F.col("doc_id").alias("page_id"), F.concat(F.lit("a "), "lang", F.lit(" {{x|[[y]]}} \n[[z]] b")).alias("content"))
+    return nodes.texts(pages, nodes.node_rows(pages)).select("page_id", "text")
+
+
+@query("template_counts", "SELECT doc_id AS page_id, 2 + doc_id % 2 AS templates FROM documents")
+def _template_counts(spark, sf):
+    pages = table(spark, sf, "documents").selectExpr("doc_id AS page_id", "concat('{{a|{{b}}}} ', IF(doc_id % 2 = 1, '{{c}}', '{{c')) AS content")
+    return nodes.template_counts(nodes.node_rows(pages))
+
+
+@query("language_library", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'he' WHEN 1 THEN 'she' ELSE 'they' END AS a, CASE doc_id % 3 WHEN 0 THEN '←' WHEN 1 THEN '↑' ELSE '→' END AS b FROM documents")
+def _language_library(spark, sf):
+    pick = lambda *x: f"element_at(array({', '.join(map(quoted, x))}), cast(doc_id % 3 as int) + 1)"
+    return table(spark, sf, "documents").select("doc_id", F.expr(library.gender(pick("masculine", "feminine", "neutral"), "'he'", "'she'", "'they'")).alias("a"), F.expr(library.arrow(pick("backwards", "up", "x"))).alias("b"))
