@@ -750,6 +750,20 @@ def test_op10_canonical_forms(spark, odd, empty):
     assert licences.scan(odd, licences.known_licences(spark, [])).count() == len(ODD)
 
 
+def test_long_texts_of_ops_3_5_9_and_10(spark):
+    filler = "wörd and more of it. " * 60_000
+    long = f"{filler}\nCard 4111 1111 1111 1111 on 2024-02-29.\nReleased under the MIT License.\n{filler}"
+    docs = texts(spark, [(1, long, "s"), (2, "short", "s")], "doc_id long, text string, source string")
+    data = long.encode()
+    payload = data + bytes(-len(data) % 64)
+    row = sniff.media_features(docs).filter("doc_id = 1").first()
+    assert (row.n_bytes, row.payload_sha256) == (len(data), hashlib.sha256(payload).hexdigest())
+    done = feistel.pseudonymise(docs, found_to="found").filter("doc_id = 1").first()
+    assert [f.kind for f in done.found] == ["card", "date"] and done.text.startswith(filler) and done.text.endswith(filler) and "4111 1111" not in done.text
+    assert {r.doc_id: r["__tokens"] for r in mixing.mix(docs, copies_only=True).collect()} == {1: len(WORDS.findall(long)), 2: 1}
+    assert licences.scan(docs, licences.known_licences(spark)).filter("doc_id = 1").first().notices == ["MIT"]
+
+
 def test_op10_many_notices(spark, monkeypatch):
     known = licences.known_licences(spark)
     rows = [(1, "x\nlicenced under the MIT licence!\nReleased under the MIT License.\nLicensed under CC BY-NC 4.0."), (1, None), (2, "plain"), (3, "SPDX-License-Identifier: ISC\n" * 2), (None, "x\nlicenced under the MIT licence!\nReleased under the MIT License.\nLicensed under CC BY-NC 4.0.")]
