@@ -178,15 +178,14 @@ def brute_divergence(rows, least, top):
     return out
 
 
-def test_divergence(spark, odd, empty, monkeypatch):
+def test_divergence(spark, odd, empty):
     rows = rows_of(spark)
     rows += [(1, None, None, None), (1, "", "xx", "a"), (2, "only here", "xx", "b"), (2, "only here", "xx", "b"), (3, "ÉÀ本 Ab ab AB", None, "s")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     want = sorted(brute_divergence(rows, 3, 20))
     assert sorted(map(tuple, divergence.divergence(docs, 3, 20).collect())) == want
-    for name, value in (("BLOCK", 3), ("PART", 40), ("CELLS", 50), ("HELD", 30)):  # several parts and blocks, counts passed on early
-        monkeypatch.setattr(divergence, name, value)
-    assert sorted(map(tuple, divergence.divergence(docs, 3, 20).collect())) == want
+    # several parts and blocks, counts passed on early
+    assert sorted(map(tuple, divergence.divergence(docs, 3, 20, part=40, block=3, cells=50, most=30).collect())) == want
     assert divergence.divergence(empty).count() == 0
     assert sorted(map(tuple, divergence.divergence(odd, 1).collect())) == sorted(brute_divergence([(i, t, "clash", "clash") for i, t in ODD], 1, 50))
 

@@ -33,7 +33,7 @@ LEAST_DOCS, TOP, SMOOTHING, UNIT = 30, 50, 5, 1_000_000_000
 HELD, PART, BLOCK, CELLS = 400_000, 50_000, 256, 1_000_000
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
+def term_counts(docs: DataFrame, most: int = HELD) -> DataFrame:
     """(lang, source, term, n, docs): occurrences, and documents with the term, summed over what a task has held."""
     fields = [("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())]
 
@@ -59,7 +59,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
                 held[lang, source].update(counts)
                 found[lang, source].update(counts.keys())
                 size += len(held[lang, source]) - before
-                if size > HELD:
+                if size > most:
                     yield from out()
                     size = 0
         yield from out()
@@ -67,9 +67,9 @@ def term_counts(docs: DataFrame) -> DataFrame:
     return docs.select("lang", "source", F.col("text").cast("binary")).mapInArrow(run, ", ".join(f"{n} {'long' if k == pa.int64() else 'string'}" for n, k in fields))
 
 
-def kept_terms(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
+def kept_terms(docs: DataFrame, least_docs: int = LEAST_DOCS, most: int = HELD) -> DataFrame:
     """(lang, term, vector): terms in ``least_docs`` documents of the language, vector: array of struct(source, n) by source."""
-    counts = term_counts(docs).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    counts = term_counts(docs, most).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     vectors = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.array_sort(F.collect_list(F.struct("source", "n"))).alias("vector"))
     return vectors.filter(F.col("docs") >= least_docs).select("lang", "term", "vector")
 
@@ -89,13 +89,13 @@ def _shares(counts: np.ndarray, bottom: np.ndarray) -> np.ndarray:
     return 1 + whole
 
 
-def _pair_sums(vectors: pa.Table, groups: pa.Table) -> pa.Table:
+def _pair_sums(vectors: pa.Table, groups: pa.Table, width: int = BLOCK, cells: int = CELLS) -> pa.Table:
     """(lang, a, b, value): sums over a part of the vectors for each pair a < b of sources with a in one block."""
     lang, block = groups.column("lang")[0], groups.column("block")[0].as_py()
     sources, totals = groups.column("sources")[0].as_py(), np.array(groups.column("totals")[0].as_py(), np.int64)
     bottom = totals + SMOOTHING * groups.column("terms")[0].as_py()
-    count, begin = len(sources), block * BLOCK
-    end = min(count, begin + BLOCK)
+    count, begin = len(sources), block * width
+    end = min(count, begin + width)
     sums = np.zeros((end - begin, count), np.int64)
     if vectors.num_rows:
         where = pa.array(sources, pa.string())
@@ -107,7 +107,7 @@ def _pair_sums(vectors: pa.Table, groups: pa.Table) -> pa.Table:
         n = entries.field(1).to_numpy()
         row = np.repeat(np.arange(len(sizes)), sizes)
         starts = np.concatenate(([0], np.cumsum(sizes)))
-        step = max(1, CELLS // count)
+        step = max(1, cells // count)
         for low in range(0, len(sizes), step):
             high = min(len(sizes), low + step)
             inside = slice(starts[low], starts[high])
@@ -120,10 +120,13 @@ def _pair_sums(vectors: pa.Table, groups: pa.Table) -> pa.Table:
     return pa.table({"lang": pa.array([lang.as_py()] * len(a), pa.string()), "a": pa.array(a + begin, pa.int32()), "b": pa.array(b, pa.int32()), "value": sums[a, b]})
 
 
-def divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP) -> DataFrame:
-    """(lang, source, part, item, value, rank): part 'pair' has the distance to each other source of the language, part 'term' the ``top`` terms above the language's share."""
+def divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP, part: int = PART, block: int = BLOCK, cells: int = CELLS, most: int = HELD) -> DataFrame:
+    """(lang, source, part, item, value, rank): part 'pair' has the distance to each other source of the language, part 'term' the ``top`` terms above the language's share.
+
+    part, block, cells, most: vectors of a task, sources of a block, cells of a matrix and counts that a task holds; the rows don't depend on them.
+    """
     docs = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    terms = written(kept_terms(docs, least_docs), "terms")
+    terms = written(kept_terms(docs, least_docs, most), "terms")
     vectors = written(terms.groupBy("lang", "vector").agg(F.count("*").alias("m")), "vectors")
     sums = vectors.select("lang", "m", F.inline("vector")).groupBy("lang", "source").agg(F.sum(F.col("n") * F.col("m")).alias("total"))
     sizes = vectors.groupBy("lang").agg(F.sum("m").alias("terms"), F.count("*").alias("distinct_vectors"))
@@ -136,12 +139,12 @@ def divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP) ->
     # one row a language with its sources in order; parts of its vectors, and blocks of its sources
     ordered = F.array_sort(F.collect_list(F.struct("no", "source", "total")))
     langs = groups.groupBy("lang", "terms", "distinct_vectors").agg(ordered.alias("g"))
-    langs = langs.selectExpr("lang", "terms", "g.source AS sources", "g.total AS totals", f"cast(greatest(1, ceil(distinct_vectors / {PART})) as int) AS parts", f"cast(ceil(size(g) / {BLOCK}) as int) AS blocks")
+    langs = langs.selectExpr("lang", "terms", "g.source AS sources", "g.total AS totals", f"cast(greatest(1, ceil(distinct_vectors / {part})) as int) AS parts", f"cast(ceil(size(g) / {block}) as int) AS blocks")
     split = vectors.join(langs.select("lang", "parts", "blocks"), "lang")
     split = split.withColumn("part", F.expr("cast(pmod(xxhash64(vector), parts) as int)")).withColumn("block", F.expr("explode(sequence(0, blocks - 1))"))
     dealt = langs.withColumn("part", F.expr("explode(sequence(0, parts - 1))")).withColumn("block", F.expr("explode(sequence(0, blocks - 1))"))
     keys = ["lang", "part", "block"]
-    apart = split.select(*keys, "vector", "m").groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInArrow(_pair_sums, "lang string, a int, b int, value long")
+    apart = split.select(*keys, "vector", "m").groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInArrow(lambda v, g: _pair_sums(v, g, block, cells), "lang string, a int, b int, value long")
     apart = apart.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
     both = apart.select("lang", "value", F.inline(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))))
     names = groups.select("lang", "source", "no")
