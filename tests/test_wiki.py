@@ -306,6 +306,24 @@ def test_dump(spark, tmp_path):
     assert landed.count() == 1
 
 
+def test_nested_braces():
+    from wikiloom.operators.braces import arguments, bind
+
+    cases = [
+        ("{{{1|{{{2|z}}}}}}", ["2=k"], "k"),
+        ("{{{1|{{#if:y|q}}}}}", ["v"], "v"),
+        ("{{{1|{{#if:y|q}}}}}", [], "{{#if:y|q}}"),
+        ("{{{{{1}}}|x}}", ["A"], "{{A|x}}"),
+        ("{{{1|[[a|b]]|c}}}", [], "[[a|b]]"),
+        ("{{a|{{{1}}}}}}", ["p"], "{{a|p}}}"),
+        ("{{{x}}} {{{ [[{{{1}}} }} {", ["x = 1 ", "{{{2}}}"], "1 {{{ [[{{{2}}} }} {"),
+        ("{{{{{{1}}}}}}", ["2", "b"], "{{{2}}}"),
+        ("{" * 5000 + "1" + "}" * 5000, [], "{" * 5000 + "1" + "}" * 5000),
+    ]
+    for body, args, want in cases:
+        assert bind(body, arguments(args)) == want, body
+
+
 def test_stream_resumes(spark, tmp_path, monkeypatch):
     pages = lambda ids, text, plus=0: spark.createDataFrame([(i * 10 + plus, i, f"P{i}", 0, "wikitext", None, False, text) for i in ids], incremental.PAGES)
     store_ = spark.createDataFrame([("Template:Q", "see {{{1}}}. Then")], "title string, body string")
@@ -322,6 +340,12 @@ def test_stream_resumes(spark, tmp_path, monkeypatch):
         query = incremental.start(spark, f"{tmp_path}/in", f"{tmp_path}/out", "s", 1, store=store_)
         assert query.awaitTermination(300) and query.exception() is None
         assert known.read("paragraphs").count() == 9 and known.read("checkpoint").count() == 3
+    # Spark stops between the mark of the batch and its own commit: the batch comes again
+    for commit in (tmp_path / "out/_stream/state/commits").iterdir():
+        commit.unlink()
+    query = incremental.start(spark, f"{tmp_path}/in", f"{tmp_path}/out", "s", 1, store=store_)
+    assert query.awaitTermination(300) and query.exception() is None
+    assert known.read("paragraphs").count() == 9 and known.read("checkpoint").count() == 3
     one = known.read("paragraphs").filter("page_id = 1").orderBy("section_no", "paragraph_no").collect()
     assert [(r.text, r.skipped_part) for r in one] == [("a see [[X|y]]. Then b.", False), ("b", False), ("♣  ♣  ♣  independent_template-1-0001♣  ♣  ♣", True)]
     assert one[2].raw_wikitext == "{{q}}"

@@ -20,10 +20,13 @@ from pyspark.sql import functions as F
 from ..functions.library import nowiki
 from ..functions.parserfns import FUNCTIONS, NAMESPACES, UNIMPLEMENTED, dispatch, expr
 from ..functions.texts import quoted, replace_all, strip
+from .braces import bound
 from .cleanup import visible_text
 
-CALL = r"(?<!\{)\{\{(?!\{)[^{}]*(?:\{\{\{[^{}]*\}\}\}[^{}]*)*\}\}"
-PARAMETER = r"\{\{\{([^{}|]*)(\|[^{}]*)?\}\}\}"
+#: Innermost calls: parameters that have no value, and braces that stand alone, are text inside of them.
+CALL = r"(?<!\{)\{\{(?!\{)[^{}]*+(?:(?:\{\{\{[^{}]*\}\}\}|(?<!\{)\{(?!\{)|(?<!\})\}(?!\}))[^{}]*+)*+\}\}"
+#: What opens calls: two braces, and both halves of four.
+OPENS = r"(?<!\{)\{\{(?=\{\{(?!\{))|(?<=(?<!\{)\{\{)\{\{(?!\{)|(?<!\{)\{\{(?!\{)"
 #: Functions whose value comes from the store; those of the first group from the page that the first argument names.
 OF_PAGE = ("#ifexist", "PAGESIZE", "#lst", "#section", "#Abschnitt", "#trecho", "#קטע", "int")
 OF_STORE = ("NUMBEROFPAGES", "NUMBEROFARTICLES")
@@ -38,7 +41,6 @@ NO_PAGE = '<strong class="error">Page not found for PAGESIZE</strong>'
 NO_ARGUMENT = '<strong class="error">No arguments given to #pagesize</strong>'
 #: Control characters that text can't hold: a call's history, its end, its parts, what stands for the braces of calls that stay, and for nowiki elements that hold nothing.
 _FROM, _TO, _STEP, _SHUT, _NOTHING, _EMPTY = "\x11", "\x12", "\x13", "\x0e\x0f", "\x10", "\x14"
-_BAR, _NAMED = "\x06", r"(?s)^\s*([^=<>\[\]]+?)\s*=(.*)$"
 
 
 def _arguments(inside: str) -> str:
@@ -62,22 +64,6 @@ def parsed_call(call: str, aliases: dict[str, str] | None = None) -> str:
     return f"transform(array({_arguments(bare)}), p -> {split})[0]"
 
 
-def bound(body: str, args: str) -> str:
-    """SQL: ``body`` with its {{{parameters}}}: the last argument of the name (stripped) or at the position, else the default, else as it stands."""
-    pairs = (
-        f"aggregate({args}, struct(cast(array() as array<struct<k:string,v:string>>) AS kv, 0 AS n), (st, x) -> IF(x RLIKE {quoted(_NAMED)}, "
-        f"struct(concat(st.kv, array(struct(regexp_extract(x, {quoted(_NAMED)}, 1) AS k, {strip(f'regexp_extract(x, {quoted(_NAMED)}, 2)')} AS v))) AS kv, st.n AS n), "
-        f"struct(concat(st.kv, array(struct(cast(st.n + 1 as string) AS k, x AS v))) AS kv, st.n + 1 AS n)), st -> st.kv)"
-    )
-    names, whole = f"regexp_extract_all({body}, {quoted(PARAMETER)}, 1)", f"regexp_extract_all({body}, {quoted(PARAMETER)}, 0)"
-    defaults = f"regexp_extract_all({body}, {quoted(PARAMETER)}, 2)"
-    value = f"coalesce(element_at(transform(filter(kv, e -> e.k = {strip('q.n')}), e -> e.v), -1), IF(q.d <> '', substr(q.d, 2), q.w))"
-    value = value.replace("element_at(transform", "try_element_at(transform")
-    marks = f"zip_with(zip_with({names}, {defaults}, (n, d) -> struct(n AS n, d AS d)), {whole}, (x, w) -> struct(x.n AS n, x.d AS d, w AS w))"
-    glued = f"array_join(zip_with(split({body}, {quoted(PARAMETER)}, -1), {marks}, (a, q) -> concat(a, IF(q IS NULL, '', {value}))), '')"
-    return f"transform(array({pairs}), kv -> {glued})[0]"
-
-
 def on_new_line(text: str) -> str:
     """SQL: a result that begins a list or table gets a line of its own."""
     return f"IF({text} RLIKE {quoted(r'^(?:[*#;:]|\{\|)')}, concat('\\n', {text}), {text})"
@@ -123,7 +109,7 @@ def _shut(text: str) -> str:
 
 def _tagged(text: str, chain: str) -> str:
     """SQL: the calls of ``text`` get the names they came through."""
-    return f"array_join(split({text}, {quoted(r'(?<!\{)\{\{(?!\{)')}, -1), concat('{{{{', {quoted(_FROM)}, array_join({chain}, {quoted(_STEP)}), {quoted(_TO)}))"
+    return f"array_join(split({text}, {quoted(OPENS)}, -1), concat('{{{{', {quoted(_FROM)}, array_join({chain}, {quoted(_STEP)}), {quoted(_TO)}))"
 
 
 def expand(
@@ -163,7 +149,9 @@ def expand(
     state = texts.select(key, F.col(text_col).alias("__text"), F.col(title_col).alias("__page"))
     state = state.withColumn("expanded", F.expr(prepared("__text"))).withColumn("__notes", F.expr(none)).drop("__text")
     # a page has no arguments: parameters in its own text get their defaults
-    state = state.withColumn("expanded", F.when(F.contains("expanded", F.lit("{{{")), F.expr(bound("expanded", "cast(array() as array<string>)"))).otherwise(F.col("expanded")))
+    state = state.withColumn("expanded", bound(F.col("expanded"), F.array().cast("array<string>")))
+    # both halves of four braces open a call
+    state = state.withColumn("expanded", F.expr(f"IF(instr(expanded, '{{{{{{{{') > 0, {_tagged('expanded', 'cast(array() as array<string>)')}, expanded)"))
     known = [*FUNCTIONS, *UNIMPLEMENTED]
     own = [*known, *OF_PAGE, *OF_STORE, *OF_TABLES, *SUMS]
     shut = _shut("call")
@@ -227,7 +215,8 @@ def expand(
             other = other.withColumn("__kept", kept | F.col("__local").isin(*never) if list(never) else kept)
             other = other.withColumn("__given", F.expr(given or "cast(NULL as string)").cast("string"))
             found = other.join(bodies, F.col("__want") == F.col("__title"), "left")
-            inner = _tagged(bound("__body", "args"), "__chain")
+            found = found.withColumn("__bound", bound(F.col("__body"), F.col("args")))
+            inner = _tagged("__bound", "__chain")
             value = (
                 f"CASE WHEN __kept THEN {shut} WHEN __deep THEN concat({quoted(TOO_DEEP)}, {shut}, '</strong>') WHEN __loops THEN concat({quoted(LOOP)}, name, ']]</strong>') "
                 f"WHEN __given IS NOT NULL THEN {_shut('__given')} WHEN __title IS NULL THEN concat('[[:', IF(startswith(__want, 'Template:'), concat('Template:', name), __want), ']]') ELSE {inner} END"

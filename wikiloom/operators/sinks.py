@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,10 +83,10 @@ def resume(rows: DataFrame, checkpoint: DataFrame, source: str, retry_errors: bo
 class BatchLog:
     """Relations of pages in one folder, written batch by batch; nothing that is there is ever written again.
 
-    A batch puts its rows under ``relation/batch=name``, the pages it is about (page_id, revision_id) under ``_pages``, and
-    last a mark of one file under ``_batches``: only then does it count, so readers and re-runs see all of it or none. A
-    page is what the batch of its greatest revision wrote (of equal ones the batch of the greater name), also where
-    that wrote nothing. A batch that is repeated under its name takes its own place.
+    Each attempt at a batch puts its rows under ``relation/batch=attempt`` with a name of its own, the pages it is about (page_id, revision_id)
+    under ``_pages``, and last a mark under ``_batches/batch=name`` that holds the attempt: only then does it count, so readers and re-runs
+    see all of it or none. A batch that counts is never written again. A page is what the batch of its greatest
+    revision wrote (of equal ones the batch of the greater name), also where that wrote nothing.
     """
 
     def __init__(self, spark: SparkSession, folder: str, schemas: dict[str, str]):
@@ -98,18 +99,28 @@ class BatchLog:
         return self.spark.read.schema(f"{schema}, batch string").parquet(f"{self.folder}/{name}")
 
     def write(self, batch: str, relations: dict[str, DataFrame], pages: DataFrame) -> None:
-        """One batch: ``relations`` by name and ``pages`` (page_id, revision_id) that they are about."""
+        """One batch: ``relations`` by name and ``pages`` (page_id, revision_id) that they are about; nothing happens if it counts already."""
+        if self.has(batch):
+            return
+        attempt = f"{batch}~{uuid.uuid4().hex}"
         for name, rows in relations.items():
             fields = [c.name for c in self.spark.createDataFrame([], self.schemas[name]).schema]
-            rows.select(*fields).write.mode("overwrite").parquet(f"{self.folder}/{name}/batch={batch}")
-        pages.select("page_id", "revision_id").write.mode("overwrite").parquet(f"{self.folder}/_pages/batch={batch}")
-        self.commit(batch)
+            rows.select(*fields).write.parquet(f"{self.folder}/{name}/batch={attempt}")
+        pages.select("page_id", "revision_id").write.parquet(f"{self.folder}/_pages/batch={attempt}")
+        self.commit(attempt)
 
-    def commit(self, batch: str) -> None:
-        self.spark.createDataFrame([(True,)], "done boolean").coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/_batches/batch={batch}")
+    def commit(self, attempt: str) -> None:
+        """Makes ``attempt`` (batch~anything) the one that counts for its batch."""
+        batch = attempt.rsplit("~", 1)[0]
+        self.spark.createDataFrame([(attempt,)], "attempt string").coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/_batches/batch={batch}")
+
+    def has(self, batch: str) -> bool:
+        """Whether the batch counts."""
+        return not self._done().filter(F.col("name") == batch).isEmpty()
 
     def _done(self) -> DataFrame:
-        return self._table("_batches", "done boolean").select("batch").distinct()
+        """(name, batch): the batches that count, and the attempt of each; marks without one are of batches written under their own name."""
+        return self._table("_batches", "attempt string").select(F.col("batch").alias("name"), F.coalesce("attempt", "batch").alias("batch")).distinct()
 
     def every(self, name: str) -> DataFrame:
         """The rows of all batches that count, of older revisions too."""
@@ -117,8 +128,8 @@ class BatchLog:
 
     def read(self, name: str) -> DataFrame:
         """The rows of the pages as they are now."""
-        pages = self._table("_pages", "page_id long, revision_id long").join(self._done(), "batch", "left_semi")
-        newest = pages.groupBy("page_id").agg(F.max(F.struct("revision_id", "batch")).alias("n")).select("page_id", "n.batch")
+        pages = self._table("_pages", "page_id long, revision_id long").join(self._done(), "batch")
+        newest = pages.groupBy("page_id").agg(F.max(F.struct("revision_id", "name", "batch")).alias("n")).select("page_id", "n.batch")
         return self._table(name, self.schemas[name]).join(newest, ["page_id", "batch"], "left_semi").drop("batch")
 
 

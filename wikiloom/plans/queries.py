@@ -573,6 +573,19 @@ def _sentence_rows(spark, sf):
     return sentences.sentence_rows(hierarchy.decomposed(pages)).select("page_id", "section_no", "toc", "sentence_no", "paragraph_no", "text")
 
 
+@query("batch_repeat", f"""WITH {_PARAGRAPHS}, p AS (SELECT page_id, count(*) AS paragraphs FROM paragraph GROUP BY page_id), w AS (SELECT DISTINCT page_id FROM wiki)
+SELECT w.page_id, coalesce(p.paragraphs, 0) AS paragraphs, 1 AS checkpoints FROM w LEFT JOIN p ON w.page_id = p.page_id""")
+def _batch_repeat(spark, sf):
+    """A batch that is written again under its name changes nothing."""
+    folder = f"{checkpoint_folder(spark)}/repeat-{uuid.uuid4().hex}"
+    for _ in range(2):
+        incremental.write_batch(wiki_pages(spark, sf), folder, "dump", "0")
+    log = incremental.log(spark, folder)
+    rows = log.read("paragraphs").groupBy("page_id").agg(F.count("*").alias("paragraphs"))
+    marks = log.every("checkpoint").groupBy("page_id").agg(F.count("*").cast("int").alias("checkpoints"))
+    return marks.join(rows, "page_id", "left").select("page_id", F.coalesce("paragraphs", F.lit(0)).cast("long").alias("paragraphs"), "checkpoints")
+
+
 @query("dump_job", f"""WITH {_PARAGRAPHS}, p AS (SELECT page_id, count(*) AS paragraphs, count(CASE WHEN NOT skipped_part THEN 1 END) AS expanded FROM paragraph GROUP BY page_id),
     s AS (SELECT page_id, count(*) AS sections FROM section GROUP BY page_id), w AS (SELECT page_id, revision_id FROM wiki)
     SELECT w.page_id AS page_id, coalesce(sections, 0) AS sections, coalesce(paragraphs, 0) AS paragraphs, coalesce(expanded, 0) AS expanded, 'completed' AS status
@@ -593,6 +606,29 @@ def _dump_job(spark, sf):
     return found
 
 
+@query(
+    "expand_nested_defaults",
+    """SELECT doc_id, coalesce(CASE WHEN doc_id % 3 = 0 THEN lang END, source) || '|' || CASE WHEN doc_id % 3 = 0 THEN lang ELSE '[' || source || ']' END || '|' || coalesce(CASE WHEN doc_id % 3 = 0 THEN lang END, 'q') AS expanded FROM documents""",
+)
+def _expand_nested_defaults(spark, sf):
+    """Defaults that hold parameters, calls and bars in links."""
+    ensure_checkpoints(spark)
+    rows = [("Template:D", "{{{1|{{{2|z}}}}}}|{{{1|{{W|{{{2}}}}}}}}|{{{1|{{#if:y|q}}}}}"), ("Template:W", "[{{{1}}}]")]
+    call = "IF(doc_id % 3 = 0, concat('{{D|', lang, '}}'), concat('{{D|2=', source, '}}'))"
+    texts = table(spark, sf, "documents").selectExpr("doc_id", f"{call} AS body", "'Page' AS title")
+    return expand.expand(texts, spark.createDataFrame(rows, "title string, body string"), "doc_id", "body", "title")
+
+
+@query("expand_brace_runs", "SELECT doc_id, '<' || source || '>' || ' a{' || lang || '}c' || ' <' || lang || '>' AS expanded FROM documents")
+def _expand_brace_runs(spark, sf):
+    """Runs of four and five braces, and braces that stand alone in an argument."""
+    ensure_checkpoints(spark)
+    rows = [("Template:N", "A"), ("Template:A", "<{{{1}}}>"), ("Template:I", "{{{1}}}"), ("Template:P", "{{{{{1}}}|{{{2}}}}}")]
+    call = "concat('{{{{N}}|', source, '}} {{I|a{', lang, '}c}} {{P|A|', lang, '}}')"
+    texts = table(spark, sf, "documents").selectExpr("doc_id", f"{call} AS body", "'Page' AS title")
+    return expand.expand(texts, spark.createDataFrame(rows, "title string, body string"), "doc_id", "body", "title")
+
+
 @query("expand_nowiki", "SELECT doc_id, '&#123;&#123;uc:x&#125;&#125; ' || upper(lang) || ' &#91;' || source || '&#93; <nowiki />' AS expanded FROM documents")
 def _expand_nowiki(spark, sf):
     ensure_checkpoints(spark)

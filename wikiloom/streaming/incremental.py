@@ -27,11 +27,15 @@ def log(spark: SparkSession, folder: str) -> BatchLog:
 def write_batch(batch: DataFrame, folder: str, source: str, name: str, store: DataFrame | None = None, **options) -> None:
     """One batch of pages into the log of ``folder``; of several revisions of a page the newest counts, of equal rows any one.
 
+    A batch that the log has under this name is left as it is: Spark repeats a batch when it stops between our mark and its own.
+
     store: templates (title, body) to expand with; none leaves calls as links to missing templates.
     """
     spark = batch.sparkSession
     ensure_checkpoints(spark)
     known = log(spark, folder)
+    if known.has(name):
+        return
     new = resume(batch, known.every("checkpoint"), source)
     new = latest_per_key(new, ["page_id"], "revision_id").checkpoint()
     store = store if store is not None else spark.createDataFrame([], "title string, body string")
