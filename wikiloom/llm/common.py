@@ -77,3 +77,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sha256_hex(column: F.Column) -> F.Column:
     return F.sha2(column, 256)
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, longer by underscores until no column of ``df`` has the name, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted

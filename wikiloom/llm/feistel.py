@@ -36,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, free_name
 
 ROUNDS = 10
 #: For tests and examples; production names its own secret in this setting. It becomes part of the plan, so clusters that
@@ -314,12 +314,13 @@ def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = DEFAULT_KEY
     if not all(c.isalnum() or c in "-_." for c in key):
         raise ValueError("a key is made of letters, digits, '-', '_' and '.'")
     pattern, text = _quoted(ANY), f"`{text_col}`"
-    at = docs.withColumn("__m", F.expr(f"IF({text} RLIKE '[0-9@]', regexp_extract_all({text}, {pattern}, 0), array())"))
-    at = at.withColumn("__f", F.expr(f"transform(coalesce(__m, array()), m -> transform({_pieces('m')}, z -> {pseudonym('z', key)}))"))
-    glued = f"array_join(zip_with(split({text}, {pattern}, -1), transform(__f, f -> array_join(f.value, '')), (a, b) -> concat(a, coalesce(b, ''))), '')"
-    result = at.withColumn(text_col, F.expr(f"IF(exists(__f, f -> exists(f, p -> p.kind <> '')), {glued}, {text})"))
+    matches, found = free_name(docs, "__m"), free_name(docs, "__f")
+    at = docs.withColumn(matches, F.expr(f"IF({text} RLIKE '[0-9@]', regexp_extract_all({text}, {pattern}, 0), array())"))
+    at = at.withColumn(found, F.expr(f"transform(coalesce({matches}, array()), m -> transform({_pieces('m')}, z -> {pseudonym('z', key)}))"))
+    glued = f"array_join(zip_with(split({text}, {pattern}, -1), transform({found}, f -> array_join(f.value, '')), (a, b) -> concat(a, coalesce(b, ''))), '')"
+    result = at.withColumn(text_col, F.expr(f"IF(exists({found}, f -> exists(f, p -> p.kind <> '')), {glued}, {text})"))
     if found_to:
-        result = result.withColumn(found_to, F.expr("filter(flatten(__f), f -> f.kind <> '')"))
+        result = result.withColumn(found_to, F.expr(f"filter(flatten({found}), f -> f.kind <> '')"))
     return result.select(*docs.columns, *([found_to] if found_to and found_to not in docs.columns else []))
 
 

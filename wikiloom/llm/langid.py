@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import discard, documents, slices, written
+from .common import discard, documents, free_name, slices, written
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 15
@@ -249,8 +249,9 @@ def held_out(id_col: str = "doc_id") -> Column:
 def reject(docs: DataFrame, model: Model, text_col: str = "text", least: float = REJECT_BELOW) -> DataFrame:
     """``docs`` without the documents that have no determined language or a posterior under ``least``. Columns as they are."""
     columns = docs.columns
-    judged = with_language(docs, model, text_col, "__lang_pred", "__lang_score")
-    return judged.filter((F.col("__lang_pred") != UNDETERMINED) & (F.col("__lang_score") >= least)).select(*columns)
+    pred, sure = free_name(docs, "__lang_pred"), free_name(docs, "__lang_score")
+    judged = with_language(docs, model, text_col, pred, sure)
+    return judged.filter((F.col(pred) != UNDETERMINED) & (F.col(sure) >= least)).select(*columns)
 
 
 def op4_naive_bayes_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

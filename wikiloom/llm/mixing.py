@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import documents, written
+from .common import documents, free_name, written
 
 BLOCK_DOCS = 1_024
 #: Blocks of a group, whose sums are added up first.
@@ -142,6 +142,11 @@ def cut_points(light: DataFrame, plan_: DataFrame, n_sources: int, seed: int) ->
     return named.join(cut, named["source"].eqNullSafe(cut["__source"]), "left").drop("__source").withColumn("cut", F.coalesce("cut", F.lit(0)))
 
 
+#: Columns that tell the order of what the mix takes, and all names that it uses inside.
+ORDER = ("__epoch", "__block", "__order", "__weight")
+_OWN = {*ORDER, "__source", "__key", "__tokens", "__s", "__full", "__cut", "__docs", "__copies"}
+
+
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -166,6 +171,11 @@ def mix(
     """
     if entropy is None and max_passes is None:
         max_passes = MAX_PASSES
+    # columns of the input that are named like ours step aside, and ours then get longer names in the result
+    aside = {c: free_name(docs, f"{c}_given") for c in docs.columns if c.lower() in _OWN}
+    renamed = {c: free_name(docs, c) for c in ORDER}
+    given, docs = docs, docs.withColumnsRenamed(aside)
+    id_col, source_col, text_col = (aside.get(c, c) for c in (id_col, source_col, text_col))
     key = F.xxhash64(F.col(id_col), F.col(text_col)) if id_col in docs.columns else F.xxhash64(F.col(text_col))
     names = ["__source", "__key", "__tokens"]
     base = docs.withColumn("__key", F.when(F.col(id_col).isNotNull(), F.xxhash64(F.col(id_col))).otherwise(key)).withColumn("__tokens", token_count(F.col(text_col))).withColumn("__source", F.col(source_col))
@@ -189,7 +199,8 @@ def mix(
     blocks = F.ceil(F.col("__docs") / F.lit(BLOCK_DOCS)).cast("double")
     dealt = dealt.withColumn("__block", F.floor(F.col("__order").cast("double") / F.lit(float(HASH_SPAN)) * blocks).cast("long"))
     kept = [id_col, source_col, "__tokens"] if copies_only else docs.columns
-    return dealt.select(*kept, "__epoch", "__block", "__order", "__weight")
+    dealt = dealt.select(*kept, *(F.col(c).alias(renamed[c]) for c in ORDER)).withColumnsRenamed({b: a for a, b in aside.items()})
+    return dealt if copies_only else dealt.select(*given.columns, *renamed.values())
 
 
 def op9_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binary_column, documents, slices, spread, words_of, written
+from .common import binary_column, documents, free_name, slices, spread, words_of, written
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -199,9 +199,10 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     classes = fingerprint_classes(rows)
     least = rows.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp", "h")).alias("first")).join(classes, "fp")
     chosen = least.groupBy("class").agg(F.min("first").alias("first")).select(F.col("first.id").alias("__id"), F.col("first.h").alias("__h"))
-    marked = docs.withColumn("__text", text)
-    kept = marked.join(chosen, marked[id_col].eqNullSafe(chosen["__id"]) & (marked["__text"] == chosen["__h"]), "left_semi")
-    return kept.dropDuplicates([id_col, "__text"]).drop("__text")
+    name = free_name(docs, "__text")
+    marked = docs.withColumn(name, text)
+    kept = marked.join(chosen, marked[id_col].eqNullSafe(chosen["__id"]) & (marked[name] == chosen["__h"]), "left_semi")
+    return kept.dropDuplicates([id_col, name]).drop(name)
 
 
 def op7_simhash_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
