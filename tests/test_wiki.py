@@ -317,7 +317,7 @@ def test_nested_braces():
         ("{{{1|[[a|b]]|c}}}", [], "[[a|b]]"),
         ("{{a|{{{1}}}}}}", ["p"], "{{a|p}}}"),
         ("{{{x}}} {{{ [[{{{1}}} }} {", ["x = 1 ", "{{{2}}}"], "1 {{{ [[{{{2}}} }} {"),
-        ("{{{{{{1}}}}}}", ["2", "b"], "{{{2}}}"),
+        ("{{{{{{1}}}}}}", ["2", "b"], "b"),
         ("{" * 5000 + "1" + "}" * 5000, [], "{" * 5000 + "1" + "}" * 5000),
     ]
     for body, args, want in cases:
