@@ -30,7 +30,7 @@ from .common import documents, written
 TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
 LEAST_DOCS, TOP, SMOOTHING, UNIT = 30, 50, 5, 1_000_000_000
 #: Counts a task holds before it passes them on; distinct vectors of a part; sources of a block; cells of a matrix.
-HELD, PART, BLOCK, CELLS = 400_000, 50_000, 256, 1_000_000
+HELD, PART, BLOCK, CELLS = 400_000, 5_000, 256, 1_000_000
 
 
 def term_counts(docs: DataFrame, most: int = HELD) -> DataFrame:
