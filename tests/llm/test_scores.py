@@ -120,7 +120,7 @@ def test_scores_of_odd_rows_and_small_chunks(spark, odd, empty):
 def test_weights_sum_to_one(spark):
     chunks = interpolation.coded(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id", "text")
     counts = interpolation.counted(interpolation.asked(chunks))
-    weights = interpolation.learned(counts, 50_000, 5_000, 10_000, 3)
+    weights = interpolation.learned(counts, interpolation.seen(counts), 50_000, 5_000, 10_000, 3)
     assert all(abs(sum(w) - 1) < 1e-9 and min(w[1:]) > 0 for w in weights.values()) and weights[0][0] == 0
 
 

@@ -10,7 +10,7 @@ each train and each get a row. Without training documents all words are unknown,
 A word after a predecessor never seen gets the bigram's weight shared out among the others. Other columns are not read.
 
 Scale: texts are coded once, in chunks of about CHUNK tokens with a word list of their own, and written. A chunk asks for each of its different bigrams
-once; counts are combined in Spark, all of them, in one table as wide as the corpus needs. The model is joined to what chunks asked for and each chunk adds up its
+once; counts are combined in Spark, all of them, in one table as wide as the corpus needs. Counts are joined to what chunks asked for, and each chunk adds up its
 own texts, so a text's tokens never go through a shuffle one by one. The driver holds only weights, three a bucket, at most 64 buckets.
 """
 
@@ -132,26 +132,32 @@ def bucket(seen: Column | str) -> Column:
 
 
 def counted(requests: DataFrame) -> DataFrame:
-    """(prev, word, n, d, prev_n, prev_d, word_n, word_d) of all bigrams, also those outside of training (n = 0); d: of the deleted fold."""
-    both = written(requests.groupBy("prev", "word").agg(F.sum("n").alias("n"), F.sum("deleted").alias("d")), "bigrams")
-    before = both.groupBy("prev").agg(F.sum("n").alias("prev_n"), F.sum("d").alias("prev_d"))
-    words = both.groupBy("word").agg(F.sum("n").alias("word_n"), F.sum("d").alias("word_d"))
-    made = written(both.join(before, "prev").join(words, "word"), "bigram-counts")
-    discard(both)
-    return made
+    """(prev, word, n, d) of all bigrams of the training; d: of the deleted fold."""
+    sums = requests.filter("n > 0").groupBy("prev", "word").agg(F.sum("n").alias("n"), F.sum("deleted").alias("d"))
+    return written(sums, "bigrams")
+
+
+def seen(bigrams: DataFrame) -> DataFrame:
+    """(name, word_n, word_d, prev_n, prev_d): how often a word stands there, and before another."""
+    both = F.inline(F.array(F.struct(F.col("word").alias("name"), F.col("n").alias("wn"), F.col("d").alias("wd"), F.lit(0).cast("long").alias("pn"), F.lit(0).cast("long").alias("pd")),
+                            F.struct(F.col("prev").alias("name"), F.lit(0).cast("long").alias("wn"), F.lit(0).cast("long").alias("wd"), F.col("n").alias("pn"), F.col("d").alias("pd"))))
+    sums = bigrams.select(both).groupBy("name").agg(F.sum("wn").alias("word_n"), F.sum("wd").alias("word_d"), F.sum("pn").alias("prev_n"), F.sum("pd").alias("prev_d"))
+    return written(sums, "words")
 
 
 def ratio(top: str, bottom: str) -> str:
     return f"IF({bottom} > 0, cast({top} as double) / {bottom}, 0D)"
 
 
-def learned(counts: DataFrame, tokens: int, deleted: int, words: int, rounds: int = ROUNDS) -> dict[int, tuple[float, float, float]]:
+def learned(bigrams: DataFrame, words_seen: DataFrame, tokens: int, deleted: int, words: int, rounds: int = ROUNDS) -> dict[int, tuple[float, float, float]]:
     """Bucket -> weights (bigram, word, uniform), summing to 1; -1: those of all buckets together, for buckets without held-out events.
 
     tokens, deleted: training tokens, and those of the deleted fold; words: different training words. Equal events are one row with their number.
     """
     rest, uniform = tokens - deleted, 1 / (words + 1)
-    events = counts.filter("d > 0").select(
+    before = words_seen.select(F.col("name").alias("prev"), "prev_n", "prev_d")
+    after = words_seen.select(F.col("name").alias("word"), "word_n", "word_d")
+    events = bigrams.filter("d > 0").join(before, "prev").join(after, "word").select(
         bucket("prev_n - prev_d").alias("bucket"), F.expr(ratio("n - d", "(prev_n - prev_d)")).alias("f2"), F.expr(ratio("word_n - word_d", str(rest))).alias("f1"), "d"
     )
     events = written(events.groupBy("bucket", "f2", "f1").agg(F.sum("d").alias("d")), "held-out")
@@ -178,25 +184,32 @@ def learned(counts: DataFrame, tokens: int, deleted: int, words: int, rounds: in
     return {b: zero if b == 0 else weights[b] if b in found else pooled for b in range(65)}
 
 
-def probability(weights: dict[int, tuple[float, float, float]], tokens: int, words: int) -> Column:
-    """Of a row of ``counted``: the model's log10 probability."""
-    if tokens == 0:
-        return F.lit(0.0)
-    array = lambda i: "array(" + ", ".join(f"{weights[b][i]!r}D" for b in sorted(weights)) + ")[bucket]"
-    return F.log10(F.expr(f"{array(0)} * {ratio('n', 'prev_n')} + {array(1)} * (word_n / {float(tokens)!r}D) + {array(2)} * {1 / (words + 1)!r}D"))
+def answered(chunks: DataFrame, requests: DataFrame, bigrams: DataFrame, words_seen: DataFrame) -> DataFrame:
+    """(chunk, no, n, prev_n): of bigrams no counts from 0; of words it is -1 - code, with prev_n. What isn't there was never seen."""
+    # rows of a chunk's words are cut from its list, not carried by its bigrams
+    words = chunks.select("chunk", F.posexplode("words").alias("code", "name")).join(words_seen, "name")
+    words = words.select(F.col("chunk").alias("chunk"), (-1 - F.col("code")).alias("no"), F.col("word_n").alias("n"), "prev_n")
+    pairs = requests.select("chunk", "no", "prev", "word").join(bigrams.select("prev", "word", "n"), ["prev", "word"])
+    return words.unionByName(pairs.select("chunk", "no", "n", F.lit(0).cast("long").alias("prev_n")))
 
 
-def _sums(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Per piece of a chunk: its tokens, known tokens and both scores."""
+def _sums(left: pa.Table, right: pa.Table, weights: np.ndarray, tokens: int, words: int) -> pa.Table:
+    """Per piece of a chunk: its tokens, known tokens and both scores. weights: a row a bucket."""
     out = {name: [] for name in ("row", "doc_id", "fold", "n_tokens", "n_known", "base_score", "score")}
     if left.num_rows:
         chunk = {name: left.column(name)[0].as_py() for name in ("rows", "ids", "folds", "lengths", "codes", "word_count")}
-        _, which, piece = _pairs(chunk["codes"], chunk["lengths"], chunk["word_count"])
-        place, count = right.column("no").to_numpy(), len(chunk["lengths"])
-        for name, column in (("n_known", "known"), ("base_score", "base"), ("score", "score")):
-            values = np.empty(right.num_rows)
-            values[place] = right.column(column).to_numpy()
-            out[name] = np.bincount(piece, values[which], count)
+        different, which, piece = _pairs(chunk["codes"], chunk["lengths"], chunk["word_count"])
+        no, n, before = (right.column(name).to_numpy() for name in ("no", "n", "prev_n"))
+        pair_n, word_n, prev_n = np.zeros(len(different)), np.zeros(chunk["word_count"]), np.zeros(chunk["word_count"], np.int64)
+        pair_n[no[no >= 0]] = n[no >= 0]
+        word_n[-1 - no[no < 0]], prev_n[-1 - no[no < 0]] = n[no < 0], before[no < 0]
+        word_n, prev_n = word_n[different % chunk["word_count"]], prev_n[different // chunk["word_count"]]
+        # bit lengths, as of the SQL: exact below 2**53
+        w = weights[np.frexp(prev_n.astype(float))[1]]
+        made = w[:, 0] * pair_n / np.maximum(prev_n, 1) + w[:, 1] * word_n / max(tokens, 1) + w[:, 2] / (words + 1)
+        values = {"n_known": (word_n > 0).astype(float), "base_score": np.log10((word_n + ADDED) / (tokens + ADDED * (words + 1))), "score": np.log10(made) if tokens else np.zeros(len(different))}
+        count = len(chunk["lengths"])
+        out |= {name: np.bincount(piece, v[which], count) for name, v in values.items()}
         out |= {"row": chunk["rows"], "doc_id": chunk["ids"], "fold": chunk["folds"], "n_tokens": np.array(chunk["lengths"]) - 1, "n_known": out["n_known"].astype(np.int64)}
     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
     return pa.table([pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)], names=list(out))
@@ -206,15 +219,15 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row; scores are sums of log10."""
     chunks = written(coded(docs, id_col, text_col, chunk), "chunks")
     requests = asked(chunks)
-    counts = counted(requests)
-    total = counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("d").alias("d")).agg(F.sum("n"), F.sum("d"), F.count(F.when(F.col("n") > 0, 1))).first()
+    bigrams = counted(requests)
+    names = seen(bigrams)
+    total = names.agg(F.sum("word_n"), F.sum("word_d"), F.count(F.when(F.col("word_n") > 0, 1))).first()
     tokens, deleted, words = (v or 0 for v in total)
-    weights = learned(counts, tokens, deleted, words, rounds)
-    base = F.log10((F.col("word_n") + ADDED) / F.lit(tokens + ADDED * (words + 1)))
-    model = counts.withColumn("bucket", bucket("prev_n")).select("prev", "word", (F.col("word_n") > 0).cast("double").alias("known"), base.alias("base"), probability(weights, tokens, words).alias("score"))
-    answers = requests.select("chunk", "no", "prev", "word").join(model, ["prev", "word"]).select("chunk", "no", "known", "base", "score")
+    learnt = learned(bigrams, names, tokens, deleted, words, rounds)
+    weights = np.array([learnt[b] for b in sorted(learnt)])
+    answers = answered(chunks, requests, bigrams, names)
     light = chunks.select("chunk", F.size("words").alias("word_count"), "rows", "ids", "folds", "lengths", "codes")
-    sums = light.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_sums, "row long, doc_id long, fold int, n_tokens long, n_known long, base_score double, score double")
+    sums = light.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(lambda c, a: _sums(c, a, weights, tokens, words), "row long, doc_id long, fold int, n_tokens long, n_known long, base_score double, score double")
     # pieces of a long text together
     whole = sums.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("fold").alias("fold"), *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")))
     return whole.select("doc_id", (F.col("fold") == HELD).alias("held_out"), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
