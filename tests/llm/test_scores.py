@@ -111,7 +111,7 @@ def test_scores_equal_brute_force(spark):
 def test_scores_of_odd_rows_and_small_chunks(spark, odd, empty):
     want = brute_scores(ODD)
     same(interpolation.score(odd).collect(), want)
-    same(interpolation.score(odd, chunk=7).collect(), want)  # texts go on in other chunks
+    same(interpolation.score(odd, chunk=7, part=5).collect(), want)  # texts go on in other chunks, bigrams in many parts
     assert interpolation.score(empty).count() == 0
     untrained = [r for r in ((i, "a b") for i in range(100)) if zlib.crc32(str(r[0]).encode()) % 10 == 0]
     same(interpolation.score(spark.createDataFrame(untrained, "doc_id long, text string")).collect(), brute_scores(untrained))
@@ -119,8 +119,8 @@ def test_scores_of_odd_rows_and_small_chunks(spark, odd, empty):
 
 def test_weights_sum_to_one(spark):
     chunks = interpolation.coded(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id", "text")
-    counts = interpolation.counted(interpolation.asked(chunks))
-    weights = interpolation.learned(counts, interpolation.seen(counts), 50_000, 5_000, 10_000, 3)
+    answered = interpolation.answered(interpolation.known(chunks, *interpolation.seen(chunks)), 3)
+    weights = interpolation.learned(interpolation.held_out(answered, 3, 50_000, 5_000), 10_000, 3)
     assert all(abs(sum(w) - 1) < 1e-9 and min(w[1:]) > 0 for w in weights.values()) and weights[0][0] == 0
 
 
