@@ -380,3 +380,38 @@ def test_wikidata_and_viewer(spark):
     assert tuple(viewer.neighbours(ids, 7).first()) == (3, 9) and viewer.neighbours(ids, 3).first().previous is None
     assert {r.point: r.page_id for r in viewer.probes(ids, [0, 4, 10]).collect()} == {0: 3, 4: 7, 10: 3}
     assert viewer.random_page(ids, 1).first().page_id in (3, 7, 9)
+
+
+def test_settled_braces():
+    from wikiloom.operators.braces import LAZY, RELEASED, calls, covered, settled
+
+    free = lambda t: "".join(RELEASED.get(c, c) for c in t)
+    text = "{{#if:{{c}}|{{a|x=1}}|{{#switch:b|{{k}}={{v}}|k={{w}}|{{d}}}}}} {{t|<b a='|'>q</b>|[[x|y]]}}"
+    made = settled(text, LAZY)
+    assert free(made) == text and settled(made, LAZY) == made
+    assert "{{c}}" in made and "{{a" not in made and "{{k}}" not in made and made.count("|") == 5  # two of #if, two of t, one of the link
+    assert settled("{{#switch:b|{{k}}={{v}}|{{d}}}}", LAZY).count("{{") == 3  # the call, the key that decides, and its value behind that
+    assert covered("<b>|<i>|</b>") == "<b>\x06<i>\x06</b>" and covered("<b>[|</b>") == "<b>[|</b>" and covered("<br/>|</br>") == "<br/>|</br>"
+    assert [text[a:b] for a, b, _ in calls(text)][0] == "c" and calls("{{a [[b}}")[0][:2] == (2, 7) and calls("}} {{") == []
+
+
+def test_unique_across_restarts(spark, tmp_path):
+    from wikiloom.streaming import incremental
+
+    rows = lambda *ids: spark.createDataFrame([(i, "x") for i in ids], "id long, v string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    rows(1, 2, 2, None, None)
+    assert incremental.streamed_unique(spark, [f"{tmp_path}/in"], f"{tmp_path}/out", ["id"]).count() == 3
+    rows(2, 3)
+    again = incremental.streamed_unique(spark, [f"{tmp_path}/in"], f"{tmp_path}/out", ["id"])
+    assert sorted(r.id or 0 for r in again.collect()) == [0, 1, 2, 3]
+
+
+def test_metered_write(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from wikiloom.operators import sinks
+
+    rows = spark.createDataFrame([(1,), (None,), (3,)], "a long")
+    assert sinks.write_metered(rows, f"{tmp_path}/m", F.col("a") > 2) == {"read_rows": 3, "skipped_rows": 1}
+    assert spark.read.parquet(f"{tmp_path}/m").count() == 2
+    assert sinks.write_metered(rows.limit(0), f"{tmp_path}/e", F.col("a") > 2) == {"read_rows": 0, "skipped_rows": 0}

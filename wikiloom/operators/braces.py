@@ -1,8 +1,9 @@
-"""Parameters of template bodies, bound in one scan of balanced braces, so that parameters, calls and links nest in each other."""
+"""Scans of balanced braces: parameters of template bodies are bound, branches that may not be taken are held back, and bars inside of elements are covered."""
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -111,3 +112,125 @@ def _bound(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series
 def bound(body: Column, args: Column) -> Column:
     """``body`` with its parameters bound to an array of arguments; null stays null. Takes time in the length of the body and of what is put in."""
     return _bound(body, F.coalesce(args, F.array().cast("array<string>")))
+
+
+#: Functions by how many arguments behind the first are evaluated at once; the others only where they are taken.
+LAZY = {"#if": 0, "#ifeq": 1, "#iferror": 0, "#ifexpr": 0, "#ifexist": 0, "#switch": 0}
+#: Where the history of a call begins and ends, and what stands for a bar inside of an element.
+_FROM, _TO, COVERED = "\x11", "\x12", "\x06"
+#: What stands for the marks of a branch that is held back, and the way back.
+_HOLD = str.maketrans("{}|=", "\x15\x16\x17\x18")
+RELEASED = {chr(held): chr(mark) for mark, held in _HOLD.items()} | {COVERED: "|"}
+_RELEASE = str.maketrans(RELEASED)
+_ELEMENT = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9-]*)(?:\s[^<>]*)?>")
+_OPENING = re.compile(r"[\[\]{}]")
+
+
+def calls(text: str) -> list[tuple[int, int, list[int]]]:
+    """(begin, end, bars of its own) of what stands between two braces, innermost first. Bars within links aren't a call's own."""
+    stack, found = [], []  # [mark, where, width left, bars]
+    for mark in _MARK.finditer(text):
+        kind = mark[0]
+        if kind[0] == "{" or kind == "[[":
+            stack.append([kind[0], mark.start(), len(kind), []])
+        elif kind == "|":
+            if stack:
+                stack[-1][3].append(mark.start())
+        elif kind == "]]":
+            if stack and stack[-1][0] == "[":
+                stack.pop()
+        else:
+            at, left = mark.start(), len(kind)
+            while left >= 2:
+                while stack and stack[-1][0] == "[":  # a link without end is text
+                    bars = stack.pop()[3]
+                    if stack:
+                        stack[-1][3].extend(bars)
+                if not stack:
+                    break
+                top = stack[-1]
+                width = 3 if min(left, top[2]) >= 3 else 2
+                if width == 2:
+                    found.append((top[1] + top[2], at, top[3]))
+                top[2:] = top[2] - width, []
+                at, left = at + width, left - width
+                if top[2] < 2:
+                    stack.pop()
+    return found
+
+
+def covered(text: str) -> str:
+    """``text`` with the bars inside of paired elements covered: those of the tags too. Elements that hold brackets or braces are left as they are."""
+    if "|" not in text or "</" not in text:
+        return text
+    marks = [m.start() for m in _OPENING.finditer(text)]
+    opened, spans = {}, []
+    for tag in _ELEMENT.finditer(text):
+        name = tag[2].lower()
+        if not tag[1]:
+            if not tag[0].endswith("/>"):
+                opened.setdefault(name, []).append((tag.start(), tag.end()))
+        elif opened.get(name):
+            begin, inside = opened[name].pop()
+            if bisect_left(marks, inside) == bisect_left(marks, tag.start()):
+                spans.append((begin, tag.end()))
+    return _changed(text, spans, {ord("|"): COVERED})
+
+
+def _changed(text: str, spans: list[tuple[int, int]], table: dict[int, str]) -> str:
+    """``text`` with the characters inside of ``spans``, which may hold each other, exchanged."""
+    pieces, at = [], 0
+    for begin, end in sorted(spans):
+        begin = max(begin, at)
+        if end > begin:
+            pieces += text[at:begin], text[begin:end].translate(table)
+            at = end
+    return "".join(pieces) + text[at:]
+
+
+def settled(text: str, lazy: dict[str, int]) -> str:
+    """``text`` for the next round: what was held back comes free, then branches with calls of the ``lazy`` functions that still stand there are held back, and bars covered.
+
+    The key of a case of #switch is evaluated, its value and the default are held back.
+    """
+    text = covered(text.translate(_RELEASE))
+    spans = []
+    for begin, end, bars in calls(text):
+        if text[begin : begin + 1] == _FROM:
+            begin = text.find(_TO, begin, end) + 1
+        cuts = [*bars, end]
+        colon = text.find(":", begin, cuts[0])
+        if colon < 0:
+            continue
+        name = text[begin:colon].strip()
+        name = name if name in lazy else name.lower()
+        if name not in lazy:
+            continue
+        for a, b in zip(cuts[lazy[name] :], cuts[lazy[name] + 1 :]):
+            first = text.find("{{", a, b)
+            if first < 0:
+                continue
+            equals = text.find("=", a, first) if name == "#switch" else a
+            if equals >= 0:
+                spans.append((equals + 1, b))
+            elif b == end:
+                spans.append((a + 1, b))
+    return _changed(text, spans, _HOLD)
+
+
+def settling(lazy: dict[str, int], call: str):
+    """A function of a text column: ``settled``, or without branches held back where nothing else than what they hold could be called."""
+    innermost = re.compile(call)
+
+    def one(text: str | None) -> str | None:
+        if text is None or "{{" not in text and not any(c in text for c in RELEASED):
+            return text
+        made = settled(text, lazy)
+        return made if innermost.search(made) else covered(text.translate(_RELEASE))
+
+    @F.pandas_udf(T.StringType())
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([one(t) for t in texts], dtype=object)
+
+    return run

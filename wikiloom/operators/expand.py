@@ -6,8 +6,9 @@ texts. A round resolves one level of nesting everywhere at once; the rounds end
 
 A call that a body brings in carries the names of the templates it came through. A name that repeats as a pattern at the
 end of these gives the notice of a loop, and one behind MAX_DEPTH names the error of a recursion that is too deep, so
-the rounds always end. Arguments are evaluated before the function (innermost first); the functions have no side
-effects, so this only differs where an unused branch holds an error. A name that is not found gives [[:Template:name]].
+the rounds always end. Arguments are evaluated before the function (innermost first), but for the branches of conditions:
+these are held back until one is taken, and the others never become calls. A budget of different calls and of characters ends
+the expansion of a text that grows without end, with a note. A name that is not found gives [[:Template:name]].
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.library import nowiki
 from ..functions.parserfns import FUNCTIONS, NAMESPACES, UNIMPLEMENTED, dispatch, expr
 from ..functions.texts import quoted, replace_all, strip
-from .braces import bound
+from .braces import LAZY, RELEASED, bound, settling
 from .cleanup import visible_text
 
 #: Innermost calls: parameters that have no value, and braces that stand alone, are text inside of them.
@@ -60,13 +61,15 @@ def parsed_call(call: str, aliases: dict[str, str] | None = None) -> str:
     renamed = " ".join(f"WHEN {quoted(a)} THEN {quoted(b)}" for a, b in (aliases or {}).items())
     function = f"(CASE {given} {renamed} ELSE {given} END)" if renamed else given
     names = ", ".join(quoted(n) for n in [*FUNCTIONS, *SUMS, *UNIMPLEMENTED, *OF_PAGE, *OF_TABLES])
+    # names of functions are told in any case, unless they are written as one is
+    function = f"(CASE WHEN {function} IN ({names}) THEN {function} WHEN lower({function}) IN ({names}) THEN lower({function}) ELSE {function} END)"
     split = f"IF({function} IN ({names}) AND instr({head}, ':') > 0, struct({function} AS name, concat(array(substr({head}, instr({head}, ':') + 1)), slice(p, 2, size(p))) AS args, {past} AS past), struct({strip(head)} AS name, slice(p, 2, size(p)) AS args, {past} AS past))"
     return f"transform(array({_arguments(bare)}), p -> {split})[0]"
 
 
 def on_new_line(text: str) -> str:
     """SQL: a result that begins a list or table gets a line of its own."""
-    return f"IF({text} RLIKE {quoted(r'^(?:[*#;:]|\{\|)')}, concat('\\n', {text}), {text})"
+    return f"IF({text} RLIKE {quoted(r'^(?:[*#;:]|\{\||\x15\x17)')}, concat('\\n', {text}), {text})"
 
 
 def _of_page() -> str:
@@ -128,6 +131,8 @@ def expand(
     aliases: dict[str, str] | None = None,
     variants: bool = False,
     notes: bool = False,
+    max_calls: int | None = None,
+    max_chars: int | None = None,
 ) -> DataFrame:
     """(key, expanded): ``texts`` (key unique, text_col, title_col) with all calls expanded from ``store`` (title, body; redirects resolved).
 
@@ -136,7 +141,8 @@ def expand(
     others stay as they are written. given: SQL over name and args whose value, if not null, takes a template's place;
     after: SQL over name, args and value that changes a result where it isn't null. aliases: other names of parser
     functions. variants: marks of language variants go. notes: also an array of struct(kind, name) of what went wrong: loop,
-    depth, missing. A null text stays null. Results begin on a new line where they begin a list or table.
+    depth, missing, budget. max_calls, max_chars: a text that has had more calls (equal ones of a round once), or is longer after a round, is left as it then is, its
+    calls unexpanded; none is no limit. A null text stays null. Results begin on a new line where they begin a list or table.
     """
     spark = texts.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
@@ -155,8 +161,17 @@ def expand(
     known = [*FUNCTIONS, *UNIMPLEMENTED]
     own = [*known, *OF_PAGE, *OF_STORE, *OF_TABLES, *SUMS]
     shut = _shut("call")
+    names_of = aliases or {}
+    settle = settling(LAZY | {a: LAZY[b] for a, b in names_of.items() if b in LAZY}, CALL)
+    state = state.withColumn("__calls", F.lit(0).cast("long"))
+    over = f"__calls > {max_calls if max_calls is not None else 2**62} OR length(expanded) > {max_chars if max_chars is not None else 2**62}"
     done = []
     while True:
+        state = state.withColumn("expanded", settle("expanded"))
+        if max_calls is not None or max_chars is not None:
+            ends = F.expr(f"expanded RLIKE {quoted(CALL)} AND ({over})")
+            state = state.withColumn("__notes", F.when(ends, F.expr("concat(__notes, array(struct('budget' AS kind, __page AS name)))")).otherwise(F.col("__notes")))
+            state = state.withColumn("expanded", F.when(ends, F.expr(f"translate(expanded, '{{}}', {quoted(_SHUT)})")).otherwise(F.col("expanded")))
         has = F.col("expanded").rlike(CALL)
         # only texts with calls go on
         state = state.withColumn("__open", F.coalesce(has, F.lit(False))).checkpoint()
@@ -234,13 +249,14 @@ def expand(
         maps = every.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("call", "value"))).alias("__v"), F.flatten(F.collect_list("note")).alias("__n")).withColumnRenamed(key, "__key")
         joined = state.join(maps, state[key] == maps["__key"])
         pieces = f"zip_with(split(expanded, {quoted(CALL)}, -1), regexp_extract_all(expanded, {quoted(CALL)}, 0), (a, c) -> concat(a, IF(c IS NULL, '', __v[c])))"
-        state = joined.select(key, F.expr(f"array_join({pieces}, '')").alias("expanded"), "__page", F.concat("__notes", "__n").alias("__notes"))
+        state = joined.select(key, F.expr(f"array_join({pieces}, '')").alias("expanded"), "__page", F.concat("__notes", "__n").alias("__notes"), F.expr("__calls + cardinality(__v)").alias("__calls"))
     result = done[0]
     for more in done[1:]:
         result = result.unionByName(more)
     # what a call that stays was closed with, and its history, turn back
     past = replace_all("expanded", f"{_FROM}[^{_TO}]*{_TO}", "")
-    text = f"replace(translate({past}, {quoted(_SHUT)}, '{{}}'), {quoted(_NOTHING)}, '<nowiki />')"
+    marks, ways = "".join(RELEASED), "".join(RELEASED.values())
+    text = f"replace(translate({past}, {quoted(_SHUT + marks)}, {quoted('{}' + ways)}), {quoted(_NOTHING)}, '<nowiki />')"
     text = f"replace({text}, {quoted(_EMPTY)}, '<nowiki/>')"
     if variants:
         text = f"replace(replace({text}, '-{{', ''), '}}-', '')"

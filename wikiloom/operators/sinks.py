@@ -10,7 +10,7 @@ import hashlib
 import re
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 COMPLETED, WITH_ERRORS = "completed", "completed_with_errors"
@@ -142,3 +142,16 @@ def conforming(rows: DataFrame, schema: str) -> DataFrame:
 def issues(rows: DataFrame, keys: list[str], issue: str = "issue") -> DataFrame:
     """(keys, issues): the different issues of a key in order, joined by '; '."""
     return rows.filter(F.col(issue).isNotNull()).groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set(issue)), "; ").alias("issues"))
+
+
+def write_metered(rows: DataFrame, path: str, skip: Column, mode: str = "errorifexists") -> dict[str, int]:
+    """Writes ``rows`` where ``skip`` isn't true to ``path``; gives read_rows and skipped_rows, counted by the job that writes.
+
+    Counts are those of the attempts that succeeded. An empty table gives zeros.
+    """
+    metrics = Observation()
+    skipped = F.coalesce(skip, F.lit(False))
+    seen = rows.observe(metrics, F.count(F.lit(1)).alias("read_rows"), F.count(F.when(skipped, 1)).alias("skipped_rows"))
+    # the filter reads a column of the observed rows and stays above them
+    seen.filter(~skipped).write.mode(mode).parquet(path)
+    return metrics.get

@@ -662,6 +662,40 @@ def _expand_notes(spark, sf):
     return done.select("doc_id", "expanded", F.array_sort(F.transform("notes", lambda n: F.concat_ws(" ", n["kind"], n["name"]))).alias("notes"))
 
 
+@query(
+    "expand_lazy",
+    """SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '[' || lang || ']' WHEN 1 THEN 'plain ' || source ELSE 'none' END || '|' || CASE WHEN doc_id % 2 = 0 THEN '[a ' || source || ']' ELSE 'odd' END AS expanded, [] :: VARCHAR[] AS notes FROM documents""",
+)
+def _expand_lazy(spark, sf):
+    """Branches not taken are never called: the loop and the missing template leave no note."""
+    ensure_checkpoints(spark)
+    bodies = spark.createDataFrame([("Template:Loop", "{{loop}}"), ("Template:Box", "[{{{1}}}]"), ("Template:Pick", "{{#switch:{{{1}}}|{{lc:A}}{{{none|}}}={{{2}}}|b={{missing}}|{{loop}}}}")], "title string, body string")
+    calls = ["'{{#switch:', doc_id % 3, '|0={{box|', lang, '}}|1={{#if:|{{loop}}|plain {{uc:}}', source, '}}|{{#ifeq:a|b|{{missing}}|none}}}}'", "'|{{#ifexpr:', doc_id % 2, '=0|{{pick|a|[a ', source, ']}}|{{#iferror:odd|{{loop}}}}}}'"]
+    texts = table(spark, sf, "documents").selectExpr("doc_id", f"concat({', '.join(calls)}) AS body", "'Page' AS title")
+    done = expand.expand(texts, bodies, "doc_id", "body", "title", notes=True)
+    return done.select("doc_id", "expanded", F.transform("notes", lambda n: F.concat_ws(" ", n["kind"], n["name"])).alias("notes"))
+
+
+@query("expand_elements", "SELECT doc_id, '[<b a=\"|\">' || lang || '|x</b>] ' || upper(source) || ' yes [<i>' || lang || ']' AS expanded FROM documents")
+def _expand_elements(spark, sf):
+    """Bars inside of paired elements cut no arguments, those behind a tag without an end do; names of functions in any case."""
+    ensure_checkpoints(spark)
+    bodies = spark.createDataFrame([("Template:Box", "[{{{1}}}]")], "title string, body string")
+    calls = ["'{{box|<b a=\"|\">', lang, '|x</b>}} {{UC:', source, '}} {{#IF:x|yes|no}} {{box|<i>', lang, '|x}}'"]
+    texts = table(spark, sf, "documents").selectExpr("doc_id", f"concat({', '.join(calls)}) AS body", "'Page' AS title")
+    return expand.expand(texts, bodies, "doc_id", "body", "title")
+
+
+@query("expand_budget", "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN ['budget ' || lang] ELSE [] :: VARCHAR[] END AS notes, CASE WHEN doc_id % 2 = 1 THEN 'x' || source END AS expanded FROM documents")
+def _expand_budget(spark, sf):
+    """A text that doubles in each round ends with a note when it is longer than 400 characters; others are done in full."""
+    ensure_checkpoints(spark)
+    bodies = spark.createDataFrame([(f"Template:D{i}", f"{{{{d{i + 1}}}}}{{{{d{i + 1}}}}}") for i in range(40)] + [("Template:E", "x{{{1}}}")], "title string, body string")
+    texts = table(spark, sf, "documents").selectExpr("doc_id", "IF(doc_id % 2 = 0, '{{d0}}', concat('{{e|', source, '}}')) AS body", "lang AS title")
+    done = expand.expand(texts, bodies, "doc_id", "body", "title", notes=True, max_chars=400)
+    return done.select("doc_id", F.transform("notes", lambda n: F.concat_ws(" ", n["kind"], n["name"])).alias("notes"), F.when(F.col("doc_id") % 2 == 1, F.col("expanded")).alias("expanded"))
+
+
 @query("store_selected", f"WITH {_PAGES} SELECT page_title AS title FROM wiki WHERE namespace = 0 AND redirect_to IS NULL AND model = 'wikitext' AND content LIKE '%note%'")
 def _selected(spark, sf):
     return store.selected(store.store_rows(wiki_pages(spark, sf)), [0], redirects=False, model="wikitext", pattern="%note%").select("title")
@@ -801,3 +835,19 @@ def _template_counts(spark, sf):
 def _language_library(spark, sf):
     pick = lambda *x: f"element_at(array({', '.join(map(quoted, x))}), cast(doc_id % 3 as int) + 1)"
     return table(spark, sf, "documents").select("doc_id", F.expr(library.gender(pick("masculine", "feminine", "neutral"), "'he'", "'she'", "'they'")).alias("a"), F.expr(library.arrow(pick("backwards", "up", "x"))).alias("b"))
+
+
+@query("stream_unique", "SELECT event_id, user_id, event_type FROM events")
+def _stream_unique(spark, sf):
+    """Each event comes twice, from two streams, and is kept once: the state knows the ids of all batches."""
+    ensure_checkpoints(spark)
+    return incremental.streamed_unique(spark, [f"{sf}/events*.parquet"] * 2, f"{checkpoint_folder(spark)}/unique-{uuid.uuid4().hex}", ["event_id"]).select("event_id", "user_id", "event_type")
+
+
+@query("write_metrics", "SELECT count(*) AS read_rows, count(CASE WHEN lang = 'en' THEN 1 END) AS skipped_rows, count(CASE WHEN lang IS DISTINCT FROM 'en' THEN 1 END) AS written_rows FROM documents")
+def _write_metrics(spark, sf):
+    ensure_checkpoints(spark)
+    path = f"{checkpoint_folder(spark)}/metered-{uuid.uuid4().hex}"
+    metrics = sinks.write_metered(table(spark, sf, "documents"), path, skip=F.col("lang") == "en")
+    written = spark.read.parquet(path).agg(F.count("*").alias("written_rows"))
+    return written.select(*[F.lit(metrics[k]).alias(k) for k in ("read_rows", "skipped_rows")], "written_rows")

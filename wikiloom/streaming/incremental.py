@@ -88,3 +88,31 @@ def streamed_states(spark: SparkSession, path: str, folder: str) -> DataFrame:
     if query.exception() is not None:
         raise query.exception()
     return latest_per_key(spark.read.parquet(f"{folder}/states/*"), ["user_id"], "ts")
+
+
+def unique(rows: DataFrame, keys: list[str], time: str | None = None, late: str | None = None) -> DataFrame:
+    """``rows`` with one row of each key, of a stream also across batches: the state store holds the keys that have been.
+
+    With ``time`` and ``late`` the state forgets keys that are older than ``late``, and a stream then leaves out rows that come later than that; without
+    them it holds all keys and leaves out nothing but repeats. Null keys are equal. Of several rows of a key any one stays.
+    """
+    if time is None or late is None:
+        return rows.dropDuplicates(keys)
+    return rows.withWatermark(time, late).dropDuplicatesWithinWatermark(keys) if rows.isStreaming else rows.dropDuplicates(keys)
+
+
+def streamed_unique(spark: SparkSession, paths: list[str], folder: str, keys: list[str], **options) -> DataFrame:
+    """``unique`` of the files there are in ``paths``, all of one schema, by a stream that goes on from ``folder``; gives what it has written there so far.
+
+    The file sink counts a batch once only, so a batch that is repeated after a failure adds nothing.
+    """
+    schema = spark.read.parquet(paths[0]).schema
+    rows = None
+    for path in paths:
+        part = spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).parquet(path)
+        rows = part if rows is None else rows.unionByName(part)
+    query = unique(rows, keys, **options).writeStream.format("parquet").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start(f"{folder}/rows")
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return spark.read.schema(schema).parquet(f"{folder}/rows")
