@@ -96,6 +96,11 @@ def test_visible_text_entities_and_nesting():
         assert cleanup.shown(text) == want, text
 
 
+def test_entities_need_their_semicolon():
+    # pages cut in the middle of an entity keep it as it is, as the SQL does
+    assert cleanup.shown("<h1>a &amp;&amp</h1>&quot &ampx; &notit; &lt;&#65;&#65") == "a &&amp\n&quot &ampx; &notit; <A&#65"
+
+
 def test_hostile_pages_take_linear_time():
     import time
 
