@@ -681,6 +681,23 @@ def test_op7_dense_group(spark):
     assert got.select("class").distinct().count() == len(set(want.values()))
 
 
+def test_op7_rows_before_a_filter_are_in_proportion(spark):
+    """What is dealt to anchors and bytes is a fixed number of rows each, not as many as meet others by chance."""
+    rng = random.Random(11)
+    rows = spark.createDataFrame([(p, p) for p in {rng.getrandbits(63) for _ in range(500)}], "fp long, root long")
+    assert simhash.home_rows(rows).count() == 8 * 500
+    assert simhash.near_rows(rows).groupBy("fp").count().selectExpr("min(count) > 7", "max(count) <= 136").first() == (True, True)
+    # three bits in three bytes of the other half, and two in one half with one in the other
+    a = rng.getrandbits(63)
+    for flips in ((0, 9, 17), (3, 30, 40), (31, 63, 1), (33, 47, 62)):
+        b = a
+        for f in flips:
+            b ^= 1 << f
+        b -= (b >> 63) << 64
+        pair = spark.createDataFrame([(a, a), (b, b)], "fp long, root long")
+        assert [tuple(r) for r in simhash.anchor_edges(pair).collect()] == [(min(a, b), max(a, b))], flips
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(60)] + [(rng.randrange(100, 140), rng.randrange(100, 140)) for _ in range(25)] + [(200, 200 + i) for i in range(1, 50)] + [(7, 7), (None, 3)]

@@ -8,11 +8,11 @@ A link between two fingerprints is found in two exact steps, neither of which pa
 * *Anchors*: the anchors of a half (32 bits) are the words of the [31,26] Hamming code with the last bit left free; they
   cover the half with radius 1. Two fingerprints at distance 3 differ in at most 1 bit in one half. A fingerprint is
   at home at its nearest anchor and is replicated to every anchor within the covering radius plus that threshold (2),
-  so one of the pair meets the other at the other's home. Pairs are compared per anchor, but only across the
-  classes that the balls have made already: an anchor where all are of one class has nothing to compare, and elsewhere
-  only members outside the anchor's largest class meet the rest. As the other half differs in at most 3 bits, one of its
-  four bytes is equal: an anchor's members are dealt by each of these bytes before they meet, which keeps what meets
-  small when the corpus grows.
+  so one of the pair meets the other at the other's home. As the other half differs in at most 3 bits, one of its
+  four bytes is equal: all are dealt by anchor and each of these bytes at once, so the rows are in proportion to the
+  fingerprints. Pairs are compared only across the classes that the balls have made already: first each is held against
+  the least and the greatest class at home under its key, and of those that meet another class only members outside the
+  key's largest class meet the rest.
 
 Both together are exact for thresholds up to 3, and other thresholds are refused. Classes come from connected components.
 """
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binary_column, documents, free_name, slices, spread, words_of, written
+from .common import binary_column, discard, documents, free_name, slices, spread, words_of, written
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -104,58 +104,67 @@ def anchor_masks() -> tuple[list[int], list[list[int]]]:
     return bit, near
 
 
-def anchor_rows(classes: DataFrame) -> DataFrame:
-    """(side, anchor, fp, root, home): a row per half and anchor within radius 2; home marks the nearest one.
+def _halves(classes: DataFrame) -> DataFrame:
+    """(fp, root, word, top, s, first, parts): a row per half: its 31-bit word, last bit, syndrome and nearest anchor, and what marks it off.
 
-    In: (fp, root). The half's bit 31 is kept in the anchor; a row for its flipped value stands for the anchors that
-    differ there, of which those within distance 1 in the other 31 bits are within 2 in all.
+    In: (fp, root). parts: the half's side and each byte of the other half with its place, as whole numbers below 2**11.
     """
-    home, near = anchor_masks()
+    home, _ = anchor_masks()
     syndrome = "0"
     for j in range(5):
         mask = sum(1 << (p - 1) for p in range(1, 32) if p >> j & 1)
         syndrome = f"{syndrome} + (bit_count(word & {mask}L) & 1) * {1 << j}"
-    halves = spread(classes, "fp").select("fp", "root", F.explode(F.expr("array(struct(0 AS side, fp & 4294967295L AS half), struct(1 AS side, shiftrightunsigned(fp, 32) AS half))")).alias("x"))
-    halves = halves.select("fp", "root", "x.side", "x.half", F.expr("x.half & 2147483647L").alias("word"), F.expr("x.half & 2147483648L").alias("top"))
-    table = ", ".join("array(" + ", ".join(f"{m}L" for m in masks) + ")" for masks in near)
+    low, high = "fp & 4294967295L", "shiftrightunsigned(fp, 32)"
+    sides = f"array(struct(0 AS side, {low} AS half, {high} AS other), struct(1 AS side, {high} AS half, {low} AS other))"
+    halves = spread(classes, "fp").select("fp", "root", F.explode(F.expr(sides)).alias("x"))
+    parts = ", ".join(f"(shiftright(x.other, {8 * i}) & 255L) + {i << 8} + x.side * 1024" for i in range(4))
+    halves = halves.select("fp", "root", F.expr("x.half & 2147483647L").alias("word"), F.expr("x.half & 2147483648L").alias("top"), F.expr(f"array({parts})").alias("parts"))
     nearest = ", ".join(f"{m}L" for m in home)
-    return (
-        halves.withColumn("s", F.expr(f"cast({syndrome} as int)"))
-        .withColumn("first", F.expr(f"word ^ array({nearest})[s]"))
-        .select(
-            "side",
-            "fp",
-            "root",
-            "top",
-            "first",
-            F.explode(F.expr(f"concat(transform(array({table})[s], m -> (word ^ m) | top), array(first | (top ^ 2147483648L)))")).alias("anchor"),
-        )
-        .select("side", "anchor", "fp", "root", F.expr("anchor = (first | top)").alias("home"))
-    )
+    return halves.withColumn("s", F.expr(f"cast({syndrome} as int)")).withColumn("first", F.expr(f"word ^ array({nearest})[s]"))
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    """(key, fp, root): each row once for each of its parts; key: anchor, side, place and byte in one number."""
+    rows = rows.select("anchor", "fp", "root", F.explode("parts").alias("part"))
+    return rows.select(F.expr("shiftleft(anchor, 11) | part").alias("key"), "fp", "root")
+
 
+def home_rows(classes: DataFrame) -> DataFrame:
+    """(key, fp, root): a fingerprint under the nearest anchor of each half, by each byte of the other: 8 rows each."""
+    return _keyed(_halves(classes).withColumn("anchor", F.expr("first | top")))
 
-def _mixed(rows: DataFrame, *keys: str) -> DataFrame:
-    """Keys under which there are members of two classes or more."""
-    return rows.groupBy(*keys).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select(*keys)
+
+def near_rows(classes: DataFrame) -> DataFrame:
+    """(key, fp, root): a fingerprint under all anchors within radius 2 of each half, by each byte of the other: at most 136 rows each.
+
+    The half's bit 31 is kept in the anchor; a row for its flipped value stands for the anchors that differ there, of
+    which those within distance 1 in the other 31 bits are within 2 in all.
+    """
+    _, near = anchor_masks()
+    table = ", ".join("array(" + ", ".join(f"{m}L" for m in masks) + ")" for masks in near)
+    anchors = f"concat(transform(array({table})[s], m -> (word ^ m) | top), array(first | (top ^ 2147483648L)))"
+    return _keyed(_halves(classes).select("fp", "root", "parts", F.explode(F.expr(anchors)).alias("anchor")))
 
 
 def anchor_edges(classes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """(a, b) of classes (roots) that have fingerprints within ``threshold`` of each other. In: (fp, root)."""
+    """(a, b) of classes (roots) that have fingerprints within ``threshold`` of each other. In: (fp, root).
+
+    Keys have one row for all that are at home there, so telling who meets another class is in proportion to the input, however dense a key is.
+    """
     if not 0 <= threshold <= THRESHOLD:
         raise ValueError(f"the anchors reach thresholds of 0 to {THRESHOLD} bits, not {threshold}")
-    rows = anchor_rows(classes)
-    rows = written(rows.join(_mixed(rows, "side", "anchor"), ["side", "anchor"], "left_semi"), "anchors")
-    # the bytes of the half that the anchor isn't of, each with its place
-    other = "IF(side = 0, shiftrightunsigned(fp, 32), fp & 4294967295L)"
-    parts = f"transform(sequence(0, 3), i -> cast(shiftright({other}, 8 * i) & 255 as int) + 256 * i)"
-    rows = rows.withColumn("part", F.explode(F.expr(parts)))
-    keys = ["side", "anchor", "part"]
-    rows = written(rows.join(_mixed(rows, *keys), keys, "left_semi"), "parts")
-    largest = rows.groupBy(*keys, "root").count().groupBy(*keys).agg(F.max_by("root", F.struct("count", "root")).alias("main"))
-    outside = rows.join(largest, keys).filter("root <> main").drop("main")
-    x = outside.select(*keys, F.col("fp").alias("x"), F.col("root").alias("xr"), F.col("home").alias("xh"))
-    y = rows.select(*keys, F.col("fp").alias("y"), F.col("root").alias("yr"), F.col("home").alias("yh"))
-    pairs = x.join(y, keys).filter(f"xr <> yr AND (xh OR yh) AND bit_count(x ^ y) <= {threshold}")
+    homes = home_rows(classes)
+    lived = written(homes.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")), "anchors")
+    visits = written(near_rows(classes).join(lived, "key").filter("lo <> root OR hi <> root").drop("lo", "hi"), "visits")
+    discard(lived)
+    hosts = homes.join(visits.select("key").distinct(), "key", "left_semi")
+    rows = written(visits.withColumn("home", F.lit(False)).unionByName(hosts.withColumn("home", F.lit(True))), "parts")
+    discard(visits)
+    largest = rows.groupBy("key", "root").count().groupBy("key").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
+    outside = rows.join(largest, "key").filter("root <> main").drop("main")
+    x = outside.select("key", F.col("fp").alias("x"), F.col("root").alias("xr"), F.col("home").alias("xh"))
+    y = rows.select("key", F.col("fp").alias("y"), F.col("root").alias("yr"), F.col("home").alias("yh"))
+    pairs = x.join(y, "key").filter(f"xr <> yr AND (xh OR yh) AND bit_count(x ^ y) <= {threshold}")
     return pairs.select(F.least("xr", "yr").alias("a"), F.greatest("xr", "yr").alias("b")).distinct()
 
 
