@@ -6,7 +6,7 @@ import datetime
 import pytest
 
 from wikiloom.functions import parserfns
-from wikiloom.operators import cleanup, components, expand, hierarchy, links, sentences, sinks, store, viewer, wikidata
+from wikiloom.operators import cleanup, components, expand, hierarchy, links, nodes, sentences, sinks, store, viewer, wikidata
 from wikiloom.plans.folders import ensure_checkpoints
 from wikiloom.sources import dump
 from wikiloom.streaming import incremental
@@ -420,3 +420,18 @@ def test_metered_write(spark, tmp_path):
     assert sinks.write_metered(rows, f"{tmp_path}/m", F.col("a") > 2) == {"read_rows": 3, "skipped_rows": 1}
     assert spark.read.parquet(f"{tmp_path}/m").count() == 2
     assert sinks.write_metered(rows.limit(0), f"{tmp_path}/e", F.col("a") > 2) == {"read_rows": 0, "skipped_rows": 0}
+
+
+def test_python_steps_hold_a_slice_of_a_batch(spark):
+    """Steps over texts take and give few rows at a time, however many an Arrow batch has; nulls and nested values come back in order."""
+    import pyarrow as pa
+
+    from wikiloom.functions import batches
+
+    assert [len(c[0]) for c in batches.sliced([pa.array(["x"] * 1_000)])] == [64] * 15 + [40] and list(batches.sliced([pa.array([], pa.string())])) == [[[]]]
+    rows = spark.range(1_000, numPartitions=1).selectExpr("id", "IF(id % 7 = 0, NULL, concat('a [[', id, ']] {{t|', id, '}}')) AS content", "id AS page_id", "array(struct('s' AS toc)) AS sections")
+    step = batches.by_row(lambda t, i: None if t is None else {"a": [t], "b": i}, pa.struct([("a", pa.list_(pa.string())), ("b", pa.int64())]), "struct<a:array<string>,b:long>")
+    got = rows.select("id", "content", step("content", "id").alias("v")).collect()
+    assert len(got) == 1_000 and all((r.v is None) if r.content is None else (r.v.a == [r.content] and r.v.b == r.id) for r in got)
+    assert nodes.node_rows(rows).filter("kind = 'LINK' AND text = concat('[[', page_id, ']]')").count() == rows.filter("content IS NOT NULL").count()
+    assert cleanup.visible_text(spark.createDataFrame([], "t string"), "t", "v").count() == 0

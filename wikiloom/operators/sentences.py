@@ -10,10 +10,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.batches import by_row
 from ..functions.texts import quoted, replace_all, strip
 from .links import drop_ref_placeholders, format_wikilinks, is_list_line, is_list_only
 
@@ -77,10 +78,7 @@ def fold_lists(text: str) -> str:
 
 
 def _folded(column: Column | str) -> Column:
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: fold_lists(t) if t is not None else None)
-
-    return F.pandas_udf(run, "string")(column)
+    return by_row(lambda text: None if text is None else fold_lists(text), pa.string(), "string")(column)
 
 
 def _merged(paragraphs: str) -> str:
