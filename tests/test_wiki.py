@@ -435,3 +435,18 @@ def test_python_steps_hold_a_slice_of_a_batch(spark):
     assert len(got) == 1_000 and all((r.v is None) if r.content is None else (r.v.a == [r.content] and r.v.b == r.id) for r in got)
     assert nodes.node_rows(rows).filter("kind = 'LINK' AND text = concat('[[', page_id, ']]')").count() == rows.filter("content IS NOT NULL").count()
     assert cleanup.visible_text(spark.createDataFrame([], "t string"), "t", "v").count() == 0
+
+
+def test_sources_of_paragraphs_come_without_a_join(spark):
+    """A batch's paragraphs and their sources are read from one row, and what cuts its plan is a table, not a checkpoint of rows."""
+    from wikiloom.operators import job
+    from wikiloom.plans import folders
+
+    ensure_checkpoints(spark)
+    pages = page(spark, "a <ref>r</ref> {{x}} b\n\nc\n== References ==\nd <ref>s</ref>").selectExpr("*", "0 AS namespace")
+    made = job.bundle(pages, spark.createDataFrame([], "title string, body string"), "dump")
+    got = [(r.section_no, r.paragraph_no, r.raw_wikitext) for r in made["paragraphs"].orderBy("section_no", "paragraph_no").collect()]
+    assert got == [(1, 1, "a <ref>r</ref> {{x}} b"), (1, 2, "c"), (2, 1, "d <ref>s</ref>")]
+    plan = made["paragraphs"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "LogicalRDD" not in plan
+    assert folders.cut(spark.range(3)).inputFiles()[0].endswith(".zstd.parquet")

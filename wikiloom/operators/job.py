@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.folders import cut
 from .components import component_rows, restored, with_components
 from .expand import expanded_text
-from .hierarchy import decomposed, paragraph_rows, section_rows
+from .hierarchy import decomposed, section_rows
 from .sentences import sentence_rows
 from .sinks import terminal_records
 from .viewer import article_error
@@ -34,14 +35,14 @@ def bundle(pages: DataFrame, store: DataFrame, source: str, **options) -> dict[s
     """
     parts = decomposed(pages, with_components)
     light = ["revision_id", "page_id", "page_title", "namespace", "sections", "components", "paragraphs", "text_process"]
-    parts = parts.select(*light).checkpoint()
-    raw = F.expr(f"transform(paragraphs, p -> struct(p.section_no AS section_no, p.paragraph_no AS paragraph_no, {restored('p.text')} AS raw))")
-    raw_rows = parts.select("revision_id", "page_id", F.inline(raw)).withColumnRenamed("raw", "raw_wikitext")
-    rows = paragraph_rows(parts)
+    parts = cut(parts.select(*light))
+    # the source of a paragraph comes from its own page's row: no join brings it back
+    raw = f"transform(paragraphs, p -> struct(p.section_no AS section_no, p.paragraph_no AS paragraph_no, p.toc AS toc, p.text AS text, p.skipped_part AS skipped_part, {restored('p.text')} AS raw_wikitext))"
+    rows = parts.select("revision_id", "page_id", "page_title", F.explode_outer(F.expr(raw)).alias("p")).filter("p IS NOT NULL").select("revision_id", "page_id", "page_title", "p.*")
     key = F.concat_ws("-", *_KEYS)
     asked = rows.filter("NOT skipped_part").select(key.alias("__k"), "text", "page_title")
     made = expanded_text(asked, store, "__k", "text", "page_title", **options).select("__k", F.col("expanded").alias("expanded_wikitext"), F.col("text").alias("__shown"), "parse_error")
-    both = rows.withColumn("__k", key).join(made, "__k", "left").join(raw_rows, _KEYS, "left").checkpoint()
+    both = cut(rows.withColumn("__k", key).join(made, "__k", "left"))
     done = both.filter("NOT skipped_part")
     paragraphs = both.withColumn("text", F.when(F.col("skipped_part"), F.col("text")).otherwise(F.col("__shown")))
     bad = done.groupBy("revision_id").agg(F.count("parse_error").alias("failed"))

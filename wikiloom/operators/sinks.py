@@ -105,7 +105,7 @@ class BatchLog:
         attempt = f"{batch}~{uuid.uuid4().hex}"
         for name, rows in relations.items():
             fields = [c.name for c in self.spark.createDataFrame([], self.schemas[name]).schema]
-            rows.select(*fields).write.parquet(f"{self.folder}/{name}/batch={attempt}")
+            rows.select(*fields).write.option("compression", "zstd").parquet(f"{self.folder}/{name}/batch={attempt}")
         pages.select("page_id", "revision_id").write.parquet(f"{self.folder}/_pages/batch={attempt}")
         self.commit(attempt)
 

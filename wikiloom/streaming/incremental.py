@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.job import RELATIONS, bundle
 from ..operators.sinks import BatchLog, latest_per_key, resume
-from ..plans.folders import ensure_checkpoints
+from ..plans.folders import cut, ensure_checkpoints
 
 PAGES = "revision_id long, page_id long, page_title string, namespace int, model string, redirect_to string, is_redirect boolean, content string"
 
@@ -37,7 +37,7 @@ def write_batch(batch: DataFrame, folder: str, source: str, name: str, store: Da
     if known.has(name):
         return
     new = resume(batch, known.every("checkpoint"), source)
-    new = latest_per_key(new, ["page_id"], "revision_id").checkpoint()
+    new = cut(latest_per_key(new, ["page_id"], "revision_id"))
     store = store if store is not None else spark.createDataFrame([], "title string, body string")
     known.write(name, bundle(new, store, source, **options), new)
 
