@@ -4,8 +4,10 @@ import bz2
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from wikiloom.functions import parserfns
+from wikiloom.functions.texts import strip
 from wikiloom.operators import cleanup, components, expand, hierarchy, links, nodes, sentences, sinks, store, viewer, wikidata
 from wikiloom.plans.folders import ensure_checkpoints
 from wikiloom.sources import dump
@@ -70,6 +72,23 @@ def test_lists_and_sentences(spark):
     assert got == [(1, 1, "See: a; b. C."), (3, 2, "Dr. Smith met J. Doe."), (3, 3, "He left!"), (3, 4, '"Ok."'), (3, 5, "Then [[B↓A]].")]
 
 
+def test_sentences_are_cut_and_numbered_within_the_row(spark):
+    content = "See:\n\n* a:\n\n* b\n* c\n\nUse e.g. This, Dr. Who? Yes.. No\r\n \r\n\u3000Last J. D. Ok\u2003\n== Two ==\nA.\n\n== References ==\nNo.\n== Four ==\nNo."
+    rows = sentences.sentence_rows(hierarchy.decomposed(page(spark, content)))
+    got = sorted((r.section_no, r.sentence_no, r.paragraph_no, r.text) for r in rows.collect())
+    assert got == [(1, 1, 1, "See: a:; b; c."), (1, 2, 4, "Use e.g. This, Dr. Who?"), (1, 3, 4, "Yes.."), (1, 4, 4, "No"), (1, 5, 5, "Last J. D. Ok"), (2, 1, 1, "A.")]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and plan.count("ArrowEvalPython") == 1
+
+
+def test_strip_takes_unicode_white_space(spark):
+    chars = [chr(i) for i in range(0x3100)]
+    rows = spark.createDataFrame([(c, f"{c}a{c}b{c}{c}") for c in chars] + [("", ""), (" ", " \u2003\n"), ("n", None)], "c string, t string")
+    old = F.expr("regexp_replace(t, '(?U)^\\\\s+|\\\\s+$', '')")
+    assert rows.filter(~F.expr(strip("t")).eqNullSafe(old)).count() == 0
+    assert "regexp" not in strip("t")
+
+
 def test_visible_text(spark):
     text = '<!-- c -->A [[File:x.png|t|see [[B]] ok]] \'\'\'b\'\'\' [http://x.y z] [http://q] <ref name=a/><ref>r</ref><div class="x error">bad</div><p>p &amp; &lt;b&gt; &#65;</p>__TOC__ [[Category:Q]]\n== H ==\n{| t\n|-\n|}\n\n\n\nend'
     row = cleanup.visible_text(spark.createDataFrame([(text,), (None,)], "t string"), "t", "v").collect()

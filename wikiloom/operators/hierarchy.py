@@ -30,6 +30,7 @@ def _section_marks(text: str) -> str:
     A line of two signs alone opens a heading whose inside is the next line, if that ends in exactly two.
     """
     joined = f"regexp_replace({text}, {quoted(r'(?<![^\n])==\n(?=[^\n]*[^=\n]==[ \t\x0B\f\r]*(?:\n|\z))')}, {quoted('==' + chr(4))})"
+    joined = f"IF(startswith({text}, '==\n') OR contains({text}, '\n==\n'), {joined}, {text})"
     bare = rf"regexp_replace(l, {quoted(r'\s+$')}, '')"
     test = "h LIKE '==_%==' AND substr(h, 3, 1) <> '=' AND substr(h, -3, 1) <> '='"
     line = f"transform(array({bare}), h -> IF({test}, concat('\\u0001', substr(h, 3, length(h) - 4), '\\u0002'), l))[0]"
@@ -57,8 +58,8 @@ def with_sections(pages: DataFrame, content: str = "content") -> DataFrame:
     marked = _section_marks(f"`{content}`")
     empty = "cast(NULL as string)"
     head = f"struct('Summary' AS toc, {empty} AS heading, {strip('parts[0]')} AS text)"
-    title, body = "split(p, '\\u0002', 2)[0]", "split(p, '\\u0002', 2)[1]"
-    rest = f"transform(slice(parts, 2, size(parts)), p -> struct({strip(title)} AS toc, concat('==', {title}, '==') AS heading, {strip(body)} AS text))"
+    halves = "transform(slice(parts, 2, size(parts)), p -> split(p, '\\u0002', 2))"
+    rest = f"transform({halves}, q -> struct({strip('q[0]')} AS toc, concat('==', q[0], '==') AS heading, {strip('q[1]')} AS text))"
     found = f"CASE WHEN size(parts) = 1 THEN array({head}) ELSE concat(filter(array({head}), s -> s.text <> ''), {rest}) END"
     numbered = "transform(found, (s, i) -> struct(i + 1 AS section_no, s.toc AS toc, s.heading AS heading, s.text AS raw_text, s.text AS text))"
     result = pages.withColumn("parts", F.expr(f"split({marked}, '\\u0001', -1)")).withColumn("found", F.expr(found)).withColumn("sections", F.expr(numbered))
@@ -75,7 +76,9 @@ def with_paragraphs(pages: DataFrame) -> DataFrame:
     """
     body = "coalesce(nullif(s.text, ''), s.raw_text, '')"
     # blocks once more as one text, a blank line between two, cut at the headings
-    blocks = f"array_join(filter(transform(split({body}, {quoted(BLANK_LINES)}, -1), b -> {strip('b')}), b -> b <> ''), '\\n\\n')"
+    # the pattern is only for texts whose line ends aren't all bare
+    bare = f"transform(array({body}), b -> IF(contains(b, '\r') OR contains(b, '\n ') OR contains(b, '\n\t'), regexp_replace(b, {quoted(BLANK_LINES)}, '\n\n'), b))[0]"
+    blocks = f"array_join(filter(transform(split({bare}, '\n\n', -1), b -> {strip('b')}), b -> b <> ''), '\\n\\n')"
     cut = f"split({_sub_marks('u')}, '\\u0001', -1)"
     base = "IF(coalesce(s.toc, '') = '', 0, 2)"
     level, title = "length(split(p, '\\u0003', 2)[0])", strip("split(split(p, chr(3), 2)[1], chr(2), 2)[0]")
@@ -87,7 +90,9 @@ def with_paragraphs(pages: DataFrame) -> DataFrame:
     rows = f"transform(array({paths}), t -> flatten(transform(w, (p, k) -> transform({texts}, b -> struct(nullif(t[k], '') AS toc, b AS text)))))[0]"
     rows = f"transform(transform(array({blocks}), u -> {cut}), w -> {rows})[0]"
     one = f"transform({rows}, (x, i) -> struct(s.section_no AS section_no, i + 1 AS paragraph_no, x.toc AS toc, x.text AS text))"
-    hit = f"lower({strip('split(coalesce(x.toc, ' + chr(39) * 2 + '), ' + chr(39) + ':' + chr(39) + ', 2)[0]')}) IN ({', '.join(map(quoted, SKIPPED_ROOTS))})"
+    root = f"{strip('substring_index(coalesce(x.toc, ' + chr(39) * 2 + '), ' + chr(39) + ':' + chr(39) + ', 1)')}"
+    lengths = ", ".join(sorted({str(len(r)) for r in SKIPPED_ROOTS}))  # lower-casing into ASCII keeps the length
+    hit = f"transform(array({root}), q -> length(q) IN ({lengths}) AND lower(q) IN ({', '.join(map(quoted, SKIPPED_ROOTS))}))[0]"
     all_rows = pages.withColumn("__all", F.expr(f"flatten(transform(sections, s -> {one}))"))
     all_rows = all_rows.withColumn("__first", F.expr(f"array_position(transform(__all, x -> {hit}), true)"))
     made = "transform(__all, (x, i) -> struct(x.section_no AS section_no, x.paragraph_no AS paragraph_no, x.toc AS toc, x.text AS text, (__first > 0 AND i + 1 >= __first) AS skipped_part))"

@@ -17,12 +17,12 @@ def format_wikilinks(text: str) -> str:
     trimmed = r"((?:[^\[\]|\s](?:[^\[\]|]*[^\[\]|\s])?))"
     both = replace_all(text, rf"(?U)\[\[\s*{trimmed}\s*\|\s*{trimmed}\s*\]\]", f"\x04$2{ARROW}$1\x05")
     each = replace_all(both, rf"(?U)\[\[\s*{trimmed}\s*\]\]", f"[[$1{ARROW}$1]]")
-    return f"replace(replace({each}, '\\u0004', '[['), '\\u0005', ']]')"
+    return f"replace(replace(IF(contains({text}, '[['), {each}, {text}), '\\u0004', '[['), '\\u0005', ']]')"
 
 
 def drop_ref_placeholders(text: str) -> str:
     """SQL: without the placeholders of references."""
-    return replace_all(text, REF_PLACEHOLDER, "")
+    return f"IF(contains({text}, '{MARK}'), {replace_all(text, REF_PLACEHOLDER, '')}, {text})"
 
 
 def is_list_line(line: str) -> str:
