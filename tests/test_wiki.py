@@ -81,6 +81,14 @@ def test_sentences_are_cut_and_numbered_within_the_row(spark):
     assert "Exchange" not in plan and "Window" not in plan and plan.count("ArrowEvalPython") == 1
 
 
+def test_pages_of_one_small_file_are_many_tasks(spark, sf_dir):
+    from wikiloom.plans.queries import QUERIES
+
+    assert QUERIES["sentence_rows"](spark, sf_dir).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = QUERIES["sentence_rows"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and plan.count("Exchange") == 1
+
+
 def test_strip_takes_unicode_white_space(spark):
     chars = [chr(i) for i in range(0x3100)]
     rows = spark.createDataFrame([(c, f"{c}a{c}b{c}{c}") for c in chars] + [("", ""), (" ", " \u2003\n"), ("n", None)], "c string, t string")
