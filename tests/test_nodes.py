@@ -24,6 +24,22 @@ def test_nodes_and_tree_queries(spark):
     rows.unpersist()
 
 
+def test_template_parameters(spark):
+    cases = {
+        "{{foo|bar||z|1-1/2|}}": [("1", "bar"), ("2", ""), ("3", "z"), ("4", "1-1/2"), ("5", "")],
+        "{{\nfoo\n|\nname=testi|bar\n|\nbaz}}": [("name", "testi"), ("1", "bar\n"), ("2", "\nbaz")],
+        "{{e|lang= fr |{{b|M}}. ''x=y''|source={{w|G}}, ''{{w|H = I}}'', 1892}}": [("lang", "fr"), ("1", "{{b|M}}. ''x=y''"), ("source", "{{w|G}}, ''{{w|H = I}}'', 1892")],
+        "{{lien|1=L1 = L2|empty= |[[A|b=c]]|x=1|x=2}}": [("1", "L1 = L2[[A|b=c]]"), ("x", "12")],
+        "{{m|mul|{}}": [("1", "mul"), ("2", "{")],
+        "{{m|<nowiki>a|b=c</nowiki>|<!-- d|e -->f|{{{1|g}}}}}": [("1", "<nowiki>a|b=c</nowiki>"), ("2", "f"), ("3", "{{{1|g}}}")],
+        "{{m}}": [],
+    }
+    assert {call: nodes.parameters(call) for call in cases} == cases
+    pages = spark.createDataFrame([(1, "{{Template:A|x|k={{d}}}} {{#if:y|z}} {{lc:Q|r}}")], "page_id long, content string")
+    rows = nodes.template_parameters(nodes.node_rows(pages)).orderBy("node_id", "parameter").collect()
+    assert [(r.name, r.parameter, r.value) for r in rows] == [("A", "1", "x"), ("A", "k", "{{d}}"), ("d", None, None)]
+
+
 def test_functions_of_the_store(spark):
     ensure_checkpoints(spark)
     bodies = spark.createDataFrame([("P", "x<section begin=s/>in<section end=s/>y"), ("MediaWiki:Hi", "Hello $1"), ("Template:A", "z")], "title string, body string")
