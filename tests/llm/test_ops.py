@@ -857,3 +857,22 @@ def test_pipeline(spark, odd, empty, tokenizer):
             out = stage(spark, out, SF)
             assert name == "bpe_tokens" or out.columns == rows.columns
         assert out.count() >= 0
+
+
+def test_simhash_broadcasts_no_table_that_grows(spark, monkeypatch):
+    """Spark takes the 136 rows a fingerprint that stand behind an explode for one: below a limit they would all be collected by the driver."""
+    plans, write = [], simhash.written
+
+    def recorded(df, what):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, what)
+
+    monkeypatch.setattr(simhash, "written", recorded)
+    monkeypatch.setattr("wikiloom.llm.components.written", recorded)
+    docs = spark.createDataFrame([(i, f"one two three four {i % 7} six") for i in range(40)], "doc_id long, text string")
+    for made in (simhash.near_duplicates(docs), simhash.keep_first(docs).select("doc_id")):
+        made.collect()
+        if "component_id" in made.columns:
+            plans.append(made._jdf.queryExecution().executedPlan().toString())
+    assert any("SortMergeJoin" in p for p in plans)
+    assert not [p for p in plans if "BroadcastHashJoin" in p]

@@ -71,6 +71,11 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is never broadcast: Spark takes rows behind an explode, or packed tightly in Parquet, for far smaller than they are."""
+    return df.hint("merge")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, written
+from .common import discard, shuffled, written
 
 MAX_ROUNDS = 60
 
@@ -22,11 +22,11 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         )
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # a neighbour v > u is in a row (u, v) of `edges` as (a, b)
-        moved = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
+        moved = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).join(shuffled(least), "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
     else:
         down = edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
-        moved = down.join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).unionByName(
+        moved = down.join(shuffled(least), "u").select(F.col("m").alias("a"), F.col("v").alias("b")).unionByName(
             least.select(F.col("m").alias("a"), F.col("u").alias("b"))
         )
     return moved.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binary_column, discard, documents, free_name, slices, spread, words_of, written
+from .common import binary_column, discard, documents, free_name, shuffled, slices, spread, words_of, written
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -155,16 +155,16 @@ def anchor_edges(classes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         raise ValueError(f"the anchors reach thresholds of 0 to {THRESHOLD} bits, not {threshold}")
     homes = home_rows(classes)
     lived = written(homes.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")), "anchors")
-    visits = written(near_rows(classes).join(lived, "key").filter("lo <> root OR hi <> root").drop("lo", "hi"), "visits")
+    visits = written(near_rows(classes).join(shuffled(lived), "key").filter("lo <> root OR hi <> root").drop("lo", "hi"), "visits")
     discard(lived)
-    hosts = homes.join(visits.select("key").distinct(), "key", "left_semi")
+    hosts = homes.join(shuffled(visits.select("key").distinct()), "key", "left_semi")
     rows = written(visits.withColumn("home", F.lit(False)).unionByName(hosts.withColumn("home", F.lit(True))), "parts")
     discard(visits)
     largest = rows.groupBy("key", "root").count().groupBy("key").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
-    outside = rows.join(largest, "key").filter("root <> main").drop("main")
+    outside = rows.join(shuffled(largest), "key").filter("root <> main").drop("main")
     x = outside.select("key", F.col("fp").alias("x"), F.col("root").alias("xr"), F.col("home").alias("xh"))
     y = rows.select("key", F.col("fp").alias("y"), F.col("root").alias("yr"), F.col("home").alias("yh"))
-    pairs = x.join(y, "key").filter(f"xr <> yr AND (xh OR yh) AND bit_count(x ^ y) <= {threshold}")
+    pairs = x.join(shuffled(y), "key").filter(f"xr <> yr AND (xh OR yh) AND bit_count(x ^ y) <= {threshold}")
     return pairs.select(F.least("xr", "yr").alias("a"), F.greatest("xr", "yr").alias("b")).distinct()
 
 
@@ -173,10 +173,10 @@ def fingerprint_classes(fps: DataFrame) -> DataFrame:
     fps = written(fps.select("fp").distinct(), "fingerprints")
     close = connected_components(ball_edges(fps), "a", "b")
     classes = written(
-        fps.join(close, fps.fp == close.node, "left").select("fp", F.coalesce("root", "fp").alias("root")), "classes"
+        fps.join(shuffled(close), fps.fp == close.node, "left").select("fp", F.coalesce("root", "fp").alias("root")), "classes"
     )
     far = connected_components(anchor_edges(classes), "a", "b").select(F.col("node").alias("root"), F.col("root").alias("class"))
-    return classes.join(far, "root", "left").select("fp", F.coalesce("class", "root").alias("class"))
+    return classes.join(shuffled(far), "root", "left").select("fp", F.coalesce("class", "root").alias("class"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -188,10 +188,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = written(with_fingerprints(docs, id_col, text_col), "simhash")
     classes = fingerprint_classes(rows)
-    least = rows.groupBy("fp").agg(F.min("id").alias("least")).join(classes, "fp")
+    least = rows.groupBy("fp").agg(F.min("id").alias("least")).join(shuffled(classes), "fp")
     named = least.groupBy("class").agg(F.min("least").alias("component_id"))
-    members = classes.join(named, "class").select("fp", "component_id")
-    return rows.join(members, "fp").select(
+    members = classes.join(shuffled(named), "class").select("fp", "component_id")
+    return rows.join(shuffled(members), "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -206,7 +206,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text = F.xxhash64(text_col)
     rows = written(_fingerprinted(docs.select(F.col(id_col).alias("id"), text.alias("h"), F.col(text_col).alias("body"))), "simhash")
     classes = fingerprint_classes(rows)
-    least = rows.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp", "h")).alias("first")).join(classes, "fp")
+    least = rows.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp", "h")).alias("first")).join(shuffled(classes), "fp")
     chosen = least.groupBy("class").agg(F.min("first").alias("first")).select(F.col("first.id").alias("__id"), F.col("first.h").alias("__h"))
     name = free_name(docs, "__text")
     marked = docs.withColumn(name, text)
