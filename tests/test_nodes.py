@@ -48,6 +48,24 @@ def test_functions_of_the_store(spark):
     assert made.first().expanded == "yn 38 in Hello Bob ⧼Nope⧽ 3 1"
 
 
+def test_expansion_broadcasts_no_texts(spark, monkeypatch):
+    """Texts that are much alike make small files, by which Spark would take them for small enough to be collected by the driver."""
+    ensure_checkpoints(spark)
+    plans, write = [], expand.cut
+
+    def recorded(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(expand, "cut", recorded)
+    bodies = spark.createDataFrame([("Template:A", "z{{b}}")], "title string, body string")
+    texts = spark.createDataFrame([(i, "{{a}}", "T") for i in range(20)], "k int, t string, p string")
+    made = expand.expanded_text(texts, bodies, "k", "t", "p")
+    assert {r.expanded for r in made.collect()} == {"z[[:Template:b]]"}
+    joins = [line for plan in [*plans, made._jdf.queryExecution().executedPlan().toString()] for line in plan.split("\n") if "Join [k#" in line]
+    assert len(joins) > 2 and all("SortMergeJoin" in line for line in joins), joins
+
+
 def test_library(spark):
     cases = {
         library.trim("'  a '"): "a",

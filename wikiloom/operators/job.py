@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.folders import cut
+from ..plans.folders import cut, shuffled
 from .components import component_rows, restored, with_components
 from .expand import expanded_text
 from .hierarchy import decomposed, section_rows
@@ -42,7 +42,7 @@ def bundle(pages: DataFrame, store: DataFrame, source: str, **options) -> dict[s
     key = F.concat_ws("-", *_KEYS)
     asked = rows.filter("NOT skipped_part").select(key.alias("__k"), "text", "page_title")
     made = expanded_text(asked, store, "__k", "text", "page_title", **options).select("__k", F.col("expanded").alias("expanded_wikitext"), F.col("text").alias("__shown"), "parse_error")
-    both = cut(rows.withColumn("__k", key).join(made, "__k", "left"))
+    both = cut(rows.withColumn("__k", key).join(shuffled(made), "__k", "left"))
     done = both.filter("NOT skipped_part")
     paragraphs = both.withColumn("text", F.when(F.col("skipped_part"), F.col("text")).otherwise(F.col("__shown")))
     bad = done.groupBy("revision_id").agg(F.count("parse_error").alias("failed"))

@@ -33,3 +33,8 @@ def cut(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is never broadcast: Spark goes by the size of files, and texts that are much alike take up far more memory than they do there."""
+    return df.hint("merge")
