@@ -477,3 +477,24 @@ def test_sources_of_paragraphs_come_without_a_join(spark):
     plan = made["paragraphs"]._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "LogicalRDD" not in plan
     assert folders.cut(spark.range(3)).inputFiles()[0].endswith(".zstd.parquet")
+
+
+def test_a_batch_leaves_its_relations_alone(spark, tmp_path, monkeypatch):
+    """Tables on the way go when a batch is written, and only paragraphs with something to expand go through the rounds."""
+    import glob
+
+    from wikiloom.operators import job
+    from wikiloom.plans import folders
+
+    given = []
+    made = job.expanded_text
+    monkeypatch.setattr(job, "expanded_text", lambda texts, *x, **options: given.extend(r.text for r in texts.collect()) or made(texts, *x, **options))
+    top = folders.checkpoint_folder(spark).split(":", 1)[-1]
+    before = set(glob.glob(f"{top}/cut-*"))
+    text = "a {{x}} b\n\nplain | c = d & e\n\n<b>bold</b>\n\n{{{1|k}}}\n\n'''q''' &amp; z\n== References ==\nd {{y}}"
+    incremental.write_batch(page(spark, text).selectExpr("*", "0 AS namespace"), f"{tmp_path}/log", "s", "0")
+    assert set(glob.glob(f"{top}/cut-*")) == before
+    assert sorted(given) == ["<b>bold</b>", "a {{x}} b", "{{{1|k}}}"]
+    log = incremental.log(spark, f"{tmp_path}/log")
+    rows = [(r.raw_wikitext, r.text, r.skipped_part) for r in log.read("paragraphs").orderBy("section_no", "paragraph_no").collect()]
+    assert rows == [("a {{x}} b", "a [[:Template:x]] b", False), ("plain | c = d & e", "plain | c = d & e", False), ("<b>bold</b>", "bold", False), ("{{{1|k}}}", "k", False), ("'''q''' &amp; z", "q & z", False), ("d {{y}}", "d {{y}}", True)]

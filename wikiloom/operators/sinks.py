@@ -13,6 +13,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.folders import discard, tidied
+
 COMPLETED, WITH_ERRORS = "completed", "completed_with_errors"
 
 
@@ -98,15 +100,26 @@ class BatchLog:
             return self.spark.createDataFrame([], f"{schema}, batch string")
         return self.spark.read.schema(f"{schema}, batch string").parquet(f"{self.folder}/{name}")
 
-    def write(self, batch: str, relations: dict[str, DataFrame], pages: DataFrame) -> None:
-        """One batch: ``relations`` by name and ``pages`` (page_id, revision_id) that they are about; nothing happens if it counts already."""
+    def write(self, batch: str, relations: dict[str, DataFrame], pages: DataFrame, last: bool = False) -> None:
+        """One batch: ``relations`` by name and ``pages`` (page_id, revision_id) that they are about; nothing happens if it counts already.
+
+        last: nothing else reads the tables of ``cut`` that these read, and each is deleted as soon as none of them does.
+        """
         if self.has(batch):
             return
         attempt = f"{batch}~{uuid.uuid4().hex}"
+        waiting = [*relations.values(), pages]
         for name, rows in relations.items():
             fields = [c.name for c in self.spark.createDataFrame([], self.schemas[name]).schema]
-            rows.select(*fields).write.option("compression", "zstd").parquet(f"{self.folder}/{name}/batch={attempt}")
-        pages.select("page_id", "revision_id").write.parquet(f"{self.folder}/_pages/batch={attempt}")
+            with tidied(self.spark):
+                rows.select(*fields).write.option("compression", "zstd").parquet(f"{self.folder}/{name}/batch={attempt}")
+            waiting.pop(0)
+            if last:
+                discard(rows, keep=tuple(waiting))
+        with tidied(self.spark):
+            pages.select("page_id", "revision_id").write.parquet(f"{self.folder}/_pages/batch={attempt}")
+        if last:
+            discard(pages)
         self.commit(attempt)
 
     def commit(self, attempt: str) -> None:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,11 +30,37 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+@contextmanager
+def tidied(spark: SparkSession) -> Iterator[None]:
+    """What is written inside leaves no shuffle files behind; else they stay until the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` as a compressed table in the shared folder, without its plan: a checkpoint of rows is several times as large."""
-    path = f"{checkpoint_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/cut-{uuid.uuid4().hex}"
+    with tidied(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame, keep: tuple[DataFrame, ...] = ()) -> None:
+    """Deletes the tables of ``cut`` that ``tables`` read and ``keep`` doesn't, once nothing reads them any more."""
+    spark = tables[0].sparkSession
+    path = lambda text: spark._jvm.org.apache.hadoop.fs.Path(text)
+    where = lambda p: p.toUri().getPath()
+    read = lambda frames: {f.rsplit("/", 1)[0] for df in frames for f in df.inputFiles()}
+    top = where(path(checkpoint_folder(spark)))
+    for folder in map(path, read(tables) - read(keep)):
+        if folder.getName().startswith("cut-") and where(folder.getParent()) == top:
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def shuffled(df: DataFrame) -> DataFrame:

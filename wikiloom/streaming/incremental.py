@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.job import RELATIONS, bundle
 from ..operators.sinks import BatchLog, latest_per_key, resume
-from ..plans.folders import cut, ensure_checkpoints
+from ..plans.folders import cut, discard, ensure_checkpoints
 
 PAGES = "revision_id long, page_id long, page_title string, namespace int, model string, redirect_to string, is_redirect boolean, content string"
 
@@ -39,7 +39,9 @@ def write_batch(batch: DataFrame, folder: str, source: str, name: str, store: Da
     new = resume(batch, known.every("checkpoint"), source)
     new = cut(latest_per_key(new, ["page_id"], "revision_id"))
     store = store if store is not None else spark.createDataFrame([], "title string, body string")
-    known.write(name, bundle(new, store, source, **options), new)
+    relations = bundle(new, store, source, **options)
+    discard(new)
+    known.write(name, relations, relations["checkpoint"], last=True)
 
 
 def _token(spark: SparkSession, folder: str) -> str:
